@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,19 +27,27 @@ flatten(transform(
                 t -> try_variant_get(t, '$.fields', 'array<variant>') IS NOT NULL)))
 """
 
+# First member of a union that is not "null"; a type that is no union stands for itself.
 _EFFECTIVE_TYPE = """
-CASE WHEN try_variant_get(field, '$.type', 'array<variant>') IS NOT NULL
-     THEN get(filter(try_variant_get(field, '$.type', 'array<variant>'),
-                 m -> coalesce(try_variant_get(m, '$', 'string'), '') <> 'null'), 0)
-     ELSE variant_get(field, '$.type', 'variant') END
+coalesce(get(filter(try_variant_get(f, '$.type', 'array<variant>'),
+                    m -> coalesce(try_variant_get(m, '$', 'string'), '') <> 'null'), 0),
+         try_variant_get(f, '$.type', 'variant'))
 """
 
-_TYPE_NAME = """
-coalesce(try_variant_get(effective, '$["connect.name"]', 'string'),
-         try_variant_get(effective, '$.type', 'string'),
-         try_variant_get(effective, '$', 'string'))
+_COLUMNS = f"""
+filter(
+    transform(
+        transform(try_variant_get(get({_ROW_RECORDS}, 0), '$.fields', 'array<variant>'),
+                  f -> struct(try_variant_get(f, '$.name', 'string') AS name, {_EFFECTIVE_TYPE} AS type)),
+        c -> struct(c.name AS column_name,
+                    coalesce(try_variant_get(c.type, '$["connect.name"]', 'string'),
+                             try_variant_get(c.type, '$.type', 'string'),
+                             try_variant_get(c.type, '$', 'string')) AS logical_type)),
+    c -> c.column_name IS NOT NULL AND c.logical_type IS NOT NULL)
 """
 
+_KEY_NAMES = "transform(try_variant_get(doc, '$.fields', 'array<variant>'), f -> try_variant_get(f, '$.name', 'string'))"
+
 
 def column_types(registry: DataFrame, id_column: str = "schema_id", text_column: str = "schema_str") -> DataFrame:
     """(schema id, position, column_name, logical_type) of the row record in each value schema.
@@ -47,74 +56,71 @@ def column_types(registry: DataFrame, id_column: str = "schema_id", text_column:
     column has the logical name of its first non-null type, or its plain type. All steps work on
     one row, so the registry may be of any size.
     """
-    fields = (
+    return (
         registry.select(id_column, F.try_parse_json(text_column).alias("doc"))
-        .select(id_column, F.expr(f"get({_ROW_RECORDS}, 0)").alias("record"))
-        .select(id_column, F.posexplode(F.expr("try_variant_get(record, '$.fields', 'array<variant>')")))
-        .withColumnRenamed("col", "field")
-        .withColumn("effective", F.expr(_EFFECTIVE_TYPE))
+        .select(id_column, F.posexplode(F.expr(_COLUMNS)).alias("position", "column"))
+        .select(id_column, "position", "column.column_name", "column.logical_type")
     )
-    return fields.select(
-        id_column,
-        F.col("pos").alias("position"),
-        F.expr("try_variant_get(field, '$.name', 'string')").alias("column_name"),
-        F.expr(_TYPE_NAME).alias("logical_type"),
-    ).filter("column_name IS NOT NULL AND logical_type IS NOT NULL")
 
 
 def key_columns(registry: DataFrame, id_column: str = "schema_id", text_column: str = "schema_str") -> DataFrame:
     """(schema id, position, column_name) of each key schema."""
-    return (
-        registry.select(id_column, F.try_parse_json(text_column).alias("doc"))
-        .select(id_column, F.posexplode(F.expr("try_variant_get(doc, '$.fields', 'array<variant>')")))
-        .select(
-            id_column,
-            F.col("pos").alias("position"),
-            F.expr("try_variant_get(col, '$.name', 'string')").alias("column_name"),
-        )
+    return registry.select(id_column, F.try_parse_json(text_column).alias("doc")).select(
+        id_column, F.posexplode(F.expr(_KEY_NAMES)).alias("position", "column_name")
     )
 
 
+@dataclass(frozen=True)
 class SchemaPair:
     """The value and key schema that a set of records was written with."""
 
-    def __init__(self, value_id: int, value_text: str, key_id: int, key_text: str, types: Mapping[str, str], keys: Sequence[str]):
-        self.value_id = value_id
-        self.value_text = value_text
-        self.key_id = key_id
-        self.key_text = key_text
-        self.types = types
-        self.keys = keys
+    value_id: int
+    value_text: str
+    key_id: int | None
+    key_text: str
+    types: Mapping[str, str]
+    keys: Sequence[str]
 
 
 def schema_pairs(batch: DataFrame, registry: DataFrame) -> list[SchemaPair]:
     """The pairs of schema ids in a batch with their texts; there are as many as schema versions."""
-    ids = batch.select("value_schema_id", "key_schema_id").filter("value_schema_id IS NOT NULL").distinct().collect()
-    wanted = sorted({i for row in ids for i in row if i is not None})
-    used = registry.filter(F.col("schema_id").isin(wanted)).select("schema_id", "schema_str").distinct()
-    texts = {row.schema_id: row.schema_str for row in used.collect()}
-    missing = [i for i in wanted if i not in texts]
-    if missing:
-        raise LookupError(f"no schema is registered under id {missing}")
-    types: dict[int, dict[str, str]] = {}
-    for row in column_types(used).orderBy("position").collect():
-        types.setdefault(row.schema_id, {})[row.column_name] = row.logical_type
-    keys: dict[int, list[str]] = {}
-    for row in key_columns(used).orderBy("position").collect():
-        keys.setdefault(row.schema_id, []).append(row.column_name)
+    pairs = batch.select("value_schema_id", "key_schema_id").filter("value_schema_id IS NOT NULL").distinct().collect()
+    known = {
+        row.schema_id: row
+        for row in _registered(registry, {i for pair in pairs for i in pair})
+        .withColumn("doc", F.try_parse_json("schema_str"))
+        .select("schema_id", "schema_str", F.expr(_COLUMNS).alias("columns"), F.expr(_KEY_NAMES).alias("keys"))
+        .collect()
+    }
+    _require(known, {i for pair in pairs for i in pair})
     return [
-        SchemaPair(v, texts[v], k, texts.get(k, ""), types.get(v, {}), keys.get(k, []))
-        for v, k in sorted(ids, key=lambda r: (r[0], -1 if r[1] is None else r[1]))
+        SchemaPair(
+            value_id,
+            known[value_id].schema_str,
+            key_id,
+            known[key_id].schema_str if key_id is not None else "",
+            {c.column_name: c.logical_type for c in known[value_id].columns or ()},
+            (known[key_id]["keys"] or []) if key_id is not None else [],
+        )
+        for value_id, key_id in sorted(pairs, key=lambda p: (p[0], -1 if p[1] is None else p[1]))
     ]
 
 
-def value_schemas(batch: DataFrame, registry: DataFrame) -> dict[int, str]:
-    """Texts of the value schemas in a batch."""
-    wanted = [r[0] for r in batch.select("value_schema_id").distinct().filter("value_schema_id IS NOT NULL").collect()]
-    texts = {r.schema_id: r.schema_str for r in registry.filter(F.col("schema_id").isin(wanted)).collect()}
-    missing = [i for i in wanted if i not in texts]
+def _registered(registry: DataFrame, ids: set[int | None]) -> DataFrame:
+    return registry.filter(F.col("schema_id").isin([i for i in ids if i is not None]))
+
+
+def _require(known: Mapping[int, object], ids: set[int | None]) -> None:
+    missing = sorted(i for i in ids if i is not None and i not in known)
     if missing:
         raise LookupError(f"no schema is registered under id {missing}")
+
+
+def value_schemas(batch: DataFrame, registry: DataFrame) -> dict[int, str]:
+    """Texts of the value schemas in a batch."""
+    ids = {r[0] for r in batch.select("value_schema_id").distinct().filter("value_schema_id IS NOT NULL").collect()}
+    texts = {r.schema_id: r.schema_str for r in _registered(registry, ids).collect()}
+    _require(texts, ids)
     return dict(sorted(texts.items()))
 
 

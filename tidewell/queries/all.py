@@ -1,6 +1,6 @@
 """Every registered query."""
 
-from tidewell.queries import cdc, decoding, loads  # noqa: F401 - registers queries
+from tidewell.queries import cdc, decoding, health, ledgers, loads, metadata, streams, upkeep  # noqa: F401 - registers queries
 from tidewell.queries.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

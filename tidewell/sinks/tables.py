@@ -90,8 +90,9 @@ def create_or_replace(spark: SparkSession, store: BronzeStore, schema: str, tabl
     else:
         df.write.parquet(folder)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    fields = df.schema.add(BUCKET_COLUMN, "int") if keyed else df.schema
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields.fields)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    if keyed:
+        columns += f", {BUCKET_COLUMN} INT"
     layout = f"PARTITIONED BY ({BUCKET_COLUMN})" if keyed else ""
     spark.sql(
         f"CREATE TABLE {name} ({columns}) USING parquet {layout} "
