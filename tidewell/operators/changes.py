@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.functions.names import KEY_COLUMN
+from tidewell.session import staged
 
 OP = "__op"
 OFFSET = "__offset"
@@ -55,7 +56,12 @@ def apply_newest(target: DataFrame, newest: DataFrame, key: str = KEY_COLUMN, op
 def apply_changes(
     target: DataFrame, changes: DataFrame, key: str = KEY_COLUMN, op: str = OP, offset: str = OFFSET
 ) -> DataFrame:
-    return apply_newest(target, newest_changes(changes, key, offset), key, op)
+    """The target after a set of changes.
+
+    The newest changes are staged, because both sides of the union need them and the change log
+    should be read and shuffled once.
+    """
+    return apply_newest(target, staged(newest_changes(changes, key, offset), "changes"), key, op)
 
 
 def upsert_rows(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:

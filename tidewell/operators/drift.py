@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from tidewell.functions.names import KEY_COLUMN, META_COLUMNS, bronze_schema_of
 from tidewell.functions.source_types import expected_type, type_class
+from tidewell.session import staged
 
 BRONZE = ("bronze_schema", "bronze_table")
-REPORT = (*BRONZE, "check", "column_name", "source_value", "target_value")
 
 TARGET_COLUMNS_DDL = """
     bronze_schema STRING, bronze_table STRING, position INT, column_name STRING,
@@ -28,10 +28,6 @@ def keyed_by_bronze(rows: DataFrame) -> DataFrame:
     ).drop("table_schema", "table_name")
 
 
-def without_meta_columns(target: DataFrame) -> DataFrame:
-    return target.filter(~F.col("column_name").isin(*META_COLUMNS))
-
-
 def catalog_columns(spark: SparkSession, tables: list[str]) -> DataFrame:
     """Column rows of catalog tables; a table that is not there has none."""
     rows = []
@@ -48,67 +44,44 @@ def catalog_columns(spark: SparkSession, tables: list[str]) -> DataFrame:
 
 
 def matched_columns(source: DataFrame, target: DataFrame) -> DataFrame:
-    """Columns of both sides side by side (struct ``s`` and struct ``t``), with NULL for a missing one."""
+    """Columns of both sides side by side, with NULL for a missing one.
+
+    ``s`` is the source column, ``t`` the target column unless loading added it, and ``any_t`` the
+    target column in any case.
+    """
     left = source.select(*BRONZE, F.lower("column_name").alias("name"), F.struct(*source.columns).alias("s"))
-    data = without_meta_columns(target)
-    right = data.select(*BRONZE, F.lower("column_name").alias("name"), F.struct(*data.columns).alias("t"))
-    return left.join(right, [*BRONZE, "name"], "full_outer")
+    right = target.select(*BRONZE, F.lower("column_name").alias("name"), F.struct(*target.columns).alias("any_t"))
+    added = F.col("any_t.column_name").isin(*META_COLUMNS)
+    return left.join(right, [*BRONZE, "name"], "full_outer").withColumn("t", F.when(~added, F.col("any_t")))
 
 
-def column_counts(matched: DataFrame) -> DataFrame:
-    """Tables whose sides differ in their number of columns."""
-    counts = matched.groupBy(*BRONZE).agg(F.count("s").alias("source"), F.count("t").alias("target"))
-    # A table without any target column has no target; there is nothing to compare it with.
-    return _report(counts.filter("source <> target AND target > 0"), "column_count", F.lit(None), "source", "target")
+def unreflected_columns(matched: DataFrame) -> DataFrame:
+    """Source columns that the target lacks."""
+    return _column_issues(matched, [_unreflected()])
 
 
-def unreflected_columns(source: DataFrame, target: DataFrame) -> DataFrame:
-    """Source columns that the target lacks."""
-    names = target.select(*BRONZE, F.lower("column_name").alias("name"))
-    missing = source.withColumn("name", F.lower("column_name")).join(names, [*BRONZE, "name"], "left_anti")
-    return _report(missing, "unreflected", F.col("column_name"), "column_type", None)
+def type_differences(matched: DataFrame, dialect: str) -> DataFrame:
+    """``type_class`` is a different type; ``type_parameters`` the same type with another precision or scale."""
+    return _column_issues(matched, _type_issues(dialect))
 
 
-def column_order(matched: DataFrame) -> DataFrame:
-    """Tables whose common columns come in a different order.
+def nullable_differences(matched: DataFrame) -> DataFrame:
+    return _column_issues(matched, [_nullable()])
 
-    The window holds the columns of one table, which the databases limit to a few thousand.
-    """
-    both = matched.filter("s IS NOT NULL AND t IS NOT NULL")
-    table = Window.partitionBy(*BRONZE)
-    ranks = both.select(
-        *BRONZE,
-        F.row_number().over(table.orderBy("s.position")).alias("source_rank"),
-        F.row_number().over(table.orderBy("t.position")).alias("target_rank"),
-    )
-    moved = ranks.groupBy(*BRONZE).agg(F.count_if(F.col("source_rank") != F.col("target_rank")).alias("moved"))
-    return _report(moved.filter("moved > 0"), "column_order", F.lit(None), None, None)
+
+def column_comment_differences(matched: DataFrame) -> DataFrame:
+    """Source comments that the target column does not have; empty source comments are ignored."""
+    return _column_issues(matched, [_comment()])
 
 
 def column_differences(matched: DataFrame, dialect: str) -> DataFrame:
-    """Type and nullability differences of the common columns, from one pass over them.
+    """All checks of single columns, in one pass."""
+    return _column_issues(matched, [_unreflected(), *_type_issues(dialect), _nullable(), _comment()])
 
-    ``type_class`` is a different type; ``type_parameters`` the same type with another precision
-    or scale.
-    """
-    both = matched.filter("s IS NOT NULL AND t IS NOT NULL").withColumn(
-        "expected", expected_type(F.col("s.column_type"), dialect)
-    )
-    actual = F.col("t.data_type")
-    same_class = type_class(F.col("expected")) == type_class(actual)
-    issues = F.array_compact(
-        F.array(
-            _issue(~same_class, "type_class", F.col("expected"), actual),
-            _issue(same_class & (F.col("expected") != actual), "type_parameters", F.col("expected"), actual),
-            _issue(
-                F.col("s.nullable") != F.col("t.nullable"),
-                "nullable",
-                F.col("s.nullable").cast("string"),
-                F.col("t.nullable").cast("string"),
-            ),
-        )
-    )
-    return both.select(*BRONZE, F.col("s.column_name").alias("column_name"), F.explode(issues).alias("issue")).select(
+
+def _column_issues(matched: DataFrame, issues: list[Column]) -> DataFrame:
+    found = F.explode(F.array_compact(F.array(*issues)))
+    return matched.select(*BRONZE, F.col("s.column_name").alias("column_name"), found.alias("issue")).select(
         *BRONZE, F.col("issue.check").alias("check"), "column_name", "issue.source_value", "issue.target_value"
     )
 
@@ -116,31 +89,62 @@ def column_differences(matched: DataFrame, dialect: str) -> DataFrame:
 def _issue(condition: Column, check: str, source: Column, target: Column) -> Column:
     return F.when(
         condition,
-        F.struct(F.lit(check).alias("check"), source.alias("source_value"), target.alias("target_value")),
+        F.struct(
+            F.lit(check).alias("check"),
+            source.cast("string").alias("source_value"),
+            target.cast("string").alias("target_value"),
+        ),
     )
 
 
-def nullable_differences(matched: DataFrame) -> DataFrame:
-    both = matched.filter("s IS NOT NULL AND t IS NOT NULL AND s.nullable <> t.nullable")
-    flat = both.select(
-        *BRONZE, F.col("s.column_name").alias("column_name"), F.col("s.nullable").alias("a"), F.col("t.nullable").alias("b")
+def _unreflected() -> Column:
+    missing = F.col("s").isNotNull() & F.col("t").isNull()
+    return _issue(missing, "unreflected", F.col("s.column_type"), F.lit(None))
+
+
+def _type_issues(dialect: str) -> list[Column]:
+    expected, actual = expected_type(F.col("s.column_type"), dialect), F.col("t.data_type")
+    same_class = type_class(expected) == type_class(actual)
+    return [
+        _issue(~same_class, "type_class", expected, actual),
+        _issue(same_class & (expected != actual), "type_parameters", expected, actual),
+    ]
+
+
+def _nullable() -> Column:
+    source, target = F.col("s.nullable"), F.col("t.nullable")
+    return _issue(source != target, "nullable", source, target)
+
+
+def _comment() -> Column:
+    """Columns that loading added count here: a source may have columns of those names."""
+    source = F.col("s.column_comment")
+    target = F.when(F.col("any_t").isNotNull(), F.coalesce("any_t.column_comment", F.lit("")))
+    return _issue((source != "") & (source != target), "column_comment", source, target)
+
+
+def column_counts(matched: DataFrame) -> DataFrame:
+    """Tables whose sides differ in their number of columns; a table without a target is not compared."""
+    counts = matched.groupBy(*BRONZE).agg(
+        F.count("s").alias("source"), F.count("t").alias("target"), F.count("any_t").alias("any_target")
     )
-    return _report(flat, "nullable", F.col("column_name"), "a", "b")
+    return _report(counts.filter("source <> target AND any_target > 0"), "column_count", "source", "target")
 
 
-def column_comment_differences(source: DataFrame, target: DataFrame) -> DataFrame:
-    """Source comments that the target column does not have; empty source comments are ignored.
+def column_order(matched: DataFrame) -> DataFrame:
+    """Tables whose common columns come in a different order.
 
-    Meta columns count here, as a source may well have columns of those names.
+    The window holds the columns of one table, which the databases limit to a few thousand.
     """
-    left = source.filter("column_comment <> ''").select(
-        *BRONZE, F.lower("column_name").alias("name"), "column_name", F.col("column_comment").alias("source_comment")
-    )
-    right = target.select(
-        *BRONZE, F.lower("column_name").alias("name"), F.coalesce("column_comment", F.lit("")).alias("target_comment")
+    both = matched.filter("s IS NOT NULL AND t IS NOT NULL")
+    of_table = Window.partitionBy(*BRONZE)
+    ranks = both.select(
+        *BRONZE,
+        F.row_number().over(of_table.orderBy("s.position")).alias("source_rank"),
+        F.row_number().over(of_table.orderBy("t.position")).alias("target_rank"),
     )
-    changed = left.join(right, [*BRONZE, "name"]).filter("source_comment <> target_comment")
-    return _report(changed, "column_comment", F.col("column_name"), "source_comment", "target_comment")
+    moved = ranks.groupBy(*BRONZE).agg(F.bool_or(F.col("source_rank") != F.col("target_rank")).alias("moved"))
+    return _report(moved.filter("moved"), "column_order")
 
 
 def table_comment_differences(source: DataFrame, target: DataFrame) -> DataFrame:
@@ -148,24 +152,29 @@ def table_comment_differences(source: DataFrame, target: DataFrame) -> DataFrame
     left = source.filter("table_comment <> ''").select(*BRONZE, F.col("table_comment").alias("source_comment"))
     right = target.select(*BRONZE, F.coalesce("table_comment", F.lit("")).alias("target_comment"))
     changed = left.join(right, list(BRONZE)).filter("source_comment <> target_comment")
-    return _report(changed, "table_comment", F.lit(None), "source_comment", "target_comment")
+    return _report(changed, "table_comment", "source_comment", "target_comment")
 
 
-def primary_key_check(primary_keys: DataFrame, target: DataFrame) -> DataFrame:
+def primary_key_check(primary_keys: DataFrame, matched: DataFrame) -> DataFrame:
     """Per bronze table: does the source have a primary key, does the target have the key hash, do they agree."""
-    hashed = target.groupBy(*BRONZE).agg(F.bool_or(F.col("column_name") == KEY_COLUMN).alias("has_key_hash"))
-    keyed = primary_keys.select(*BRONZE).distinct().withColumn("has_source_key", F.lit(True))
+    hashed = (
+        matched.filter("any_t IS NOT NULL")
+        .groupBy(*BRONZE)
+        .agg(F.bool_or(F.col("any_t.column_name") == KEY_COLUMN).alias("has_key_hash"))
+    )
+    keyed = primary_keys.select(*BRONZE).distinct().withColumn("keyed", F.lit(True))
+    has_source_key = F.coalesce("keyed", F.lit(False))
     return hashed.join(keyed, list(BRONZE), "left").select(
         *BRONZE,
-        F.coalesce("has_source_key", F.lit(False)).alias("has_source_key"),
+        has_source_key.alias("has_source_key"),
         "has_key_hash",
-        (F.coalesce("has_source_key", F.lit(False)) == F.col("has_key_hash")).alias("passed"),
+        (has_source_key == F.col("has_key_hash")).alias("passed"),
     )
 
 
-def primary_key_differences(primary_keys: DataFrame, target: DataFrame) -> DataFrame:
-    failed = primary_key_check(primary_keys, target).filter("NOT passed")
-    return _report(failed, "primary_key", F.lit(None), "has_source_key", "has_key_hash")
+def primary_key_differences(primary_keys: DataFrame, matched: DataFrame) -> DataFrame:
+    failed = primary_key_check(primary_keys, matched).filter("NOT passed")
+    return _report(failed, "primary_key", "has_source_key", "has_key_hash")
 
 
 def schema_report(
@@ -176,15 +185,13 @@ def schema_report(
     target_tables: DataFrame,
     dialect: str,
 ) -> DataFrame:
-    """All checks of all tables in one report."""
-    matched = matched_columns(source, target)
+    """All checks of all tables in one report; the matched columns are staged, so both sides are read once."""
+    matched = staged(matched_columns(source, target), "matched")
     parts = [
         column_counts(matched),
-        unreflected_columns(source, target),
         column_order(matched),
         column_differences(matched, dialect),
-        column_comment_differences(source, target),
-        primary_key_differences(primary_keys, target),
+        primary_key_differences(primary_keys, matched),
         table_comment_differences(source_tables, target_tables),
     ]
     report = parts[0]
@@ -193,14 +200,16 @@ def schema_report(
     return report
 
 
-def _report(rows: DataFrame, check: str, column: Column, source: str | None, target: str | None) -> DataFrame:
+def _report(rows: DataFrame, check: str, source: str | None = None, target: str | None = None) -> DataFrame:
+    """Report rows about whole tables."""
+
     def text(name: str | None) -> Column:
         return (F.lit(None) if name is None else F.col(name)).cast("string")
 
     return rows.select(
         *BRONZE,
         F.lit(check).alias("check"),
-        column.cast("string").alias("column_name"),
+        text(None).alias("column_name"),
         text(source).alias("source_value"),
         text(target).alias("target_value"),
     )

@@ -86,12 +86,7 @@ def column_comments_mysql(columns: DataFrame) -> DataFrame:
 
 def column_comments_sqlserver(columns: DataFrame, properties: DataFrame) -> DataFrame:
     """Descriptions of columns; a column without one has an empty comment."""
-    described = _descriptions(properties).filter("minor_id <> 0")
-    return columns.join(
-        described.select(F.col("major_id").alias("object_id"), F.col("minor_id").alias("column_id"), "value"),
-        ["object_id", "column_id"],
-        "left",
-    ).select(*TABLE, "column_name", F.coalesce("value", F.lit("")).alias("column_comment"))
+    return column_comments_mysql(with_descriptions(columns, properties))
 
 
 def table_comments_mysql(tables: DataFrame) -> DataFrame:
@@ -114,3 +109,27 @@ def nullability(columns: DataFrame) -> DataFrame:
     return columns.select(*TABLE, "column_name", (F.col("is_nullable") == "YES").alias("nullable"))
 
 
+
+
+def described_columns(columns: DataFrame) -> DataFrame:
+    """Position, type, nullability and comment of each column, as the drift checks take them."""
+    return columns.select(
+        *TABLE,
+        F.col("ordinal_position").alias("position"),
+        "column_name",
+        "column_type",
+        (F.col("is_nullable") == "YES").alias("nullable"),
+        F.coalesce("column_comment", F.lit("")).alias("column_comment"),
+    )
+
+
+def with_descriptions(columns: DataFrame, properties: DataFrame) -> DataFrame:
+    """Columns with their description as ``column_comment``, NULL where they have none."""
+    described = _descriptions(properties).filter("minor_id <> 0")
+    return columns.drop("column_comment").join(
+        described.select(
+            F.col("major_id").alias("object_id"), F.col("minor_id").alias("column_id"), F.col("value").alias("column_comment")
+        ),
+        ["object_id", "column_id"],
+        "left",
+    )

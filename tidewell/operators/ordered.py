@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewell.session import shared_folder
+from tidewell.session import staged
 
 CHUNK = "__chunk"
 
@@ -23,14 +23,12 @@ def with_previous(
     it. At most one group crosses any chunk border, so that hand-over table has no more rows than
     there are chunks and is safe to broadcast. ``order`` has to be a total order within a group.
 
-    Chunk numbers come from sampled range borders; the checkpoint fixes them, so that a lost
-    executor cannot change them half way.
+    Chunk numbers come from sampled range borders, so the rows are staged with them: otherwise a
+    lost executor could change the borders half way.
     """
-    spark = df.sparkSession
-    shared_folder(spark)
-    chunks = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (
-        df.repartitionByRange(chunks, *keys, *order).withColumn(CHUNK, F.spark_partition_id()).checkpoint()
+    chunks = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = staged(
+        df.repartitionByRange(chunks, *keys, *order).withColumn(CHUNK, F.spark_partition_id()), "ordered"
     )
     inside = Window.partitionBy(*keys, CHUNK).orderBy(*order)
     crossing = Window.partitionBy(*keys).orderBy(CHUNK)

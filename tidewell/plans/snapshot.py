@@ -42,15 +42,13 @@ def with_key(df: DataFrame, primary_key: Sequence[str]) -> DataFrame:
     return df.withColumn(KEY_COLUMN, row_key(df, primary_key)) if primary_key else df
 
 
-def read_source_table(spark: SparkSession, source: JdbcSource, table: str, partitions: int) -> tuple[DataFrame, list[str]]:
-    """A source table with its primary key, read in parallel where it has a column for that."""
-    metadata = SourceMetadata(spark, source, [table])
-    name = parse_source_table(table, source.dialect)
-    database = name.schema
+def read_source_table(spark: SparkSession, metadata: SourceMetadata, table: str, partitions: int) -> DataFrame:
+    """A source table, read in parallel where it has a column for that."""
+    source = metadata.source
     # A SQL Server connection is made to one database, and names a table within it.
     within = table if source.dialect == MYSQL else table.split(".", 1)[1]
-    df = source.scan(spark, within, metadata.partition_key_of(table), partitions, database)
-    return df, metadata.primary_key_of(table)
+    database = parse_source_table(table, source.dialect).schema
+    return source.scan(spark, within, metadata.partition_key_of(table), partitions, database)
 
 
 def load_table(
@@ -62,16 +60,18 @@ def load_table(
     now: dt.datetime | None = None,
 ) -> None:
     """Database table -> bronze table."""
-    df, primary_key = read_source_table(spark, source, table, partitions)
+    metadata = SourceMetadata(spark, source, [table])
+    rows = bronze_rows(read_source_table(spark, metadata, table, partitions), metadata.primary_key_of(table), now)
     name = parse_source_table(table, source.dialect)
-    create_or_replace(spark, store, name.bronze_schema, name.bronze_table, bronze_rows(df, primary_key, now))
+    size = None if store.row_level or store.buckets else metadata.size_of(table)
+    create_or_replace(spark, store, name.bronze_schema, name.bronze_table, rows, size)
 
 
 def stage_table(
     spark: SparkSession, source: JdbcSource, base: str, table: str, partitions: int = 1, now: dt.datetime | None = None
 ) -> str:
     """Database table -> Parquet folder."""
-    df, _ = read_source_table(spark, source, table, partitions)
+    df = read_source_table(spark, SourceMetadata(spark, source, [table]), table, partitions)
     path = parse_source_table(table, source.dialect).parquet_path(base)
     overwrite_parquet(staged_rows(df, now), path)
     return path

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidewell.functions.names import parse_source_table
 from tidewell.operators import drift
+from tidewell.session import staged
 from tidewell.sinks.tables import BUCKET_COLUMN, BronzeStore, set_column_comment, set_table_comment, table_comment
 from tidewell.sources.jdbc import JdbcSource
 from tidewell.sources.metadata import SourceMetadata
@@ -39,7 +40,7 @@ def validate_tables(
     )
     if sync:
         # The report is written down first: comments change what it would find.
-        report = report.checkpoint()
+        report = staged(report, "report")
         sync_comments(spark, store, report)
     return report
 

@@ -354,7 +354,7 @@ def column_count_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("column_drift", UNREFLECTED_SQL)
 def column_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drift.unreflected_columns(_source(spark, sf_dir), _target(spark, sf_dir))
+    return drift.unreflected_columns(_matched(spark, sf_dir))
 
 
 @query("order_drift", ORDER_SQL)
@@ -364,7 +364,7 @@ def order_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("type_drift", TYPE_SQL)
 def type_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drift.column_differences(_matched(spark, sf_dir), MYSQL).filter("check <> 'nullable'")
+    return drift.type_differences(_matched(spark, sf_dir), MYSQL)
 
 
 @query("nullable_drift", NULLABLE_SQL)
@@ -374,13 +374,13 @@ def nullable_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("comment_diff", COMMENT_SQL)
 def comment_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drift.column_comment_differences(_source(spark, sf_dir), _target(spark, sf_dir))
+    return drift.column_comment_differences(_matched(spark, sf_dir))
 
 
 @query("pk_check", PK_CHECK_SQL)
 def pk_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = drift.keyed_by_bronze(derive(spark, sf_dir, KEYS))
-    return drift.primary_key_check(keys, _target(spark, sf_dir))
+    return drift.primary_key_check(keys, _matched(spark, sf_dir))
 
 
 @query("table_comment_diff", TABLE_COMMENT_SQL)

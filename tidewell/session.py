@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 BATCH_OPTIONS = {
     "spark.sql.session.timeZone": "UTC",
@@ -73,3 +73,14 @@ def shared_folder(spark: SparkSession) -> str:
 def new_workspace(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no other run uses."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """The rows of ``df``, written to the shared folder once and read from there.
+
+    For rows that are expensive and used several times: what they come from is read once, a lost
+    executor cannot change them, and Spark knows their exact size when it plans the joins.
+    """
+    folder = new_workspace(df.sparkSession, label)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -10,6 +10,7 @@ and a batch that is applied again gives the same rows.
 from __future__ import annotations
 
 import logging
+import math
 import uuid
 from dataclasses import dataclass
 
@@ -23,6 +24,9 @@ from tidewell.operators.changes import DELETE, OP, apply_newest
 log = logging.getLogger(__name__)
 
 BUCKET_COLUMN = "key_bucket"
+BUCKET_BYTES = 1 << 30
+DEFAULT_BUCKETS = 64
+MAX_BUCKETS = 100_000
 PARQUET = "parquet"
 ICEBERG = "iceberg"
 
@@ -39,13 +43,14 @@ KEYED_PROPERTIES = {
 class BronzeStore:
     """Where bronze tables live and in which format.
 
-    ``buckets`` applies to Parquet tables: choose it so that one bucket stays near a gigabyte.
+    ``buckets`` applies to Parquet tables. If it is not set, a table gets as many as its size in
+    the source asks for.
     """
 
     warehouse: str
     catalog: str | None = None
     provider: str = ICEBERG
-    buckets: int = 64
+    buckets: int | None = None
 
     @property
     def row_level(self) -> bool:
@@ -68,11 +73,25 @@ def data_schema(schema: T.StructType) -> T.StructType:
     return T.StructType([field for field in schema.fields if field.name != BUCKET_COLUMN])
 
 
+def buckets_for(size_bytes: int | None) -> int:
+    """Buckets of about a gigabyte, so that a few changes rewrite little of a large table."""
+    if size_bytes is None:
+        return DEFAULT_BUCKETS
+    return max(1, min(MAX_BUCKETS, math.ceil(size_bytes / BUCKET_BYTES)))
+
+
 def key_bucket(buckets: int) -> Column:
     return F.pmod(F.xxhash64(KEY_COLUMN), F.lit(buckets)).cast("int")
 
 
-def create_or_replace(spark: SparkSession, store: BronzeStore, schema: str, table: str, df: DataFrame) -> None:
+def create_or_replace(
+    spark: SparkSession,
+    store: BronzeStore,
+    schema: str,
+    table: str,
+    df: DataFrame,
+    size_bytes: int | None = None,
+) -> None:
     """Full refresh of a bronze table, keyed if ``df`` has the key hash."""
     create_schema(spark, store, schema)
     name = store.name(schema, table)
@@ -85,8 +104,9 @@ def create_or_replace(spark: SparkSession, store: BronzeStore, schema: str, tabl
         writer.createOrReplace()
         return
     folder = _new_folder(store, schema, table)
+    buckets = store.buckets or buckets_for(size_bytes)
     if keyed:
-        _write_buckets(df.withColumn(BUCKET_COLUMN, key_bucket(store.buckets)), folder)
+        _write_buckets(df.withColumn(BUCKET_COLUMN, key_bucket(buckets)), folder)
     else:
         df.write.parquet(folder)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
@@ -96,7 +116,7 @@ def create_or_replace(spark: SparkSession, store: BronzeStore, schema: str, tabl
     layout = f"PARTITIONED BY ({BUCKET_COLUMN})" if keyed else ""
     spark.sql(
         f"CREATE TABLE {name} ({columns}) USING parquet {layout} "
-        f"TBLPROPERTIES ('buckets' = '{store.buckets}') LOCATION '{folder}'"
+        f"TBLPROPERTIES ('buckets' = '{buckets}') LOCATION '{folder}'"
     )
     if keyed:
         spark.catalog.recoverPartitions(name)

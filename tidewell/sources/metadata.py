@@ -93,17 +93,11 @@ class SourceMetadata:
         return introspect.partition_keys_sqlserver(columns)
 
     def columns(self) -> DataFrame:
-        """Column rows with type, nullability and comment, as the drift checks take them."""
+        """Column rows with type, nullability and comment."""
         columns = self.view("columns")
-        details = introspect.column_list(columns).join(
-            introspect.nullability(columns), [*introspect.TABLE, "column_name"]
-        )
-        return details.join(self.column_comments(), [*introspect.TABLE, "column_name"])
-
-    def column_comments(self) -> DataFrame:
-        if self.source.dialect == MYSQL:
-            return introspect.column_comments_mysql(self.view("columns"))
-        return introspect.column_comments_sqlserver(self.view("columns"), self.view("properties"))
+        if self.source.dialect != MYSQL:
+            columns = introspect.with_descriptions(columns, self.view("properties"))
+        return introspect.described_columns(columns)
 
     def table_comments(self) -> DataFrame:
         if self.source.dialect == MYSQL:
@@ -126,6 +120,11 @@ class SourceMetadata:
         row = self._of(self.partition_keys(), table).first()
         return row.column_name if row else None
 
+    def size_of(self, table: str) -> int | None:
+        """Bytes of one table as far as the source knows them."""
+        row = self._of(self.sizes(), table).first()
+        return None if row is None or row.table_size is None else int(row.table_size * 1024 * 1024)
+
     def _of(self, rows: DataFrame, table: str) -> DataFrame:
         name = parse_source_table(table, self.source.dialect)
         return rows.filter((F.col("table_schema") == name.schema) & (F.col("table_name") == name.table))
