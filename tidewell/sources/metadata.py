@@ -99,6 +99,14 @@ class SourceMetadata:
             columns = introspect.with_descriptions(columns, self.view("properties"))
         return introspect.described_columns(columns)
 
+    def column_comments(self) -> DataFrame:
+        if self.source.dialect == MYSQL:
+            return introspect.column_comments_mysql(self.view("columns"))
+        return introspect.column_comments_sqlserver(self.view("columns"), self.view("properties"))
+
+    def nullability(self) -> DataFrame:
+        return introspect.nullability(self.view("columns"))
+
     def table_comments(self) -> DataFrame:
         if self.source.dialect == MYSQL:
             return introspect.table_comments_mysql(self.view("tables"))
@@ -120,6 +128,11 @@ class SourceMetadata:
         row = self._of(self.partition_keys(), table).first()
         return row.column_name if row else None
 
+    def schema_of(self, table: str) -> dict[str, str]:
+        """Declared column types of one table, in column order."""
+        rows = self._of(introspect.column_list(self.view("columns")), table).orderBy("position").collect()
+        return {row.column_name: row.column_type for row in rows}
+
     def size_of(self, table: str) -> int | None:
         """Bytes of one table as far as the source knows them."""
         row = self._of(self.sizes(), table).first()
