@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,15 +84,27 @@ class SchemaPair:
 
 def schema_pairs(batch: DataFrame, registry: DataFrame) -> list[SchemaPair]:
     """The pairs of schema ids in a batch with their texts; there are as many as schema versions."""
-    pairs = batch.select("value_schema_id", "key_schema_id").filter("value_schema_id IS NOT NULL").distinct().collect()
-    known = {
-        row.schema_id: row
-        for row in _registered(registry, {i for pair in pairs for i in pair})
-        .withColumn("doc", F.try_parse_json("schema_str"))
-        .select("schema_id", "schema_str", F.expr(_COLUMNS).alias("columns"), F.expr(_KEY_NAMES).alias("keys"))
-        .collect()
-    }
-    _require(known, {i for pair in pairs for i in pair})
+    pairs = batch.select("value_schema_id", "key_schema_id").distinct().collect()
+    return resolve_pairs([tuple(pair) for pair in pairs], registry, {})
+
+
+def resolve_pairs(
+    pairs: Iterable[tuple[int | None, int | None]], registry: DataFrame, known: dict[int, Row]
+) -> list[SchemaPair]:
+    """Schemas of (value id, key id) pairs; tombstones, which have no value id, are left out.
+
+    What is registered under an id never changes, so ``known`` keeps it from one batch to the next.
+    """
+    wanted = sorted((p for p in pairs if p[0] is not None), key=lambda p: (p[0], -1 if p[1] is None else p[1]))
+    ids = {i for pair in wanted for i in pair if i is not None}
+    if ids - known.keys():
+        rows = (
+            _registered(registry, ids - known.keys())
+            .withColumn("doc", F.try_parse_json("schema_str"))
+            .select("schema_id", "schema_str", F.expr(_COLUMNS).alias("columns"), F.expr(_KEY_NAMES).alias("key_names"))
+        )
+        known.update({row.schema_id: row for row in rows.collect()})
+    _require(known, ids)
     return [
         SchemaPair(
             value_id,
@@ -100,27 +112,27 @@ def schema_pairs(batch: DataFrame, registry: DataFrame) -> list[SchemaPair]:
             key_id,
             known[key_id].schema_str if key_id is not None else "",
             {c.column_name: c.logical_type for c in known[value_id].columns or ()},
-            (known[key_id]["keys"] or []) if key_id is not None else [],
+            (known[key_id].key_names or []) if key_id is not None else [],
         )
-        for value_id, key_id in sorted(pairs, key=lambda p: (p[0], -1 if p[1] is None else p[1]))
+        for value_id, key_id in wanted
     ]
 
 
-def _registered(registry: DataFrame, ids: set[int | None]) -> DataFrame:
-    return registry.filter(F.col("schema_id").isin([i for i in ids if i is not None]))
+def _registered(registry: DataFrame, ids: set[int]) -> DataFrame:
+    return registry.filter(F.col("schema_id").isin(sorted(ids)))
 
 
-def _require(known: Mapping[int, object], ids: set[int | None]) -> None:
-    missing = sorted(i for i in ids if i is not None and i not in known)
+def _require(known: Mapping[int, object], ids: set[int]) -> None:
+    missing = sorted(i for i in ids if i not in known)
     if missing:
         raise LookupError(f"no schema is registered under id {missing}")
 
 
-def value_schemas(batch: DataFrame, registry: DataFrame) -> dict[int, str]:
-    """Texts of the value schemas in a batch."""
-    ids = {r[0] for r in batch.select("value_schema_id").distinct().filter("value_schema_id IS NOT NULL").collect()}
-    texts = {r.schema_id: r.schema_str for r in _registered(registry, ids).collect()}
-    _require(texts, ids)
+def schema_texts(ids: Iterable[int], registry: DataFrame) -> dict[int, str]:
+    """Texts registered under some ids."""
+    wanted = set(ids)
+    texts = {r.schema_id: r.schema_str for r in _registered(registry, wanted).collect()}
+    _require(texts, wanted)
     return dict(sorted(texts.items()))
 
 

@@ -60,11 +60,18 @@ def _newest(snapshots: DataFrame, count: int) -> DataFrame:
 
 
 def files_of_expired(referenced: DataFrame, expired: DataFrame) -> DataFrame:
-    """Files that only expired snapshots refer to."""
-    gone = referenced.join(expired.select("table_name", "snapshot_id"), ["table_name", "snapshot_id"], "left_semi")
-    alive = referenced.join(expired.select("table_name", "snapshot_id"), ["table_name", "snapshot_id"], "left_anti")
-    return gone.select("table_name", "path", "length").distinct().join(
-        alive.select("table_name", "path").distinct(), ["table_name", "path"], "left_anti"
+    """Files that only expired snapshots refer to.
+
+    One join marks the references of expired snapshots (a snapshot with very many files is a skewed
+    partition that adaptive execution splits), one aggregate with map-side combine looks at each file.
+    """
+    marks = expired.select("table_name", "snapshot_id", F.lit(True).alias("expired"))
+    return (
+        referenced.join(marks, ["table_name", "snapshot_id"], "left")
+        .groupBy("table_name", "path", "length")
+        .agg(F.bool_and(F.col("expired").isNotNull()).alias("unused"))
+        .filter("unused")
+        .drop("unused")
     )
 
 

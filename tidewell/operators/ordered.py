@@ -19,9 +19,10 @@ def with_previous(
 
     A plain window puts a whole group into one task. Here the rows are range partitioned by
     (keys, order), so a large group is cut into consecutive chunks of about equal size. The lag
-    runs within each chunk, and the first row of a chunk takes the last value of the chunk before
-    it. At most one group crosses any chunk border, so that hand-over table has no more rows than
-    there are chunks and is safe to broadcast. ``order`` has to be a total order within a group.
+    runs within each chunk, and the first row of a group in a chunk takes over the value from the
+    last row of the chunk before, if that belongs to the same group. There is one last row per
+    chunk, so what is handed over is small and safe to broadcast, whatever the data. ``order`` has
+    to be a total order within a group.
 
     Chunk numbers come from sampled range borders, so the rows are staged with them: otherwise a
     lost executor could change the borders half way.
@@ -30,22 +31,23 @@ def with_previous(
     ranged = staged(
         df.repartitionByRange(chunks, *keys, *order).withColumn(CHUNK, F.spark_partition_id()), "ordered"
     )
-    inside = Window.partitionBy(*keys, CHUNK).orderBy(*order)
-    crossing = Window.partitionBy(*keys).orderBy(CHUNK)
-    position = F.struct(*order)
+    last_row = F.max_by(F.struct(*keys, value), F.struct(*keys, *order))
+    # A window over all of these rows is a window over at most ``chunks`` rows.
     handed_over = (
-        ranged.groupBy(*keys, CHUNK)
-        .agg(F.max_by(F.struct(value), position).alias("last"))
-        .withColumn("__handed", F.lag("last").over(crossing))
+        ranged.groupBy(CHUNK)
+        .agg(last_row.alias("last"))
+        .select(F.col(CHUNK).alias("__to"), F.lag("last").over(Window.orderBy(CHUNK)).alias("__handed"))
         .filter("__handed IS NOT NULL")
-        .select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col(CHUNK).alias("__c"), "__handed")
     )
-    matches = F.col(CHUNK) == F.col("__c")
-    for i, k in enumerate(keys):
-        matches = matches & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    same_group = F.col(CHUNK) == F.col("__to")
+    for key in keys:
+        same_group = same_group & F.col(key).eqNullSafe(F.col(f"__handed.{key}"))
+    inside = Window.partitionBy(*keys, CHUNK).orderBy(*order)
     return (
         ranged.withColumn("__inside", F.lag(F.struct(value)).over(inside))
-        .join(F.broadcast(handed_over), matches, "left")
-        .withColumn(output, F.coalesce("__inside", "__handed")[value])
+        .join(F.broadcast(handed_over), same_group, "left")
+        .withColumn(
+            output, F.when(F.col("__inside").isNotNull(), F.col(f"__inside.{value}")).otherwise(F.col(f"__handed.{value}"))
+        )
         .select(*df.columns, output)
     )

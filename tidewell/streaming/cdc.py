@@ -5,16 +5,17 @@ from __future__ import annotations
 import logging
 import time
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import types as T
 
 from tidewell.functions.frames import split_frames
 from tidewell.functions.logical_types import DEFAULT_SOURCE_TZ
 from tidewell.functions.names import parse_topic
 from tidewell.operators.changes import newest_changes
-from tidewell.operators.decoding import AVRO, decode_all_changes, schema_pairs
+from tidewell.operators.decoding import AVRO, SchemaPair, decode_all_changes, resolve_pairs
 from tidewell.operators.ledger import batch_stats, ledger_row
 from tidewell.sinks.ledger import append_ledger
 from tidewell.sinks.tables import BronzeStore, data_schema, merge_changes
@@ -31,8 +32,8 @@ EMPTY = "empty"
 class CdcJob:
     """What stays the same over all batches of one topic.
 
-    ``registry`` has the columns ``schema_id`` and ``schema_str``; it is read again for each batch,
-    so a schema registered later is found.
+    ``registry`` has the columns ``schema_id`` and ``schema_str``; it is asked for ids that earlier
+    batches did not have.
     """
 
     topic: str
@@ -41,6 +42,7 @@ class CdcJob:
     registry: DataFrame
     payload_format: str = AVRO
     source_tz: str = DEFAULT_SOURCE_TZ
+    known_schemas: dict[int, Row] = field(default_factory=dict, compare=False, repr=False)
 
 
 @dataclass(frozen=True)
@@ -53,32 +55,30 @@ class BatchResult:
 def apply_batch(batch: DataFrame, batch_id: int, job: CdcJob) -> BatchResult:
     """Decode one batch of split frames, apply it to the bronze table and note it in the ledger.
 
-    The batch is read several times, so it is kept on the executors, on disk where memory is short;
-    a lost block is read again from the source.
+    The batch is read once for its figures and once per schema version, so it is kept on the
+    executors, on disk where memory is short; a lost block is read again from the source.
     """
     spark = batch.sparkSession
     started = time.monotonic()
-    target_name = parse_topic(job.topic)
-    schema, table = target_name.bronze_schema, target_name.bronze_table
+    name = parse_topic(job.topic)
+    schema, table = name.bronze_schema, name.bronze_table
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        stats = batch_stats(batch).first()
-        if stats.event_count == 0:
+        # One row per pair of schema ids: figures of the batch and its schema versions in one pass.
+        parts = batch_stats(batch, "value_schema_id", "key_schema_id").collect()
+        if not parts:
             append_ledger(spark, job.store, ledger_row(spark, job.dag_id, schema, table, 0, batch_id=batch_id))
             return BatchResult(EMPTY, 0, 0)
         target = table_or_none(spark, job.store.name(schema, table))
-        status = SKIPPED
-        pairs = schema_pairs(batch, job.registry) if target is not None else []
-        if pairs:
-            changes = decode_all_changes(
-                batch, pairs, data_schema(target.schema), job.payload_format, job.source_tz
-            )
-            newest = newest_changes(changes).persist(StorageLevel.MEMORY_AND_DISK)
-            try:
-                merge_changes(spark, job.store, schema, table, newest)
-            finally:
-                newest.unpersist()
+        if target is None:
+            status = SKIPPED
+        else:
+            ids = [(part.value_schema_id, part.key_schema_id) for part in parts]
+            pairs = resolve_pairs(ids, job.registry, job.known_schemas)
+            if pairs:
+                _apply_pairs(batch, pairs, job, schema, table, data_schema(target.schema))
             status = APPLIED
+        events = sum(part.event_count for part in parts)
         append_ledger(
             spark,
             job.store,
@@ -87,19 +87,30 @@ def apply_batch(batch: DataFrame, batch_id: int, job: CdcJob) -> BatchResult:
                 job.dag_id,
                 schema,
                 table,
-                stats.event_count,
-                stats.max_event_ts,
-                stats.min_offset,
-                stats.max_offset,
+                events,
+                max((part.max_event_ts for part in parts if part.max_event_ts), default=None),
+                min((part.min_offset for part in parts if part.min_offset is not None), default=None),
+                max((part.max_offset for part in parts if part.max_offset is not None), default=None),
                 batch_id,
                 time.monotonic() - started,
             ),
         )
-        return BatchResult(status, stats.event_count, stats.tombstones)
+        return BatchResult(status, events, sum(part.tombstones for part in parts))
     finally:
         batch.unpersist()
 
 
+def _apply_pairs(
+    batch: DataFrame, pairs: list[SchemaPair], job: CdcJob, schema: str, table: str, target: T.StructType
+) -> None:
+    changes = decode_all_changes(batch, pairs, target, job.payload_format, job.source_tz)
+    newest = newest_changes(changes).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        merge_changes(batch.sparkSession, job.store, schema, table, newest)
+    finally:
+        newest.unpersist()
+
+
 def run_topic(
     spark: SparkSession,
     job: CdcJob,
