@@ -63,9 +63,9 @@ def test_types_as_column_and_on_driver(spark, dialect):
 
 
 def test_source_names():
-    table = parse_source_table("store.TB_UPPER", "mysql")
-    assert table.bronze_name("lake") == "lake.store_bronze.tb_upper"
-    assert table.parquet_path("/raw/") == "/raw/store/TB_UPPER"
+    table = parse_source_table("store.TB_ITEMS", "mysql")
+    assert table.bronze_name("lake") == "lake.store_bronze.tb_items"
+    assert table.parquet_path("/raw/") == "/raw/store/TB_ITEMS"
     assert parse_source_table("Store.dbo.tb", "sqlserver").bronze_name() == "store_bronze.tb"
     assert parse_topic("p.Shop.Orders").bronze_name() == "shop_bronze.orders"
 

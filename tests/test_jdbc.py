@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from tidewell.__main__ import main
 from tidewell.functions.keys import hash_key
 from tidewell.plans.snapshot import load_many, load_staged, load_table, stage_table
 from tidewell.plans.validate import validate_tables
@@ -71,57 +72,57 @@ def register_reader(spark):
 
 
 TABLE = {"schema": "id int, char36 string, extra string", "rows": [(i, f"c{i}   ", None) for i in range(1, 21)]}
-BOUNDS = "SELECT min(`id`) AS lower_bound, max(`id`) AS upper_bound FROM store.TB_UPPER"
+BOUNDS = "SELECT min(`id`) AS lower_bound, max(`id`) AS upper_bound FROM store.TB_ITEMS"
 
 
 def mysql_answers():
     return {
-        "FROM information_schema.COLUMNS WHERE (TABLE_SCHEMA, TABLE_NAME) IN (('store', 'TB_UPPER'))": {
+        "FROM information_schema.COLUMNS WHERE (TABLE_SCHEMA, TABLE_NAME) IN (('store', 'TB_ITEMS'))": {
             "schema": "TABLE_SCHEMA string, TABLE_NAME string, COLUMN_NAME string, ORDINAL_POSITION int, "
             "DATA_TYPE string, COLUMN_TYPE string, EXTRA string, IS_NULLABLE string, COLUMN_COMMENT string",
             "rows": [
-                ("store", "TB_UPPER", "id", 1, "int", "int(11)", "auto_increment", "NO", "기본키"),
-                ("store", "TB_UPPER", "char36", 2, "char", "char(36)", "", "YES", "char"),
-                ("store", "TB_UPPER", "added", 3, "varchar", "varchar(9)", "", "YES", ""),
+                ("store", "TB_ITEMS", "id", 1, "int", "int(11)", "auto_increment", "NO", "상품 번호"),
+                ("store", "TB_ITEMS", "char36", 2, "char", "char(36)", "", "YES", "char"),
+                ("store", "TB_ITEMS", "added", 3, "varchar", "varchar(9)", "", "YES", ""),
             ],
         },
         "FROM information_schema.KEY_COLUMN_USAGE": {
             "schema": "TABLE_SCHEMA string, TABLE_NAME string, CONSTRAINT_NAME string, COLUMN_NAME string, "
             "ORDINAL_POSITION int",
-            "rows": [("store", "TB_UPPER", "PRIMARY", "id", 1), ("store", "TB_UPPER", "uk", "char36", 1)],
+            "rows": [("store", "TB_ITEMS", "PRIMARY", "id", 1), ("store", "TB_ITEMS", "uk", "char36", 1)],
         },
         "FROM information_schema.TABLES": {
             "schema": "TABLE_SCHEMA string, TABLE_NAME string, TABLE_COMMENT string, TABLE_ROWS bigint, "
             "DATA_LENGTH bigint, INDEX_LENGTH bigint",
-            "rows": [("store", "TB_UPPER", "단일키 테이블", 20, 1 << 31, 1 << 30)],
+            "rows": [("store", "TB_ITEMS", "상품 목록", 20, 1 << 31, 1 << 30)],
         },
         BOUNDS: {"schema": "lower_bound int, upper_bound int", "rows": [(1, 20)]},
-        "table store.TB_UPPER": TABLE,
+        "table store.TB_ITEMS": TABLE,
     }
 
 
 def sqlserver_answers():
     return {
-        "INFORMATION_SCHEMA.COLUMNS WHERE ((TABLE_SCHEMA = 'dbo' AND TABLE_NAME = 'tb_lower'))": {
+        "INFORMATION_SCHEMA.COLUMNS WHERE ((TABLE_SCHEMA = 'dbo' AND TABLE_NAME = 'tb_day'))": {
             "schema": "TABLE_SCHEMA string, TABLE_NAME string, COLUMN_NAME string, ORDINAL_POSITION int, "
             "DATA_TYPE string, COLUMN_TYPE string, IS_NULLABLE string, OBJECT_ID int, COLUMN_ID int, IS_IDENTITY int",
             "rows": [
-                ("store", "tb_lower", "made", 1, "date", "date", "YES", 5, 1, 0),
-                ("store", "tb_lower", "id", 2, "int", "int", "NO", 5, 2, 1),
+                ("store", "tb_day", "made", 1, "date", "date", "YES", 5, 1, 0),
+                ("store", "tb_day", "id", 2, "int", "int", "NO", 5, 2, 1),
             ],
         },
         "INFORMATION_SCHEMA.KEY_COLUMN_USAGE": {
             "schema": "TABLE_SCHEMA string, TABLE_NAME string, CONSTRAINT_NAME string, COLUMN_NAME string, "
             "ORDINAL_POSITION int",
-            "rows": [("store", "tb_lower", "pk", "made", 2), ("store", "tb_lower", "pk", "id", 1), ("store", "tb_lower", "uq", "made", 1)],
+            "rows": [("store", "tb_day", "pk", "made", 2), ("store", "tb_day", "pk", "id", 1), ("store", "tb_day", "uq", "made", 1)],
         },
         "INFORMATION_SCHEMA.TABLE_CONSTRAINTS": {
             "schema": "TABLE_SCHEMA string, TABLE_NAME string, CONSTRAINT_NAME string, CONSTRAINT_TYPE string",
-            "rows": [("store", "tb_lower", "pk", "PRIMARY KEY"), ("store", "tb_lower", "uq", "UNIQUE")],
+            "rows": [("store", "tb_day", "pk", "PRIMARY KEY"), ("store", "tb_day", "uq", "UNIQUE")],
         },
         "FROM INFORMATION_SCHEMA.TABLES": {
             "schema": "TABLE_SCHEMA string, TABLE_NAME string, OBJECT_ID int",
-            "rows": [("store", "tb_lower", 5)],
+            "rows": [("store", "tb_day", 5)],
         },
         "FROM sys.indexes": {"schema": "object_id int, index_id int", "rows": [(5, 1), (5, 2)]},
         "FROM sys.partitions": {
@@ -136,11 +137,11 @@ def sqlserver_answers():
             "schema": "major_id int, minor_id int, name string, value string",
             "rows": [(5, 2, "MS_Description", "the key"), (5, 0, "MS_Description", "lower")],
         },
-        "SELECT min([id]) AS lower_bound, max([id]) AS upper_bound FROM dbo.tb_lower": {
+        "SELECT min([id]) AS lower_bound, max([id]) AS upper_bound FROM dbo.tb_day": {
             "schema": "lower_bound int, upper_bound int",
             "rows": [(None, None)],
         },
-        "table dbo.tb_lower": {"schema": "made string, id int", "rows": []},
+        "table dbo.tb_day": {"schema": "made string, id int", "rows": []},
     }
 
 
@@ -184,70 +185,88 @@ def test_broker_options():
 
 
 def test_scan_by_ranges_reads_every_row_once(spark, mysql):
-    df = mysql.scan(spark, "store.TB_UPPER", "id", 4, "store")
+    df = mysql.scan(spark, "store.TB_ITEMS", "id", 4, "store")
     assert df.rdd.getNumPartitions() == 4
     assert sorted(r.id for r in df.collect()) == list(range(1, 21))
-    assert mysql.scan(spark, "store.TB_UPPER", None, 4, "store").rdd.getNumPartitions() == 1
+    assert mysql.scan(spark, "store.TB_ITEMS", None, 4, "store").rdd.getNumPartitions() == 1
 
 
 def test_empty_table_is_read_over_one_connection(spark, folder):
     answers = mysql_answers()
     answers[BOUNDS] = {"schema": "lower_bound int, upper_bound int", "rows": [(None, None)]}
-    answers["table store.TB_UPPER"] = {**TABLE, "rows": []}
-    df = source(spark, folder, "mysql", answers).scan(spark, "store.TB_UPPER", "id", 4, "store")
+    answers["table store.TB_ITEMS"] = {**TABLE, "rows": []}
+    df = source(spark, folder, "mysql", answers).scan(spark, "store.TB_ITEMS", "id", 4, "store")
     assert (df.rdd.getNumPartitions(), df.count()) == (1, 0)
 
 
 def test_mysql_table_to_bronze(spark, mysql, store):
-    load_table(spark, mysql, store, "store.TB_UPPER", partitions=3)
-    bronze = spark.table("store_bronze.tb_upper")
+    load_table(spark, mysql, store, "store.TB_ITEMS", partitions=3)
+    bronze = spark.table("store_bronze.tb_items")
     assert bronze.columns == ["id", "char36", "extra", "last_applied_date", "id_iceberg", "key_bucket"]
     assert bronze.count() == 20
     assert bronze.filter(F.col("id_iceberg") == hash_key([F.col("id")])).filter("char36 = concat('c', id)").count() == 20
     # Three gigabytes according to the source.
-    assert spark.sql("SHOW TBLPROPERTIES store_bronze.tb_upper ('buckets')").first()["value"] == "3"
+    assert spark.sql("SHOW TBLPROPERTIES store_bronze.tb_items ('buckets')").first()["value"] == "3"
 
 
 def test_mysql_table_to_bronze_by_way_of_parquet(spark, mysql, store, folder):
-    path = stage_table(spark, mysql, f"{folder}/raw", "store.TB_UPPER", 2)
-    assert path == f"{folder}/raw/store/TB_UPPER"
+    path = stage_table(spark, mysql, f"{folder}/raw", "store.TB_ITEMS", 2)
+    assert path == f"{folder}/raw/store/TB_ITEMS"
     assert spark.read.parquet(path).columns == ["id", "char36", "extra", "update_ts_dms"]
-    load_staged(spark, f"{folder}/raw", store, "store.TB_UPPER", ["id"])
-    assert spark.table("store_bronze.tb_upper").columns[:5] == ["id", "char36", "extra", "last_applied_date", "id_iceberg"]
+    load_staged(spark, f"{folder}/raw", store, "store.TB_ITEMS", ["id"])
+    assert spark.table("store_bronze.tb_items").columns[:5] == ["id", "char36", "extra", "last_applied_date", "id_iceberg"]
 
 
 def test_sqlserver_metadata_and_an_empty_table(spark, folder, store):
     server = source(spark, folder, "sqlserver", sqlserver_answers())
-    metadata = SourceMetadata(spark, server, ["store.dbo.tb_lower"])
-    assert metadata.primary_key_of("store.dbo.tb_lower") == ["id", "made"]
-    assert metadata.partition_key_of("store.dbo.tb_lower") == "id"
-    assert tuple(metadata.sizes().first()) == ("store", "tb_lower", 7, 2.0)
-    assert metadata.size_of("store.dbo.tb_lower") == 2 * 1024 * 1024
+    metadata = SourceMetadata(spark, server, ["store.dbo.tb_day"])
+    assert metadata.primary_key_of("store.dbo.tb_day") == ["id", "made"]
+    assert metadata.partition_key_of("store.dbo.tb_day") == "id"
+    assert tuple(metadata.sizes().first()) == ("store", "tb_day", 7, 2.0)
+    assert metadata.size_of("store.dbo.tb_day") == 2 * 1024 * 1024
     comments = {r.column_name: r.column_comment for r in metadata.column_comments().collect()}
     assert comments == {"made": "", "id": "the key"}
     assert metadata.table_comments().first().table_comment == "lower"
-    assert metadata.schema_of("store.dbo.tb_lower") == {"made": "date", "id": "int"}
+    assert metadata.schema_of("store.dbo.tb_day") == {"made": "date", "id": "int"}
     assert {r.column_name: r.nullable for r in metadata.nullability().collect()} == {"made": True, "id": False}
-    load_table(spark, server, store, "store.dbo.tb_lower", 3)
-    assert spark.table("store_bronze.tb_lower").count() == 0
+    load_table(spark, server, store, "store.dbo.tb_day", 3)
+    assert spark.table("store_bronze.tb_day").count() == 0
 
 
 def test_validation_reports_and_carries_comments_over(spark, mysql, store):
-    load_table(spark, mysql, store, "store.TB_UPPER")
-    report = validate_tables(spark, mysql, store, ["store.TB_UPPER"])
+    load_table(spark, mysql, store, "store.TB_ITEMS")
+    report = validate_tables(spark, mysql, store, ["store.TB_ITEMS"])
     got = sorted(((r.check, r.column_name, r.source_value, r.target_value) for r in report.collect()), key=str)
     assert got == [
-        ("column_comment", "char36", "char", ""), ("column_comment", "id", "기본키", ""),
-        ("nullable", "id", "false", "true"), ("table_comment", None, "단일키 테이블", ""),
+        ("column_comment", "char36", "char", ""), ("column_comment", "id", "상품 번호", ""),
+        ("nullable", "id", "false", "true"), ("table_comment", None, "상품 목록", ""),
         ("unreflected", "added", "varchar(9)", None),
     ]
-    assert spark.table("store_bronze.tb_upper").schema["id"].metadata["comment"] == "기본키"
-    assert table_comment(spark, "store_bronze.tb_upper") == "단일키 테이블"
-    again = validate_tables(spark, mysql, store, ["store.TB_UPPER"])
+    assert spark.table("store_bronze.tb_items").schema["id"].metadata["comment"] == "상품 번호"
+    assert table_comment(spark, "store_bronze.tb_items") == "상품 목록"
+    again = validate_tables(spark, mysql, store, ["store.TB_ITEMS"])
     assert sorted(r.check for r in again.collect()) == ["nullable", "unreflected"]
 
 
 def test_many_loads_go_on_after_a_failure(spark, mysql, store):
-    names = ["store.TB_UPPER", "store.NO_SUCH"]
+    names = ["store.TB_ITEMS", "store.NO_SUCH"]
     outcomes = load_many(spark, names, lambda name: load_table(spark, mysql, store, name))
-    assert [(o.name, o.status) for o in outcomes] == [("store.TB_UPPER", "done"), ("store.NO_SUCH", "failed")]
+    assert [(o.name, o.status) for o in outcomes] == [("store.TB_ITEMS", "done"), ("store.NO_SUCH", "failed")]
+
+
+def test_jobs_from_the_command_line(spark, folder, mysql):
+    config = {
+        "source": {"dialect": "mysql", "host": "db", "port": 1, "user": "u", "password": "p", "reader": "answers",
+                   "extra": mysql.extra},
+        "store": {"warehouse": f"{folder}/wh", "provider": "parquet", "buckets": 2},
+        "parquet_warehouse": f"{folder}/raw",
+    }
+    path = f"{folder}/config.json"
+    with open(path, "w") as file:
+        json.dump(config, file)
+    for job in ("load", "stage", "load-staged", "validate"):
+        assert main([job, "--config", path, "--table", "store.TB_ITEMS"]) == 0
+    assert spark.table("store_bronze.tb_items").count() == 20
+    assert main(["maintain", "--config", path, "--schemas", "store_bronze", "--retention-days", "1"]) == 0
+    assert main(["maintain-ledger", "--config", path, "--retention-days", "7"]) == 0
+    assert main(["load", "--config", path, "--table", "store.NO_SUCH"]) == 1

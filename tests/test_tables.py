@@ -10,6 +10,7 @@ from tidewell.functions.keys import hash_key
 from tidewell.operators.ledger import ledger_row
 from tidewell.operators.maintenance import list_files
 from tidewell.plans.upkeep import (
+    UnlistedFileError,
     compact_buckets,
     cutoff_text,
     live_files,
@@ -18,7 +19,7 @@ from tidewell.plans.upkeep import (
     procedure_calls,
     unused_files,
 )
-from tidewell.sinks.ledger import append_ledger, ensure_ledger, ledger_name
+from tidewell.sinks.ledger import append_ledger, ensure_ledger, ledger_name, merge_ledger
 from tidewell.sinks.tables import (
     BUCKET_COLUMN,
     PARQUET,
@@ -71,7 +72,7 @@ def test_full_refresh_twice_with_another_schema(spark, store, schema):
 def test_table_without_key_has_no_buckets(spark, store, schema):
     create_or_replace(spark, store, schema, "t", spark.range(5).withColumn("v", F.lit("x")))
     assert spark.table(store.name(schema, "t")).columns == ["id", "v"]
-    assert compact_buckets(spark, store, store.name(schema, "t")) == 0
+    assert compact_buckets(spark, store.name(schema, "t")) == 0
 
 
 def test_table_that_reads_from_itself_is_replaced(spark, store, schema):
@@ -113,7 +114,7 @@ def test_merge_into_an_empty_table(spark, store, schema):
 
 
 def test_buckets_by_size():
-    assert [buckets_for(n) for n in (None, 0, 1 << 30, (1 << 30) + 1, 100 << 40)] == [64, 1, 1, 2, 100_000]
+    assert [buckets_for(n) for n in (None, 0, 1 << 30, (1 << 30) + 1, 100 << 40)] == [64, 1, 1, 2, 4096]
 
 
 def test_compaction_and_unused_files(spark, store, schema):
@@ -125,13 +126,26 @@ def test_compaction_and_unused_files(spark, store, schema):
     before = live_files(spark, name).count()
     assert before >= 8
     done = maintain_tables(spark, store, [schema], 1)
-    assert [tuple(r) for r in done.collect()] == [(name, "compact", "done")]
+    assert [tuple(r) for r in done.collect()] == [(name, "compact", "done"), (name, "remove_orphans", "nothing to do")]
     assert content(spark, name) == rows
     assert live_files(spark, name).count() == 4
     listed = list_files(spark, store.location(schema, "t")).count()
-    assert unused_files(spark, store, name, F.lit("2100-01-01").cast("timestamp")).count() == listed - 4
-    assert unused_files(spark, store, name, F.lit("2000-01-01").cast("timestamp")).count() == 0
-    assert [r.status for r in maintain_tables(spark, store, [schema], 1).collect()] == ["nothing to do"]
+    assert listed > 4
+    assert unused_files(spark, name, F.lit("2100-01-01").cast("timestamp")).count() == listed - 4
+    assert unused_files(spark, name, F.lit("2000-01-01").cast("timestamp")).count() == 0
+    # As seen from two days later, the files that compaction replaced are old.
+    later = dt.datetime.now(dt.UTC) + dt.timedelta(days=2)
+    done = maintain_tables(spark, store, [schema], 1, now=later)
+    assert [r.status for r in done.collect()] == ["nothing to do", "done"]
+    assert list_files(spark, store.location(schema, "t")).count() == 4
+    assert content(spark, name) == rows
+
+
+def test_nothing_is_unused_when_paths_do_not_match(spark, store, schema, folder):
+    create_or_replace(spark, store, schema, "t", keyed(spark, [(i, "a") for i in range(9)]))
+    keyed(spark, [(1, "a")]).write.parquet(f"{folder}/other")
+    with pytest.raises(UnlistedFileError):
+        unused_files(spark, store.name(schema, "t"), F.lit("2100-01-01").cast("timestamp"), f"{folder}/other")
 
 
 def test_compaction_into_several_files(spark, store, schema):
@@ -142,7 +156,7 @@ def test_compaction_into_several_files(spark, store, schema):
         append_rows(spark, name, more.withColumn(BUCKET_COLUMN, key_bucket(4)), PARQUET)
     rows = content(spark, name)
     size = live_files(spark, name).agg(F.sum("length")).first()[0]
-    compact_buckets(spark, store, name, target_bytes=size // 8, min_bytes=size)
+    compact_buckets(spark, name, target_bytes=size // 8, min_bytes=size)
     assert content(spark, name) == rows
     assert 4 < live_files(spark, name).count() <= 16
 
@@ -161,6 +175,9 @@ def test_ledger_is_created_once_appended_and_cleaned(spark, store):
     assert sorted(r.batch_id for r in spark.table(ledger_name(store)).collect()) == [9, 20]
     append_ledger(spark, store, ledger_row(spark, "d", "s", "t", 0, batch_id=21))
     assert spark.table(ledger_name(store)).count() == 3
+    merge_ledger(spark, store, ledger_row(spark, "d", "s", "idle", 5, batch_id=30))
+    merge_ledger(spark, store, ledger_row(spark, "d", "s", "fresh", 6, batch_id=31))
+    assert sorted(r.batch_id for r in spark.table(ledger_name(store)).collect()) == [20, 21, 30, 31]
     spark.sql(f"DROP TABLE {ledger_name(store)}")
 
 
@@ -168,10 +185,10 @@ def test_comments_with_quotes(spark, store, schema):
     create_or_replace(spark, store, schema, "t", keyed(spark, [(1, "a")]))
     name = store.name(schema, "t")
     assert table_comment(spark, name) == ""
-    set_table_comment(spark, name, "it's 'so' \\ 단일키 테이블")
-    set_column_comment(spark, name, "v", "it's \\ 기본키")
-    assert table_comment(spark, name) == "it's 'so' \\ 단일키 테이블"
-    assert spark.table(name).schema["v"].metadata["comment"] == "it's \\ 기본키"
+    set_table_comment(spark, name, "it's 'so' \\ 상품 목록")
+    set_column_comment(spark, name, "v", "it's \\ 상품 번호")
+    assert table_comment(spark, name) == "it's 'so' \\ 상품 목록"
+    assert spark.table(name).schema["v"].metadata["comment"] == "it's \\ 상품 번호"
 
 
 def test_listing_skips_missing_schemas_and_views(spark, store, schema):

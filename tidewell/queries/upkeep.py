@@ -112,7 +112,7 @@ def compact_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = store.name(schema, "orders")
     append_rows(spark, name, rows.filter(~open_orders).withColumn(BUCKET_COLUMN, key_bucket(store.buckets)), PARQUET)
     before = live_files(spark, name).count()
-    rewritten = compact_buckets(spark, store, name)
+    rewritten = compact_buckets(spark, name)
     after = live_files(spark, name).count()
     if rewritten and after >= before:
         raise AssertionError(f"{before} files became {after}")

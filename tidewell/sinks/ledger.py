@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidewell.operators.ledger import LEDGER_DDL, LEDGER_SCHEMA_NAME, LEDGER_TABLE_NAME
-from tidewell.sinks.tables import PARQUET, BronzeStore, append_rows, create_schema
+from tidewell.operators.ledger import LEDGER_DDL, LEDGER_KEYS, LEDGER_SCHEMA_NAME, LEDGER_TABLE_NAME, merge
+from tidewell.sinks.tables import PARQUET, BronzeStore, append_rows, create_schema, repoint_table
 
 # Properties of the ledger table.
 LEDGER_PROPERTIES = {
@@ -36,3 +37,20 @@ def ensure_ledger(spark: SparkSession, store: BronzeStore) -> str:
 def append_ledger(spark: SparkSession, store: BronzeStore, row: DataFrame) -> None:
     """Appending never conflicts with other writers, so every topic's stream may do it."""
     append_rows(spark, ledger_name(store), row, store.provider)
+
+
+def merge_ledger(spark: SparkSession, store: BronzeStore, rows: DataFrame) -> None:
+    """Keep one row per key, for a job that is the only writer.
+
+    ``rows`` has one row per key. Concurrent writers would conflict here; they append.
+    """
+    name = ledger_name(store)
+    if not store.row_level:
+        repoint_table(spark, name, merge(spark.table(name), rows))
+        return
+    same_key = F.lit(True)
+    for key in LEDGER_KEYS:
+        same_key = same_key & (F.col(f"{name}.{key}") == F.col(f"s.{key}"))
+    values = {c: F.col(f"s.{c}") for c in rows.columns}
+    measures = {c: v for c, v in values.items() if c not in LEDGER_KEYS}
+    rows.alias("s").mergeInto(name, same_key).whenMatched().update(measures).whenNotMatched().insert(values).merge()

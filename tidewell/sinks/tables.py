@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import logging
 import math
+import re
 import uuid
 from dataclasses import dataclass
 
@@ -26,7 +27,7 @@ log = logging.getLogger(__name__)
 BUCKET_COLUMN = "key_bucket"
 BUCKET_BYTES = 1 << 30
 DEFAULT_BUCKETS = 64
-MAX_BUCKETS = 100_000
+MAX_BUCKETS = 4096
 PARQUET = "parquet"
 ICEBERG = "iceberg"
 
@@ -74,7 +75,11 @@ def data_schema(schema: T.StructType) -> T.StructType:
 
 
 def buckets_for(size_bytes: int | None) -> int:
-    """Buckets of about a gigabyte, so that a few changes rewrite little of a large table."""
+    """Buckets of about a gigabyte, so that a few changes rewrite little of a large table.
+
+    Every changed bucket is one catalog call after a batch, hence the upper limit; the buckets of a
+    larger table are larger, and are written by several tasks each.
+    """
     if size_bytes is None:
         return DEFAULT_BUCKETS
     return max(1, min(MAX_BUCKETS, math.ceil(size_bytes / BUCKET_BYTES)))
@@ -103,7 +108,7 @@ def create_or_replace(
             writer = writer.tableProperty(key, value)
         writer.createOrReplace()
         return
-    folder = _new_folder(store, schema, table)
+    folder = new_folder(store.location(schema, table))
     buckets = store.buckets or buckets_for(size_bytes)
     if keyed:
         _write_buckets(df.withColumn(BUCKET_COLUMN, key_bucket(buckets)), folder)
@@ -128,7 +133,7 @@ def merge_changes(
     """Apply one row per key: write it, or delete it where the operation says so."""
     name = store.name(schema, table)
     if not store.row_level:
-        _merge_into_buckets(spark, store, schema, table, newest, op)
+        _merge_into_buckets(spark, name, newest, op)
         return
     columns = [f.name for f in spark.table(name).schema.fields]
     values = {c: F.col(f"s.`{c}`") for c in columns}
@@ -146,10 +151,7 @@ def merge_changes(
     )
 
 
-def _merge_into_buckets(
-    spark: SparkSession, store: BronzeStore, schema: str, table: str, newest: DataFrame, op: str
-) -> None:
-    name = store.name(schema, table)
+def _merge_into_buckets(spark: SparkSession, name: str, newest: DataFrame, op: str) -> None:
     buckets = _bucket_count(spark, name)
     placed = newest.filter(F.col(op).isNotNull()).withColumn(BUCKET_COLUMN, key_bucket(buckets))
     # At most one number per bucket of the table.
@@ -157,7 +159,7 @@ def _merge_into_buckets(
     if not changed:
         return
     target = spark.table(name).filter(F.col(BUCKET_COLUMN).isin(changed))
-    folder = _new_folder(store, schema, table)
+    folder = new_folder(table_folder(spark, name))
     _write_buckets(apply_newest(target, placed, KEY_COLUMN, op), folder)
     point_partitions(spark, name, folder, changed)
 
@@ -167,8 +169,15 @@ def _bucket_count(spark: SparkSession, name: str) -> int:
     return int(value["value"])
 
 
-def _new_folder(store: BronzeStore, schema: str, table: str) -> str:
-    return f"{store.location(schema, table)}/v={uuid.uuid4().hex}"
+def new_folder(base: str) -> str:
+    """Where the next version of a table, or of some of its buckets, is written."""
+    return f"{base}/v={uuid.uuid4().hex}"
+
+
+def table_folder(spark: SparkSession, name: str) -> str:
+    """The folder that holds all versions of a Parquet table."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").first()
+    return re.sub(r"/v=[0-9a-f]+/?$", "", described.data_type).rstrip("/")
 
 
 def _write_buckets(df: DataFrame, folder: str) -> None:
@@ -189,6 +198,14 @@ def point_partitions(spark: SparkSession, name: str, folder: str, buckets: list[
     spark.catalog.refreshTable(name)
 
 
+def repoint_table(spark: SparkSession, name: str, rows: DataFrame) -> None:
+    """Replace the rows of an unpartitioned Parquet table: write them elsewhere, then switch over."""
+    folder = new_folder(table_folder(spark, name))
+    rows.select(*spark.table(name).columns).write.parquet(folder)
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+    spark.catalog.refreshTable(name)
+
+
 def append_rows(spark: SparkSession, name: str, rows: DataFrame, provider: str) -> None:
     """Append to a table, matching columns by name."""
     if provider == PARQUET:

@@ -139,4 +139,4 @@ def run_topic(
 
 
 def topic_checkpoint(warehouse: str, topic: str) -> str:
-    return f"{warehouse.rstrip('/')}/checkpoints/kafka_to_iceberg/{topic}"
+    return f"{warehouse.rstrip('/')}/checkpoints/cdc/{topic}"
