@@ -54,19 +54,18 @@ def use_utc(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
+    """The folder all executors can reach: the checkpoint folder of the session.
 
-    Only a local session without the setting gets a folder of its own; on a cluster a
-    machine-local folder would lose data with the machine, so that is refused.
+    Only a local session without one gets a folder of its own; on a cluster a machine-local folder
+    would lose data with the machine, so that is refused.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        folder = tempfile.mkdtemp(prefix="tidewell-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tidewell-"))
+        folder = context.getCheckpointDir()
     return folder.rstrip("/")
 
 
