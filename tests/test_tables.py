@@ -212,3 +212,14 @@ def test_failed_tables_are_named_after_the_others_were_done(spark, store, schema
         create_or_replace(spark, store, schema, table, keyed(spark, [(1, "a")]))
     with pytest.raises(RuntimeError, match=rf"{schema}.a.*{schema}.b"):
         maintain_tables(spark, native, [schema], 1)
+
+
+def test_row_level_formats_get_a_merge_that_resolves(spark, store, schema):
+    """No such format is at hand: Spark analyses the MERGE and then finds that the table cannot do it."""
+    create_or_replace(spark, store, schema, "t", keyed(spark, [(1, "a")]))
+    native = BronzeStore(store.warehouse, catalog="spark_catalog", provider="iceberg")
+    batch = changes(spark, [(1, "b", "u")])
+    with pytest.raises(Exception, match="does not support MERGE INTO TABLE"):
+        merge_changes(spark, native, schema, "t", batch.withColumn(BUCKET_COLUMN, F.lit(0)))
+    with pytest.raises(Exception, match="UNRESOLVED_COLUMN"):
+        merge_changes(spark, native, schema, "t", batch.drop("v"))

@@ -6,6 +6,8 @@ orders do not have, so inserts and deletes of unknown keys occur, and a few have
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +25,8 @@ from tidewell.operators.changes import (
 )
 from tidewell.plans.snapshot import bronze_rows
 from tidewell.queries.registry import RUN_TIME, RUN_TIME_SQL, derive, query, table
+from tidewell.session import new_workspace
+from tidewell.sinks.tables import PARQUET, BronzeStore, create_or_replace, data_schema, merge_changes
 
 CHANGES = """
     SELECT CASE WHEN event_id % 5 = 0 THEN -1 - user_id * 100 - event_id % 20
@@ -116,3 +120,14 @@ def composite_key_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"
     )
     return newest_per_key(lines, ["l_orderkey", "l_linenumber"], order)
+
+
+@query("bronze_merge", applied_sql(NEWEST_SQL))
+def bronze_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same changes applied to a bronze table, which rewrites the buckets they fall into."""
+    store = BronzeStore(new_workspace(spark, "merge"), provider=PARQUET, buckets=8)
+    schema = f"merge_{uuid.uuid4().hex[:12]}_bronze"
+    create_or_replace(spark, store, schema, "orders", bronze_orders(spark, sf_dir))
+    merge_changes(spark, store, schema, "orders", newest_changes(changes(spark, sf_dir)))
+    merged = spark.table(store.name(schema, "orders"))
+    return merged.select(*data_schema(merged.schema).names)

@@ -134,7 +134,7 @@ def decode_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 FRAMES = """
-    SELECT event_id, 100 + user_id % 300 AS key_id, 70000 + event_id % 70000 AS value_id, user_id, event_type, props
+    SELECT event_id, CAST(100 + user_id % 300 AS INT) AS key_id, CAST(70000 + event_id % 70000 AS INT) AS value_id, user_id, event_type, props
     FROM {events}
 """
 
@@ -182,7 +182,7 @@ def distinct_schema_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     "batch_stats",
     """
     SELECT count(*) AS event_count, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS max_event_ts,
-           min(event_id) AS min_offset, max(event_id) AS max_offset, 0 AS tombstones FROM events
+           min(event_id) AS min_offset, max(event_id) AS max_offset, CAST(0 AS BIGINT) AS tombstones FROM events
     """,
 )
 def stats_of_batch(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -111,7 +111,8 @@ def stream_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "stream_archive",
     """
-    SELECT 'srv.shop.' || event_type AS topic, year(ts) AS year, month(ts) AS month, day(ts) AS day,
+    SELECT 'srv.shop.' || event_type AS topic, CAST(year(ts) AS INTEGER) AS year,
+           CAST(month(ts) AS INTEGER) AS month, CAST(day(ts) AS INTEGER) AS day,
            CASE WHEN event_id % 97 = 0 THEN NULL
                 ELSE CASE event_type WHEN 'error' THEN 'd' WHEN 'signup' THEN 'c' ELSE 'u' END END AS op,
            epoch_us(ts) // 1000 AS ts_ms,

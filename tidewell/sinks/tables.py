@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from tidewell.functions.names import KEY_COLUMN
 from tidewell.operators.changes import DELETE, OP, apply_newest
+from tidewell.session import staged
 
 log = logging.getLogger(__name__)
 
@@ -153,7 +154,8 @@ def merge_changes(
 
 def _merge_into_buckets(spark: SparkSession, name: str, newest: DataFrame, op: str) -> None:
     buckets = _bucket_count(spark, name)
-    placed = newest.filter(F.col(op).isNotNull()).withColumn(BUCKET_COLUMN, key_bucket(buckets))
+    # Used for the bucket numbers, the keys to take out and the rows to write.
+    placed = staged(newest.filter(F.col(op).isNotNull()).withColumn(BUCKET_COLUMN, key_bucket(buckets)), "newest")
     # At most one number per bucket of the table.
     changed = sorted(row[0] for row in placed.select(BUCKET_COLUMN).distinct().collect())
     if not changed:

@@ -9,13 +9,12 @@ from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Row, SparkSession
-from pyspark.sql import types as T
 
 from tidewell.functions.frames import split_frames
 from tidewell.functions.logical_types import DEFAULT_SOURCE_TZ
 from tidewell.functions.names import parse_topic
 from tidewell.operators.changes import newest_changes
-from tidewell.operators.decoding import AVRO, SchemaPair, decode_all_changes, resolve_pairs
+from tidewell.operators.decoding import AVRO, decode_all_changes, resolve_pairs
 from tidewell.operators.ledger import batch_stats, ledger_row
 from tidewell.sinks.ledger import append_ledger
 from tidewell.sinks.tables import BronzeStore, data_schema, merge_changes
@@ -76,7 +75,9 @@ def apply_batch(batch: DataFrame, batch_id: int, job: CdcJob) -> BatchResult:
             ids = [(part.value_schema_id, part.key_schema_id) for part in parts]
             pairs = resolve_pairs(ids, job.registry, job.known_schemas)
             if pairs:
-                _apply_pairs(batch, pairs, job, schema, table, data_schema(target.schema))
+                columns = data_schema(target.schema)
+                changes = decode_all_changes(batch, pairs, columns, job.payload_format, job.source_tz)
+                merge_changes(spark, job.store, schema, table, newest_changes(changes))
             status = APPLIED
         events = sum(part.event_count for part in parts)
         append_ledger(
@@ -100,17 +101,6 @@ def apply_batch(batch: DataFrame, batch_id: int, job: CdcJob) -> BatchResult:
         batch.unpersist()
 
 
-def _apply_pairs(
-    batch: DataFrame, pairs: list[SchemaPair], job: CdcJob, schema: str, table: str, target: T.StructType
-) -> None:
-    changes = decode_all_changes(batch, pairs, target, job.payload_format, job.source_tz)
-    newest = newest_changes(changes).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        merge_changes(batch.sparkSession, job.store, schema, table, newest)
-    finally:
-        newest.unpersist()
-
-
 def run_topic(
     spark: SparkSession,
     job: CdcJob,
