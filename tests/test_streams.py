@@ -78,7 +78,7 @@ def job(spark, folder):
         "SELECT 1L AS id, 'one' AS name, TIMESTAMP '2020-01-01 00:00:00' AS at, TIMESTAMP '2020-01-01 00:00:00' AS last_applied_date"
     ).withColumn("id_iceberg", hash_key([F.col("id")]))
     create_or_replace(spark, store, f"sh{run}_bronze", "items", rows)
-    return CdcJob(f"srv.Sh{run}.Items", f"dag{run}", store, registry(spark), JSON)
+    return CdcJob(f"srv.Sh{run}.Items", f"dag{run}", store, registry, JSON)
 
 
 def bronze(spark, job):
@@ -141,6 +141,25 @@ def test_unknown_schema_and_bad_payload_fail_the_batch(spark, job):
     assert content(spark, job) == [(1, "one")]
 
 
+def test_records_without_key_and_schemas_registered_later(spark, job):
+    batch = split_frames(records(spark, job.topic, [(1, 1, "u", "x", 2)]))
+    with pytest.raises(ValueError, match="no key"):
+        apply_batch(batch.withColumn("key_schema_id", F.lit(None).cast("int")), 0, job)
+    asked = []
+
+    def growing(session):
+        asked.append(1)
+        return session.createDataFrame(SCHEMAS[: len(asked) + 1], "schema_id INT, schema_str STRING")
+
+    later = CdcJob(job.topic, job.dag_id, job.store, growing, JSON)
+    apply_batch(batch, 1, later)
+    apply_batch(batch, 2, later)
+    assert len(asked) == 1
+    apply_batch(split_frames(records(spark, job.topic, [(2, 1, "u", "y", 3)])), 3, later)
+    assert len(asked) == 2
+    assert content(spark, job) == [(1, "y")]
+
+
 def test_stream_goes_on_from_its_checkpoint(spark, job, folder):
     source = f"{folder}/records"
     checkpoint = topic_checkpoint(job.store.warehouse, job.topic)
@@ -166,7 +185,7 @@ def test_one_batch_per_file(spark, job, folder):
 def test_archive_keeps_versions_and_days(spark, folder):
     rows = [(1, 1, "c", "a", 2), (2, 2, "c", "b", 3), (3, 3, "d", None, 2), (4, 4, None, None, 2)]
     batch = split_value_frames(records(spark, "srv.s.t", rows))
-    assert archive_batch(batch, 0, f"{folder}/out", registry(spark), JSON) == 4
+    assert archive_batch(batch, 0, f"{folder}/out", registry, JSON) == 4
     got = read_parquet(spark, f"{folder}/out", merge_schema=True)
     assert sorted((r.op, r.topic, r.year, r.month, r.day) for r in got.collect()) == [
         ("c", "srv.s.t", 2023, 11, 14), ("c", "srv.s.t", 2023, 11, 14), ("d", "srv.s.t", 2023, 11, 14),
@@ -179,8 +198,8 @@ def test_archive_replay(spark, folder):
     batch = split_value_frames(records(spark, "srv.s.t", [(1, 1, "c", "a", 2), (2, 2, "c", "b", 3)]))
     for path, safe, want in (("plain", False, 4), ("safe", True, 2)):
         for _ in range(2):
-            archive_batch(batch, 0, f"{folder}/{path}", registry(spark), JSON, replay_safe=safe)
-        archive_batch(batch.limit(0), 1, f"{folder}/{path}", registry(spark), JSON, replay_safe=safe)
+            archive_batch(batch, 0, f"{folder}/{path}", registry, JSON, replay_safe=safe)
+        archive_batch(batch.limit(0), 1, f"{folder}/{path}", registry, JSON, replay_safe=safe)
         assert read_parquet(spark, f"{folder}/{path}").count() == want
 
 
@@ -191,7 +210,7 @@ def test_stop_file_ends_a_running_archive(spark, folder):
     spark.streams.addListener(listener)
     try:
         query = start_archive(
-            spark, record_file_stream(spark, source), f"{folder}/out", f"{folder}/cp", registry(spark), "dag", JSON,
+            spark, record_file_stream(spark, source), f"{folder}/out", f"{folder}/cp", registry, "dag", JSON,
             interval="200 milliseconds",
         )
         deadline = time.time() + 60

@@ -15,6 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidewell.operators.decoding import Registry
 from tidewell.operators.maintenance import MIN_FILE_BYTES, RETAIN_LAST, TARGET_FILE_BYTES
 from tidewell.plans.snapshot import load_many, load_staged, load_table, stage_table
 from tidewell.plans.upkeep import maintain_ledger, maintain_tables
@@ -110,7 +111,7 @@ def _run_cdc(spark: SparkSession, args: argparse.Namespace, config: dict, store:
     stop = stop_path(config["stop_base"], args.dag_id)
     spark.streams.addListener(ProgressListener(spark, stop))
     ensure_ledger(spark, store)
-    schemas = _registry(spark, config)
+    schemas = _registry(config["registry"])
 
     def work(topic: str) -> None:
         job = CdcJob(topic, args.dag_id, store, schemas)
@@ -129,15 +130,20 @@ def _run_archive(spark: SparkSession, args: argparse.Namespace, config: dict, st
         KafkaSource(**config["kafka"]).stream(spark, args.topics),
         args.output_path,
         archive_checkpoint(store.warehouse),
-        _registry(spark, config),
+        _registry(config["registry"]),
         args.dag_id,
     ).awaitTermination()
     clear_stop(spark, stop)
 
 
-def _registry(spark: SparkSession, config: dict) -> DataFrame:
-    place = config["registry"]
-    return spark.read.parquet(place) if "/" in place else spark.table(place)
+def _registry(place: str) -> Registry:
+    def read(spark: SparkSession) -> DataFrame:
+        if "/" in place:
+            return spark.read.parquet(place)
+        spark.catalog.refreshTable(place)
+        return spark.table(place)
+
+    return read
 
 
 def _names(text: str) -> list[str]:

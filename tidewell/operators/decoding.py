@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +19,9 @@ from tidewell.operators.changes import OFFSET, OP, union_versions
 AVRO = "avro"
 JSON = "json"
 
+# Gives the registered schemas, with columns schema_id and schema_str, as they are at the time of the call.
+Registry = Callable[[SparkSession], DataFrame]
+
 _ROW_RECORDS = """
 flatten(transform(
     filter(try_variant_get(doc, '$.fields', 'array<variant>'),
@@ -29,9 +32,10 @@ flatten(transform(
 
 # First member of a union that is not "null"; a type that is no union stands for itself.
 _EFFECTIVE_TYPE = """
-coalesce(get(filter(try_variant_get(f, '$.type', 'array<variant>'),
-                    m -> coalesce(try_variant_get(m, '$', 'string'), '') <> 'null'), 0),
-         try_variant_get(f, '$.type', 'variant'))
+if(try_variant_get(f, '$.type', 'array<variant>') IS NULL,
+   try_variant_get(f, '$.type', 'variant'),
+   get(filter(try_variant_get(f, '$.type', 'array<variant>'),
+              m -> coalesce(try_variant_get(m, '$', 'string'), '') <> 'null'), 0))
 """
 
 _COLUMNS = f"""
@@ -82,24 +86,25 @@ class SchemaPair:
     keys: Sequence[str]
 
 
-def schema_pairs(batch: DataFrame, registry: DataFrame) -> list[SchemaPair]:
+def schema_pairs(batch: DataFrame, registry: Registry) -> list[SchemaPair]:
     """The pairs of schema ids in a batch with their texts; there are as many as schema versions."""
     pairs = batch.select("value_schema_id", "key_schema_id").distinct().collect()
-    return resolve_pairs([tuple(pair) for pair in pairs], registry, {})
+    return resolve_pairs([tuple(pair) for pair in pairs], registry, batch.sparkSession, {})
 
 
 def resolve_pairs(
-    pairs: Iterable[tuple[int | None, int | None]], registry: DataFrame, known: dict[int, Row]
+    pairs: Iterable[tuple[int | None, int | None]], registry: Registry, spark: SparkSession, known: dict[int, Row]
 ) -> list[SchemaPair]:
     """Schemas of (value id, key id) pairs; tombstones, which have no value id, are left out.
 
-    What is registered under an id never changes, so ``known`` keeps it from one batch to the next.
+    What is registered under an id never changes, so ``known`` keeps it from one batch to the next,
+    and the registry is read only for ids that are new.
     """
     wanted = sorted((p for p in pairs if p[0] is not None), key=lambda p: (p[0], -1 if p[1] is None else p[1]))
     ids = {i for pair in wanted for i in pair if i is not None}
     if ids - known.keys():
         rows = (
-            _registered(registry, ids - known.keys())
+            _registered(registry(spark), ids - known.keys())
             .withColumn("doc", F.try_parse_json("schema_str"))
             .select("schema_id", "schema_str", F.expr(_COLUMNS).alias("columns"), F.expr(_KEY_NAMES).alias("key_names"))
         )
@@ -128,10 +133,10 @@ def _require(known: Mapping[int, object], ids: set[int]) -> None:
         raise LookupError(f"no schema is registered under id {missing}")
 
 
-def schema_texts(ids: Iterable[int], registry: DataFrame) -> dict[int, str]:
+def schema_texts(ids: Iterable[int], registry: Registry, spark: SparkSession) -> dict[int, str]:
     """Texts registered under some ids."""
     wanted = set(ids)
-    texts = {r.schema_id: r.schema_str for r in _registered(registry, wanted).collect()}
+    texts = {r.schema_id: r.schema_str for r in _registered(registry(spark), wanted).collect()}
     _require(texts, wanted)
     return dict(sorted(texts.items()))
 
@@ -153,6 +158,8 @@ def decode_changes(
     source_tz: str = DEFAULT_SOURCE_TZ,
 ) -> DataFrame:
     """Records of one schema pair as rows of the target with their operation and offset."""
+    if not pair.keys:
+        raise ValueError(f"records with value schema {pair.value_id} have no key, so no row can be told from another")
     key_parts = [_key_part(name, pair, source_tz) for name in pair.keys]
     decoded = (
         records.filter((F.col("value_schema_id") == pair.value_id) & F.col("key_schema_id").eqNullSafe(pair.key_id))

@@ -129,7 +129,7 @@ def decode_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frames of two schema versions as target rows with their operation and offset."""
     records = split_frames(framed_events(spark, sf_dir))
     target = spark.createDataFrame([], TARGET_DDL).schema
-    rows = decode_all_changes(records, schema_pairs(records, registry(spark)), target, JSON)
+    rows = decode_all_changes(records, schema_pairs(records, registry), target, JSON)
     return rows.select(*target.names, OP, OFFSET)
 
 

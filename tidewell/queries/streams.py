@@ -53,7 +53,7 @@ def _run_cdc(spark: SparkSession, sf_dir: str) -> tuple[BronzeStore, str, str]:
     orders = orders.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp"))
     create_or_replace(spark, store, name.bronze_schema, name.bronze_table, orders)
     ensure_ledger(spark, store)
-    job = CdcJob(topic, f"cdc_{run}", store, registry(spark), JSON)
+    job = CdcJob(topic, f"cdc_{run}", store, registry, JSON)
     for part in deliveries(framed_events(spark, sf_dir, F.lit(topic))):
         deliver(part, f"{folder}/records")
         run_topics(
@@ -134,7 +134,7 @@ def stream_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
             record_file_stream(spark, f"{folder}/records"),
             f"{folder}/out",
             f"{folder}/checkpoint",
-            registry(spark),
+            registry,
             f"archive-{uuid.uuid4().hex[:12]}",
             JSON,
             interval=None,

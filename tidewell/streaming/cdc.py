@@ -14,7 +14,7 @@ from tidewell.functions.frames import split_frames
 from tidewell.functions.logical_types import DEFAULT_SOURCE_TZ
 from tidewell.functions.names import parse_topic
 from tidewell.operators.changes import newest_changes
-from tidewell.operators.decoding import AVRO, decode_all_changes, resolve_pairs
+from tidewell.operators.decoding import AVRO, Registry, decode_all_changes, resolve_pairs
 from tidewell.operators.ledger import batch_stats, ledger_row
 from tidewell.sinks.ledger import append_ledger
 from tidewell.sinks.tables import BronzeStore, data_schema, merge_changes
@@ -31,14 +31,13 @@ EMPTY = "empty"
 class CdcJob:
     """What stays the same over all batches of one topic.
 
-    ``registry`` has the columns ``schema_id`` and ``schema_str``; it is asked for ids that earlier
-    batches did not have.
+    ``registry`` is called when a batch has schema ids that earlier ones did not have.
     """
 
     topic: str
     dag_id: str
     store: BronzeStore
-    registry: DataFrame
+    registry: Registry
     payload_format: str = AVRO
     source_tz: str = DEFAULT_SOURCE_TZ
     known_schemas: dict[int, Row] = field(default_factory=dict, compare=False, repr=False)
@@ -73,7 +72,7 @@ def apply_batch(batch: DataFrame, batch_id: int, job: CdcJob) -> BatchResult:
             status = SKIPPED
         else:
             ids = [(part.value_schema_id, part.key_schema_id) for part in parts]
-            pairs = resolve_pairs(ids, job.registry, job.known_schemas)
+            pairs = resolve_pairs(ids, job.registry, spark, job.known_schemas)
             if pairs:
                 columns = data_schema(target.schema)
                 changes = decode_all_changes(batch, pairs, columns, job.payload_format, job.source_tz)
