@@ -89,7 +89,9 @@ def run(spark: SparkSession, args: argparse.Namespace, config: dict) -> None:
         _run_load(spark, args, config, store, JdbcSource(**config["source"]))
 
 
-def _run_load(spark: SparkSession, args: argparse.Namespace, config: dict, store: BronzeStore, source: JdbcSource) -> None:
+def _run_load(
+    spark: SparkSession, args: argparse.Namespace, config: dict, store: BronzeStore, source: JdbcSource
+) -> None:
     if args.job == "validate":
         validate_tables(spark, source, store, args.table).show(truncate=False)
         return

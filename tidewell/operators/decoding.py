@@ -50,7 +50,9 @@ filter(
     c -> c.column_name IS NOT NULL AND c.logical_type IS NOT NULL)
 """
 
-_KEY_NAMES = "transform(try_variant_get(doc, '$.fields', 'array<variant>'), f -> try_variant_get(f, '$.name', 'string'))"
+_KEY_NAMES = """
+transform(try_variant_get(doc, '$.fields', 'array<variant>'), f -> try_variant_get(f, '$.name', 'string'))
+"""
 
 
 def column_types(registry: DataFrame, id_column: str = "schema_id", text_column: str = "schema_str") -> DataFrame:

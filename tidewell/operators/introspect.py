@@ -50,7 +50,7 @@ def partition_keys_sqlserver(columns: DataFrame) -> DataFrame:
 
 def _first_column(candidates: DataFrame, rank) -> DataFrame:
     first = F.min(F.struct(rank.alias("rank"), "ordinal_position", "column_name"))
-    return candidates.groupBy(*TABLE).agg(first.alias("first")).select(*TABLE, F.col("first.column_name").alias("column_name"))
+    return candidates.groupBy(*TABLE).agg(first.alias("first")).select(*TABLE, "first.column_name")
 
 
 def column_list(columns: DataFrame) -> DataFrame:
@@ -128,7 +128,9 @@ def with_descriptions(columns: DataFrame, properties: DataFrame) -> DataFrame:
     described = _descriptions(properties).filter("minor_id <> 0")
     return columns.drop("column_comment").join(
         described.select(
-            F.col("major_id").alias("object_id"), F.col("minor_id").alias("column_id"), F.col("value").alias("column_comment")
+            F.col("major_id").alias("object_id"),
+            F.col("minor_id").alias("column_id"),
+            F.col("value").alias("column_comment"),
         ),
         ["object_id", "column_id"],
         "left",

@@ -56,7 +56,8 @@ def snapshots_to_expire(snapshots: DataFrame, cutoff: Column, retain_last: int =
 
 def _newest(snapshots: DataFrame, count: int) -> DataFrame:
     newest_first = Window.partitionBy("table_name").orderBy(F.desc("committed_at"), F.desc("snapshot_id"))
-    return snapshots.withColumn("__row", F.row_number().over(newest_first)).filter(F.col("__row") <= count).drop("__row")
+    ranked = snapshots.withColumn("__row", F.row_number().over(newest_first))
+    return ranked.filter(F.col("__row") <= count).drop("__row")
 
 
 def files_of_expired(referenced: DataFrame, expired: DataFrame) -> DataFrame:

@@ -134,7 +134,8 @@ def decode_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 FRAMES = """
-    SELECT event_id, CAST(100 + user_id % 300 AS INT) AS key_id, CAST(70000 + event_id % 70000 AS INT) AS value_id, user_id, event_type, props
+    SELECT event_id, CAST(100 + user_id % 300 AS INT) AS key_id,
+           CAST(70000 + event_id % 70000 AS INT) AS value_id, user_id, event_type, props
     FROM {events}
 """
 

@@ -45,7 +45,8 @@ def monthly_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     "freshness",
     """
     SELECT l_suppkey, newest_load, age_seconds,
-           CASE WHEN age_seconds > 10 * 86400 THEN 'error' WHEN age_seconds > 3 * 86400 THEN 'warn' ELSE 'pass' END AS status
+           CASE WHEN age_seconds > 10 * 86400 THEN 'error' WHEN age_seconds > 3 * 86400 THEN 'warn'
+                ELSE 'pass' END AS status
     FROM (
         SELECT l_suppkey, max(l_shipdate) AS newest_load,
                date_diff('second', max(l_shipdate), TIMESTAMP '2001-06-01 00:00:00') AS age_seconds
@@ -55,4 +56,5 @@ def monthly_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     now = F.lit(dt.datetime(2001, 6, 1)).cast("timestamp_ntz")
-    return health.freshness(table(spark, sf_dir, "lineitem"), ("l_suppkey",), "l_shipdate", now, 3 * 86400, 10 * 86400)
+    loads = table(spark, sf_dir, "lineitem")
+    return health.freshness(loads, ("l_suppkey",), "l_shipdate", now, 3 * 86400, 10 * 86400)

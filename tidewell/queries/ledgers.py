@@ -20,7 +20,10 @@ LEDGER = """
 """
 
 # Times of a user stop early for some, so that whole tables are idle before the cutoff.
-IDLE_LEDGER = f"SELECT * FROM ({LEDGER}) AS l WHERE dag_id <> 'cdc_2' OR processed_at < TIMESTAMP '2024-01-12 00:00:00' OR processed_at IS NULL"
+IDLE_LEDGER = f"""
+    SELECT * FROM ({LEDGER}) AS l
+    WHERE dag_id <> 'cdc_2' OR processed_at < TIMESTAMP '2024-01-12 00:00:00' OR processed_at IS NULL
+"""
 
 
 @query(

@@ -67,7 +67,13 @@ def trim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trim_strings(derive(spark, sf_dir, PADDED_CUSTOMER))
 
 
-@query("trim_texts", "SELECT doc_id, trim(text, ' ') AS text, trim(lang, ' ') AS lang, trim(source, ' ') AS source, n_chars FROM documents")
+@query(
+    "trim_texts",
+    """
+    SELECT doc_id, trim(text, ' ') AS text, trim(lang, ' ') AS lang, trim(source, ' ') AS source, n_chars
+    FROM documents
+    """,
+)
 def trim_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trim_strings(table(spark, sf_dir, "documents"))
 
@@ -187,6 +193,7 @@ def load_many_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     outcomes = outcome_rows(spark, load_many(spark, LOADED, load)).select("table_name", "status")
     written = None
     for name in LOADED:
-        counted = read_parquet(spark, f"{folder}/{name}").groupBy(F.lit(name).alias("table_name")).agg(F.count("*").alias("rows"))
+        loaded = read_parquet(spark, f"{folder}/{name}")
+        counted = loaded.groupBy(F.lit(name).alias("table_name")).agg(F.count("*").alias("rows"))
         written = counted if written is None else written.unionByName(counted)
     return outcomes.join(written, "table_name").select("table_name", "status", "rows")

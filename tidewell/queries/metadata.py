@@ -155,7 +155,8 @@ UNITS = "SELECT l_orderkey AS container_id, l_linenumber AS total_pages FROM {li
     """,
 )
 def table_sizes_sqlserver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return introspect.sizes_sqlserver(*[derive(spark, sf_dir, sql) for sql in (TABLES_SQLSERVER, INDEXES, PARTITIONS, UNITS)])
+    views = [derive(spark, sf_dir, sql) for sql in (TABLES_SQLSERVER, INDEXES, PARTITIONS, UNITS)]
+    return introspect.sizes_sqlserver(*views)
 
 
 PROPERTIES = f"""
@@ -172,7 +173,9 @@ PROPERTIES = f"""
 
 @query(
     "column_comments_mysql",
-    f"SELECT table_schema, table_name, column_name, coalesce(column_comment, '') AS column_comment FROM ({COLUMNS}) AS c",
+    f"""
+    SELECT table_schema, table_name, column_name, coalesce(column_comment, '') AS column_comment FROM ({COLUMNS}) AS c
+    """,
 )
 def column_comments_mysql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return introspect.column_comments_mysql(derive(spark, sf_dir, COLUMNS))
@@ -226,7 +229,8 @@ def nullable_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 # described, and each table has the columns that loading adds (the key hash not everywhere).
 TARGET = f"""
     SELECT lower(table_schema) || '_bronze' AS bronze_schema, lower(table_name) AS bronze_table,
-           CASE WHEN sid % 5 = 0 AND ordinal_position IN (2, 3) THEN 5 - ordinal_position ELSE ordinal_position END AS position,
+           CASE WHEN sid % 5 = 0 AND ordinal_position IN (2, 3) THEN 5 - ordinal_position
+                ELSE ordinal_position END AS position,
            lower(column_name) AS column_name,
            CASE WHEN sid % 7 = 0 AND ordinal_position = 4 THEN 'string'
                 ELSE CASE (sid + ordinal_position) % 6 WHEN 0 THEN 'int' WHEN 1 THEN 'string'
@@ -238,7 +242,8 @@ TARGET = f"""
     FROM ({COLUMN_BASE}) AS c
     WHERE NOT (sid % 3 = 1 AND ordinal_position = 7)
     UNION ALL
-    SELECT DISTINCT lower(table_schema) || '_bronze', lower(table_name), 100, 'last_applied_date', 'timestamp', TRUE, NULL
+    SELECT DISTINCT lower(table_schema) || '_bronze', lower(table_name), 100, 'last_applied_date', 'timestamp', TRUE,
+           NULL
     FROM ({COLUMN_BASE}) AS c
     UNION ALL
     SELECT DISTINCT lower(table_schema) || '_bronze', lower(table_name), 101, 'id_iceberg', 'string', TRUE, NULL
@@ -251,20 +256,32 @@ SOURCE = f"""
     FROM ({COLUMNS}) AS columns_of_source
 """
 
-KEYS = f"SELECT table_schema, table_name, column_name FROM ({KEY_USAGE_MYSQL}) AS k WHERE constraint_name = 'PRIMARY' AND substr(table_schema, 2, 1) <> 'A'"
+KEYS = f"""
+    SELECT table_schema, table_name, column_name FROM ({KEY_USAGE_MYSQL}) AS k
+    WHERE constraint_name = 'PRIMARY' AND substr(table_schema, 2, 1) <> 'A'
+"""
 
-SOURCE_COMMENTS = f"SELECT table_schema, table_name, CASE WHEN object_id % 4 = 0 THEN '' ELSE 'about ' || table_name END AS table_comment FROM ({SOURCE_TABLES}) AS t"
+SOURCE_COMMENTS = f"""
+    SELECT table_schema, table_name,
+           CASE WHEN object_id % 4 = 0 THEN '' ELSE 'about ' || table_name END AS table_comment
+    FROM ({SOURCE_TABLES}) AS t
+"""
 TARGET_COMMENTS = f"""
     SELECT lower(table_schema) || '_bronze' AS bronze_schema, lower(table_name) AS bronze_table,
-           CASE WHEN object_id % 3 = 0 THEN 'about ' || table_name WHEN object_id % 3 = 1 THEN NULL ELSE 'other' END AS table_comment
+           CASE WHEN object_id % 3 = 0 THEN 'about ' || table_name WHEN object_id % 3 = 1 THEN NULL
+                ELSE 'other' END AS table_comment
     FROM ({SOURCE_TABLES}) AS t
 """
 
 S_SQL = f"""
-    SELECT lower(table_schema) || '_bronze' AS bronze_schema, lower(table_name) AS bronze_table, lower(column_name) AS name,
+    SELECT lower(table_schema) || '_bronze' AS bronze_schema, lower(table_name) AS bronze_table,
+           lower(column_name) AS name,
            position, column_name, column_type, nullable, column_comment FROM ({SOURCE}) AS s
 """
-T_SQL = f"SELECT *, lower(column_name) AS name FROM ({TARGET}) AS t WHERE column_name NOT IN ('last_applied_date', 'id_iceberg')"
+T_SQL = f"""
+    SELECT *, lower(column_name) AS name FROM ({TARGET}) AS t
+    WHERE column_name NOT IN ('last_applied_date', 'id_iceberg')
+"""
 BOTH_SQL = f"""
     SELECT s.bronze_schema, s.bronze_table, s.column_name, s.position AS s_position, t.position AS t_position,
            s.nullable AS s_nullable, t.nullable AS t_nullable, t.data_type,
@@ -391,7 +408,9 @@ def table_comment_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "schema_report",
-    " UNION ALL ".join((COUNT_SQL, UNREFLECTED_SQL, ORDER_SQL, TYPE_SQL, NULLABLE_SQL, COMMENT_SQL, PK_SQL, TABLE_COMMENT_SQL)),
+    " UNION ALL ".join(
+        (COUNT_SQL, UNREFLECTED_SQL, ORDER_SQL, TYPE_SQL, NULLABLE_SQL, COMMENT_SQL, PK_SQL, TABLE_COMMENT_SQL)
+    ),
 )
 def schema_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift.schema_report(

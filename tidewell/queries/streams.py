@@ -68,7 +68,8 @@ def _run_cdc(spark: SparkSession, sf_dir: str) -> tuple[BronzeStore, str, str]:
 
 def _delivery(time: str) -> str:
     """Number of the delivery, and so of the batch, that a record comes with."""
-    return "CASE " + " ".join(f"WHEN {time} < TIMESTAMP '{until} 00:00:00' THEN {i}" for i, until in enumerate(DELIVERIES)) + " END"
+    cases = [f"WHEN {time} < TIMESTAMP '{until} 00:00:00' THEN {i}" for i, until in enumerate(DELIVERIES)]
+    return f"CASE {' '.join(cases)} END"
 
 
 # A change without an operation hides older changes of its own batch, but undoes no earlier batch.
