@@ -12,6 +12,7 @@ from tidewell.operators.maintenance import list_files
 from tidewell.plans.upkeep import (
     UnlistedFileError,
     compact_buckets,
+    compact_table,
     cutoff_text,
     live_files,
     maintain_ledger,
@@ -72,7 +73,16 @@ def test_full_refresh_twice_with_another_schema(spark, store, schema):
 def test_table_without_key_has_no_buckets(spark, store, schema):
     create_or_replace(spark, store, schema, "t", spark.range(5).withColumn("v", F.lit("x")))
     assert spark.table(store.name(schema, "t")).columns == ["id", "v"]
-    assert compact_buckets(spark, store.name(schema, "t")) == 0
+
+
+def test_compaction_of_a_table_without_key(spark, store, schema):
+    name = store.name(schema, "t")
+    create_or_replace(spark, store, schema, "t", spark.range(0, 500, 1, 6).withColumn("v", F.lit("x")))
+    assert live_files(spark, name).count() == 6
+    assert compact_table(spark, name) == 1
+    assert live_files(spark, name).count() == 1
+    assert spark.table(name).agg(F.sum("id"), F.count("v")).first() == (124750, 500)
+    assert compact_table(spark, name) == 0
 
 
 def test_table_that_reads_from_itself_is_replaced(spark, store, schema):

@@ -44,7 +44,7 @@ def parse_source_table(name: str, dialect: str | None = None) -> SourceTable:
     parts = name.split(".")
     allowed = {MYSQL: (2,), SQLSERVER: (2, 3), None: (2, 3)}[dialect]
     if len(parts) not in allowed or not all(parts):
-        raise ValueError(f"Invalid table name format: '{name}'")
+        raise ValueError(f"'{name}' does not name a source table")
     return SourceTable(parts[0], parts[-1])
 
 
@@ -52,7 +52,7 @@ def parse_topic(topic: str) -> SourceTable:
     """``prefix.schema.table``."""
     parts = topic.split(".")
     if len(parts) != 3 or not all(parts):
-        raise ValueError(f"Invalid topic name: '{topic}'")
+        raise ValueError(f"'{topic}' is not prefix.schema.table")
     return SourceTable(parts[1], parts[2])
 
 

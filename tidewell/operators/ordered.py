@@ -69,7 +69,8 @@ def _previous_by_chunks(
     return (
         ranged.withColumn("__inside", F.lag(F.struct(value)).over(inside))
         .join(F.broadcast(handed_over), same_group, "left")
-        .withColumn("__before", F.coalesce("__inside", F.when(F.col("__handed").isNotNull(), F.struct(f"__handed.{value}"))))
+        .withColumn("__taken", F.when(F.col("__handed").isNotNull(), F.struct(f"__handed.{value}")))
+        .withColumn("__before", F.coalesce("__inside", "__taken"))
         .select(*df.columns, F.col(f"__before.{value}").alias(output))
         .select(*df.columns, output)
     )

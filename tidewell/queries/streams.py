@@ -141,8 +141,8 @@ def stream_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
             interval=None,
         ).awaitTermination()
     return read_parquet(spark, f"{folder}/out", merge_schema=True).select(
-        "topic", "year", "month", "day", "op", "ts_ms", "after.o_orderkey", "after.o_totalprice", "after.o_orderdate",
-        "after.note",
+        "topic", "year", "month", "day", "op", "ts_ms",
+        "after.o_orderkey", "after.o_totalprice", "after.o_orderdate", "after.note",
     )
 
 

@@ -104,8 +104,8 @@ def create_or_replace(
     keyed = KEY_COLUMN in df.columns
     if store.row_level:
         writer = df.writeTo(name).using(store.provider)
-        properties = {"location": store.location(schema, table), **FORMAT_PROPERTIES, **(KEYED_PROPERTIES if keyed else {})}
-        for key, value in properties.items():
+        properties = FORMAT_PROPERTIES | (KEYED_PROPERTIES if keyed else {})
+        for key, value in {"location": store.location(schema, table), **properties}.items():
             writer = writer.tableProperty(key, value)
         writer.createOrReplace()
         return

@@ -14,7 +14,7 @@ log = logging.getLogger(__name__)
 def table_or_none(spark: SparkSession, name: str) -> DataFrame | None:
     """A catalog table, or None with a warning where there is none."""
     if not spark.catalog.tableExists(name):
-        log.warning("Table %s not found. Skipping.", name)
+        log.warning("there is no table %s", name)
         return None
     return spark.table(name)
 
@@ -28,5 +28,5 @@ def list_tables(spark: SparkSession, schemas: Sequence[str], catalog: str | None
             # Temporary views are listed along with every schema.
             names += [f"{full}.{t.name}" for t in spark.catalog.listTables(full) if not t.isTemporary]
         except PySparkException as error:
-            log.warning("Failed to list tables in %s: %s", full, error)
+            log.warning("schema %s cannot be listed: %s", full, error)
     return names

@@ -10,6 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from tidewell.functions.names import MYSQL, SQLSERVER
 
 
+# Driver classes, and the connection settings of each database.
+DRIVERS = {MYSQL: "com.mysql.cj.jdbc.Driver", SQLSERVER: "com.microsoft.sqlserver.jdbc.SQLServerDriver"}
+MYSQL_SETTINGS = "zeroDateTimeBehavior=convertToNull&useUnicode=true&characterEncoding=UTF-8"
+SQLSERVER_SETTINGS = "encrypt=false;"
+
+
 @dataclass(frozen=True)
 class JdbcSource:
     """Connection to one MySQL or SQL Server instance.
@@ -32,17 +38,13 @@ class JdbcSource:
 
     def options(self, database: str = "") -> dict[str, str]:
         """Options of the reader: zero dates of MySQL are NULL, SQL Server is not encrypted."""
+        url = f"jdbc:{self.dialect}://{self.host}:{self.port}"
         if self.dialect == MYSQL:
-            url = (
-                f"jdbc:mysql://{self.host}:{self.port}/{database}"
-                "?zeroDateTimeBehavior=convertToNull&useUnicode=true&characterEncoding=UTF-8"
-            )
-            driver = "com.mysql.cj.jdbc.Driver"
+            url += f"/{database}?{MYSQL_SETTINGS}"
         else:
-            chosen = f";databaseName={database}" if database else ""
-            url = f"jdbc:sqlserver://{self.host}:{self.port}{chosen};encrypt=false;"
-            driver = "com.microsoft.sqlserver.jdbc.SQLServerDriver"
-        return {"url": url, "driver": driver, "user": self.user, "password": self.password, **self.extra}
+            url += (f";databaseName={database}" if database else "") + f";{SQLSERVER_SETTINGS}"
+        login = {"user": self.user, "password": self.password}
+        return {"url": url, "driver": DRIVERS[self.dialect], **login, **self.extra}
 
     def quoted(self, name: str) -> str:
         if self.dialect == MYSQL:

@@ -20,7 +20,8 @@ from tidewell.sources.jdbc import JdbcSource
 MYSQL_VIEWS = {
     "columns": (
         "information_schema.COLUMNS",
-        "TABLE_SCHEMA, TABLE_NAME, COLUMN_NAME, ORDINAL_POSITION, DATA_TYPE, COLUMN_TYPE, EXTRA, IS_NULLABLE, COLUMN_COMMENT",
+        "TABLE_SCHEMA, TABLE_NAME, COLUMN_NAME, ORDINAL_POSITION, DATA_TYPE, COLUMN_TYPE, EXTRA, IS_NULLABLE, "
+        "COLUMN_COMMENT",
     ),
     "key_usage": (
         "information_schema.KEY_COLUMN_USAGE",
