@@ -22,6 +22,7 @@ from tidewell.operators.changes import OFFSET, OP
 from tidewell.operators.decoding import JSON, column_types, decode_all_changes, key_columns, schema_pairs
 from tidewell.operators.ledger import batch_stats, schema_ids
 from tidewell.queries.registry import derive, query, table
+from tidewell.session import staged
 
 KEY_ID = 11
 VALUE_IDS = (21, 22)
@@ -127,7 +128,7 @@ DECODED_SQL = """
 @query("decode_envelope", DECODED_SQL)
 def decode_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frames of two schema versions as target rows with their operation and offset."""
-    records = split_frames(framed_events(spark, sf_dir))
+    records = split_frames(staged(framed_events(spark, sf_dir), "records"))
     target = spark.createDataFrame([], TARGET_DDL).schema
     rows = decode_all_changes(records, schema_pairs(records, registry), target, JSON)
     return rows.select(*target.names, OP, OFFSET)
