@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidewell.functions.names import MYSQL
 from tidewell.operators import drift, introspect
 from tidewell.queries.registry import derive, query
+from tidewell.session import staged
 
 COLUMN_BASE = """
     SELECT DISTINCT 'S' || l_returnflag AS table_schema, 'Tb_' || l_suppkey AS table_name,
@@ -352,58 +353,60 @@ TABLE_COMMENT_SQL = f"""
 """
 
 
-def _source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drift.keyed_by_bronze(derive(spark, sf_dir, SOURCE))
+def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables and columns that all inputs of a drift check are made from, so read once."""
+    return staged(derive(spark, sf_dir, COLUMN_BASE), "columns")
 
 
-def _target(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derive(spark, sf_dir, TARGET)
+def _from(base: DataFrame, sql: str) -> DataFrame:
+    return base.sparkSession.sql(sql.replace(f"({COLUMN_BASE})", "{base}"), base=base)
 
 
-def _matched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drift.matched_columns(_source(spark, sf_dir), _target(spark, sf_dir))
+def _matched(base: DataFrame) -> DataFrame:
+    return drift.matched_columns(drift.keyed_by_bronze(_from(base, SOURCE)), _from(base, TARGET))
 
 
 @query("column_count_drift", COUNT_SQL)
 def column_count_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drift.column_counts(_matched(spark, sf_dir))
+    return drift.column_counts(_matched(_base(spark, sf_dir)))
 
 
 @query("column_drift", UNREFLECTED_SQL)
 def column_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drift.unreflected_columns(_matched(spark, sf_dir))
+    return drift.unreflected_columns(_matched(_base(spark, sf_dir)))
 
 
 @query("order_drift", ORDER_SQL)
 def order_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drift.column_order(_matched(spark, sf_dir))
+    return drift.column_order(_matched(_base(spark, sf_dir)))
 
 
 @query("type_drift", TYPE_SQL)
 def type_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drift.type_differences(_matched(spark, sf_dir), MYSQL)
+    return drift.type_differences(_matched(_base(spark, sf_dir)), MYSQL)
 
 
 @query("nullable_drift", NULLABLE_SQL)
 def nullable_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drift.nullable_differences(_matched(spark, sf_dir))
+    return drift.nullable_differences(_matched(_base(spark, sf_dir)))
 
 
 @query("comment_diff", COMMENT_SQL)
 def comment_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drift.column_comment_differences(_matched(spark, sf_dir))
+    return drift.column_comment_differences(_matched(_base(spark, sf_dir)))
 
 
 @query("pk_check", PK_CHECK_SQL)
 def pk_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keys = drift.keyed_by_bronze(derive(spark, sf_dir, KEYS))
-    return drift.primary_key_check(keys, _matched(spark, sf_dir))
+    base = _base(spark, sf_dir)
+    return drift.primary_key_check(drift.keyed_by_bronze(_from(base, KEYS)), _matched(base))
 
 
 @query("table_comment_diff", TABLE_COMMENT_SQL)
 def table_comment_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = drift.keyed_by_bronze(derive(spark, sf_dir, SOURCE_COMMENTS))
-    return drift.table_comment_differences(source, derive(spark, sf_dir, TARGET_COMMENTS))
+    base = _base(spark, sf_dir)
+    source = drift.keyed_by_bronze(_from(base, SOURCE_COMMENTS))
+    return drift.table_comment_differences(source, _from(base, TARGET_COMMENTS))
 
 
 @query(
@@ -413,11 +416,12 @@ def table_comment_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def schema_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = _base(spark, sf_dir)
     return drift.schema_report(
-        _source(spark, sf_dir),
-        _target(spark, sf_dir),
-        drift.keyed_by_bronze(derive(spark, sf_dir, KEYS)),
-        drift.keyed_by_bronze(derive(spark, sf_dir, SOURCE_COMMENTS)),
-        derive(spark, sf_dir, TARGET_COMMENTS),
+        drift.keyed_by_bronze(_from(base, SOURCE)),
+        _from(base, TARGET),
+        drift.keyed_by_bronze(_from(base, KEYS)),
+        drift.keyed_by_bronze(_from(base, SOURCE_COMMENTS)),
+        _from(base, TARGET_COMMENTS),
         MYSQL,
     )
