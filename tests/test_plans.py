@@ -5,7 +5,7 @@ import re
 import pytest
 
 from tidewell.operators import ledger, maintenance
-from tidewell.operators.changes import apply_newest, newest_changes
+from tidewell.operators.changes import MAX_BROADCAST_KEYS, apply_newest, newest_changes
 from tidewell.queries import cdc, upkeep
 from tidewell.queries.all import QUERIES
 
@@ -56,6 +56,14 @@ def test_nothing_is_broadcast_beyond_the_threshold(spark, small):
     assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
 
 
+def test_keys_are_broadcast_up_to_a_limit(spark, small):
+    target, newest = cdc.bronze_orders(spark, small), newest_changes(cdc.changes(spark, small))
+    counted = without_broadcast(spark, lambda: apply_newest(target, newest, key_count=MAX_BROADCAST_KEYS))
+    assert "BroadcastHashJoin" in counted
+    beyond = without_broadcast(spark, lambda: apply_newest(target, newest, key_count=MAX_BROADCAST_KEYS + 1))
+    assert "SortMergeJoin" in beyond and "BroadcastHashJoin" not in beyond
+
+
 def test_expired_files_need_one_join(spark, small):
     referenced = upkeep.derive(spark, small, upkeep.REFERENCED)
     snapshots = upkeep.derive(spark, small, upkeep.SNAPSHOTS)

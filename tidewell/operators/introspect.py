@@ -66,18 +66,23 @@ def sizes_mysql(tables: DataFrame) -> DataFrame:
 def sizes_sqlserver(tables: DataFrame, indexes: DataFrame, partitions: DataFrame, units: DataFrame) -> DataFrame:
     """Rows and size in MiB of each table from its pages of 8 KiB.
 
-    Pages are summed per partition before any join, so a table with most of the pages is no
-    hot spot. With several indexes the largest row count is taken and the sizes are added up.
+    Pages are summed per partition, and partitions per index, before they are joined, so neither a
+    partition with most of the pages nor a table with most of the partitions is a hot spot. The
+    largest row count is taken and the sizes are added up.
     """
     pages = units.groupBy(F.col("container_id").alias("partition_id")).agg(F.sum("total_pages").alias("pages"))
+    figures = [F.max("rows").alias("rows"), F.sum("pages").alias("pages")]
     per_object = (
         partitions.join(pages, "partition_id")
+        .groupBy("object_id", "index_id")
+        .agg(*figures)
         .join(indexes.select("object_id", "index_id"), ["object_id", "index_id"])
         .groupBy("object_id")
-        .agg(F.max("rows").alias("table_rows"), F.sum("pages").alias("pages"))
+        .agg(*figures)
     )
     size = F.col("pages") * F.lit(8.0) / F.lit(1024.0)
-    return tables.join(per_object, "object_id").select(*TABLE, "table_rows", size.alias("table_size"))
+    sized = tables.join(per_object, "object_id")
+    return sized.select(*TABLE, F.col("rows").alias("table_rows"), size.alias("table_size"))
 
 
 def column_comments_mysql(columns: DataFrame) -> DataFrame:

@@ -156,13 +156,14 @@ def _merge_into_buckets(spark: SparkSession, name: str, newest: DataFrame, op: s
     buckets = _bucket_count(spark, name)
     # Used for the bucket numbers, the keys to take out and the rows to write.
     placed = staged(newest.filter(F.col(op).isNotNull()).withColumn(BUCKET_COLUMN, key_bucket(buckets)), "newest")
-    # At most one number per bucket of the table.
-    changed = sorted(row[0] for row in placed.select(BUCKET_COLUMN).distinct().collect())
-    if not changed:
+    # At most one row per bucket of the table.
+    counts = {row[BUCKET_COLUMN]: row["count"] for row in placed.groupBy(BUCKET_COLUMN).count().collect()}
+    if not counts:
         return
+    changed = sorted(counts)
     target = spark.table(name).filter(F.col(BUCKET_COLUMN).isin(changed))
     folder = new_folder(table_folder(spark, name))
-    _write_buckets(apply_newest(target, placed, KEY_COLUMN, op), folder)
+    _write_buckets(apply_newest(target, placed, KEY_COLUMN, op, sum(counts.values())), folder)
     point_partitions(spark, name, folder, changed)
 
 
