@@ -1,10 +1,11 @@
 """The shared folder and staged rows."""
 
+import os
 from types import SimpleNamespace
 
 import pytest
 
-from tidewell.session import iceberg_catalog_options, new_workspace, shared_folder, staged
+from tidewell.session import iceberg_catalog_options, new_workspace, shared_folder, staged, staged_while
 
 
 class FakeContext:
@@ -46,6 +47,13 @@ def test_staged_rows_are_read_back_with_their_schema(spark):
     assert new_workspace(spark, "x") != new_workspace(spark, "x")
 
 
+def test_staged_folder_goes_with_the_block(spark):
+    with staged_while(spark.range(5), "t") as rows:
+        folder = rows.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+        assert rows.count() == 5 and os.path.isdir(folder)
+    assert not os.path.exists(folder)
+
+
 def test_catalog_options():
     options = iceberg_catalog_options("lake", "s3a://w", "impl", "io", {"uri": "u"})
     assert options["spark.sql.defaultCatalog"] == "lake"

@@ -35,6 +35,7 @@ from tidewell.sinks.tables import (
     table_comment,
 )
 from tidewell.sources.catalog import list_tables, table_or_none
+from tidewell.streaming.runner import run_side_by_side
 
 
 @pytest.fixture()
@@ -191,6 +192,20 @@ def test_ledger_is_created_once_appended_and_cleaned(spark, store):
     spark.sql(f"DROP TABLE {ledger_name(store)}")
 
 
+def test_ledger_takes_rows_of_many_streams(spark, store):
+    spark.sql(f"DROP TABLE IF EXISTS {ledger_name(store)}")
+    ensure_ledger(spark, store)
+
+    def append(topic):
+        for batch in range(3):
+            append_ledger(spark, store, ledger_row(spark, "d", "s", topic, 1, batch_id=batch))
+
+    outcomes = run_side_by_side(spark, [f"t{i}" for i in range(6)], append, concurrency=6)
+    assert {o.status for o in outcomes} == {"done"}
+    assert spark.table(ledger_name(store)).select("table_name", "batch_id").distinct().count() == 18
+    spark.sql(f"DROP TABLE {ledger_name(store)}")
+
+
 def test_comments_with_quotes(spark, store, schema):
     create_or_replace(spark, store, schema, "t", keyed(spark, [(1, "a")]))
     name = store.name(schema, "t")

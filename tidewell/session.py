@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -80,6 +82,21 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     For rows that are expensive and used several times: what they come from is read once, a lost
     executor cannot change them, and Spark knows their exact size when it plans the joins.
     """
-    folder = new_workspace(df.sparkSession, label)
+    return _written(df, new_workspace(df.sparkSession, label))
+
+
+@contextmanager
+def staged_while(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """As :func:`staged`, for work that ends with the block; the folder goes with it."""
+    spark = df.sparkSession
+    folder = new_workspace(spark, label)
+    try:
+        yield _written(df, folder)
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _written(df: DataFrame, folder: str) -> DataFrame:
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import threading
+from contextlib import nullcontext
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +18,8 @@ LEDGER_PROPERTIES = {
     "write.metadata.previous-versions-max": "5",
 }
 
+_PARQUET_TURN = threading.Lock()
+
 
 def ledger_name(store: BronzeStore) -> str:
     return store.name(LEDGER_SCHEMA_NAME, LEDGER_TABLE_NAME)
@@ -35,8 +40,14 @@ def ensure_ledger(spark: SparkSession, store: BronzeStore) -> str:
 
 
 def append_ledger(spark: SparkSession, store: BronzeStore, row: DataFrame) -> None:
-    """Appending never conflicts with other writers, so every topic's stream may do it."""
-    append_rows(spark, ledger_name(store), row, store.provider)
+    """Every topic's stream appends its own rows.
+
+    Row-level formats take appends of any number of writers. Appends to plain Parquet share one
+    temporary folder, which the first to finish clears away, so the streams of an application take
+    turns; such a ledger must have only one application that writes it at a time.
+    """
+    with nullcontext() if store.row_level else _PARQUET_TURN:
+        append_rows(spark, ledger_name(store), row, store.provider)
 
 
 def merge_ledger(spark: SparkSession, store: BronzeStore, rows: DataFrame) -> None:
@@ -46,7 +57,8 @@ def merge_ledger(spark: SparkSession, store: BronzeStore, rows: DataFrame) -> No
     """
     name = ledger_name(store)
     if not store.row_level:
-        repoint_table(spark, name, merge(spark.table(name), rows))
+        with _PARQUET_TURN:
+            repoint_table(spark, name, merge(spark.table(name), rows))
         return
     same_key = F.lit(True)
     for key in LEDGER_KEYS:

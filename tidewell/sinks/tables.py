@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from tidewell.functions.names import KEY_COLUMN
 from tidewell.operators.changes import DELETE, OP, apply_newest
-from tidewell.session import staged
+from tidewell.session import staged_while
 
 log = logging.getLogger(__name__)
 
@@ -153,18 +153,18 @@ def merge_changes(
 
 
 def _merge_into_buckets(spark: SparkSession, name: str, newest: DataFrame, op: str) -> None:
-    buckets = _bucket_count(spark, name)
+    placed = newest.filter(F.col(op).isNotNull()).withColumn(BUCKET_COLUMN, key_bucket(_bucket_count(spark, name)))
     # Used for the bucket numbers, the keys to take out and the rows to write.
-    placed = staged(newest.filter(F.col(op).isNotNull()).withColumn(BUCKET_COLUMN, key_bucket(buckets)), "newest")
-    # At most one row per bucket of the table.
-    counts = {row[BUCKET_COLUMN]: row["count"] for row in placed.groupBy(BUCKET_COLUMN).count().collect()}
-    if not counts:
-        return
-    changed = sorted(counts)
-    target = spark.table(name).filter(F.col(BUCKET_COLUMN).isin(changed))
-    folder = new_folder(table_folder(spark, name))
-    _write_buckets(apply_newest(target, placed, KEY_COLUMN, op, sum(counts.values())), folder)
-    point_partitions(spark, name, folder, changed)
+    with staged_while(placed, "newest") as placed:
+        # At most one row per bucket of the table.
+        counts = {row[BUCKET_COLUMN]: row["count"] for row in placed.groupBy(BUCKET_COLUMN).count().collect()}
+        if not counts:
+            return
+        changed = sorted(counts)
+        target = spark.table(name).filter(F.col(BUCKET_COLUMN).isin(changed))
+        folder = new_folder(table_folder(spark, name))
+        _write_buckets(apply_newest(target, placed, KEY_COLUMN, op, sum(counts.values())), folder)
+        point_partitions(spark, name, folder, changed)
 
 
 def _bucket_count(spark: SparkSession, name: str) -> int:
