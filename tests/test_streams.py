@@ -217,6 +217,7 @@ def test_stop_file_ends_a_running_archive(spark, folder):
         while not listener.progress and time.time() < deadline:
             time.sleep(0.2)
         assert listener.progress[0]["rows"] == 1
+        assert listener.rows(spark).select("name", "batch_id", "rows").first() == ("dag", 0, 1)
         assert not stop_requested(spark, stop)
         Path(f"{folder}/spark/signal").mkdir(parents=True)
         Path(f"{folder}/spark/signal/dag").touch()

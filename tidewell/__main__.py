@@ -167,4 +167,7 @@ def main(argv: Sequence[str] | None = None) -> int:
 
 
 if __name__ == "__main__":
-    sys.exit(main())
+    code = main()
+    if session := SparkSession.getActiveSession():
+        session.stop()
+    sys.exit(code)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewell.operators.changes import newest_per_key, upsert_rows
 
+# Name and columns of the ledger table.
 LEDGER_SCHEMA_NAME = "ops_bronze"
 LEDGER_TABLE_NAME = "cdc_watermark"
 LEDGER_KEYS = ("dag_id", "bronze_schema", "table_name")

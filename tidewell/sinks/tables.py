@@ -67,7 +67,7 @@ class BronzeStore:
 
 def create_schema(spark: SparkSession, store: BronzeStore, schema: str) -> None:
     name = ".".join(f"`{part}`" for part in (store.catalog, schema) if part)
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{store.location(schema)}'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{_escaped(store.location(schema))}'")
 
 
 def data_schema(schema: T.StructType) -> T.StructType:
@@ -218,7 +218,8 @@ def append_rows(spark: SparkSession, name: str, rows: DataFrame, provider: str)
 
 
 def set_column_comment(spark: SparkSession, name: str, column: str, comment: str) -> None:
-    spark.sql(f"ALTER TABLE {name} ALTER COLUMN `{column}` COMMENT '{_escaped(comment)}'")
+    quoted = column.replace("`", "``")
+    spark.sql(f"ALTER TABLE {name} ALTER COLUMN `{quoted}` COMMENT '{_escaped(comment)}'")
 
 
 def set_table_comment(spark: SparkSession, name: str, comment: str) -> None:
