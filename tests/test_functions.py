@@ -1,6 +1,7 @@
 """Types, names, keys, frames and logical types."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ from tidewell.functions.projections import (
     trim_strings,
     with_date_partitions,
 )
-from tidewell.functions.source_types import expected_type, resolve_type, spark_type
+from tidewell.functions.source_types import MYSQL_TYPES, SQLSERVER_TYPES, expected_type, resolve_type, spark_type
 
 TYPE_CASES = {
     "mysql": {
@@ -62,6 +63,21 @@ def test_types_as_column_and_on_driver(spark, dialect):
     assert {name: resolve_type(name, dialect) for name in cases} == {n: spark_type(t) for n, t in cases.items()}
 
 
+@pytest.mark.parametrize("dialect", sorted(TYPE_CASES))
+def test_column_and_driver_agree_on_any_text(spark, dialect):
+    rng = random.Random(11)
+    names = [*MYSQL_TYPES, *SQLSERVER_TYPES, "geometry", "double precision", "bit varying", ""]
+    tails = ["", "(1)", "(4)", "(10,2)", "( 38 , 10 )", "('a','1')", "(max)", "(", "()", " (3)"]
+    ends = ["", " unsigned", " UNSIGNED zerofill", "  ", "\tunsigned", " character set utf8"]
+    texts = sorted({
+        "".join((rng.choice(["", "  "]), rng.choice([str.lower, str.upper])(rng.choice(names)), rng.choice(tails), rng.choice(ends)))
+        for _ in range(1500)
+    })
+    rows = spark.createDataFrame([(t,) for t in texts], "t STRING")
+    got = {r[0]: r[1] for r in rows.select("t", expected_type(F.col("t"), dialect)).collect()}
+    assert {t: spark_type(got[t]) for t in texts} == {t: resolve_type(t, dialect) for t in texts}
+
+
 def test_source_names():
     table = parse_source_table("store.TB_ITEMS", "mysql")
     assert table.bronze_name("lake") == "lake.store_bronze.tb_items"
