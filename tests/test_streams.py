@@ -172,6 +172,29 @@ def test_stream_goes_on_from_its_checkpoint(spark, job, folder):
     assert content(spark, job) == [(1, "b"), (2, "c")]
 
 
+def test_topics_side_by_side_with_one_ledger(spark, job, folder):
+    """Three topics at a time, one of them broken; the others are finished and noted."""
+    run, topics = uuid.uuid4().hex[:8], []
+    for i in range(4):
+        topic = f"srv.P{run}x{i}.Items"
+        topics.append(topic)
+        bronze(spark, job).drop("key_bucket").createOrReplaceTempView("start")
+        create_or_replace(spark, job.store, f"p{run}x{i}_bronze", "items", spark.table("start"))
+        rows = [(1, 1, "u", f"from {i}", 2), (2, 10 + i, "c", "new", 99 if i == 2 else 3)]
+        records(spark, topic, rows).select(*RECORD_SCHEMA.names).coalesce(1).write.parquet(f"{folder}/{topic}")
+
+    def work(topic):
+        one = CdcJob(topic, job.dag_id, job.store, registry, JSON)
+        run_topic(spark, one, record_file_stream(spark, f"{folder}/{topic}"), topic_checkpoint(folder, topic))
+
+    with pytest.raises(RuntimeError, match=f"1 failed: {topics[2]}"):
+        run_topics(spark, topics, work, concurrency=3)
+    for i in (0, 1, 3):
+        got = spark.table(job.store.name(f"p{run}x{i}_bronze", "items"))
+        assert sorted((r.id, r.name) for r in got.collect()) == [(1, f"from {i}"), (10 + i, "new")]
+    assert ledger(spark, job) == [(0, 2, 1, 2)] * 3
+
+
 def test_one_batch_per_file(spark, job, folder):
     source = f"{folder}/records"
     for i in range(3):
