@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import decontaminate, language, packing, secrets, simhash, toxicity
+from tidewell.llm import decontaminate, language, packing, ppm, quality, secrets, simhash, tokens, toxicity
 from tidewell.session import use_utc
 from tidewell.sources.files import read_parquet
 
+#: A vocabulary with scores.
+TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -98,3 +101,19 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_packing")
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query("op5_quality")
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(table(spark, sf_dir, "documents"))
+
+
+@query("op6_tokens")
+def op6_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.count_tokens(table(spark, sf_dir, "documents"), tokens.Vocabulary.from_file(TOKENIZER))
+
+
+@query("op9_ppm")
+def op9_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = ppm.score_documents(table(spark, sf_dir, "documents"), remainder(7) != 2)
+    return scored.select("doc_id", held_out(7, 2).alias("held_out"), *scored.columns[1:])
