@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import decontaminate, language, packing, ppm, quality, secrets, simhash, tokens, toxicity
+from tidewell.llm import (
+    decontaminate,
+    language,
+    packing,
+    ppm,
+    quality,
+    secrets,
+    simhash,
+    substring,
+    tokens,
+    toxicity,
+)
 from tidewell.session import use_utc
 from tidewell.sources.files import read_parquet
 
@@ -117,3 +128,10 @@ def op6_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = ppm.score_documents(table(spark, sf_dir, "documents"), remainder(7) != 2)
     return scored.select("doc_id", held_out(7, 2).alias("held_out"), *scored.columns[1:])
+
+
+@query("op8_substring")
+def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.deduplicated(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256")
+    )
