@@ -54,6 +54,13 @@ def fold(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return mixed(left * np.uint64(_STEP) + right)
 
 
+def sequence_hashes(h: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """One hash for each stretch of a sequence of hashes, in constant time each."""
+    sums = np.zeros(len(h) + 1, np.uint64)
+    np.cumsum(h * _powers_of(_STEP, len(h)), out=sums[1:])
+    return mixed((sums[ends] - sums[starts]) * _powers_of(_BACK, len(h) + 1)[starts])
+
+
 class Texts:
     """Bytes of several texts in a row; text ``i`` is ``data[offsets[i]:offsets[i + 1]]``."""
 

@@ -33,14 +33,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.batches import Texts, fold, limit_batches, slices
+from tidewell.llm.batches import Texts, fold, limit_batches, sequence_hashes, slices
 from tidewell.llm.fmindex import FMIndex
 from tidewell.session import new_workspace
 
 WINDOW = 13
 RUN = 6
 CHUNK_BYTES = 8 << 20
-HEAVY_CHUNKS = 16
+HEAVY_CHUNKS = 64
 _LAST = np.iinfo(np.int64).max
 
 
@@ -132,7 +132,7 @@ class Chunk:
         start, end = place[opens], place[closes] + WINDOW
         key = np.where(alone[opens], self.windows[hit][opens], anchor[opens])
         ids = self.ids[self.owners[hit][opens]]
-        content = Texts(self.data, np.array([0, len(self.data)])).hashes(self.starts[start], self.ends[end - 1])
+        content = sequence_hashes(self.h, start, end)
         order = np.lexsort((ids, content))
         one = np.flatnonzero(np.append(True, content[order][1:] != content[order][:-1]))
         several = np.maximum.reduceat(ids[order], one) > ids[order][one]
@@ -255,30 +255,37 @@ def _shared_anchors(table: DataFrame, buckets: int) -> DataFrame:
 
 
 def _stretches(table: DataFrame, shared: DataFrame, shards: int) -> DataFrame:
-    """Stretches that may repeat: ``shard``, ``of_chunk``, ``low`` (smallest id), ``several``, ``text``."""
+    """Stretches that may repeat, one row for a chunk and shard: ``shard``, ``of_chunk``, and packed ``low`` (smallest
+    ids), ``several`` and ``text`` (a line each)."""
 
     def cut(chunk: pa.Table, known: pa.Table) -> pa.Table:
         anchors, heavy = _unpacked(known.column("anchors"), np.uint64), _unpacked(known.column("heavy"), np.uint8)
         order = np.argsort(anchors)
-        own = Chunk.of(chunk) if len(anchors) and chunk.num_rows else Chunk.of(chunk.slice(0, 0))
+        own = Chunk.of(chunk if len(anchors) else chunk.slice(0, 0))
         start, end, key, low, several = own.stretches(anchors[order], heavy[order] > 0)
+        shard = (key % np.uint64(shards)).astype(np.int64)
+        order = np.argsort(shard, kind="stable")
+        start, end, low, several, shard = start[order], end[order], low[order], several[order], shard[order]
+        at = np.flatnonzero(np.append(True, shard[1:] != shard[:-1])) if len(shard) else np.zeros(0, int)
         raw = own.data.tobytes()
-        texts = [raw[a:b].decode() for a, b in zip(own.starts[start], own.ends[end - 1])]
+        opens, closes = own.starts[start].tolist(), own.ends[end - 1].tolist()
+        parts = list(zip(at.tolist(), np.append(at[1:], len(shard)).tolist()))
         of = chunk.column("chunk_id")[0].as_py() if chunk.num_rows else 0
+        lines = [b"".join(raw[opens[k] : closes[k]] + b"\n" for k in range(a, b)) for a, b in parts]
         return pa.table(
             {
-                "shard": pa.array((key % np.uint64(shards)).astype(np.int64)),
-                "of_chunk": pa.array(np.full(len(texts), of, np.int64)),
-                "low": pa.array(low, pa.int64()),
-                "several": pa.array(several),
-                "text": pa.array(texts, pa.string()),
+                "shard": pa.array(shard[at], pa.int64()),
+                "of_chunk": pa.array([of] * len(parts), pa.int64()),
+                "low": pa.array([_packed(low[a:b]) for a, b in parts], pa.binary()),
+                "several": pa.array([_packed(several[a:b]) for a, b in parts], pa.binary()),
+                "text": pa.array(lines, pa.binary()),
             }
         )
 
     return (
         table.groupBy("chunk_id")
         .cogroup(shared.groupBy("of_chunk"))
-        .applyInArrow(cut, "shard long, of_chunk long, low long, several boolean, text string")
+        .applyInArrow(cut, "shard long, of_chunk long, low binary, several binary, text binary")
     )
 
 
@@ -321,11 +328,14 @@ def _reports(stretches: DataFrame, shards: int) -> DataFrame:
         got = [b for b in batches if b.num_rows]
         if not got:
             return
-        rows = pa.Table.from_batches(got).combine_chunks()
-        low, several = rows.column("low").to_numpy(), rows.column("several").to_numpy().astype(bool)
-        texts = Texts.of(rows.column("text").combine_chunks())
+        rows = pa.Table.from_batches(got)
+        low, several = _unpacked(rows.column("low"), np.int64), _unpacked(rows.column("several"), bool)
+        lines = _unpacked(rows.column("text"), np.uint8)
+        sizes = [len(x) // 8 for x in rows.column("low").to_pylist()]
+        owner = np.repeat(rows.column("of_chunk").to_numpy(), sizes)
+        texts = Texts(lines, np.append(0, np.flatnonzero(lines == 10) + 1))
         stretch, windows, smallest = repeated_windows(texts, low, several)
-        chunk = rows.column("of_chunk").to_numpy()[stretch]
+        chunk = owner[stretch]
         order = np.lexsort((windows, chunk))
         chunk, windows, smallest = chunk[order], windows[order], smallest[order]
         new = np.append(True, (chunk[1:] != chunk[:-1]) | (windows[1:] != windows[:-1])) if len(chunk) else []
