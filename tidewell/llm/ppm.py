@@ -34,7 +34,7 @@ from tidewell.session import staged
 ORDER = 3
 CLASSES = 64
 END_CLASS = 0
-CHUNK_TOKENS = 3_000_000
+CHUNK_TOKENS = 2_000_000
 _END_WORD = np.uint64(0x5851F42D4C957F2D)
 
 

@@ -30,6 +30,7 @@ SUPPORT = 0.75
 STEPS = 3
 MIN_ROWS = 100
 DAMPING = 100
+MAX_BROADCAST_GROUPS = 50_000  # of some 150 bytes each
 FLOOR = (0.2, 0.3, 0.3, 0.1)
 #: Of a chi-squared variable with four degrees of freedom one value in twenty-five million is larger.
 CUTOFF = 40.0
@@ -209,14 +210,19 @@ def _start(rows: DataFrame) -> DataFrame:
     return _factored(quartiles.select(*keys, *columns))
 
 
+def _small(groups: DataFrame) -> DataFrame:
+    """One row for each group, broadcast while there are few; beyond that Spark joins by key."""
+    return F.broadcast(groups) if groups.count() <= MAX_BROADCAST_GROUPS else groups
+
+
 def estimates(rows: DataFrame) -> DataFrame:
     """One row for each ``lang_key`` and ``source_key`` in ``rows``: mean ``m*`` and Cholesky factor ``l*``."""
     keys = ["lang_key", "source_key"]
     current = staged(_start(rows), "estimate")
     for _ in range(STEPS):
-        apart = rows.join(current, keys).withColumn("d2", _distance())
+        apart = rows.join(_small(current), keys).withColumn("d2", _distance())
         cut = apart.groupBy(*keys).agg(F.percentile_approx("d2", SUPPORT, 10000).alias("cut"))
-        central = rows.join(staged(current.join(cut, keys), "cut"), keys).withColumn("d2", _distance())
+        central = rows.join(_small(staged(current.join(cut, keys), "cut")), keys).withColumn("d2", _distance())
         moments = [F.avg(t).alias(f"m{i}") for i, t in enumerate(_T)]
         for i in range(4):
             for j in range(i + 1):
@@ -235,7 +241,7 @@ def judged(docs: DataFrame) -> DataFrame:
     rows = staged(_transformed(_grouped(stats)), "vectors")
     found = estimates(rows.where("NOT base_failed"))
     return (
-        rows.join(found, ["lang_key", "source_key"], "left")
+        rows.join(_small(found), ["lang_key", "source_key"], "left")
         .withColumn("distance", _distance())
         .select(
             "doc_id",

@@ -201,7 +201,8 @@ def _rooted(printed: DataFrame, radius: int) -> DataFrame:
 def classes(docs: DataFrame, radius: int = MAX_BITS, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
     """``doc_id``, ``fingerprint`` (long) and ``component_id`` (smallest id reachable over links) of every row."""
     rooted = staged(_rooted(staged(fingerprints(docs, shingle_words), "fingerprints"), radius), "rooted")
-    lowest = rooted.groupBy(F.col("root").alias("named")).agg(F.min("doc_id").alias("component_id"))
+    # Written first: a join that doesn't share an aggregate's partitioning can split the rows of a large class.
+    lowest = staged(rooted.groupBy(F.col("root").alias("named")).agg(F.min("doc_id").alias("component_id")), "lowest")
     return rooted.join(lowest, rooted["root"] == lowest["named"]).select("doc_id", "fingerprint", "component_id")
 
 

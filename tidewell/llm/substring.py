@@ -299,13 +299,16 @@ def repeated_windows(texts: Texts, low: np.ndarray, several: np.ndarray):
     words, symbol = np.unique(own.h, return_inverse=True)
     # Symbol 0 ends every stretch, so no window reaches into the next one.
     sequence = np.insert(symbol + 1, own.first[1:], 0)
-    place = own.places + own.owners
+    # Equal windows have equal intervals and are searched once.
+    _, once, slot = np.unique(own.windows, return_index=True, return_inverse=True)
+    place = (own.places + own.owners)[once]
     index = FMIndex(sequence, len(words) + 1, WINDOW)
     left, right = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
     for at in range(0, len(place), 1 << 17):
         part = place[at : at + (1 << 17)]
         patterns = sequence[part[:, None] + np.arange(WINDOW)[None, :]]
         left[at : at + len(part)], right[at : at + len(part)] = index.intervals(patterns, least=2)
+    left, right = left[slot], right[slot]
     smallest = own.ids[own.owners].copy()
     found = right > left
     if found.any():
