@@ -5,7 +5,7 @@ a document is toxic if any of its sentences is: noisy-or, ``1 - prod(1 - p)``. T
 likelihood reaches sentences through that formula, so the model learns which of them made the label.
 
 Learning reads a bounded sample: at most ``per_class`` labelled documents of each label, chosen by a hash of
-the id. The model is a short table of features (words, and word beginnings of four to six bytes, so that
+the id (all rows of a chosen id). The model is a short table of features (words, and word beginnings of four to six bytes, so that
 inflected forms count), screened on that sample. Scoring reads every document whole and needs no shuffle.
 
 Edge cases: a NULL or empty text has no sentence and scores 0. NULL labels and ids are not learned from; several
@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.llm.batches import Texts, Words, mapped, mixed
+from tidewell.session import staged
 
 PER_CLASS = 4000
 THRESHOLD = 0.7
@@ -81,67 +82,48 @@ def _softplus(z: np.ndarray) -> np.ndarray:
     return np.logaddexp(0.0, z)
 
 
-def train(texts: list[str], labels: list[int], rounds: int = 300, l1: float = 0.01) -> ToxicityModel:
-    """Weights that make the labels likely under noisy-or over sentences."""
-    y = np.asarray(labels, float)
-    if not len(y) or y.min() == y.max():
-        return ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), -np.inf)
-    hashes, bags, sentences, base = [], [], [], 0
-    doc_of_sentence = []
-    for at in range(0, len(texts), 256):
-        words = Texts.of(pa.array([t.lower() for t in texts[at : at + 256]], pa.string())).words()
-        begins = _sentence_starts(words)
-        sentence = np.cumsum(begins) - 1 + base
-        doc_of_sentence.append(words.owners[begins] + at)
-        base += int(begins.sum())
-        for index, h in _features(words):
-            hashes.append(h)
-            bags.append(words.owners[index] + at)
-            sentences.append(sentence[index])
-    if not base:
-        return ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), -np.inf)
-    keys, feature = np.unique(np.concatenate(hashes), return_inverse=True)
-    bag, sentence, owner = np.concatenate(bags), np.concatenate(sentences), np.concatenate(doc_of_sentence)
-    # Screening: features that more toxic than clean documents have, by rate and by more than chance.
-    pairs = np.unique(feature * len(y) + bag)
-    rows = np.bincount(pairs // len(y), weights=y[pairs % len(y)], minlength=len(keys))
-    other = np.bincount(pairs // len(y), minlength=len(keys)) - rows
-    rate, clean = (rows + 0.25) / y.sum(), (other + 0.25) / (len(y) - y.sum())
-    chosen = np.flatnonzero((rows >= 3) & (rate > 4 * clean) & (rows - other > 2 * np.sqrt(rows + other)))
-    slot = np.full(len(keys), -1)
-    slot[chosen] = np.arange(len(chosen))
-    used = slot[feature] >= 0
-    feature, sentence = slot[feature[used]], sentence[used]
-    once = np.unique(sentence * max(1, len(chosen)) + feature)
-    sentence, feature = once // max(1, len(chosen)), once % max(1, len(chosen))
-    w, b = np.full(len(chosen), 1.0), -5.0
-    m, v = np.zeros(len(chosen) + 1), np.zeros(len(chosen) + 1)
+def fit(
+    keys: np.ndarray, labels: np.ndarray, owner: np.ndarray, sentence: np.ndarray, feature: np.ndarray,
+    rounds: int = 300, l1: float = 0.01,
+) -> ToxicityModel:
+    """Weights of ``keys`` that make the labels of documents likely under noisy-or over their sentences.
+
+    ``owner``: the document of each sentence; ``sentence`` and ``feature``: which sentence has which key.
+    """
+    y, w, b = labels.astype(float), np.full(len(keys), 1.0), -5.0
+    m, v = np.zeros(len(keys) + 1), np.zeros(len(keys) + 1)
     for t in range(1, rounds + 1):
-        z = b + np.bincount(sentence, weights=w[feature], minlength=base)
+        z = b + np.bincount(sentence, weights=w[feature], minlength=len(owner))
         total = np.bincount(owner, weights=_softplus(z), minlength=len(y))
-        outer = np.where(y > 0, -1.0 / np.expm1(np.maximum(total, 1e-9)), 1.0)[owner]
+        outer = np.where(y > 0, -1.0 / np.expm1(np.clip(total, 1e-9, 500)), 1.0)[owner]
         grad_z = outer / (1.0 + np.exp(-z)) / len(y)
-        grad = np.append(np.bincount(feature, weights=grad_z[sentence], minlength=len(chosen)), grad_z.sum())
+        grad = np.append(np.bincount(feature, weights=grad_z[sentence], minlength=len(keys)), grad_z.sum())
         grad[:-1] += l1 * np.sign(w) / len(y)
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
         step = 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-9)
         w, b = w - step[:-1], min(b - step[-1], -7.0 + 2.0 * max(0.0, 1 - t / 100))
     kept = np.abs(w) > 1e-3
-    return ToxicityModel(keys[chosen][kept], w[kept], float(b))
+    return ToxicityModel(keys[kept], w[kept], float(b))
 
 
-def _sentence_logits(model: ToxicityModel, sieve: np.ndarray, words: Words, sentence: np.ndarray):
-    """Sentences that have features, and their logits."""
+def _hits(keys: np.ndarray, sieve: np.ndarray, words: Words, sentence: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which sentence has which of ``keys`` (in order), each pair once."""
     mask = np.uint64((1 << _SIEVE_BITS) - 1)
-    found, weight = [], []
+    found = []
     for index, h in _features(words):
         near = np.flatnonzero(sieve[h & mask])
         h = h[near]
-        at = np.minimum(np.searchsorted(model.keys, h), len(model.keys) - 1)
-        same = model.keys[at] == h
-        found.append(sentence[index[near[same]]] * np.int64(len(model.keys)) + at[same])
+        at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+        same = keys[at] == h
+        found.append(sentence[index[near[same]]] * np.int64(len(keys)) + at[same])
     once = np.unique(np.concatenate(found))
-    which, weight = once // len(model.keys), model.weights[once % len(model.keys)]
+    return once // len(keys), once % len(keys)
+
+
+def _sentence_logits(model: ToxicityModel, sieve: np.ndarray, words: Words, sentence: np.ndarray):
+    """Sentences that have features, and their logits."""
+    which, feature = _hits(model.keys, sieve, words, sentence)
+    weight = model.weights[feature]
     hit, slot = np.unique(which, return_inverse=True)
     return hit, model.bias + np.bincount(slot, weights=weight, minlength=len(hit))
 
@@ -159,8 +141,8 @@ def scores(model: ToxicityModel, sieve: np.ndarray, texts: Texts) -> np.ndarray:
     return -np.expm1(-total)
 
 
-def sample(docs: DataFrame, labels: DataFrame, learnable: Column, per_class: int = PER_CLASS):
-    """At most ``per_class`` texts of each label, by a hash of the id, of documents that may be learned from."""
+def sample(docs: DataFrame, labels: DataFrame, learnable: Column, per_class: int = PER_CLASS) -> DataFrame:
+    """``text`` (lower case) and ``label``: at most ``per_class`` documents of each label, by a hash of the id."""
     known = (
         labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL")
         .groupBy("doc_id")
@@ -170,21 +152,78 @@ def sample(docs: DataFrame, labels: DataFrame, learnable: Column, per_class: int
     )
     parts = [known.where(F.col("label") == c).orderBy("_order", "doc_id").limit(per_class) for c in (0, 1)]
     picked = F.broadcast(parts[0].union(parts[1]).select("doc_id", "label"))  # 2 * per_class rows at most
-    rows = (
-        docs.select("doc_id", F.col("text"))
-        .join(picked, "doc_id")
-        .where("text IS NOT NULL")
-        .limit(4 * per_class)
-        .select("doc_id", "text", "label")
-        .collect()
+    return docs.select("doc_id", F.lower("text").alias("text")).join(picked, "doc_id").where("text IS NOT NULL")
+
+
+def _screened(rows: DataFrame) -> np.ndarray:
+    """Features that more toxic than clean documents have, by rate and by more than chance, in order of the hash."""
+
+    def work(part: pa.RecordBatch) -> pa.RecordBatch:
+        words = Texts.of(part.column("text")).words()
+        found = _features(words)
+        doc = np.concatenate([words.owners[index] for index, _ in found])
+        keys, slot = np.unique(np.concatenate([h for _, h in found]), return_inverse=True)
+        pairs = np.unique(slot * part.num_rows + doc)
+        toxic = part.column("label").to_numpy()[pairs % part.num_rows].astype(float)
+        rows = np.bincount(pairs // part.num_rows, weights=toxic, minlength=len(keys)).astype(np.int64)
+        other = np.bincount(pairs // part.num_rows, minlength=len(keys)) - rows
+        some = rows > 0  # what no toxic document here has adds nothing but clean ones
+        return pa.record_batch({"key": keys.view(np.int64), "toxic": rows, "clean": other}).filter(pa.array(some | (other > 0)))
+
+    sizes = {r[0]: r[1] for r in rows.groupBy("label").count().collect()}
+    if len(sizes) < 2:
+        return np.zeros(0, np.uint64)
+    counts = mapped(rows.select("text", "label"), "text", work, "key long, toxic long, clean long")
+    counts = counts.groupBy("key").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    rate, usual = (F.col("toxic") + 0.25) / sizes[1], (F.col("clean") + 0.25) / sizes[0]
+    chosen = counts.where(
+        (F.col("toxic") >= 3)
+        & (rate > 4 * usual)
+        & (F.col("toxic") - F.col("clean") > 2 * F.sqrt(F.col("toxic") + F.col("clean")))
     )
-    rows.sort(key=lambda r: (r[0], r[1]))
-    return [r[1] for r in rows], [r[2] for r in rows]
+    return np.sort(np.array([r[0] for r in chosen.select("key").collect()], np.int64).view(np.uint64))
 
 
 def model_of(docs: DataFrame, labels: DataFrame, learnable: Column | None = None, per_class: int = PER_CLASS):
-    """The model that the labelled documents give; ``learnable`` (on ``doc_id``) holds rows back."""
-    return train(*sample(docs, labels, F.lit(True) if learnable is None else learnable, per_class))
+    """The model that the labelled documents give; ``learnable`` (on ``doc_id``) holds rows back.
+
+    Features are counted, screened and looked up in tasks; the driver gets which sentence has which chosen feature.
+    """
+    rows = staged(sample(docs, labels, F.lit(True) if learnable is None else learnable, per_class), "sample")
+    keys = _screened(rows)
+    if not len(keys):
+        return ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), -np.inf)
+    sieve = ToxicityModel(keys, np.zeros(0), 0.0).sieve()
+
+    def work(part: pa.RecordBatch) -> pa.RecordBatch:
+        words = Texts.of(part.column("text")).words()
+        begins = _sentence_starts(words)
+        which, feature = _hits(keys, sieve, words, np.cumsum(begins) - 1)
+        owner = words.owners[begins]
+        edges = np.searchsorted(which, np.searchsorted(owner, np.arange(part.num_rows + 1)))
+        first = np.searchsorted(owner, np.arange(part.num_rows))
+        own = which - first[owner[which]] if len(which) else which
+        lists = pa.array(edges.astype(np.int32))
+        return pa.record_batch(
+            {
+                "doc_id": part.column("doc_id"),
+                "label": part.column("label"),
+                "sentences": pa.array(np.bincount(owner, minlength=part.num_rows).astype(np.int64)),
+                "which": pa.ListArray.from_arrays(lists, pa.array(own.astype(np.int32))),
+                "feature": pa.ListArray.from_arrays(lists, pa.array(feature.astype(np.int32))),
+            }
+        )
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, label int, sentences long, which array<int>, feature array<int>"
+    bags = mapped(rows.select("doc_id", "text", "label"), "text", work, schema).collect()
+    bags.sort(key=lambda r: (r[0], r[2], r[3], r[4]))
+    sizes = np.array([r[2] for r in bags], np.int64)
+    first = np.cumsum(sizes) - sizes
+    sentence = np.concatenate([np.array(r[3], np.int64) + f for r, f in zip(bags, first)])
+    feature = np.concatenate([np.array(r[4], np.int64) for r in bags])
+    owner = np.repeat(np.arange(len(bags)), sizes)
+    return fit(keys, np.array([r[1] for r in bags]), owner, sentence, feature)
 
 
 def score_documents(docs: DataFrame, model: ToxicityModel) -> DataFrame:
