@@ -62,7 +62,8 @@ def suffix_order(sequence: np.ndarray, depth: int) -> np.ndarray:
 class FMIndex:
     """Over a sequence of symbols from 0 to ``symbols`` - 1; patterns of up to ``longest`` symbols can be found.
 
-    The order looks one symbol further than the longest pattern, which is all that backward search relies on.
+    The sequence ends with symbol 0, which no pattern has. The order looks one symbol further than the longest
+    pattern, which is all that backward search relies on.
     """
 
     def __init__(self, sequence: np.ndarray, symbols: int, longest: int):

@@ -23,6 +23,7 @@ from tidewell.llm.batches import Texts, mapped
 WINDOW = 128
 PER_LANGUAGE = 1000
 UNKNOWN = "und"
+MAX_LANGUAGES = 1000  # outputs of the network
 
 
 def windows_of(texts: Texts, length: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -46,8 +47,10 @@ def sample(docs: DataFrame, learnable: Column, per_language: int = PER_LANGUAGE)
     )
     sizes = docs.where(F.col("lang").isNotNull()).groupBy(F.col("lang").alias("label")).count()
     share = F.col("count") / F.lit(float(per_language))
+    if sizes.count() > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
     drawn = (
-        known.join(sizes, "label")
+        known.join(F.broadcast(sizes), "label")
         .where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) * share < F.lit(1.25 * (1 << 30)))
         .select(F.lower("text").alias("text"), "label", "doc_id")
     )

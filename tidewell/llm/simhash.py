@@ -68,7 +68,8 @@ def xxh64(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 42
     at = starts.copy()
     big = np.flatnonzero(n >= 32)
     if len(big):
-        acc = [np.full(len(big), x, np.uint64) for x in (s + _P1 + _P2, s + _P2, s, s - _P1)]
+        acc = [np.full(len(big), s, np.uint64) for _ in range(4)]  # arrays wrap around without a warning
+        acc = [acc[0] + _P1 + _P2, acc[1] + _P2, acc[2], acc[3] - _P1]
         stripes, live = n[big] // 32, np.arange(len(big))
         for k in range(int(stripes.max())):
             live = live[stripes[live] > k]
