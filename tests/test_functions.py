@@ -143,7 +143,8 @@ def test_trim_keeps_tabs_and_other_types(spark):
 
 def test_shift_to_utc_handles_both_timestamp_types(spark):
     df = spark.sql("SELECT TIMESTAMP '2024-01-01 09:00:00' AS a, TIMESTAMP_NTZ '2024-01-01 09:00:00' AS b, ' x ' AS c")
-    got = trim_and_shift_to_utc(df)
+    got = trim_and_shift_to_utc(df, "Asia/Seoul")
+    assert trim_and_shift_to_utc(df).drop("c").collect() == df.drop("c").collect()
     assert [f.dataType for f in got.schema] == [f.dataType for f in df.schema]
     assert tuple(got.select(F.col("a").cast("string"), F.col("b").cast("string"), "c").first()) == (
         "2024-01-01 00:00:00", "2024-01-01 00:00:00", "x",

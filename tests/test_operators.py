@@ -79,16 +79,13 @@ def test_previous_value_with_a_hot_key(spark, chunks):
     rows = [(k, i, rng.choice(["A", "B", None])) for i, k in enumerate(keys)]
     rng.shuffle(rows)
     df = spark.createDataFrame(rows, "k STRING, pos LONG, v STRING")
-    got = with_previous(df, ["k"], ["pos"], "v", "prev", 100, chunks)
+    got = with_previous(df, ["k"], ["pos"], "v", "prev", chunks)
     assert sorted((tuple(r) for r in got.collect()), key=str) == brute_previous(rows)
 
 
-def test_plain_window_where_groups_are_small(spark):
-    df = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y")], "k STRING, pos LONG, v STRING")
-    small = with_previous(df, ["k"], ["pos"], "v", "prev", 2)
-    assert CHUNK not in small._jdf.queryExecution().toString()
-    assert CHUNK in with_previous(df, ["k"], ["pos"], "v", "prev", 1)._jdf.queryExecution().toString()
-    assert with_previous(df.limit(0), ["k"], ["pos"], "v", "prev").count() == 0
+def test_previous_value_of_no_rows(spark):
+    df = spark.createDataFrame([], "k STRING, pos LONG, v STRING")
+    assert with_previous(df, ["k"], ["pos"], "v", "prev").count() == 0
 
 
 def test_hot_key_is_spread_over_chunks(spark):
@@ -98,8 +95,7 @@ def test_hot_key_is_spread_over_chunks(spark):
     assert max(sizes) < 3000
 
 
-@pytest.mark.parametrize("limit", [20, 10**6])
-def test_alerts_against_brute_force(spark, limit):
+def test_alerts_against_brute_force(spark):
     rng = random.Random(3)
     rows = []
     for i in range(500):
@@ -117,7 +113,7 @@ def test_alerts_against_brute_force(spark, limit):
             continue
         want.append((r[4], before is None))
         state[run] = now
-    alerts = health.alert_transitions(spark.createDataFrame(rows, schema), max_group_rows=limit)
+    alerts = health.alert_transitions(spark.createDataFrame(rows, schema))
     assert sorted((r.event_id, r.opens_thread) for r in alerts.collect()) == want
     counts = health.monthly_failures(alerts).collect()
     failed = sum(1 for i, _ in want if rows[i][6] == "FAILED")

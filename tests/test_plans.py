@@ -5,7 +5,10 @@ import re
 import pytest
 
 from tidewell.operators import ledger, maintenance
-from tidewell.operators.changes import MAX_BROADCAST_KEYS, apply_newest, newest_changes
+from tidewell.operators.changes import apply_newest, newest_changes
+from tidewell.plans.upkeep import retention_delete
+from tidewell.queries.ledgers import IDLE_LEDGER
+from tidewell.queries.registry import derive
 from tidewell.queries import cdc, upkeep
 from tidewell.queries.all import QUERIES
 
@@ -56,12 +59,15 @@ def test_nothing_is_broadcast_beyond_the_threshold(spark, small):
     assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
 
 
-def test_keys_are_broadcast_up_to_a_limit(spark, small):
-    target, newest = cdc.bronze_orders(spark, small), newest_changes(cdc.changes(spark, small))
-    counted = without_broadcast(spark, lambda: apply_newest(target, newest, key_count=MAX_BROADCAST_KEYS))
-    assert "BroadcastHashJoin" in counted
-    beyond = without_broadcast(spark, lambda: apply_newest(target, newest, key_count=MAX_BROADCAST_KEYS + 1))
-    assert "SortMergeJoin" in beyond and "BroadcastHashJoin" not in beyond
+def test_ledger_delete_is_an_equi_join_with_the_rows_of_retain(spark, small):
+    """Formats run the DELETE; here its condition selects, which Spark plans alike."""
+    derive(spark, small, IDLE_LEDGER).createOrReplaceTempView("ledger_rows")
+    text = retention_delete("ledger_rows", "2024-01-24 00:00:00").replace("DELETE FROM", "SELECT * FROM")
+    gone = spark.sql(text)
+    assert "NestedLoop" not in gone._jdf.queryExecution().executedPlan().toString()
+    kept = QUERIES["ledger_retention"](spark, small)
+    assert gone.count() > 0 and gone.count() + kept.count() == spark.table("ledger_rows").count()
+    assert gone.join(kept, "batch_id").count() == 0
 
 
 def test_expired_files_need_one_join(spark, small):

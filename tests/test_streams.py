@@ -17,7 +17,7 @@ from tidewell.sinks.ledger import ensure_ledger, ledger_name
 from tidewell.sinks.tables import PARQUET, BronzeStore, create_or_replace, data_schema
 from tidewell.sources.files import RECORD_SCHEMA, read_parquet, record_file_stream
 from tidewell.streaming.archive import archive_batch, start_archive
-from tidewell.streaming.cdc import APPLIED, EMPTY, SKIPPED, CdcJob, apply_batch, run_topic, topic_checkpoint
+from tidewell.streaming.cdc import APPLIED, EMPTY, CdcJob, MissingTargetError, apply_batch, run_topic, topic_checkpoint
 from tidewell.streaming.listener import ProgressListener
 from tidewell.streaming.runner import DONE, FAILED, run_side_by_side, run_topics
 from tidewell.streaming.runner import SKIPPED as NOT_STARTED
@@ -122,8 +122,9 @@ def test_empty_batch_and_missing_target(spark, job):
     empty = split_frames(records(spark, job.topic, [(1, 1, "u", "x", 2)])).limit(0)
     assert apply_batch(empty, 1, job).status == EMPTY
     elsewhere = CdcJob("srv.Nowhere.Items", job.dag_id, job.store, job.registry, JSON)
-    assert apply_batch(split_frames(records(spark, "t", [(4, 1, "u", "x", 2)])), 2, elsewhere).status == SKIPPED
-    assert ledger(spark, job) == [(1, 0, None, None), (2, 1, 4, 4)]
+    with pytest.raises(MissingTargetError):
+        apply_batch(split_frames(records(spark, "t", [(4, 1, "u", "x", 2)])), 2, elsewhere)
+    assert ledger(spark, job) == [(1, 0, None, None)]
 
 
 def test_batch_of_tombstones_only(spark, job):

@@ -125,7 +125,7 @@ def test_merge_into_an_empty_table(spark, store, schema):
 
 
 def test_buckets_by_size():
-    assert [buckets_for(n) for n in (None, 0, 1 << 30, (1 << 30) + 1, 100 << 40)] == [64, 1, 1, 2, 4096]
+    assert [buckets_for(n) for n in (0, 1 << 30, (1 << 30) + 1, 100 << 40)] == [1, 1, 2, 102_400]
 
 
 def test_compaction_and_unused_files(spark, store, schema):

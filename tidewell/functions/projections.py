@@ -19,9 +19,14 @@ def trim_strings(df: DataFrame) -> DataFrame:
     return df.select([_trimmed(field) for field in df.schema.fields])
 
 
-def trim_and_shift_to_utc(df: DataFrame, source_tz: str = DEFAULT_SOURCE_TZ) -> DataFrame:
-    """As :func:`trim_strings`, and timestamps go from the source's wall clock to UTC."""
-    return df.select([_shifted(field, source_tz) for field in df.schema.fields])
+def trim_and_shift_to_utc(df: DataFrame, source_tz: str = "UTC") -> DataFrame:
+    """As :func:`trim_strings`, and timestamps go from the source's wall clock to UTC.
+
+    The time rows were staged at is an instant already and stays.
+    """
+    return df.select(
+        [field.name if field.name == STAGED_TIME_COLUMN else _shifted(field, source_tz) for field in df.schema.fields]
+    )
 
 
 def _trimmed(field: T.StructField) -> Column:

@@ -14,9 +14,6 @@ OP = "__op"
 OFFSET = "__offset"
 DELETE = "d"
 
-# Keys of 32 bytes: about 60 MB to send, and about 200 MB of hash table on each executor.
-MAX_BROADCAST_KEYS = 2_000_000
-
 
 def newest_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first row per key in the given order.
@@ -43,19 +40,14 @@ def deletes(changes: DataFrame, op: str = OP) -> DataFrame:
     return changes.filter(F.col(op) == DELETE)
 
 
-def apply_newest(
-    target: DataFrame, newest: DataFrame, key: str = KEY_COLUMN, op: str = OP, key_count: int | None = None
-) -> DataFrame:
+def apply_newest(target: DataFrame, newest: DataFrame, key: str = KEY_COLUMN, op: str = OP) -> DataFrame:
     """Target rows that no change touches, and the rows that changes write.
 
-    ``newest`` holds one row per key. An anti join and a union stand in for MERGE and DELETE, so
-    the target, the large side, is not shuffled as long as the keys can be broadcast; a full outer
-    join would shuffle it each time. If the caller has counted the keys, they are broadcast up to a
-    limit that is higher than Spark's own, and sorted and merged beyond it.
+    ``newest`` holds one row per key. An anti join and a union stand in for MERGE and DELETE. Only
+    the keys of the changes are joined, so Spark broadcasts them by its own threshold on their bytes
+    and leaves the target, the large side, where it is; a full outer join would shuffle it each time.
     """
     touched = newest.filter(F.col(op).isNotNull()).select(key)
-    if key_count is not None and key_count <= MAX_BROADCAST_KEYS:
-        touched = F.broadcast(touched)
     return target.join(touched, key, "left_anti").select(target.columns).unionByName(
         upserts(newest, op).select(target.columns)
     )
@@ -67,10 +59,9 @@ def apply_changes(
     """The target after a set of changes.
 
     The newest changes are staged, because both sides of the union need them and the change log
-    should be read and shuffled once. Counting them then takes file footers only.
+    should be read and shuffled once.
     """
-    newest = staged(newest_changes(changes, key, offset), "changes")
-    return apply_newest(target, newest, key, op, newest.count())
+    return apply_newest(target, staged(newest_changes(changes, key, offset), "changes"), key, op)
 
 
 def upsert_rows(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.operators.ordered import MAX_GROUP_ROWS, with_previous
+from tidewell.operators.ordered import with_previous
 
 # States of a task run.
 FAILED = "FAILED"
@@ -15,7 +15,7 @@ RECOVERED = "RECOVERED"
 RUN_KEYS = ("dag_id", "task_id", "run_id")
 
 
-def alert_transitions(events: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def alert_transitions(events: DataFrame) -> DataFrame:
     """Events that send a message: a failure once until the state changes, each retry, and a
     recovery only after a retry.
 
@@ -24,7 +24,7 @@ def alert_transitions(events: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -
     ``state``, ``try_number``.
     """
     effective = events.filter((F.col("state") != RECOVERED) | (F.col("try_number") > 1))
-    compared = with_previous(effective, RUN_KEYS, ("event_ts", "event_id"), "state", "previous_state", max_group_rows)
+    compared = with_previous(effective, RUN_KEYS, ("event_ts", "event_id"), "state", "previous_state")
     repeated = (F.col("state") == FAILED) & F.col("previous_state").eqNullSafe(F.lit(FAILED))
     return compared.filter(~repeated).withColumn("opens_thread", F.col("previous_state").isNull())
 

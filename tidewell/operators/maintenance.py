@@ -76,10 +76,12 @@ def files_of_expired(referenced: DataFrame, expired: DataFrame) -> DataFrame:
     )
 
 
-def orphan_files(listed: DataFrame, referenced: DataFrame, cutoff: Column) -> DataFrame:
+def orphan_files(
+    listed: DataFrame, referenced: DataFrame, cutoff: Column, time: str = "modificationTime"
+) -> DataFrame:
     """Listed files older than the cutoff that nothing refers to.
 
     Paths are made distinct first: a file that every snapshot refers to would be a hot key.
     """
-    old = listed.filter(F.col("modificationTime") < cutoff)
+    old = listed.filter(F.col(time) < cutoff)
     return old.join(referenced.select("path").distinct(), "path", "left_anti").select(listed.columns)

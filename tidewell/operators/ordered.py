@@ -12,8 +12,6 @@ from tidewell.session import staged
 CHUNK = "__chunk"
 
 
-# Rows of one group that a task can well sort and walk through.
-MAX_GROUP_ROWS = 1_000_000
 CHUNKS_PER_PARTITION = 4
 
 
@@ -23,26 +21,11 @@ def with_previous(
     order: Sequence[str],
     value: str,
     output: str,
-    max_group_rows: int = MAX_GROUP_ROWS,
     chunks: int | None = None,
 ) -> DataFrame:
     """``lag(value) over (partition by keys order by order)`` for groups of any size.
 
-    The rows of each group are counted first, with map-side combine. As long as no group is too
-    large for a task a plain window does; otherwise groups are cut into chunks. ``order`` has to be
-    a total order within a group.
-    """
-    largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
-    if largest is None or largest <= max_group_rows:
-        return df.withColumn(output, F.lag(value).over(Window.partitionBy(*keys).orderBy(*order)))
-    chunks = chunks or CHUNKS_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return _previous_by_chunks(df, keys, order, value, output, chunks)
-
-
-def _previous_by_chunks(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, output: str, chunks: int
-) -> DataFrame:
-    """Rows are range partitioned by (keys, order), which cuts a large group into consecutive chunks.
+    ``order`` has to be a total order within a group. Rows are range partitioned by (keys, order), which cuts a large group into consecutive chunks.
 
     The lag runs within each chunk, and the first row of a group in a chunk takes over the value
     from the last row of the chunk before, if that belongs to the same group. There is one last row
@@ -51,6 +34,7 @@ def _previous_by_chunks(
     Chunk numbers come from sampled range borders, so the rows are staged with them: otherwise a
     lost executor could change the borders half way.
     """
+    chunks = chunks or CHUNKS_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = staged(
         df.repartitionByRange(chunks, *keys, *order).withColumn(CHUNK, F.spark_partition_id()), "ordered"
     )

@@ -8,7 +8,6 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewell.functions.keys import row_key
-from tidewell.functions.logical_types import DEFAULT_SOURCE_TZ
 from tidewell.functions.names import KEY_COLUMN, MYSQL, STAGED_TIME_COLUMN, parse_source_table
 from tidewell.functions.projections import stamp, stamp_or_rename, trim_and_shift_to_utc, trim_strings
 from tidewell.sinks.files import overwrite_parquet
@@ -32,7 +31,7 @@ def staged_rows(df: DataFrame, now: dt.datetime | None = None) -> DataFrame:
 def bronze_rows_from_staged(
     df: DataFrame,
     primary_key: Sequence[str],
-    source_tz: str = DEFAULT_SOURCE_TZ,
+    source_tz: str = "UTC",
     now: dt.datetime | None = None,
 ) -> DataFrame:
     return with_key(stamp_or_rename(trim_and_shift_to_utc(df, source_tz), now), primary_key)
@@ -83,7 +82,7 @@ def load_staged(
     store: BronzeStore,
     table: str,
     primary_key: Sequence[str],
-    source_tz: str = DEFAULT_SOURCE_TZ,
+    source_tz: str = "UTC",
     now: dt.datetime | None = None,
 ) -> None:
     """Parquet folder -> bronze table."""

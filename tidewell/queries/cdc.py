@@ -108,7 +108,7 @@ def cdc_apply_multiversion(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "composite_key_dedup",
     """
-    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate FROM lineitem
+    SELECT * FROM lineitem
     QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
         ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC) = 1
     """,
@@ -116,10 +116,7 @@ def cdc_apply_multiversion(spark: SparkSession, sf_dir: str) -> DataFrame:
 def composite_key_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The line items as a change log of a table with a key of two columns."""
     order = [F.desc(c) for c in ("l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice")]
-    lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"
-    )
-    return newest_per_key(lines, ["l_orderkey", "l_linenumber"], order)
+    return newest_per_key(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], order)
 
 
 @query("bronze_merge", applied_sql(NEWEST_SQL))

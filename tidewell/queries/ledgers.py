@@ -21,8 +21,11 @@ LEDGER = """
 
 # Times of a user stop early for some, so that whole tables are idle before the cutoff.
 IDLE_LEDGER = f"""
-    SELECT * FROM ({LEDGER}) AS l
-    WHERE dag_id <> 'cdc_2' OR processed_at < TIMESTAMP '2024-01-12 00:00:00' OR processed_at IS NULL
+    SELECT dag_id, bronze_schema, table_name, event_count, max_event_ts,
+           CASE WHEN dag_id = 'cdc_2' AND processed_at >= TIMESTAMP '2024-01-12 00:00:00'
+                THEN TIMESTAMP '2024-01-11 00:00:00' ELSE processed_at END AS processed_at,
+           min_offset, max_offset, batch_id, processing_duration_sec
+    FROM ({LEDGER}) AS l
 """
 
 
@@ -42,22 +45,22 @@ def ledger_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     "ledger_merge",
     f"""
     WITH newest AS (
-        SELECT * FROM ({LEDGER}) WHERE table_name IS NOT NULL
+        SELECT * FROM ({LEDGER})
         QUALIFY row_number() OVER (PARTITION BY dag_id, bronze_schema, table_name
             ORDER BY processed_at DESC NULLS LAST, batch_id DESC) = 1
     )
     SELECT dag_id, bronze_schema, table_name, event_count + 1 AS event_count, max_event_ts, processed_at,
            min_offset, max_offset, batch_id, processing_duration_sec FROM newest WHERE min_offset % 2 = 0
     UNION ALL
-    SELECT * FROM newest WHERE min_offset % 2 <> 0
+    SELECT * FROM newest WHERE min_offset % 2 <> 0 OR table_name IS NULL
     UNION ALL
     SELECT dag_id || '_new', bronze_schema, table_name, event_count + 1, max_event_ts, processed_at,
            min_offset, max_offset, batch_id, processing_duration_sec FROM newest WHERE min_offset % 2 <> 0
     """,
 )
 def ledger_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Half of the keys are updated, and as many new ones are added."""
-    current = ledger.latest(derive(spark, sf_dir, LEDGER).filter("table_name IS NOT NULL"))
+    """Half of the keys are updated, and as many new ones are added; a key with a NULL matches nothing."""
+    current = ledger.latest(derive(spark, sf_dir, LEDGER))
     updates = current.selectExpr(
         "CASE WHEN min_offset % 2 = 0 THEN dag_id ELSE dag_id || '_new' END AS dag_id",
         "bronze_schema", "table_name", "event_count + 1 AS event_count", "max_event_ts", "processed_at",

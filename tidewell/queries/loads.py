@@ -99,16 +99,12 @@ def snapshot_load_without_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "staged_load",
     f"""
-    SELECT event_id, ts - INTERVAL 9 HOUR AS ts, user_id, event_type, value, props,
-           {RUN_TIME_SQL} - INTERVAL 9 HOUR AS last_applied_date, md5(CAST(event_id AS VARCHAR)) AS id_iceberg
+    SELECT event_id, ts, user_id, event_type, value, props, {RUN_TIME_SQL} AS last_applied_date, md5(CAST(event_id AS VARCHAR)) AS id_iceberg
     FROM events
     """,
 )
 def staged_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Staged Parquet and its load: the time the rows were staged becomes the load time.
-
-    Every timestamp of a staged file counts as source wall clock, the staging time too.
-    """
+    """Staged Parquet and its load: the time the rows were staged becomes the load time."""
     folder = new_workspace(spark, "staged")
     overwrite_parquet(staged_rows(table(spark, sf_dir, "events"), RUN_TIME), folder)
     staged = read_parquet(spark, folder)

@@ -40,13 +40,13 @@ COLUMNS = f"""
 KEY_USAGE_MYSQL = f"""
     SELECT table_schema, table_name, column_name, ordinal_position,
            CASE WHEN ordinal_position <= 1 + sid % 3 THEN 'PRIMARY' ELSE 'uk_' || table_name END AS constraint_name
-    FROM ({COLUMN_BASE}) AS base WHERE ordinal_position <= 5
+    FROM ({COLUMN_BASE}) AS base
 """
 
 KEY_USAGE_SQLSERVER = f"""
     SELECT table_schema, table_name, column_name, ordinal_position,
            CASE WHEN ordinal_position <= 1 + sid % 3 THEN 'PK_' ELSE 'UQ_' END || table_name AS constraint_name
-    FROM ({COLUMN_BASE}) AS base WHERE ordinal_position <= 5
+    FROM ({COLUMN_BASE}) AS base
 """
 
 CONSTRAINTS = f"""
@@ -136,7 +136,10 @@ def table_sizes_mysql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 TABLES_SQLSERVER = "SELECT c_mktsegment AS table_schema, c_name AS table_name, c_custkey AS object_id FROM {customer}"
-INDEXES = "SELECT DISTINCT o_custkey AS object_id, o_orderkey % 4 AS index_id FROM {orders} WHERE o_orderkey % 4 <> 3"
+INDEXES = """
+    SELECT DISTINCT o_custkey AS object_id, CASE WHEN o_orderkey % 4 = 3 THEN 9 ELSE o_orderkey % 4 END AS index_id
+    FROM {orders}
+"""
 PARTITIONS = """
     SELECT o_orderkey AS partition_id, o_custkey AS object_id, o_orderkey % 4 AS index_id, o_orderkey * 3 AS rows
     FROM {orders}

@@ -18,7 +18,7 @@ LEDGER_PROPERTIES = {
     "write.metadata.previous-versions-max": "5",
 }
 
-_PARQUET_TURN = threading.Lock()
+PARQUET_TURN = threading.Lock()
 
 
 def ledger_name(store: BronzeStore) -> str:
@@ -46,7 +46,7 @@ def append_ledger(spark: SparkSession, store: BronzeStore, row: DataFrame) -> No
     temporary folder, which the first to finish clears away, so the streams of an application take
     turns; such a ledger must have only one application that writes it at a time.
     """
-    with nullcontext() if store.row_level else _PARQUET_TURN:
+    with nullcontext() if store.row_level else PARQUET_TURN:
         append_rows(spark, ledger_name(store), row, store.provider)
 
 
@@ -57,7 +57,7 @@ def merge_ledger(spark: SparkSession, store: BronzeStore, rows: DataFrame) -> No
     """
     name = ledger_name(store)
     if not store.row_level:
-        with _PARQUET_TURN:
+        with PARQUET_TURN:
             repoint_table(spark, name, merge(spark.table(name), rows))
         return
     same_key = F.lit(True)

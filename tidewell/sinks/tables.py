@@ -27,8 +27,6 @@ log = logging.getLogger(__name__)
 
 BUCKET_COLUMN = "key_bucket"
 BUCKET_BYTES = 1 << 30
-DEFAULT_BUCKETS = 64
-MAX_BUCKETS = 4096
 PARQUET = "parquet"
 ICEBERG = "iceberg"
 
@@ -75,15 +73,19 @@ def data_schema(schema: T.StructType) -> T.StructType:
     return T.StructType([field for field in schema.fields if field.name != BUCKET_COLUMN])
 
 
-def buckets_for(size_bytes: int | None) -> int:
-    """Buckets of about a gigabyte, so that a few changes rewrite little of a large table.
+def buckets_for(size_bytes: int) -> int:
+    """Buckets of about a gigabyte at any size, so that a few changes rewrite little of a large table."""
+    return max(1, math.ceil(size_bytes / BUCKET_BYTES))
 
-    Every changed bucket is one catalog call after a batch, hence the upper limit; the buckets of a
-    larger table are larger, and are written by several tasks each.
+
+def planned_bytes(df: DataFrame) -> int:
+    """Spark's own estimate of the rows' size, for tables whose source tells none.
+
+    A source without statistics counts as Spark's default size, which is far too large to be true.
     """
-    if size_bytes is None:
-        return DEFAULT_BUCKETS
-    return max(1, min(MAX_BUCKETS, math.ceil(size_bytes / BUCKET_BYTES)))
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    unknown = int(df.sparkSession.conf.get("spark.sql.defaultSizeInBytes", str(2**63 - 1)).rstrip("bB"))
+    return size if size < unknown else 0
 
 
 def key_bucket(buckets: int) -> Column:
@@ -110,7 +112,7 @@ def create_or_replace(
         writer.createOrReplace()
         return
     folder = new_folder(store.location(schema, table))
-    buckets = store.buckets or buckets_for(size_bytes)
+    buckets = store.buckets or buckets_for(planned_bytes(df) if size_bytes is None else size_bytes)
     if keyed:
         _write_buckets(df.withColumn(BUCKET_COLUMN, key_bucket(buckets)), folder)
     else:
@@ -157,13 +159,12 @@ def _merge_into_buckets(spark: SparkSession, name: str, newest: DataFrame, op: s
     # Used for the bucket numbers, the keys to take out and the rows to write.
     with staged_while(placed, "newest") as placed:
         # At most one row per bucket of the table.
-        counts = {row[BUCKET_COLUMN]: row["count"] for row in placed.groupBy(BUCKET_COLUMN).count().collect()}
-        if not counts:
+        changed = sorted(row[0] for row in placed.select(BUCKET_COLUMN).distinct().collect())
+        if not changed:
             return
-        changed = sorted(counts)
         target = spark.table(name).filter(F.col(BUCKET_COLUMN).isin(changed))
         folder = new_folder(table_folder(spark, name))
-        _write_buckets(apply_newest(target, placed, KEY_COLUMN, op, sum(counts.values())), folder)
+        _write_buckets(apply_newest(target, placed, KEY_COLUMN, op), folder)
         point_partitions(spark, name, folder, changed)
 
 

@@ -55,7 +55,7 @@ SQLSERVER_QUERIES = {
     "partitions": "SELECT partition_id, object_id, index_id, rows FROM sys.partitions",
     "units": "SELECT container_id, total_pages FROM sys.allocation_units",
     "properties": """
-        SELECT major_id, minor_id, name, CAST(value AS NVARCHAR(4000)) AS value
+        SELECT major_id, minor_id, name, CAST(value AS NVARCHAR(MAX)) AS value
         FROM sys.extended_properties WHERE name = 'MS_Description'""",
 }
 

@@ -23,7 +23,6 @@ from tidewell.sources.catalog import table_or_none
 log = logging.getLogger(__name__)
 
 APPLIED = "applied"
-SKIPPED = "skipped"
 EMPTY = "empty"
 
 
@@ -43,6 +42,11 @@ class CdcJob:
     known_schemas: dict[int, Row] = field(default_factory=dict, compare=False, repr=False)
 
 
+class MissingTargetError(RuntimeError):
+    """The bronze table of a batch is not there. The batch fails and is not noted in the ledger, so the
+    checkpoint keeps it for the next run."""
+
+
 @dataclass(frozen=True)
 class BatchResult:
     status: str
@@ -69,15 +73,13 @@ def apply_batch(batch: DataFrame, batch_id: int, job: CdcJob) -> BatchResult:
             return BatchResult(EMPTY, 0, 0)
         target = table_or_none(spark, job.store.name(schema, table))
         if target is None:
-            status = SKIPPED
-        else:
-            ids = [(part.value_schema_id, part.key_schema_id) for part in parts]
-            pairs = resolve_pairs(ids, job.registry, spark, job.known_schemas)
-            if pairs:
-                columns = data_schema(target.schema)
-                changes = decode_all_changes(batch, pairs, columns, job.payload_format, job.source_tz)
-                merge_changes(spark, job.store, schema, table, newest_changes(changes))
-            status = APPLIED
+            raise MissingTargetError(f"there is no table {job.store.name(schema, table)}; batch {batch_id} is kept")
+        ids = [(part.value_schema_id, part.key_schema_id) for part in parts]
+        pairs = resolve_pairs(ids, job.registry, spark, job.known_schemas)
+        if pairs:
+            columns = data_schema(target.schema)
+            changes = decode_all_changes(batch, pairs, columns, job.payload_format, job.source_tz)
+            merge_changes(spark, job.store, schema, table, newest_changes(changes))
         events = sum(part.event_count for part in parts)
         append_ledger(
             spark,
@@ -95,7 +97,7 @@ def apply_batch(batch: DataFrame, batch_id: int, job: CdcJob) -> BatchResult:
                 time.monotonic() - started,
             ),
         )
-        return BatchResult(status, events, sum(part.tombstones for part in parts))
+        return BatchResult(APPLIED, events, sum(part.tombstones for part in parts))
     finally:
         batch.unpersist()
 

@@ -37,3 +37,12 @@ def clear_stop(spark: SparkSession, path: str) -> None:
             log.info("Stop file removed: %s", path)
     except Py4JError as error:
         log.warning("Cannot remove the stop file %s: %s", path, error)
+
+
+def stop_all_if_requested(spark: SparkSession | None, path: str | None) -> bool:
+    """End every active query of a session whose stop file is there; whether it was."""
+    asked = spark is not None and path is not None and stop_requested(spark, path)
+    for query in spark.streams.active if asked else ():
+        log.warning("%s ends: %s exists", query.name, path)
+        query.stop()
+    return asked
