@@ -81,6 +81,15 @@ class Texts:
         data = np.frombuffer(buffer, np.uint8)[offsets[0] : offsets[-1]] if buffer else np.zeros(0, np.uint8)
         return cls(data, offsets - offsets[0])
 
+    def parts(self, limit: int = SLICE_BYTES) -> Iterator[Texts]:
+        """The same texts in turn, at most ``limit`` bytes (or one text) at a time."""
+        at = 0
+        while at < len(self):
+            to = max(at + 1, int(np.searchsorted(self.offsets, self.offsets[at] + limit, "right")) - 1)
+            own = self.offsets[at : to + 1]
+            yield Texts(self.data[own[0] : own[-1]], own - own[0])
+            at = to
+
     def lowered(self) -> Texts:
         """A-Z as a-z; other characters stay."""
         return Texts(LOWER[self.data], self.offsets)

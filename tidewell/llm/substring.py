@@ -295,7 +295,7 @@ def repeated_windows(texts: Texts, low: np.ndarray, several: np.ndarray):
     ``low`` is the smallest id of each stretch, ``several`` whether more than one document of its chunk has it. All
     stretches are indexed, and every window of each is searched.
     """
-    own = Chunk(low, [texts])
+    own = Chunk(low, list(texts.parts()))
     words, symbol = np.unique(own.h, return_inverse=True)
     # Symbol 0 ends every stretch, so no window reaches into the next one.
     sequence = np.insert(symbol + 1, own.first[1:], 0)
@@ -304,8 +304,8 @@ def repeated_windows(texts: Texts, low: np.ndarray, several: np.ndarray):
     place = (own.places + own.owners)[once]
     index = FMIndex(sequence, len(words) + 1, WINDOW)
     left, right = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
-    for at in range(0, len(place), 1 << 17):
-        part = place[at : at + (1 << 17)]
+    for at in range(0, len(place), 1 << 16):
+        part = place[at : at + (1 << 16)]
         patterns = sequence[part[:, None] + np.arange(WINDOW)[None, :]]
         left[at : at + len(part)], right[at : at + len(part)] = index.intervals(patterns, least=2)
     left, right = left[slot], right[slot]
@@ -360,7 +360,8 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``n_words``, ``n_removed`` and ``text`` (the words that stay, joined by one space) of every row."""
     table, chunks = _chunked(docs)
     shared = _shared_anchors(table, max(8, chunks))
-    reports = _reports(_stretches(table, shared, max(8, 2 * chunks)), max(8, 2 * chunks))
+    shards = max(8, 4 * chunks)
+    reports = _reports(_stretches(table, shared, shards), shards)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def cover(chunk: pa.Table, known: pa.Table) -> pa.Table:
