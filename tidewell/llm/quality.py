@@ -156,7 +156,7 @@ def _transformed(stats: DataFrame) -> DataFrame:
     )
     words = F.greatest(F.col("n_words"), F.lit(1))
     return (
-        stats.join(usual, keys, "left")
+        stats.join(_small(staged(usual, "usual")), keys, "left")
         .withColumn("t1", (length - F.coalesce("usual_length", length)) * F.sqrt(words / (words + DAMPING)))
         .withColumn("t2", F.log1p(100 * F.col("n_symbols") / (F.col("word_chars") + DAMPING)))
         .withColumn("t3", F.log1p(100 * F.col("n_dup_lines") / (words + DAMPING)))
