@@ -5,6 +5,7 @@ from types import SimpleNamespace
 
 import pytest
 
+from tidewell.__main__ import session_options
 from tidewell.session import iceberg_catalog_options, new_workspace, shared_folder, staged, staged_while
 
 
@@ -59,3 +60,13 @@ def test_catalog_options():
     assert options["spark.sql.defaultCatalog"] == "lake"
     assert options["spark.sql.catalog.lake.uri"] == "u"
     assert options["spark.sql.catalog.lake.warehouse"] == "s3a://w"
+
+
+def test_configuration_registers_the_catalog():
+    config = {"store": {"warehouse": "s3a://w", "catalog": "lake"}, "catalog": {"catalog_impl": "impl"}}
+    options = session_options({**config, "session": {"spark.sql.defaultCatalog": "other", "x": "y"}})
+    assert options["spark.sql.catalog.lake.catalog-impl"] == "impl"
+    assert (options["spark.sql.defaultCatalog"], options["x"]) == ("other", "y")
+    assert session_options({"store": {"warehouse": "w"}}) == {}
+    with pytest.raises(ValueError, match=r"store\.catalog"):
+        session_options({**config, "store": {"warehouse": "w"}})

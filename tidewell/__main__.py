@@ -1,8 +1,9 @@
 """The jobs from the command line: ``python -m tidewell JOB --config FILE ...`` or by spark-submit.
 
 The configuration is a JSON file with the sections ``source`` (database), ``store`` (bronze tables),
-``kafka``, ``registry`` (a table or Parquet folder with schema_id and schema_str), ``stop_base`` and
-``session`` (Spark options); each job reads those it needs.
+``kafka``, ``registry`` (a table or Parquet folder with schema_id and schema_str), ``stop_base``,
+``catalog`` (``catalog_impl``, ``io_impl`` and ``extra`` of the store's Iceberg catalog, which is registered
+under the store's catalog name) and ``session`` (Spark options, which win over those); each job reads those it needs.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from tidewell.operators.maintenance import MIN_FILE_BYTES, RETAIN_LAST, TARGET_F
 from tidewell.plans.snapshot import load_many, load_staged, load_table, stage_table
 from tidewell.plans.upkeep import maintain_ledger, maintain_tables
 from tidewell.plans.validate import validate_tables
-from tidewell.session import build_session
+from tidewell.session import build_session, iceberg_catalog_options
 from tidewell.sinks.ledger import ensure_ledger
 from tidewell.sinks.tables import BronzeStore
 from tidewell.sources.jdbc import JdbcSource
@@ -148,6 +149,17 @@ def _registry(place: str) -> Registry:
     return read
 
 
+def session_options(config: dict) -> dict[str, str]:
+    """Spark options of the configuration, with the store's catalog where its section is there."""
+    options = {}
+    if "catalog" in config:
+        store = config["store"]
+        if not store.get("catalog"):
+            raise ValueError("the section catalog needs a name for it: store.catalog")
+        options = iceberg_catalog_options(store["catalog"], store["warehouse"], **config["catalog"])
+    return {**options, **config.get("session", {})}
+
+
 def _names(text: str) -> list[str]:
     return [name.strip() for name in text.split(",") if name.strip()]
 
@@ -157,7 +169,7 @@ def main(argv: Sequence[str] | None = None) -> int:
     args = parser().parse_args(argv)
     with open(args.config) as file:
         config = json.load(file)
-    spark = build_session(f"tidewell-{args.job}", args.job in STREAM_JOBS, config.get("session"))
+    spark = build_session(f"tidewell-{args.job}", args.job in STREAM_JOBS, session_options(config))
     try:
         run(spark, args, config)
     except Exception:
