@@ -26,6 +26,12 @@ def newest_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[Column]
     return rows.withColumn("__row", F.row_number().over(first)).filter("__row = 1").drop("__row")
 
 
+def with_operation(changes: DataFrame, op: str = OP) -> DataFrame:
+    """Changes that say what they do. The others go before anything is deduplicated, so that the result does not
+    depend on which changes happened to share a batch with them."""
+    return changes.filter(F.col(op).isNotNull())
+
+
 def newest_changes(changes: DataFrame, key: str = KEY_COLUMN, offset: str = OFFSET) -> DataFrame:
     """Newest change per key; all schema versions must already be in ``changes``."""
     return newest_per_key(changes, [key], [F.desc(offset)])
@@ -56,12 +62,12 @@ def apply_newest(target: DataFrame, newest: DataFrame, key: str = KEY_COLUMN, op
 def apply_changes(
     target: DataFrame, changes: DataFrame, key: str = KEY_COLUMN, op: str = OP, offset: str = OFFSET
 ) -> DataFrame:
-    """The target after a set of changes.
+    """The target after a set of changes; those without an operation do nothing.
 
     The newest changes are staged, because both sides of the union need them and the change log
     should be read and shuffled once.
     """
-    return apply_newest(target, staged(newest_changes(changes, key, offset), "changes"), key, op)
+    return apply_newest(target, staged(newest_changes(with_operation(changes, op), key, offset), "changes"), key, op)
 
 
 def upsert_rows(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:

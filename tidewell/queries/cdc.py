@@ -22,6 +22,7 @@ from tidewell.operators.changes import (
     newest_per_key,
     union_versions,
     upserts,
+    with_operation,
 )
 from tidewell.plans.snapshot import bronze_rows
 from tidewell.queries.registry import RUN_TIME, RUN_TIME_SQL, derive, query, table
@@ -44,6 +45,9 @@ NEWEST_SQL = f"""
     QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY __offset DESC) = 1
 """
 
+# Changes without an operation go first, so a run over all changes and runs over parts of them agree.
+EFFECTIVE_SQL = NEWEST_SQL.replace("QUALIFY", "WHERE __op IS NOT NULL QUALIFY")
+
 COLUMNS_SQL = """
     o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, last_applied_date, id_iceberg
 """
@@ -86,12 +90,12 @@ def cdc_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deletes(newest_changes(changes(spark, sf_dir))).drop(OP, OFFSET)
 
 
-@query("cdc_apply", applied_sql(NEWEST_SQL))
+@query("cdc_apply", applied_sql(EFFECTIVE_SQL))
 def cdc_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_changes(bronze_orders(spark, sf_dir), changes(spark, sf_dir))
 
 
-MULTI_SQL = NEWEST_SQL.replace(
+MULTI_SQL = EFFECTIVE_SQL.replace(
     "event_type AS o_orderpriority", "CASE WHEN event_id % 2 = 0 THEN event_type END AS o_orderpriority"
 )
 
@@ -119,12 +123,12 @@ def composite_key_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return newest_per_key(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], order)
 
 
-@query("bronze_merge", applied_sql(NEWEST_SQL))
+@query("bronze_merge", applied_sql(EFFECTIVE_SQL))
 def bronze_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same changes applied to a bronze table, which rewrites the buckets they fall into."""
     store = BronzeStore(new_workspace(spark, "merge"), provider=PARQUET, buckets=8)
     schema = f"merge_{uuid.uuid4().hex[:12]}_bronze"
     create_or_replace(spark, store, schema, "orders", bronze_orders(spark, sf_dir))
-    merge_changes(spark, store, schema, "orders", newest_changes(changes(spark, sf_dir)))
+    merge_changes(spark, store, schema, "orders", newest_changes(with_operation(changes(spark, sf_dir))))
     merged = spark.table(store.name(schema, "orders"))
     return merged.select(*data_schema(merged.schema).names)

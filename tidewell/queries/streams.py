@@ -72,13 +72,10 @@ def _delivery(time: str) -> str:
     return f"CASE {' '.join(cases)} END"
 
 
-# A change without an operation hides older changes of its own batch, but undoes no earlier batch.
+# What all changes give at once, whatever batches they came in.
 STREAMED_SQL = f"""
-    SELECT * FROM (
-        SELECT *, {_delivery("last_applied_date")} AS batch_id FROM ({DECODED_SQL})
-        QUALIFY row_number() OVER (PARTITION BY id_iceberg, batch_id ORDER BY __offset DESC) = 1
-    ) WHERE __op IS NOT NULL
-    QUALIFY row_number() OVER (PARTITION BY id_iceberg ORDER BY batch_id DESC) = 1
+    SELECT * FROM ({DECODED_SQL}) WHERE __op IS NOT NULL
+    QUALIFY row_number() OVER (PARTITION BY id_iceberg ORDER BY __offset DESC) = 1
 """
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from tidewell.functions.frames import split_frames
 from tidewell.functions.logical_types import DEFAULT_SOURCE_TZ
 from tidewell.functions.names import parse_topic
-from tidewell.operators.changes import newest_changes
+from tidewell.operators.changes import newest_changes, with_operation
 from tidewell.operators.decoding import AVRO, Registry, decode_all_changes, resolve_pairs
 from tidewell.operators.ledger import batch_stats, ledger_row
 from tidewell.sinks.ledger import append_ledger
@@ -79,7 +79,7 @@ def apply_batch(batch: DataFrame, batch_id: int, job: CdcJob) -> BatchResult:
         if pairs:
             columns = data_schema(target.schema)
             changes = decode_all_changes(batch, pairs, columns, job.payload_format, job.source_tz)
-            merge_changes(spark, job.store, schema, table, newest_changes(changes))
+            merge_changes(spark, job.store, schema, table, newest_changes(with_operation(changes)))
         events = sum(part.event_count for part in parts)
         append_ledger(
             spark,
