@@ -78,11 +78,12 @@ def project_to_schema(
 
 def with_date_partitions(df: DataFrame, time_column: str = "timestamp") -> DataFrame:
     """year/month/day text columns of the record time, for a partitioned layout."""
-    column = F.col(time_column)
-    return df.withColumns(
-        {
-            "year": F.date_format(column, "yyyy"),
-            "month": F.date_format(column, "MM"),
-            "day": F.date_format(column, "dd"),
-        }
-    )
+    return df.withColumns(date_parts(F.col(time_column)))
+
+
+# Partition columns and their formats.
+_DATE_PARTS = {"year": "yyyy", "month": "MM", "day": "dd"}
+
+
+def date_parts(time: Column) -> dict[str, Column]:
+    return {name: F.date_format(time, pattern) for name, pattern in _DATE_PARTS.items()}

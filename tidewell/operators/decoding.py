@@ -13,7 +13,6 @@ from pyspark.sql import types as T
 from tidewell.functions.keys import hash_key
 from tidewell.functions.logical_types import DEFAULT_SOURCE_TZ, cast_logical
 from tidewell.functions.names import KEY_COLUMN, LOAD_TIME_COLUMN
-from tidewell.functions.projections import project_to_schema
 from tidewell.operators.changes import OFFSET, OP, union_versions
 
 AVRO = "avro"
@@ -159,29 +158,37 @@ def decode_changes(
     payload_format: str = AVRO,
     source_tz: str = DEFAULT_SOURCE_TZ,
 ) -> DataFrame:
-    """Records of one schema pair as rows of the target with their operation and offset."""
+    """Records of one schema pair as rows of the target with their operation and offset.
+
+    The target says what is read: each of its fields is either made by the job or taken alone out of the row image,
+    so columns that it lacks never come into being, and those that the job makes win over a source column of that name.
+    """
     if not pair.keys:
         raise ValueError(f"records with value schema {pair.value_id} have no key, so no row can be told from another")
-    key_parts = [_key_part(name, pair, source_tz) for name in pair.keys]
-    decoded = (
-        records.filter((F.col("value_schema_id") == pair.value_id) & F.col("key_schema_id").eqNullSafe(pair.key_id))
-        .withColumn("key", decode_payload(F.col("key"), pair.key_text, payload_format))
-        .withColumn("value", decode_payload(F.col("value"), pair.value_text, payload_format))
-        .select(
-            "value.after.*",
-            F.col("value.op").alias(OP),
-            F.col("offset").alias(OFFSET),
-            F.timestamp_millis(F.col("value.ts_ms")).alias(LOAD_TIME_COLUMN),
-            hash_key(key_parts).alias(KEY_COLUMN),
-        )
+    events = records.filter(_written_with(pair)).select(
+        decode_payload(F.col("key"), pair.key_text, payload_format).alias("row_id"),
+        decode_payload(F.col("value"), pair.value_text, payload_format).alias("event"),
+        F.col("offset").alias(OFFSET),
     )
-    return project_to_schema(decoded, target, pair.types, source_tz, also=(OP, OFFSET))
+
+    def typed(place: str, name: str) -> Column:
+        return cast_logical(F.col(f"{place}.`{name}`"), pair.types.get(name), source_tz)
+
+    def key_part(name: str) -> Column:
+        return F.trim(F.col(f"row_id.`{name}`")) if pair.types.get(name) == "string" else typed("row_id", name)
+
+    made = {
+        KEY_COLUMN: hash_key([key_part(name) for name in pair.keys]),
+        LOAD_TIME_COLUMN: F.timestamp_millis("event.ts_ms"),
+    }
+    fields = [
+        (made[f.name] if f.name in made else typed("event.after", f.name)).cast(f.dataType).alias(f.name) for f in target
+    ]
+    return events.select(*fields, F.col("event.op").alias(OP), OFFSET)
 
 
-def _key_part(name: str, pair: SchemaPair, source_tz: str) -> Column:
-    column = F.col(f"key.`{name}`")
-    logical = pair.types.get(name)
-    return F.trim(column) if logical == "string" else cast_logical(column, logical, source_tz)
+def _written_with(pair: SchemaPair) -> Column:
+    return (F.col("value_schema_id") == pair.value_id) & F.col("key_schema_id").eqNullSafe(F.lit(pair.key_id))
 
 
 def decode_all_changes(
@@ -214,13 +221,23 @@ def reader_schema(schema_text: str) -> T.StructType:
 
     def convert(node) -> T.DataType:
         if isinstance(node, list):
-            return convert(next(member for member in node if member != "null"))
+            return convert(next((member for member in node if member != "null"), "null"))
         if isinstance(node, str):
-            return named.get(node) or _PRIMITIVES[node]
-        if node["type"] != "record":
-            return convert(node["type"])
-        record = T.StructType([T.StructField(f["name"], convert(f["type"])) for f in node["fields"]])
-        named[node["name"]] = record
-        return record
+            return named[node] if node in named else _PRIMITIVES[node]
+        match node["type"]:
+            case "array":
+                return T.ArrayType(convert(node["items"]))
+            case "map":
+                return T.MapType(T.StringType(), convert(node["values"]))
+            case "enum":
+                made = T.StringType()
+            case "fixed":
+                made = T.BinaryType()
+            case "record":
+                made = T.StructType([T.StructField(f["name"], convert(f["type"])) for f in node["fields"]])
+            case plain:
+                return convert(plain)
+        named[node["name"]] = made
+        return made
 
     return convert(json.loads(schema_text))
