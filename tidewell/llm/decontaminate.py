@@ -9,7 +9,9 @@ Block-max WAND in numpy: terms that many pieces share are non-essential and are
 add at most is known for every block. Essential terms sum up their block maxima for each passage and block, and a
 block whose bound stays under the threshold is skipped as a whole. What is left is scored with all its terms.
 Pieces at or above the threshold are then verified in the passage and its surroundings: overlap of the item's
-question in runs of five words, and of its answer (its last sentence, if it has several) likewise.
+question in runs of ``RUN_WORDS`` words, and of its answer in runs of ``ANSWER_RUN``. The answer is an item's last
+sentence, with as many before it as make ``ANSWER_WORDS`` words, so that no single altered word hides a copy. Marks
+and symbols at the end of a word don't count.
 
 The index is built from the benchmark alone, in shards of at most ``SHARD_BYTES`` of text, which bounds what is
 broadcast; a larger benchmark makes more shards, which the texts pass one after the other in the same stage.
@@ -37,19 +39,20 @@ BLOCK = 2
 SHARE = 0.5
 OVERLAP = 0.5
 RUN_WORDS = 5
+ANSWER_WORDS, ANSWER_RUN = 8, 3
 MIN_WORDS = 5
 COMMON = 0.02
 K1, B = 1.2, 0.75
 SHARD_BYTES = 16 << 20
 _SIEVE_BITS = 20
 _MARK = np.zeros(256, dtype=bool)
-_MARK[list(b".,;:!?\"'()[]")] = True
+_MARK[list(b".,;:!?\"'()[]#*$%&|<>")] = True
 
 
 def word_hashes(words: Words) -> np.ndarray:
-    """Hashes of words without their punctuation at the end."""
+    """Hashes of words without their marks at the end."""
     ends = words.ends.copy()
-    for _ in range(4):
+    for _ in range(8):
         shorter = (ends - words.starts > 1) & _MARK[words.texts.data[np.maximum(ends - 1, 0)]]
         if not shorter.any():
             break
@@ -101,8 +104,10 @@ def build(items: list[tuple[int, str]]) -> Index | None:
         whole = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
         if len(whole) < MIN_WORDS:
             continue
-        question = np.concatenate(hashes[:-1]) if len(hashes) > 1 else whole
-        own.append(Item(item_id, question, hashes[-1] if len(hashes) > 1 else whole[:0]))
+        at = len(hashes)
+        while at > 1 and sum(map(len, hashes[at:])) < ANSWER_WORDS:
+            at -= 1
+        own.append(Item(item_id, np.concatenate(hashes[:at]), np.concatenate([whole[:0], *hashes[at:]])))
         count = -(-len(whole) // PIECE_WORDS)
         for part in np.array_split(whole, count):
             piece_terms.append(np.unique(part, return_counts=True))
@@ -212,7 +217,8 @@ class Searcher:
             item = self.index.items[number]
             low = max(first[t], start - self.index.longest)
             around = h[low : min(first[t + 1], start + PASSAGE_WORDS + self.index.longest)]
-            asked, answered = (self._overlap(part, around) for part in (item.question, item.answer))
+            asked = self._overlap(item.question, around, RUN_WORDS)
+            answered = self._overlap(item.answer, around, ANSWER_RUN)
             if asked >= OVERLAP and answered >= OVERLAP:
                 row = (score, asked, answered, int(start - first[t]))
                 key = (t, number)
@@ -220,10 +226,10 @@ class Searcher:
                     best[key] = row
         return [(t, i, r[3], r[0], r[1], r[2]) for (t, i), r in sorted(best.items())]
 
-    def _overlap(self, part: np.ndarray, around: np.ndarray) -> float:
+    def _overlap(self, part: np.ndarray, around: np.ndarray, run: int) -> float:
         if not len(part):
             return 1.0
-        n = min(RUN_WORDS, len(part))
+        n = min(run, len(part))
         wanted = np.unique(_runs(part, n))
         return float(np.isin(wanted, _runs(around, n)).mean())
 
