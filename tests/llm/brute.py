@@ -1,5 +1,6 @@
 """Plain Python versions of what the operators compute."""
 
+import functools
 import hashlib
 import math
 import re
@@ -7,9 +8,12 @@ import zlib
 from collections import Counter
 
 import duckdb
+import numpy as np
+import pyarrow as pa
 import xxhash
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
+MARKS = tuple(bytes([c]) for c in b".,;:!?\"'()[]")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
@@ -94,6 +98,52 @@ def kept_words(docs):
     return out
 
 
+def toxic_score(model, text):
+    """Noisy-or over sentences with a learned model's weights, word by word."""
+    from tidewell.llm.batches import Texts, mixed
+
+    @functools.cache
+    def feature(data, n=0):
+        h = Texts.of(pa.array([data])).hashes(np.array([0]), np.array([len(data)]))
+        return int((mixed(h + np.uint64(n)) if n else h)[0])
+
+    weights = dict(zip(model.keys.tolist(), model.weights.tolist()))
+    sentences, data = [], (text or "").lower().encode()
+    for line in data.split(b"\n"):
+        new = True
+        for w in re.findall(rb"[^\x20\x09-\x0D]+", line):
+            if new:
+                sentences.append(set())
+            new = w[-1:] in (b".", b"!", b"?")
+            for _ in range(4):
+                if len(w) > 1 and w[-1:] in MARKS:
+                    w = w[:-1]
+            if len(w) > 1 and w[:1] in MARKS:
+                w = w[1:]
+            sentences[-1] |= {feature(w)} | {feature(w[:n], n) for n in (4, 5, 6) if len(w) > n}
+    z = [model.bias + sum(weights.get(f, 0.0) for f in own) for own in sentences]
+    return 1 - math.exp(-sum(math.log1p(math.exp(x)) for x in z))
+
+
+def held_items(text, items):
+    """Benchmark items nine tenths of whose runs of eight words a text has."""
+    w = words(text)
+    own = {tuple(w[k : k + 8]) for k in range(len(w) - 7)}
+    return {item for item, runs in items.items() if runs and len(runs & own) >= 0.9 * len(runs)}
+
+
+def redacted(text, mark="[SECRET]"):
+    merged = []
+    for s, e in sorted(tuple(map(int, span.split(":")[1:])) for span in base_secrets(text)):
+        if merged and s < merged[-1][1]:
+            merged[-1][1] = max(e, merged[-1][1])
+        else:
+            merged.append([s, e])
+    for s, e in reversed(merged):
+        text = text[:s] + mark + text[e:]
+    return text
+
+
 def unigram(docs):
     """For each (id, text): tokens, known tokens, training tokens and base score."""
     tokens = {i: [*words((t or "").translate(LOWER)), None] for i, t in docs}

@@ -14,7 +14,8 @@ from tidewell.llm.queries import TOKENIZER
 
 SCHEMA = (
     "doc_id long, text string, lang string, source string, n_chars long, score double, root string, key int, "
-    "kept boolean, label string, row_hash int, named int, fingerprint string, spans string, words int"
+    "kept boolean, label string, row_hash int, named int, fingerprint string, spans string, words int, "
+    "`a.b` int"
 )
 LONG = " ".join(f"w{i % 977} x{i}" for i in range(30_000))
 TEXTS = [None, "", " \n\t ", "one", "A b\x0bc", LONG, LONG, "one two three. you idiot moron!\n" * 40, "ünï 🤯 \x00 = token='aaaabbbbcccc1'"]
@@ -24,7 +25,7 @@ def frame(spark, texts=TEXTS, ids=None):
     ids = list(range(len(texts))) if ids is None else ids
     langs, sources = [None, "en", "de"], [None, "a", "b", "a"]
     rows = [
-        (i, t, langs[k % 3], sources[k % 4], None, None, "r", 1, True, "l", 2, 3, "f", "s", 4)
+        (i, t, langs[k % 3], sources[k % 4], None, None, "r", 1, True, "l", 2, 3, "f", "s", 4, 5)
         for k, (i, t) in enumerate(zip(ids, texts))
     ]
     return spark.createDataFrame(rows, SCHEMA)
@@ -187,3 +188,37 @@ def test_best_fit_takes_the_tightest_bin_without_a_conflict():
     assert bins.place(3, 2, 0) == first
     assert bins.place(5, 8, 0) == third
     assert bins.place(1, 16, 0) == second
+
+
+def test_packing_is_the_same_for_any_order_of_rows(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    bins = lambda df: sorted((r["doc_id"], r["first_word"], r["bin_id"]) for r in packing.pack(df, 512, 60).collect())
+    assert bins(docs.repartition(7)) == bins(docs.orderBy("n_chars"))
+
+
+def test_stage_and_scores_agree_on_toxicity(spark, testdata):
+    docs = spark.read.parquet(f"{testdata}/sf0.1/documents.parquet")
+    model = toxicity.model_of(docs, spark.read.parquet(f"{testdata}/sf0.1/labels.parquet"))
+    texts = ["İDİOT and MORON, you fool!", "ΟΔΟΣ", "You are an IDIOT and a moron!", None, ""]
+    given = frame(spark, texts)
+    low = {r["doc_id"] for r in toxicity.score_documents(given, model).collect() if r["score"] < toxicity.THRESHOLD}
+    assert {r["doc_id"] for r in toxicity.without_toxic(given, model).collect()} == low
+
+
+def test_copies_teach_the_language_once(spark):
+    text = "the quick brown fox jumps over the lazy dog and runs away " * 9
+    docs = frame(spark, [text] * 500)
+    rows = language.sample(docs.where("lang = 'en'"), docs["doc_id"].isNotNull())
+    assert 1 <= len(rows) <= 4 and all(label == "en" and len(seen) == language.WINDOW for label, seen in rows)
+
+
+def test_one_altered_word_hides_no_benchmark_item():
+    sentence = "{} river {} stone {} cloud {} lamp {} glass.".format
+    item = " ".join(sentence(*(f"{a}{k}" for a in "abcde")) for k in range(5)) + " So it is."
+    index = decontaminate.Searcher(decontaminate.build([(3, item)]))
+    words = item.split()
+    for k, w in enumerate(words):
+        for other in ("other", w + "&&&"):
+            text = " ".join([*words[:k], other, *words[k + 1 :]])
+            assert len(index.matches(Texts.of(pa.array([f"before {text} after"])))) == 1, (k, other)
+    assert not index.matches(Texts.of(pa.array([" ".join(words[: len(words) // 2])])))

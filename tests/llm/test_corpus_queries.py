@@ -132,3 +132,38 @@ def test_pipeline_is_its_stages(spark, small):
     whole = {tuple(r) for r in pipeline.run(spark, small).select("doc_id", "n_words").collect()}
     assert packed == whole
     assert sizes[0] >= sizes[1] > sizes[2] > sizes[3] == sizes[4]
+
+
+def test_pipeline_against_brute_force(spark, testdata):
+    import corpus_pipeline as pipeline
+
+    from tidewell.llm import toxicity
+    from tidewell.llm.queries import remainder, table
+
+    sf_dir = f"{testdata}/sf0.01"
+    docs = brute.read(sf_dir, "documents", "doc_id, text")
+    model = toxicity.model_of(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), remainder(3) != 1)
+    want = {i: brute.toxic_score(model, t) for i, t in docs}
+    for r in toxicity.score_documents(table(spark, sf_dir, "documents"), model).collect():
+        assert r["score"] == pytest.approx(want[r["doc_id"]], abs=1e-9)
+    left = [(i, t) for i, t in docs if want[i] < 0.7]
+    assert len(left) < len(docs)
+    roots = brute.components({i: brute.fingerprint(t) for i, t in left})
+    left = [(i, t) for i, t in left if roots[i] == i]
+    items = {}
+    for item, text in brute.read(sf_dir, "benchmark", "item_id, text"):
+        w = brute.words(text)
+        items[item] = {tuple(w[k : k + 8]) for k in range(len(w) - 7)}
+    left = {i: brute.redacted(t) for i, t in left if not brute.held_items(t, items)}
+    packed = defaultdict(list)
+    for r in pipeline.run(spark, sf_dir).collect():
+        packed[r["doc_id"]].append((r["first_word"], r["n_words"]))
+    assert packed.keys() == left.keys()
+    for i, pieces in packed.items():
+        ends = [0, *(a + n for a, n in sorted(pieces))]
+        assert [a for a, _ in sorted(pieces)] == ends[:-1] and ends[-1] == len(brute.words(left[i]))
+    secrets = pipeline.STAGES[3][1](spark, table(spark, sf_dir, "documents"), sf_dir)
+    texts = dict(docs)
+    assert {r["doc_id"]: (r["text"], r["n_chars"]) for r in secrets.collect()} == {
+        i: (brute.redacted(t), len(brute.redacted(t))) for i, t in texts.items()
+    }

@@ -3,11 +3,11 @@
 A whole text is cut into windows of fixed length, padded with zero bytes; the network scores each window, and the
 mean of the log-probabilities over all windows, weighted by their bytes, decides. Only lower-cased text enters a
 prediction. The network is trained in numpy on a bounded sample, at most about ``PER_LANGUAGE`` documents of each
-language, chosen by a hash of the id, of which windows at hashed places are taken. Scoring is one pass, no shuffle.
+language, chosen by a hash of the id, of which tasks cut a few windows at hashed places; the driver gets those. Scoring is one pass, no shuffle.
 
 Edge cases: a NULL text, or one without any letter, gives ``und`` and 0. NULL languages and ids are not learned
-from. Without a learnable row every text gives ``und``. Rows are judged one by one, repeated rows alike; other
-columns are ignored.
+from. Without a learnable row every text gives ``und``. Rows are judged one by one, repeated rows alike; what is
+learned from a text counts once, however often it comes. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -40,8 +40,33 @@ def windows_of(texts: Texts, length: int = WINDOW) -> tuple[np.ndarray, np.ndarr
     return out.reshape(-1, length), owner, filled
 
 
-def sample(docs: DataFrame, learnable: Column, per_language: int = PER_LANGUAGE) -> list[tuple[str, str]]:
-    """(lower-cased text, language) of about ``per_language`` documents of each language, by a hash of the id."""
+def _chosen(texts: Texts, windows: np.ndarray, owner: np.ndarray, filled: np.ndarray, count: int) -> np.ndarray:
+    """At most ``count`` windows of each text, by a hash of their content; short ends only where there is no more."""
+    first = np.arange(len(owner)) - np.searchsorted(owner, owner)
+    starts = texts.offsets[:-1][owner] + first * windows.shape[1]
+    short = filled < min(32, WINDOW)
+    order = np.lexsort((texts.hashes(starts, starts + filled), short, owner))
+    rank = np.arange(len(owner)) - np.searchsorted(owner[order], owner[order])
+    return order[(rank < count) & (~short[order] | (rank == 0))]
+
+
+def sample(
+    docs: DataFrame, learnable: Column, per_language: int = PER_LANGUAGE, windows_per_text: int = 4
+) -> list[tuple[str, bytes]]:
+    """(language, window of lower-cased bytes) of about ``per_language`` documents of each language, by a hash of
+    the id: at most ``windows_per_text`` windows of each."""
+
+    def work(part: pa.RecordBatch) -> pa.RecordBatch:
+        texts = Texts.of(part.column("text"))
+        windows, owner, filled = windows_of(texts)
+        chosen = _chosen(texts, windows, owner, filled, windows_per_text)
+        return pa.record_batch(
+            {
+                "label": part.column("label").take(pa.array(owner[chosen])),
+                "seen": pa.array([windows[k].tobytes() for k in chosen], pa.binary()),
+            }
+        )
+
     known = docs.select("doc_id", "text", F.col("lang").alias("label")).where(
         F.col("label").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & learnable
     )
@@ -52,33 +77,24 @@ def sample(docs: DataFrame, learnable: Column, per_language: int = PER_LANGUAGE)
     drawn = (
         known.join(F.broadcast(sizes), "label")
         .where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) * share < F.lit(1.25 * (1 << 30)))
-        .select(F.lower("text").alias("text"), "label", "doc_id")
+        .select(F.lower("text").alias("text"), F.col("label").cast("string").alias("label"))
     )
-    return [(r[0], r[1]) for r in sorted(drawn.collect(), key=lambda r: (r[1], r[2], r[0]))]
+    found = mapped(drawn, "text", work, "label string, seen binary").distinct()
+    return sorted((r[0], bytes(r[1])) for r in found.collect())
 
 
-def train(rows: list[tuple[str, str]], windows_per_text: int = 4) -> tuple[byteconv.ByteConv | None, list[str]]:
+def train(rows: list[tuple[str, bytes]]) -> tuple[byteconv.ByteConv | None, list[str]]:
     """The network and the languages its outputs stand for."""
-    languages = sorted({label for _, label in rows})
     if not rows:
         return None, []
-    texts = Texts.of(pa.array([text for text, _ in rows], pa.string()))
-    windows, owner, filled = windows_of(texts)
-    order = np.random.default_rng(11).permutation(len(owner))
-    rank = np.zeros(len(owner), np.int64)
-    by_owner = order[np.argsort(owner[order], kind="stable")]
-    rank[by_owner] = np.arange(len(owner)) - np.searchsorted(owner[by_owner], owner[by_owner])
-    chosen = (rank < windows_per_text) & (filled >= min(32, WINDOW))
-    if not chosen.any():
-        chosen = np.ones(len(owner), bool)
-    if not len(owner):
-        return None, []
+    languages = sorted({label for label, _ in rows})
     number = {label: i for i, label in enumerate(languages)}
-    labels = np.array([number[label] for _, label in rows])[owner[chosen]]
+    windows = np.frombuffer(b"".join(seen for _, seen in rows), np.uint8).reshape(len(rows), -1)
+    labels = np.array([number[label] for label, _ in rows])
     # Texts may be short: every window also comes cut to a random length.
-    cut = windows[chosen].copy()
+    cut = windows.copy()
     cut[np.arange(cut.shape[1]) >= np.random.default_rng(13).integers(8, WINDOW, len(cut))[:, None]] = 0
-    return byteconv.train(np.concatenate([windows[chosen], cut]), np.tile(labels, 2), len(languages)), languages
+    return byteconv.train(np.concatenate([windows, cut]), np.tile(labels, 2), len(languages)), languages
 
 
 def predictions(net: byteconv.ByteConv, texts: Texts) -> tuple[np.ndarray, np.ndarray]:

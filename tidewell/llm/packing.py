@@ -6,8 +6,9 @@ packed. Pieces are placed longest first. Open bins are ordered by what is left i
 its sources and one of its clusters, and the search goes from the tightest residual that fits upwards until a bin
 without a conflict is found; a new bin is opened if there is none.
 
-Documents are dealt by a hash of their content to groups of bounded size, one per task call, and groups pack on
-their own; what is lost by that is at most the last open bins of each. Only ids and lengths are shuffled.
+Documents are dealt by a hash of their content to groups of bounded size, and groups pack on their own; what is lost
+by that is at most the last open bins of each. Only ids and lengths are shuffled, and a task gets them in order, so
+that one which is repeated after a lost executor packs the same bins.
 
 Edge cases: NULL and empty texts have no words; they get a row without a bin (NULL). NULL sources and clusters
 conflict with nothing. Repeated rows are placed one by one; with a cluster they conflict like any copies. Other
@@ -30,6 +31,7 @@ from tidewell.llm.batches import Texts, mapped
 
 CAPACITY = 2048
 GROUP_ROWS = 20_000
+MOST_TASKS = 50_000  # beyond, a task packs several groups
 SCHEMA = "bin_id long, doc_id {}, first_word long, n_words long, source string, cluster long"
 
 
@@ -179,4 +181,5 @@ def pack_measured(narrow: DataFrame, groups: int, capacity: int, group_rows: int
         if waiting:
             yield packed()
 
-    return narrow.repartition(groups, F.col("row_order")).mapInArrow(run, SCHEMA.format(kind))
+    dealt = narrow.repartition(min(groups, MOST_TASKS), F.col("row_order"))
+    return dealt.sortWithinPartitions("row_order", "doc_id", "n_words").mapInArrow(run, SCHEMA.format(kind))

@@ -186,7 +186,7 @@ def _printed(docs: DataFrame, shingle_words: int) -> DataFrame:
         return pa.record_batch({"doc_id": part.column(0), "row_hash": part.column(1), "fingerprint": prints})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    given = docs.select("doc_id", F.xxhash64(*docs.columns).alias("row_hash"), "text")
+    given = docs.select("doc_id", F.xxhash64(*(docs[f"`{c}`"] for c in docs.columns)).alias("row_hash"), "text")
     return mapped(given, "text", work, f"doc_id {kind}, row_hash long, fingerprint long")
 
 

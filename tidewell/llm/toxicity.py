@@ -15,11 +15,11 @@ scored alike, row by row. Other columns are ignored.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -239,13 +239,15 @@ def score_documents(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
 def without_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -> DataFrame:
     """The rows, all columns, whose score is below ``threshold``."""
-    sieve = model.sieve()
+    sieve, width = model.sieve(), len(docs.columns)
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
-        lowered = pc.utf8_lower(part.column("text"))
-        return part.filter(pa.array(scores(model, sieve, Texts.of(lowered)) < threshold))
+        clean = scores(model, sieve, Texts.of(part.column(width))) < threshold
+        return part.select(range(width)).filter(pa.array(clean))
 
-    return mapped(docs, "text", work, docs.schema)
+    # Lower case is Spark's here too, so that a text gets the score that ``score_documents`` gives it.
+    lowered = docs.withColumn(f"lowered_{uuid.uuid4().hex}", F.lower("text"))
+    return mapped(lowered, "text", work, docs.schema)
 
 
 def offending_sentences(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5) -> DataFrame:
