@@ -176,13 +176,18 @@ def mapped(
                 yield out
 
     limit_batches(df.sparkSession)
-    return df.mapInArrow(run, schema)
+    # Names with dots can't go to Python as they are; columns keep their places.
+    plain = df.toDF(*(f"column_{i}" if "." in name or "`" in name else name for i, name in enumerate(df.columns)))
+    return plain.mapInArrow(run, schema)
+
+
+BATCH_BYTES = 8 << 20
 
 
 def limit_batches(spark) -> None:
     """Batches to Python by bytes as well as by rows: very long texts must not add up."""
     if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) in (None, str(2**63 - 1), "-1"):
-        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def crc_of(ids: np.ndarray | list) -> np.ndarray:

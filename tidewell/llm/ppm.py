@@ -61,12 +61,12 @@ def _coded(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     symbols = np.insert(LOWER[texts.data].astype(np.int16), texts.offsets[1:], 256)
     starts = texts.offsets + np.arange(len(texts) + 1)
     classes = np.append(CLASS_OF, np.uint8(END_CLASS))[symbols]
-    code = classes.astype(np.int64)
-    place = np.arange(len(symbols)) - np.repeat(starts[:-1], np.diff(starts))
+    code = classes.astype(np.int32)  # 64**4 fits
+    place = np.arange(len(symbols), dtype=np.int32) - np.repeat(starts[:-1].astype(np.int32), np.diff(starts))
     for back in range(1, ORDER + 1):
         before = np.concatenate([np.zeros(min(back, len(classes)), np.uint8), classes[:-back]])
         before[place < back] = END_CLASS  # before its first byte a text has ends
-        code += before.astype(np.int64) << (6 * back)
+        code += before.astype(np.int32) << (6 * back)
     return code, symbols, starts
 
 
@@ -79,7 +79,7 @@ def gram_counts(docs: DataFrame) -> DataFrame:
         seen = np.bincount(symbols, minlength=257)
         used = np.flatnonzero(seen)
         return pa.record_batch(
-            {"code": np.concatenate([grams, CLASSES**4 + used]), "n": np.concatenate([n, seen[used]]).astype(np.int64)}
+            {"code": np.concatenate([grams.astype(np.int64), CLASSES**4 + used]), "n": np.concatenate([n, seen[used]]).astype(np.int64)}
         )
 
     return mapped(docs.select("text"), "text", work, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
