@@ -111,7 +111,7 @@ def test_frames_round_trip_with_tombstone_and_empty_payload(spark):
     value = F.when(F.col("p").isNotNull(), build_frame(F.col("id"), F.col("p")))
     records = rows.select(
         build_frame(F.lit(7), F.lit("k")).alias("key"), value.alias("value"), F.lit("t").alias("topic"),
-        F.col("o").alias("offset"), F.lit(None).cast("timestamp").alias("timestamp"),
+        F.lit(0).alias("partition"), F.col("o").alias("offset"), F.lit(None).cast("timestamp").alias("timestamp"),
     )
     got = [(r.key_schema_id, r.value_schema_id, r.value) for r in split_frames(records).orderBy("offset").collect()]
     assert got == [(7, 300, b"abc"), (7, 2147483647, b""), (7, None, None)]

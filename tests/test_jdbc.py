@@ -220,6 +220,8 @@ def test_mysql_table_to_bronze_by_way_of_parquet(spark, mysql, store, folder):
 def test_sqlserver_metadata_and_an_empty_table(spark, folder, store):
     server = source(spark, folder, "sqlserver", sqlserver_answers())
     metadata = SourceMetadata(spark, server, ["store.dbo.tb_day"])
+    with pytest.raises(ValueError, match="same bronze table"):
+        SourceMetadata(spark, server, ["store.dbo.tb_day", "store.sales.TB_DAY"])
     assert metadata.primary_key_of("store.dbo.tb_day") == ["id", "made"]
     assert metadata.partition_key_of("store.dbo.tb_day") == "id"
     assert tuple(metadata.sizes().first()) == ("store", "tb_day", 7, 2.0)

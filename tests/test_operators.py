@@ -279,3 +279,9 @@ def test_compaction_plan_skips_large_and_lone_files(spark):
     rows = [("a", 10 * mib), ("a", 20 * mib), ("a", 128 * mib), ("b", 1), ("c", 95 * mib), ("c", 95 * mib)]
     plan = maintenance.compaction_plan(spark.createDataFrame(rows, "directory STRING, length LONG")).collect()
     assert {(r.directory, r.input_files, r.output_files) for r in plan} == {("a", 2, 1)}
+
+
+def test_equal_offsets_are_settled_by_the_partition(spark):
+    rows = [("k", "a", 7, 0), ("k", "b", 7, 2), ("k", "c", 7, 1), ("k", "d", 6, 9)]
+    changes = spark.createDataFrame(rows, "id_iceberg STRING, v STRING, __offset LONG, __partition INT")
+    assert [r.v for r in newest_changes(changes).collect()] == ["b"]

@@ -30,6 +30,7 @@ def split_frames(records: DataFrame) -> DataFrame:
         frame_payload(F.col("key")).alias("key"),
         frame_payload(F.col("value")).alias("value"),
         "topic",
+        "partition",
         "offset",
         "timestamp",
     )

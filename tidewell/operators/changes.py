@@ -12,6 +12,7 @@ from tidewell.session import staged
 
 OP = "__op"
 OFFSET = "__offset"
+PARTITION = "__partition"
 DELETE = "d"
 
 
@@ -33,8 +34,13 @@ def with_operation(changes: DataFrame, op: str = OP) -> DataFrame:
 
 
 def newest_changes(changes: DataFrame, key: str = KEY_COLUMN, offset: str = OFFSET) -> DataFrame:
-    """Newest change per key; all schema versions must already be in ``changes``."""
-    return newest_per_key(changes, [key], [F.desc(offset)])
+    """Newest change per key; all schema versions must already be in ``changes``.
+
+    A key keeps to one partition of its topic, where offsets tell the order; should one be in several, equal offsets
+    are settled by the partition, so that a repeated batch gives the same rows.
+    """
+    ties = [F.desc(PARTITION)] if PARTITION in changes.columns else []
+    return newest_per_key(changes, [key], [F.desc(offset), *ties])
 
 
 def upserts(changes: DataFrame, op: str = OP) -> DataFrame:

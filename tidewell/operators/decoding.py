@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from tidewell.functions.keys import hash_key
 from tidewell.functions.logical_types import DEFAULT_SOURCE_TZ, cast_logical
 from tidewell.functions.names import KEY_COLUMN, LOAD_TIME_COLUMN
-from tidewell.operators.changes import OFFSET, OP, union_versions
+from tidewell.operators.changes import OFFSET, OP, PARTITION, union_versions
 
 AVRO = "avro"
 JSON = "json"
@@ -158,7 +158,7 @@ def decode_changes(
     payload_format: str = AVRO,
     source_tz: str = DEFAULT_SOURCE_TZ,
 ) -> DataFrame:
-    """Records of one schema pair as rows of the target with their operation and offset.
+    """Records of one schema pair as rows of the target with their operation, offset and partition.
 
     The target says what is read: each of its fields is either made by the job or taken alone out of the row image,
     so columns that it lacks never come into being, and those that the job makes win over a source column of that name.
@@ -169,6 +169,7 @@ def decode_changes(
         decode_payload(F.col("key"), pair.key_text, payload_format).alias("row_id"),
         decode_payload(F.col("value"), pair.value_text, payload_format).alias("event"),
         F.col("offset").alias(OFFSET),
+        F.col("partition").alias(PARTITION),
     )
 
     def typed(place: str, name: str) -> Column:
@@ -184,7 +185,7 @@ def decode_changes(
     fields = [
         (made[f.name] if f.name in made else typed("event.after", f.name)).cast(f.dataType).alias(f.name) for f in target
     ]
-    return events.select(*fields, F.col("event.op").alias(OP), OFFSET)
+    return events.select(*fields, F.col("event.op").alias(OP), OFFSET, PARTITION)
 
 
 def _written_with(pair: SchemaPair) -> Column:

@@ -14,6 +14,7 @@ from tidewell.queries.registry import RUN_TIME, RUN_TIME_SQL, derive, query, tab
 from tidewell.session import new_workspace
 from tidewell.sinks.files import overwrite_parquet
 from tidewell.sources.files import read_parquet
+from tidewell.sources.jdbc import bounds_sql
 
 TOPICS = """
     SELECT event_id, CASE WHEN event_id % 11 = 0 THEN event_type || '.TB_' || user_id
@@ -127,12 +128,10 @@ def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def scan_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").agg(
-        F.min("l_orderkey").alias("lower_bound"),
-        F.max("l_orderkey").alias("upper_bound"),
-        F.min("l_shipdate").alias("lower_date"),
-        F.max("l_shipdate").alias("upper_date"),
-    )
+    """What the source is asked for before a scan by ranges, for a number and for a date."""
+    numbers = derive(spark, sf_dir, bounds_sql("{lineitem}", "`l_orderkey`"))
+    dates = derive(spark, sf_dir, bounds_sql("{lineitem}", "`l_shipdate`"))
+    return numbers.join(dates.toDF("lower_date", "upper_date"), F.lit(True))
 
 
 @query(

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from tidewell.operators import maintenance
 from tidewell.plans.snapshot import bronze_rows
-from tidewell.plans.upkeep import compact_buckets, live_files
+from tidewell.plans.upkeep import compact_buckets, live_files, maintain_tables
+from tidewell.plans.validate import sync_comments
 from tidewell.queries.loads import SNAPSHOT_SQL
 from tidewell.queries.registry import RUN_TIME, derive, query, table
 from tidewell.session import new_workspace
@@ -22,6 +23,7 @@ from tidewell.sinks.tables import (
     create_or_replace,
     data_schema,
     key_bucket,
+    table_comment,
 )
 
 FILES = "SELECT 'd/' || l_suppkey AS directory, l_linenumber * 20000000 AS length FROM {lineitem}"
@@ -117,3 +119,65 @@ def compact_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     if rewritten and after >= before:
         raise AssertionError(f"{before} files became {after}")
     return spark.table(name).select(*data_schema(spark.table(name).schema).names)
+
+
+COMMENTED_SQL = """
+    SELECT 'r_' || r_regionkey AS table_name, r_name || ' it''s' AS table_comment, 'names in ' || r_name AS name_comment,
+           count(n_nationkey) AS rows
+    FROM region LEFT JOIN nation ON n_regionkey = r_regionkey GROUP BY ALL
+"""
+
+COMMENTS = """
+    SELECT 'table_comment' AS check, 'r_' || r_regionkey AS bronze_table, NULL AS column_name,
+           r_name || ' it\\'s' AS source_value FROM {region}
+    UNION ALL
+    SELECT 'column_comment', 'r_' || r_regionkey, 'n_name', 'names in ' || r_name FROM {region}
+"""
+
+
+@query("comments_synced", COMMENTED_SQL)
+def comments_synced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A bronze table of nations for each region; comments from a drift report, as the catalog tells them afterwards."""
+    store = BronzeStore(new_workspace(spark, "comments"), provider=PARQUET, buckets=1)
+    schema = f"comments_{uuid.uuid4().hex[:12]}_bronze"
+    report = derive(spark, sf_dir, COMMENTS).withColumn("bronze_schema", F.lit(schema))
+    nations, found = table(spark, sf_dir, "nation"), []
+    names = [r.bronze_table for r in report.select("bronze_table").distinct().collect()]  # one for each region
+    for name in names:
+        own = nations.filter(F.concat(F.lit("r_"), F.col("n_regionkey")) == name)
+        create_or_replace(spark, store, schema, name, own)
+    sync_comments(spark, store, report)
+    for name in names:
+        loaded = spark.table(store.name(schema, name))
+        comment = table_comment(spark, store.name(schema, name))
+        found.append((name, comment, loaded.schema["n_name"].metadata["comment"], loaded.count()))
+    return spark.createDataFrame(found, "table_name STRING, table_comment STRING, name_comment STRING, rows BIGINT")
+
+
+@query(
+    "maintenance_outcomes",
+    """
+    WITH loaded AS (SELECT 'orders' AS table_name, count(*) AS rows FROM orders
+                    UNION ALL SELECT 'part', count(*) FROM part)
+    SELECT table_name, step, CASE WHEN table_name = 'orders' AND step = 'compact' THEN 'done' ELSE 'nothing to do' END
+           AS status, rows
+    FROM loaded CROSS JOIN (VALUES ('compact'), ('remove_orphans')) AS steps(step)
+    """,
+)
+def maintenance_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Upkeep of a schema: one table grew by appends, the other is a single file; the rows stay."""
+    store = BronzeStore(new_workspace(spark, "upkeep"), provider=PARQUET, buckets=2)
+    schema = f"upkeep_{uuid.uuid4().hex[:12]}_bronze"
+    orders = bronze_rows(table(spark, sf_dir, "orders"), ["o_orderkey"], RUN_TIME)
+    is_open = F.col("o_orderstatus") == "O"
+    create_or_replace(spark, store, schema, "orders", orders.filter(is_open))
+    more = orders.filter(~is_open).withColumn(BUCKET_COLUMN, key_bucket(store.buckets))
+    append_rows(spark, store.name(schema, "orders"), more, PARQUET)
+    create_or_replace(spark, store, schema, "part", table(spark, sf_dir, "part").coalesce(1))
+    done = maintain_tables(spark, store, [schema], retention_days=1)
+    done = done.withColumn("table_name", F.substring_index("table_name", ".", -1))
+    counted = [
+        spark.table(store.name(schema, name)).groupBy(F.lit(name).alias("table_name")).agg(F.count("*").alias("rows"))
+        for name in ("orders", "part")
+    ]
+    return done.join(counted[0].unionByName(counted[1]), "table_name").select("table_name", "step", "status", "rows")

@@ -16,6 +16,11 @@ MYSQL_SETTINGS = "zeroDateTimeBehavior=convertToNull&useUnicode=true&characterEn
 SQLSERVER_SETTINGS = "encrypt=false;"
 
 
+def bounds_sql(table: str, column: str) -> str:
+    """The query for the smallest and largest value of a column, whose name is quoted already."""
+    return f"SELECT min({column}) AS lower_bound, max({column}) AS upper_bound FROM {table}"
+
+
 @dataclass(frozen=True)
 class JdbcSource:
     """Connection to one MySQL or SQL Server instance.
@@ -76,9 +81,7 @@ class JdbcSource:
 
     def bounds(self, spark: SparkSession, table: str, column: str, database: str = "") -> tuple[Any, Any]:
         """Smallest and largest value of a column, found by the database."""
-        name = self.quoted(column)
-        sql = f"SELECT min({name}) AS lower_bound, max({name}) AS upper_bound FROM {table}"
-        row = self.query(spark, sql, database).first()
+        row = self.query(spark, bounds_sql(table, self.quoted(column)), database).first()
         return (None, None) if row is None else (row[0], row[1])
 
     def scan(

@@ -67,6 +67,9 @@ class SourceMetadata:
         self.spark = spark
         self.source = source
         self.names = [parse_source_table(name, source.dialect) for name in tables]
+        # Bronze has no place for a schema within a database, so two such tables would share all their rows.
+        if len({(name.bronze_schema, name.bronze_table) for name in self.names}) < len(self.names):
+            raise ValueError(f"several of {', '.join(tables)} would have the same bronze table")
         self.full_names = list(tables)
 
     def view(self, name: str) -> DataFrame:
