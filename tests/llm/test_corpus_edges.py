@@ -222,3 +222,30 @@ def test_one_altered_word_hides_no_benchmark_item():
             text = " ".join([*words[:k], other, *words[k + 1 :]])
             assert len(index.matches(Texts.of(pa.array([f"before {text} after"])))) == 1, (k, other)
     assert not index.matches(Texts.of(pa.array([" ".join(words[: len(words) // 2])])))
+
+
+def hidden(items):
+    """(item, place) of altered words that hide a copy."""
+    index = decontaminate.Searcher(decontaminate.build(items))
+    place = {item.item_id: k for k, item in enumerate(index.index.items)}
+    out = []
+    for item_id, text in items:
+        words = text.split()
+        copies = [" ".join(["before", *words[:k], "otherword", *words[k + 1 :], "after"]) for k in range(len(words))]
+        found = {(m[0], m[1]) for m in index.matches(Texts.of(pa.array(copies)))} if item_id in place else set()
+        out += [(item_id, k) for k in range(len(copies)) if item_id in place and (k, place[item_id]) not in found]
+    return out
+
+
+def test_one_altered_word_hides_no_item_of_the_benchmark(testdata):
+    assert not hidden(brute.read(f"{testdata}/sf0.1", "benchmark", "item_id, text"))
+
+
+def test_one_altered_word_hides_no_short_question_or_answer():
+    sizes = [(q, a) for q in range(1, 16) for a in range(0, 12) if q + a >= decontaminate.MIN_WORDS]
+    items = [
+        (k, " ".join(f"q{k}x{i}" for i in range(q)) + "? " + " ".join(f"a{k}x{i}" for i in range(a)))
+        for k, (q, a) in enumerate(sizes)
+    ]
+    same = ["same same same same same other words same same", "Yes yes yes yes? No no no no no no no no"]
+    assert not hidden(items + list(enumerate(same, len(items))))

@@ -9,9 +9,13 @@ Block-max WAND in numpy: terms that many pieces share are non-essential and are
 add at most is known for every block. Essential terms sum up their block maxima for each passage and block, and a
 block whose bound stays under the threshold is skipped as a whole. What is left is scored with all its terms.
 Pieces at or above the threshold are then verified in the passage and its surroundings: overlap of the item's
-question in runs of ``RUN_WORDS`` words, and of its answer in runs of ``ANSWER_RUN``. The answer is an item's last
-sentence, with as many before it as make ``ANSWER_WORDS`` words, so that no single altered word hides a copy. Marks
-and symbols at the end of a word don't count.
+question in runs of up to ``RUN_WORDS`` words, and of its answer in runs of up to ``ANSWER_RUN``. The answer is an
+item's last sentence, with as many before it as make ``ANSWER_WORDS`` words. Marks and symbols at the end of a word
+don't count.
+
+No single altered word hides a copy: an altered word breaks as many runs as a run has words, so runs are shorter in
+short parts, where they would otherwise be more than half; a part of one word is checked together with the other part;
+and no term has more than half of a piece's weight.
 
 The index is built from the benchmark alone, in shards of at most ``SHARD_BYTES`` of text, which bounds what is
 broadcast; a larger benchmark makes more shards, which the texts pass one after the other in the same stage.
@@ -107,6 +111,8 @@ def build(items: list[tuple[int, str]]) -> Index | None:
         at = len(hashes)
         while at > 1 and sum(map(len, hashes[at:])) < ANSWER_WORDS:
             at -= 1
+        if 1 in (sum(map(len, hashes[:at])), sum(map(len, hashes[at:]))):
+            at = len(hashes)
         own.append(Item(item_id, np.concatenate(hashes[:at]), np.concatenate([whole[:0], *hashes[at:]])))
         count = -(-len(whole) // PIECE_WORDS)
         for part in np.array_split(whole, count):
@@ -122,6 +128,8 @@ def build(items: list[tuple[int, str]]) -> Index | None:
     df = np.bincount(flat, minlength=len(terms))
     idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
     weight = idf[flat] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[piece] / length.mean()))
+    others = np.bincount(piece, weights=weight)[piece] - weight
+    weight = np.where(others > 0, np.minimum(weight, others * (1 - SHARE) / SHARE * (1 - 1e-6)), weight)
     weight /= np.bincount(piece, weights=weight)[piece]
     order = np.lexsort((piece, flat))
     flat, piece, weight = flat[order], piece[order], weight[order]
@@ -229,9 +237,8 @@ class Searcher:
     def _overlap(self, part: np.ndarray, around: np.ndarray, run: int) -> float:
         if not len(part):
             return 1.0
-        n = min(run, len(part))
-        wanted = np.unique(_runs(part, n))
-        return float(np.isin(wanted, _runs(around, n)).mean())
+        n = max(1, min(run, (len(part) + 1) // 3))  # one word breaks n runs, which are at most half of all
+        return float(np.isin(_runs(part, n), _runs(around, n)).mean())
 
 
 def indexes(benchmark: DataFrame) -> list[Index]:
