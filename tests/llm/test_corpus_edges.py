@@ -249,3 +249,26 @@ def test_one_altered_word_hides_no_short_question_or_answer():
     ]
     same = ["same same same same same other words same same", "Yes yes yes yes? No no no no no no no no"]
     assert not hidden(items + list(enumerate(same, len(items))))
+
+
+def test_items_of_common_words_are_found():
+    shared = [f"c{i}" for i in range(12)]
+    formulaic = [" ".join(shared[(k + i * (1 + k % 5)) % 12] for i in range(11)) for k in range(300)]
+    asked = [f"what is the capital of land{k}?" for k in range(300)]
+    mixed = [f"{' '.join(shared)} rare{k} odd{k}. {' '.join(shared[::-1])}" for k in range(300)]
+    for texts in (formulaic, asked, mixed):
+        items = list(enumerate(dict.fromkeys(texts)))
+        index = decontaminate.Searcher(decontaminate.build(items))
+        found = {(m[0], m[1]) for m in index.matches(Texts.of(pa.array([f"before {t} after" for _, t in items])))}
+        assert {(k, k) for k, _ in items} <= found
+        assert index.index.block_rest.max() < decontaminate.SHARE
+        assert not hidden(items[:60])
+
+
+def test_groups_of_passages_change_nothing(testdata, monkeypatch):
+    items = brute.read(f"{testdata}/sf0.1", "benchmark", "item_id, text")
+    index = decontaminate.Searcher(decontaminate.build(items))
+    texts = Texts.of(pa.array([f"{LONG[:3000]} {t} {LONG[:2000]}" for _, t in items]))
+    whole = index.matches(texts)
+    monkeypatch.setattr(decontaminate, "POSTINGS", 3)
+    assert len(whole) >= len(items) and index.matches(texts) == whole

@@ -5,9 +5,11 @@ blocks of ``BLOCK`` entries. A posting holds the BM25 weight of a term divided b
 a score is the share of a piece that a passage covers, and one threshold fits all. Passages are windows of
 ``PASSAGE_WORDS`` words that overlap by half and cover every text; a piece that a text holds lies whole in one.
 
-Block-max WAND in numpy: terms that many pieces share are non-essential and are left out at first; what they can
-add at most is known for every block. Essential terms sum up their block maxima for each passage and block, and a
-block whose bound stays under the threshold is skipped as a whole. What is left is scored with all its terms.
+Block-max WAND in numpy: postings of terms that many pieces share are non-essential and are left out at first; what
+they can add at most is known for every block. Where that would reach the threshold, postings of a piece's rarest terms
+are essential too, until the rest stays under it, so a piece at the threshold always has an essential term in the
+passage. Essential postings sum up their block maxima for each passage and block, and a block whose bound stays under
+the threshold is skipped as a whole. What is left is scored with all its terms.
 Pieces at or above the threshold are then verified in the passage and its surroundings: overlap of the item's
 question in runs of up to ``RUN_WORDS`` words, and of its answer in runs of up to ``ANSWER_RUN``. The answer is an
 item's last sentence, with as many before it as make ``ANSWER_WORDS`` words. Marks and symbols at the end of a word
@@ -48,6 +50,7 @@ MIN_WORDS = 5
 COMMON = 0.02
 K1, B = 1.2, 0.75
 SHARD_BYTES = 16 << 20
+POSTINGS = 1 << 21
 _SIEVE_BITS = 20
 _MARK = np.zeros(256, dtype=bool)
 _MARK[list(b".,;:!?\"'()[]#*$%&|<>")] = True
@@ -89,11 +92,11 @@ class Index:
     first: np.ndarray  # postings of term t: first[t] to first[t + 1]
     piece: np.ndarray
     weight: np.ndarray
-    essential: np.ndarray  # by term
-    block_first: np.ndarray  # block postings of essential terms, as above
+    essential: np.ndarray  # by term: has essential postings
+    block_first: np.ndarray  # blocks of essential postings, as above
     block: np.ndarray
     block_max: np.ndarray
-    block_rest: np.ndarray  # most that non-essential terms add in a block
+    block_rest: np.ndarray  # most that non-essential postings add in a block, always under SHARE
     longest: int  # words of the longest item
 
 
@@ -133,9 +136,17 @@ def build(items: list[tuple[int, str]]) -> Index | None:
     weight /= np.bincount(piece, weights=weight)[piece]
     order = np.lexsort((piece, flat))
     flat, piece, weight = flat[order], piece[order], weight[order]
-    essential = df <= max(2, COMMON * n)
+    common = df > max(2, COMMON * n)
+    # Pieces in turn, common terms first in each: the sum up to a posting is what is left without it and rarer ones.
+    by_piece = np.lexsort((flat, -df[flat], piece))
+    ends = np.cumsum(weight[by_piece])
+    begin = np.searchsorted(piece[by_piece], np.arange(n))
+    upto = ends - (ends[begin] - weight[by_piece][begin])[piece[by_piece]]
+    keep = np.empty(len(flat), bool)
+    keep[by_piece] = upto >= SHARE - 1e-6
+    keep |= ~common[flat]
+    essential = np.bincount(flat[keep], minlength=len(terms)) > 0
     block = piece // BLOCK
-    keep = essential[flat]
     pairs, slot = np.unique(flat[keep] * (n // BLOCK + 1) + block[keep], return_inverse=True)
     block_max = np.zeros(len(pairs))
     np.maximum.at(block_max, slot, weight[keep])
@@ -196,22 +207,34 @@ class Searcher:
         term = np.concatenate([term, term[step > 0]])
         once = np.unique(number * len(ix.terms) + term)
         number, term = once // len(ix.terms), once % len(ix.terms)
+        # Whole passages at a time, with about POSTINGS blocks of their terms.
+        sizes = ix.block_first[term + 1] - ix.block_first[term]
+        group = np.cumsum(sizes) // POSTINGS
+        opens = np.flatnonzero(np.diff(number, prepend=-1))
+        cuts = opens[np.flatnonzero(np.diff(group[opens], prepend=-1))]
+        for low, high in zip(cuts, [*cuts[1:], len(term)]):
+            yield from self._scored(h, first, owner_of, number[low:high], term[low:high])
+
+    def _scored(self, h, first, owner_of, number, term) -> Iterator[tuple[int, int, int, float]]:
+        """``_candidates`` of some passages, given by their numbers and essential terms."""
+        ix, half, blocks = self.index, PASSAGE_WORDS // 2, len(self.index.block_rest)
         of, place = _expanded(ix.block_first, term)
-        blocks = len(ix.block_rest)
         key, slot = np.unique(number[of] * blocks + ix.block[place], return_inverse=True)
         bound = np.bincount(slot, weights=ix.block_max[place], minlength=len(key)) + ix.block_rest[key % blocks]
-        for k in key[bound >= SHARE]:
-            passage, block = int(k // blocks), int(k % blocks)
+        key = key[bound >= SHARE - 1e-9]
+        passages, at = np.unique(key // blocks, return_index=True)
+        for passage, wanted in zip(passages, np.split(key % blocks, at[1:])):
             t = int(owner_of(np.array([passage]))[0])
             start = int(first[t] + (passage - first[t]) * half)
             found = np.unique(self._term(h[start : min(start + PASSAGE_WORDS, first[t + 1])]))
-            found = found[found >= 0]
-            _, place = _expanded(ix.first, found)
-            piece = ix.piece[place] - block * BLOCK
-            inside = (piece >= 0) & (piece < BLOCK)
-            score = np.bincount(piece[inside], weights=ix.weight[place[inside]], minlength=BLOCK)
-            for p in np.flatnonzero(score >= SHARE):
-                yield t, start, int(ix.item_of[block * BLOCK + p]), float(score[p])
+            _, place = _expanded(ix.first, found[found >= 0])
+            block = ix.piece[place] // BLOCK
+            near = np.minimum(np.searchsorted(wanted, block), len(wanted) - 1)
+            place = place[wanted[near] == block]
+            pieces, slot = np.unique(ix.piece[place], return_inverse=True)
+            score = np.bincount(slot, weights=ix.weight[place], minlength=len(pieces))
+            for p in np.flatnonzero(score >= SHARE - 1e-9):
+                yield t, start, int(ix.item_of[pieces[p]]), float(score[p])
 
     def matches(self, texts: Texts) -> list[tuple[int, int, int, float, float, float]]:
         """(text, item number, word of the passage, score, question overlap, answer overlap), the best of each."""
