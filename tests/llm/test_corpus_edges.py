@@ -272,3 +272,32 @@ def test_groups_of_passages_change_nothing(testdata, monkeypatch):
     whole = index.matches(texts)
     monkeypatch.setattr(decontaminate, "POSTINGS", 3)
     assert len(whole) >= len(items) and index.matches(texts) == whole
+
+
+def test_ppm_learns_true_bytes_in_long_contexts(spark):
+    seen = ["когда весна придёт на реку и лёд уйдёт", "春が来れば川の氷が解けて流れる", "<b>if (x[i] != y{j}) &&</b>"]
+    shuffled = ["".join(sorted(t)) for t in seen]
+    docs = frame(spark, seen * 20 + seen + shuffled)
+    score = {r["doc_id"]: r["score"] for r in ppm.score_documents(docs, docs["doc_id"] < 60).collect()}
+    for k, text in enumerate(seen):
+        assert score[60 + k] > -0.12 * len(text.encode())  # known text, in log10 a byte
+        assert score[63 + k] < 4 * score[60 + k]
+
+
+def test_ppm_blended_probabilities_sum_to_one(spark):
+    texts = ["abracadabra", "abra cadabra", "", "ёж и ёлка"]
+    grams = ppm.gram_counts(frame(spark, texts))
+    model, rows = ppm.train(grams), ppm.followers(grams).toArrow()
+    counts = {r["context"]: dict(zip(r["symbols"], r["counts"])) for r in rows.to_pylist()}
+    known = ppm.Followers(
+        np.array(list(counts)),
+        np.array([len(c) for c in counts.values()]),
+        np.array([b for c in counts.values() for b in c]),
+        np.array([n for c in counts.values() for n in c.values()]),
+    )
+    long = 9 * ppm.ORDERS[-1]
+    context = ppm._grams(Texts.of(pa.array([*texts, "zq"])))[0] & ((1 << long) - 1)
+    code = (np.arange(257)[:, None] << long) | context
+    base = np.exp(model.table.reshape(-1)[ppm._classed(code)].astype(float) + model.within[np.arange(257)][:, None])
+    whole = base / base.sum(axis=0)  # the classes keep a little for classes without bytes
+    assert np.allclose(known.blended(code, whole).sum(axis=0), 1)

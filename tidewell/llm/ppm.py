@@ -1,13 +1,18 @@
 """Language-model scores by prediction by partial matching, and a unigram base score.
 
-The model predicts bytes from the three before them. Bytes fall into 64 classes (letters, digits and frequent marks
-alone, rare ones together); contexts and predictions are of classes, and within a class the byte is coded by its
-frequency, so the product is a probability of the very bytes. A trie of class contexts holds how often each class
-followed; a class that the longest context has not seen is reached by an escape to the next shorter one (method C:
-as likely as the number of distinct classes seen), where classes already seen above are excluded. Because the trie
-has at most 64**4 leaves, all blended probabilities fit one table of fixed size, which is what is broadcast.
+The model predicts each byte from the bytes before it, in contexts of ``ORDERS`` true bytes. How often each byte
+followed each context is counted by Spark over every document that may be learned from and written as a table that
+grows with the corpus. A context passes on to the next shorter one by method C: an escape is as likely as the number
+of distinct bytes seen after it, and what all orders say is blended, so a byte seen in a longer context keeps the
+share that the shorter ones give it, and probabilities sum to one. A context that was never seen is left out.
 
-Counts cover every document that may be learned from, summed with map-side combining.
+The shortest order escapes to a model of classes, which gives every byte a probability: bytes fall into 64 classes
+(letters, digits and frequent marks alone, rare ones together), a trie of three classes holds how often each class
+followed, with escapes and exclusions, and within a class the byte is coded by its frequency. Its at most 64**4 leaves
+are one table of fixed size, which is broadcast; it only decides where the counts of true bytes leave room.
+
+Codes of contexts hold their bytes, so none are mixed up. A chunk (below) sends its distinct contexts and gets the
+bytes that followed them, with counts.
 
 The base score counts words exactly. Texts are grouped in chunks of bounded size; a chunk sends its distinct words
 with their counts, gets the totals of just those back, and scores its documents. What is exchanged follows the
@@ -24,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +37,8 @@ from pyspark.sql import functions as F
 from tidewell.llm.batches import LOWER, Texts, limit_batches, mapped, slices
 from tidewell.session import staged
 
-ORDER = 3
+ORDERS = (1, 2, 3, 5)
+ORDER = 3  # of the classes
 CLASSES = 64
 END_CLASS = 0
 CHUNK_TOKENS = 2_000_000
@@ -70,21 +77,100 @@ def _coded(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return code, symbols, starts
 
 
+_LONG = ORDERS[-1]
+_CONTEXT = (1 << 9 * _LONG) - 1
+
+
+def _grams(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+    """For all bytes and ends, in order, a code of the symbol and those before it, 9 bits each, the symbol highest and
+    the furthest lowest; where texts start. Before its first byte a text has ends."""
+    symbols = np.insert(LOWER[texts.data].astype(np.int64), texts.offsets[1:], 256)
+    starts = texts.offsets + np.arange(len(texts) + 1)
+    place = np.arange(len(symbols)) - np.repeat(starts[:-1], np.diff(starts))
+    code = symbols << 9 * _LONG
+    for back in range(1, _LONG + 1):
+        before = np.concatenate([np.zeros(min(back, len(symbols)), np.int64), symbols[:-back]])
+        before[place < back] = 256
+        code |= before << 9 * (_LONG - back)
+    return code, starts
+
+
+def _context(code: np.ndarray, order: int) -> np.ndarray:
+    """The code of the context of an order."""
+    return (code & _CONTEXT) >> 9 * (_LONG - order) | order << 48
+
+
+def _classed(code: np.ndarray) -> np.ndarray:
+    """Context-and-class codes of grams."""
+    classes = np.append(CLASS_OF, np.uint8(END_CLASS)).astype(np.int64)
+    return sum(classes[code >> 9 * (_LONG - back) & 511] << 6 * back for back in range(ORDER + 1))
+
+
 def gram_counts(docs: DataFrame) -> DataFrame:
-    """``code`` and ``n``: counts of class sequences (below 64**4) and, from 64**4 on, of bytes."""
+    """``code`` and ``n``: how often each byte or end came after the longest contexts."""
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
-        code, symbols, _ = _coded(Texts.of(part.column("text")))
-        grams, n = np.unique(code, return_counts=True)
-        seen = np.bincount(symbols, minlength=257)
-        used = np.flatnonzero(seen)
-        return pa.record_batch(
-            {"code": np.concatenate([grams.astype(np.int64), CLASSES**4 + used]), "n": np.concatenate([n, seen[used]]).astype(np.int64)}
-        )
+        grams, n = np.unique(_grams(Texts.of(part.column("text")))[0], return_counts=True)
+        return pa.record_batch({"code": grams, "n": n.astype(np.int64)})
 
     return mapped(docs.select("text"), "text", work, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
 
 
+def class_counts(grams: DataFrame) -> DataFrame:
+    """``code`` and ``n``: counts of class sequences (below 64**4) and, from 64**4 on, of bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            code = part.column("code").to_numpy()
+            both = np.concatenate([_classed(code), CLASSES**4 + (code >> 9 * _LONG)])
+            found, slot = np.unique(both, return_inverse=True)
+            n = np.zeros(len(found), np.int64)
+            np.add.at(n, slot, np.tile(part.column("n").to_numpy(), 2))
+            yield pa.record_batch({"code": found, "n": n})
+
+    return grams.mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+
+
+def followers(grams: DataFrame) -> DataFrame:
+    """``context``, and in order ``symbols`` that followed it, with ``counts``; for the contexts of all orders."""
+    own = F.col("code").bitwiseAND(F.lit(_CONTEXT))
+    contexts = F.array(*(F.shiftright(own, 9 * (_LONG - k)).bitwiseOR(F.lit(k << 48)) for k in ORDERS))
+    each = grams.select(F.explode(contexts).alias("context"), F.shiftright("code", 9 * _LONG).cast("short").alias("symbol"), "n")
+    counted = each.groupBy("context", "symbol").agg(F.sum("n").alias("n"))
+    listed = counted.groupBy("context").agg(F.sort_array(F.collect_list(F.struct("symbol", "n"))).alias("seen"))
+    return listed.select("context", F.col("seen.symbol").alias("symbols"), F.col("seen.n").alias("counts"))
+
+
+class Followers:
+    """Rows of :func:`followers`, for lookups."""
+
+    def __init__(self, context: np.ndarray, sizes: np.ndarray, symbols: np.ndarray, counts: np.ndarray):
+        order = np.argsort(context)
+        self.context = context[order]
+        owner = np.empty(len(order), np.int64)
+        owner[order] = np.arange(len(order))
+        owner = np.repeat(owner, sizes)
+        place = owner * 512 + symbols
+        self.total = np.bincount(owner, weights=counts, minlength=len(order))
+        self.distinct = sizes[order]
+        order = np.argsort(place)
+        self.place, self.count = place[order], counts[order].astype(float)
+
+    def blended(self, code: np.ndarray, p: np.ndarray) -> np.ndarray:
+        """Probabilities of grams, from ``p`` of the model without contexts of bytes."""
+        if not len(self.context):
+            return p
+        for order in ORDERS:
+            context = _context(code, order)
+            at = np.minimum(np.searchsorted(self.context, context), len(self.context) - 1)
+            place = at * 512 + (code >> 9 * _LONG)
+            to = np.minimum(np.searchsorted(self.place, place), len(self.place) - 1)
+            count = np.where(self.place[to] == place, self.count[to], 0.0)
+            new = (count + self.distinct[at] * p) / (self.total[at] + self.distinct[at])
+            p = np.where(self.context[at] == context, new, p)
+        return p
+
+
 class Model:
     """``table[context, class]``: natural logarithm of a class's probability; ``within[byte]``: of a byte in its class."""
 
@@ -138,23 +224,33 @@ class Model:
         return np.add.reduceat(value, starts[:-1]) / np.log(10) if len(texts) else np.zeros(0)
 
 
-def train(docs: DataFrame) -> Model:
-    """A model of all rows; at most 64**4 + 257 counts come to the driver, in practice a few hundred thousand."""
-    found = gram_counts(docs).toArrow()
+    def blended(self, texts: Texts, known: Followers) -> np.ndarray:
+        """The log10 probability of each text and its end, by bytes that followed contexts and by this model."""
+        if not len(texts):
+            return np.zeros(0)
+        code, starts = _grams(texts)
+        code, slot = np.unique(code, return_inverse=True)
+        p = np.exp(self.table.reshape(-1)[_classed(code)].astype(np.float64) + self.within[code >> 9 * _LONG])
+        return np.add.reduceat(np.log10(known.blended(code, p))[slot], starts[:-1])
+
+
+def train(grams: DataFrame) -> Model:
+    """A model of classes; at most 64**4 + 257 counts come to the driver, in practice a few hundred thousand."""
+    found = class_counts(grams).toArrow()
     return Model(found.column("code").to_numpy(), found.column("n").to_numpy())
 
 
-def _chunks(docs: DataFrame, shared) -> DataFrame:
-    """One row for each chunk of texts: ids and scores of its documents, their tokens as numbers of the chunk's
-    words, and those words with how often the learnable ones of its documents use them."""
+def _chunks(docs: DataFrame) -> DataFrame:
+    """One row for each chunk of texts: ids and texts of its documents, their tokens as numbers of the chunk's words,
+    those words with how often the learnable ones of its documents use them, and the contexts of its bytes."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = (
-        f"chunk_id long, doc_ids array<{kind}>, scores array<double>, sizes array<int>, tokens binary, "
-        "words array<long>, trained array<long>"
+        f"chunk_id long, doc_ids array<{kind}>, bytes binary, lengths array<long>, sizes array<int>, tokens binary, "
+        "n_words long, words array<long>, trained array<long>, contexts array<long>"
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, number, model = TaskContext.get().partitionId() << 32, 0, shared.value
+        base, number = TaskContext.get().partitionId() << 32, 0
         held: list[tuple] = []
 
         def row() -> pa.RecordBatch:
@@ -166,11 +262,14 @@ def _chunks(docs: DataFrame, shared) -> DataFrame:
             one = {
                 "chunk_id": pa.array([base + number], pa.int64()),
                 "doc_ids": _listed(ids),
-                "scores": _listed(pa.array(np.concatenate([h[1] for h in held]))),
+                "bytes": pa.array([b"".join(h[1].data.tobytes() for h in held)], pa.binary()),
+                "lengths": _listed(pa.array(np.concatenate([np.diff(h[1].offsets) for h in held]))),
                 "sizes": _listed(pa.array(np.concatenate([h[2] for h in held]).astype(np.int32))),
                 "tokens": pa.array([tokens.tobytes()], pa.binary()),
+                "n_words": pa.array([len(words)], pa.int64()),
                 "words": _listed(pa.array(words.view(np.int64))),
                 "trained": _listed(pa.array(trained.astype(np.int64))),
+                "contexts": _listed(pa.array(np.unique(np.concatenate([h[6] for h in held])))),
             }
             return pa.record_batch(one)
 
@@ -183,7 +282,9 @@ def _chunks(docs: DataFrame, shared) -> DataFrame:
             learn = np.repeat(part.column("learn").to_numpy(False).astype(float), sizes)
             words, inverse = np.unique(h, return_inverse=True)
             trained = np.bincount(inverse, weights=learn, minlength=len(words))
-            held.append((part.column("doc_id"), model.scores(texts), sizes, words, inverse.astype(np.int32), trained))
+            grams = np.unique(_grams(texts)[0] & _CONTEXT)
+            contexts = np.unique(np.concatenate([_context(grams, k) for k in ORDERS]))
+            held.append((part.column("doc_id"), texts, sizes, words, inverse.astype(np.int32), trained, contexts))
             tokens += len(h)
             if tokens >= CHUNK_TOKENS:
                 yield row()
@@ -200,6 +301,10 @@ def _listed(values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
+def _flat(lists: pa.ChunkedArray) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.int64), *(c.flatten().to_numpy(False) for c in lists.chunks)])
+
+
 def score_documents(docs: DataFrame, learnable: Column) -> DataFrame:
     """``doc_id``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score`` of every row.
 
@@ -207,15 +312,24 @@ def score_documents(docs: DataFrame, learnable: Column) -> DataFrame:
     """
     spark = docs.sparkSession
     learn = F.coalesce(learnable, F.lit(False))
-    shared = spark.sparkContext.broadcast(train(docs.where(learn)))  # 64 MB, whatever the corpus
-    chunks = staged(_chunks(docs.select("doc_id", "text", learn.alias("learn")), shared), "chunks")
+    grams = staged(gram_counts(docs.where(learn)), "grams")
+    shared = spark.sparkContext.broadcast(train(grams))  # 64 MB, whatever the corpus
+    chunks = staged(_chunks(docs.select("doc_id", "text", learn.alias("learn"))), "chunks")
     entries = chunks.select("chunk_id", F.posexplode(F.arrays_zip("words", "trained")).alias("place", "entry")).select(
         "chunk_id", "place", F.col("entry.words").alias("word"), F.col("entry.trained").alias("trained")
     )
     totals = staged(entries.groupBy("word").agg(F.sum("trained").alias("n")).where("n > 0"), "totals")
     n, distinct = totals.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     log_all = float(np.log10(n + distinct + 1))
-    used = entries.join(totals, "word").select(F.col("chunk_id").alias("of_chunk"), "place", "n")
+    words = entries.join(totals, "word").select(
+        F.col("chunk_id").alias("of_chunk"),
+        F.col("place").cast("long").alias("place"),
+        F.lit(None).cast("array<short>").alias("symbols"),
+        F.array("n").alias("counts"),
+    )
+    asked = chunks.select(F.col("chunk_id").alias("of_chunk"), F.explode("contexts").alias("context"))
+    contexts = asked.join(followers(grams), "context").select("of_chunk", F.col("context").alias("place"), "symbols", "counts")
+    used = words.union(contexts)
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
@@ -223,8 +337,17 @@ def score_documents(docs: DataFrame, learnable: Column) -> DataFrame:
         ids = chunk.column("doc_ids").combine_chunks().flatten()
         sizes = chunk.column("sizes").combine_chunks().flatten().to_numpy().astype(np.int64)
         tokens = np.frombuffer(chunk.column("tokens")[0].as_buffer(), np.int32)
-        count = np.zeros(len(chunk.column("words").combine_chunks().flatten()))
-        count[known.column("place").to_numpy()] = known.column("n").to_numpy()
+        lengths = chunk.column("lengths").combine_chunks().flatten().to_numpy()
+        data = np.frombuffer(chunk.column("bytes")[0].as_buffer(), np.uint8)
+        texts = Texts(data, np.concatenate([[0], np.cumsum(lengths)]))
+        count = np.zeros(chunk.column("n_words")[0].as_py())
+        is_word = pc.is_null(known.column("symbols"))
+        own = known.filter(is_word)
+        count[own.column("place").to_numpy()] = _flat(own.column("counts"))
+        own = known.filter(pc.invert(is_word))
+        sizes_of = pc.list_value_length(own.column("symbols")).to_numpy()
+        seen = Followers(own.column("place").to_numpy(), sizes_of, _flat(own.column("symbols")), _flat(own.column("counts")))
+        model = shared.value
         each = count[tokens]
         starts = np.cumsum(sizes) - sizes
         out = {
@@ -233,8 +356,9 @@ def score_documents(docs: DataFrame, learnable: Column) -> DataFrame:
             "n_known": pa.array(np.add.reduceat((each > 0).astype(np.int64), starts)),
             "train_tokens": pa.array(np.full(len(sizes), n, np.int64)),
             "base_score": pa.array(np.add.reduceat(np.log10(each + 1), starts) - sizes * log_all),
-            "score": chunk.column("scores").combine_chunks().flatten(),
+            "score": pa.array(np.concatenate([model.blended(part, seen) for part in texts.parts()])),
         }
         return pa.table(out)
 
+    chunks = chunks.drop("words", "trained", "contexts")
     return chunks.groupBy("chunk_id").cogroup(used.groupBy("of_chunk")).applyInArrow(scored, schema)
