@@ -301,3 +301,14 @@ def test_ppm_blended_probabilities_sum_to_one(spark):
     base = np.exp(model.table.reshape(-1)[ppm._classed(code)].astype(float) + model.within[np.arange(257)][:, None])
     whole = base / base.sum(axis=0)  # the classes keep a little for classes without bytes
     assert np.allclose(known.blended(code, whole).sum(axis=0), 1)
+
+
+def test_short_items_and_items_without_an_id_are_found(spark):
+    nameless = "which river runs past the old stone mill near the town?"
+    items = [(1, "Prime minister?"), (2, "prime minister"), (3, "Zyx"), (4, "in the long run"), (None, nameless), (5, "")]
+    texts = ["The PRIME minister, who", "prime", "minister zyx.", "in the long walk", f"so {nameless} yes", "a in the long run b", None]
+    docs = frame(spark, texts)
+    whole = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"], r["first_word"]) for r in decontaminate.leaks(docs, whole).collect()}
+    assert found == {(0, 1, 1), (0, 2, 1), (2, 3, 1), (4, None, 0), (5, 4, 1)}
+    assert {r["doc_id"] for r in decontaminate.without_leaks(docs, whole.where("item_id = 3")).collect()} == {0, 1, 3, 4, 5, 6}

@@ -22,9 +22,9 @@ and no term has more than half of a piece's weight.
 The index is built from the benchmark alone, in shards of at most ``SHARD_BYTES`` of text, which bounds what is
 broadcast; a larger benchmark makes more shards, which the texts pass one after the other in the same stage.
 
-Edge cases: NULL or empty texts match nothing. Items with fewer than ``MIN_WORDS`` words or without a text
-can't be told from chance and are skipped; an item that comes twice counts once with its smallest id, if texts
-are equal. Repeated rows are judged alike, row by row. Other columns are passed through or ignored.
+Edge cases: NULL or empty texts match nothing, and items without a word are skipped. Items with fewer than
+``MIN_WORDS`` words are found as exact runs of their words, so a text that holds them by chance counts too. An item that
+comes twice counts once with its smallest id, if texts are equal; one without an id is found as well, as NULL. Repeated rows are judged alike, row by row. Other columns are passed through or ignored.
 """
 
 from __future__ import annotations
@@ -79,7 +79,7 @@ def _runs(h: np.ndarray, n: int) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Item:
-    item_id: int
+    item_id: int | None
     question: np.ndarray  # hashes of its words
     answer: np.ndarray
 
@@ -98,18 +98,23 @@ class Index:
     block_max: np.ndarray
     block_rest: np.ndarray  # most that non-essential postings add in a block, always under SHARE
     longest: int  # words of the longest item
+    short: dict[int, tuple[np.ndarray, list[list[int]]]]  # items of so many words: their runs in order, and whose
 
 
-def build(items: list[tuple[int, str]]) -> Index | None:
+def build(items: list[tuple[int | None, str]]) -> Index | None:
     """The index of (id, text) pairs; None if nothing is left to search for."""
     import re
 
-    own, piece_terms, item_of = [], [], []
+    own, piece_terms, item_of, runs = [], [], [], {}
     for item_id, text in items:
         parts = [p for p in re.split(r"(?<=[.!?])\s+|\n+", text) if p.strip(" \t\n\v\f\r")]
         hashes = [word_hashes(Texts.of(pa.array([p])).lowered().words()) for p in parts]
         whole = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
+        if not len(whole):
+            continue
         if len(whole) < MIN_WORDS:
+            runs.setdefault(len(whole), {}).setdefault(int(_runs(whole, len(whole))[0]), []).append(len(own))
+            own.append(Item(item_id, whole, whole[:0]))
             continue
         at = len(hashes)
         while at > 1 and sum(map(len, hashes[at:])) < ANSWER_WORDS:
@@ -124,13 +129,14 @@ def build(items: list[tuple[int, str]]) -> Index | None:
     if not own:
         return None
     n = len(piece_terms)
-    terms, flat = np.unique(np.concatenate([t for t, _ in piece_terms]), return_inverse=True)
-    piece = np.repeat(np.arange(n), [len(t) for t, _ in piece_terms])
-    tf = np.concatenate([c for _, c in piece_terms]).astype(float)
+    empty = np.zeros(0, np.uint64)
+    terms, flat = np.unique(np.concatenate([empty, *(t for t, _ in piece_terms)]), return_inverse=True)
+    piece = np.repeat(np.arange(n), np.array([len(t) for t, _ in piece_terms], int))
+    tf = np.concatenate([empty, *(c for _, c in piece_terms)]).astype(float)
     length = np.bincount(piece, weights=tf)
     df = np.bincount(flat, minlength=len(terms))
     idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
-    weight = idf[flat] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[piece] / length.mean()))
+    weight = idf[flat] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[piece] / max(length.sum() / max(n, 1), 1)))
     others = np.bincount(piece, weights=weight)[piece] - weight
     weight = np.where(others > 0, np.minimum(weight, others * (1 - SHARE) / SHARE * (1 - 1e-6)), weight)
     weight /= np.bincount(piece, weights=weight)[piece]
@@ -155,7 +161,7 @@ def build(items: list[tuple[int, str]]) -> Index | None:
     np.maximum.at(block_rest, np.arange(n) // BLOCK, rest)
     return Index(
         own,
-        np.array(item_of),
+        np.array(item_of, int),
         terms,
         np.searchsorted(flat, np.arange(len(terms) + 1)),
         piece,
@@ -166,6 +172,7 @@ def build(items: list[tuple[int, str]]) -> Index | None:
         block_max,
         block_rest,
         max(len(i.question) + len(i.answer) for i in own),
+        {k: (np.array(sorted(r), np.uint64), [r[h] for h in sorted(r)]) for k, r in runs.items()},
     )
 
 
@@ -236,13 +243,27 @@ class Searcher:
             for p in np.flatnonzero(score >= SHARE - 1e-9):
                 yield t, start, int(ix.item_of[pieces[p]]), float(score[p])
 
+    def _short(self, h: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(text, item number, word) of the first place of each short item in each text."""
+        for n, (run, numbers) in self.index.short.items():
+            found = _runs(h, n)
+            at = np.minimum(np.searchsorted(run, found), len(run) - 1)
+            place = np.flatnonzero(run[at] == found)
+            text = np.searchsorted(first, place, "right") - 1
+            inside = place + n <= first[text + 1]
+            place, text = place[inside], text[inside]
+            _, once = np.unique(text * len(run) + at[place], return_index=True)
+            for k in once:
+                for number in numbers[at[place[k]]]:
+                    yield int(text[k]), number, int(place[k] - first[text[k]])
+
     def matches(self, texts: Texts) -> list[tuple[int, int, int, float, float, float]]:
         """(text, item number, word of the passage, score, question overlap, answer overlap), the best of each."""
         words = texts.lowered().words()
         if not len(words):
             return []
         h, first = word_hashes(words), words.first
-        best: dict[tuple[int, int], tuple] = {}
+        best: dict[tuple[int, int], tuple] = {(t, i): (1.0, 1.0, 1.0, word) for t, i, word in self._short(h, first)}
         owner_of = lambda at: np.searchsorted(first, at, "right") - 1
         for t, start, number, score in self._candidates(h, first, owner_of):
             item = self.index.items[number]
@@ -272,7 +293,7 @@ def indexes(benchmark: DataFrame) -> list[Index]:
     out = []
     for k in range(shards):
         rows = given.where(F.pmod(F.xxhash64("text"), F.lit(shards)) == k).select("item_id", "text").collect()
-        index = build(sorted((r[0], r[1]) for r in rows if r[0] is not None))
+        index = build(sorted(map(tuple, rows), key=lambda r: (r[0] is None, 0 if r[0] is None else r[0], r[1])))
         if index is not None:
             out.append(index)
     return out
