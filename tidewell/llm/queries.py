@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.llm import (
+    collocations,
     decontaminate,
     language,
     packing,
@@ -18,6 +19,7 @@ from tidewell.llm import (
     substring,
     tokens,
     toxicity,
+    variants,
 )
 from tidewell.session import use_utc
 from tidewell.sources.files import read_parquet
@@ -135,3 +137,53 @@ def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.deduplicated(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256")
     )
+
+
+@query("op11_variants")
+def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(table(spark, sf_dir, "documents"))
+
+
+COLLOCATIONS_SQL = """
+    WITH texts AS (
+        SELECT coalesce(lang, 'und') AS lang,
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+        FROM documents
+    ), pieces AS (
+        SELECT lang, list_filter(string_split_regex(unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')), '[ \t]+'), lambda x: x <> '') AS w
+        FROM texts
+    ), grams AS (
+        SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+        FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM pieces, range(1, 5) AS lengths(k))
+        GROUP BY ALL
+    ), totals AS (
+        SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM grams WHERE k = 1 GROUP BY lang
+    ), candidates AS (
+        SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS w FROM grams WHERE k >= 2 AND f >= 30
+    ), cuts AS (
+        SELECT lang, phrase, k, a, w, unnest(range(1, k)) AS j FROM candidates
+    ), scored AS (
+        SELECT c.lang, c.phrase, c.a, min(row(CAST(2000000 * CAST(a AS HUGEINT) // (l.f + r.f) AS BIGINT), j, l.f, r.f)) AS best
+        FROM cuts c
+        JOIN grams l ON l.lang = c.lang AND l.phrase = array_to_string(w[1:j], ' ')
+        JOIN grams r ON r.lang = c.lang AND r.phrase = array_to_string(w[j + 1:], ' ')
+        GROUP BY ALL
+    ), sizes AS (
+        SELECT lang, w, k, a, unnest(range(2, k)) AS s FROM candidates
+    ), inside AS (
+        SELECT lang, array_to_string(w[i:i + s - 1], ' ') AS phrase, max(a) AS longer
+        FROM (SELECT lang, w, a, s, unnest(range(1, k - s + 2)) AS i FROM sizes) GROUP BY ALL
+    ), kept AS (
+        SELECT s.lang, s.phrase, s.a, best[1] AS score, best[3] AS l, best[4] AS r
+        FROM scored s LEFT JOIN inside i ON i.lang = s.lang AND i.phrase = s.phrase
+        WHERE coalesce(100 * CAST(longer AS HUGEINT) < 80 * CAST(s.a AS HUGEINT), true)
+    ), ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept
+    )
+    SELECT ranked.lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals ON totals.lang = ranked.lang WHERE rank <= 2000
+"""
+
+
+@query("op13_collocations", COLLOCATIONS_SQL)
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
