@@ -17,6 +17,7 @@ from tidewell.llm import (
     secrets,
     simhash,
     substring,
+    suffixes,
     tokens,
     toxicity,
     variants,
@@ -144,6 +145,41 @@ def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.variants(table(spark, sf_dir, "documents"))
 
 
+SUFFIXES_SQL = """
+    WITH texts AS (
+        SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+    ), strings AS (
+        SELECT doc_id, p, substring(h, 2 * p + 1, 100) AS s
+        FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS p FROM texts)
+    ), smallest AS (
+        SELECT s, min(doc_id) AS least FROM strings GROUP BY s
+    ), marked AS (
+        SELECT strings.doc_id, p, lag(p) OVER (PARTITION BY strings.doc_id ORDER BY p) AS before
+        FROM strings JOIN smallest ON smallest.s = strings.s WHERE least < strings.doc_id
+    ), spans AS (
+        SELECT doc_id, min(p) AS b, max(p) + 50 AS e
+        FROM (SELECT *, sum(CASE WHEN p - before <= 50 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY p) AS span FROM marked)
+        GROUP BY doc_id, span
+    ), gaps AS (
+        SELECT doc_id, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY b), 0) AS b, b AS e, spans.e - spans.b AS removed, 1 AS span FROM spans
+        UNION ALL
+        SELECT texts.doc_id, coalesce(max(e), 0), any_value(length(h) // 2), 0, 0
+        FROM texts LEFT JOIN spans ON spans.doc_id = texts.doc_id GROUP BY texts.doc_id
+    )
+    SELECT gaps.doc_id, any_value(length(h) // 2) AS n_bytes, CAST(sum(removed) AS BIGINT) AS n_removed,
+           CAST(sum(span) AS BIGINT) AS n_spans,
+           sha256(unhex(string_agg(substring(h, 2 * b + 1, 2 * (e - b)), '' ORDER BY b))) AS kept_sha256
+    FROM gaps JOIN texts ON texts.doc_id = gaps.doc_id GROUP BY gaps.doc_id
+"""
+
+
+@query("op12_suffixes", SUFFIXES_SQL)
+def op12_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.deduplicated(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 COLLOCATIONS_SQL = """
     WITH texts AS (
         SELECT coalesce(lang, 'und') AS lang,
