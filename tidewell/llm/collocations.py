@@ -52,7 +52,7 @@ _GAP[[9, 32]] = True
 def _packed(values: np.ndarray) -> bytes:
     """Bytes of the same place next to each other, compressed: small and sorted values take little room."""
     flat = np.ascontiguousarray(values)
-    return zstandard.compress(np.ascontiguousarray(flat.view(np.uint8).reshape(len(flat), -1).T).tobytes(), 1)
+    return zstandard.compress(np.ascontiguousarray(flat.view(np.uint8).reshape(len(flat), flat.itemsize).T).tobytes(), 1)
 
 
 def _unpacked(data: bytes, kind) -> np.ndarray:
@@ -66,22 +66,25 @@ class Wavelet:
 
     def __init__(self, levels: list[BitVector], length: int, symbols: int):
         self.levels, self.length = levels, length
+        self.kind = np.int32 if length < 2**31 else np.int64
         self.zeros = [length - int(level.ones(np.array([length]))[0]) for level in levels]
         place = np.zeros(symbols, np.int64)
         number = np.arange(symbols)
         for depth, (level, zeros) in enumerate(zip(levels, self.zeros)):
             ones = level.ones(place)
             place = np.where((number >> (len(levels) - 1 - depth)) & 1, zeros + ones, place - ones)
-        self.starts = place
+        self.starts = place.astype(self.kind)
 
     @staticmethod
     def bits_of(sequence: np.ndarray, symbols: int) -> bytes:
         """Packed bits of all levels."""
         out = []
+        room = np.zeros(-(-(len(sequence) + 1) // 64) * 64, bool)
         for shift in range(max(1, int(symbols - 1).bit_length()) - 1, -1, -1):
-            bit = ((sequence >> shift) & 1).astype(bool)
-            out.append(BitVector(bit.view(np.uint8)).words)
-            sequence = np.concatenate([sequence[~bit], sequence[bit]])
+            bit = (sequence & sequence.dtype.type(1 << shift)).astype(bool)
+            room[: len(bit)] = bit
+            out.append(np.packbits(room, bitorder="little"))
+            sequence = np.concatenate([np.compress(~bit, sequence), np.compress(bit, sequence)])
         return zstandard.compress(np.concatenate(out).tobytes(), 1)
 
     @classmethod
@@ -97,20 +100,22 @@ class Wavelet:
 
     def below(self, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """For each interval its distinct symbols in order: interval, symbol, rank before it, occurrences in it."""
-        who, symbol = np.arange(len(low)), np.zeros(len(low), np.int64)
+        kind = self.kind
+        who, symbol = np.arange(len(low), dtype=kind), np.zeros(len(low), kind)
+        low, high = low.astype(kind), high.astype(kind)
         for level, zeros in zip(self.levels, self.zeros):
             ones_low, ones_high = level.ones(low), level.ones(high)
-            some_one = ones_high > ones_low
-            some_zero = high - ones_high > low - ones_low
+            zeros_low, zeros_high = low - ones_low, high - ones_high
             # Zeros and ones of an interval stay next to each other, so the result is in order.
-            times = some_zero.astype(np.int64) + some_one
-            at = np.repeat(np.arange(len(low)), times)
-            one = np.zeros(len(at), bool)
-            ends = np.cumsum(times)
-            one[ends[some_one] - 1] = True
-            low = np.where(one, zeros + ones_low[at], low[at] - ones_low[at])
-            high = np.where(one, zeros + ones_high[at], high[at] - ones_high[at])
-            who, symbol = who[at], symbol[at] * 2 + one
+            zero, one = np.flatnonzero(zeros_high > zeros_low), np.flatnonzero(ones_high > ones_low)
+            times = (zeros_high > zeros_low).astype(np.int8) + (ones_high > ones_low)
+            ends = np.cumsum(times, dtype=kind)
+            at_zero, at_one = (ends - times)[zero], ends[one] - 1
+            low, high = np.empty(len(zero) + len(one), kind), np.empty(len(zero) + len(one), kind)
+            low[at_zero], high[at_zero] = zeros_low[zero], zeros_high[zero]
+            low[at_one], high[at_one] = zeros + ones_low[one], zeros + ones_high[one]
+            who, symbol = np.repeat(who, times), np.repeat(symbol * 2, times)
+            symbol[at_one] += 1
         return who, symbol, low - self.starts[symbol], high - low
 
 
@@ -123,7 +128,7 @@ def _order(sequence: np.ndarray, symbols: int, depth: int) -> np.ndarray:
     for k in range(depth):
         key <<= bits
         key[: len(key) - k] |= sequence[k:]
-    return np.argsort(key, kind="stable")
+    return np.argsort(key)
 
 
 class Phrases:
@@ -144,9 +149,10 @@ class Index:
 
     def __init__(self, keys: np.ndarray, counts: np.ndarray, forward: bytes, backward: bytes):
         self.keys, length = keys, int(counts.sum())
-        self.first = np.cumsum(counts) - counts
-        self.counts = counts
         self.forward = Wavelet.of_bits(forward, length, len(counts))
+        kind = self.forward.kind
+        self.first = (np.cumsum(counts) - counts).astype(kind)
+        self.counts = counts.astype(kind)
         self.backward = Wavelet.of_bits(backward, length, len(counts))
 
     @staticmethod
@@ -154,11 +160,11 @@ class Index:
         """Of a sequence that begins and ends with 0. Extension to ``longest`` words looks one word less far."""
         out = []
         for own in (sequence, sequence[::-1]):
-            out.append(Wavelet.bits_of(own[_order(own, symbols, longest - 1) - 1], symbols))
+            out.append(Wavelet.bits_of(own[_order(own, symbols, longest - 1) - 1].astype(np.int32), symbols))
         return out[0], out[1]
 
     def single(self) -> Phrases:
-        symbol = np.arange(1, len(self.counts))
+        symbol = np.arange(1, len(self.counts), dtype=self.counts.dtype)
         return Phrases(symbol[:, None], self.keys[1:], self.counts[1:], self.first[1:], self.first[1:])
 
     def extended(self, known: Phrases, left: bool) -> Phrases:
@@ -166,7 +172,7 @@ class Index:
         matrix, own, other = (self.forward, known.low, known.back) if left else (self.backward, known.back, known.low)
         who, symbol, rank, size = matrix.below(own, own + known.size)
         # In the other direction longer phrases follow one another in the order of the new word.
-        before = np.cumsum(size) - size
+        before = np.cumsum(size, dtype=size.dtype) - size
         begins = np.searchsorted(who, np.arange(len(known)))
         shift = before - (before[np.minimum(begins, max(0, len(before) - 1))][who] if len(before) else 0)
         moved, kept = self.first[symbol] + rank, other[who] + shift
@@ -185,13 +191,16 @@ class Index:
 
     def long(self, pairs: Phrases, longest: int = LONGEST) -> list[Phrases]:
         """Phrases of three words and more whose pairs are all among ``pairs``, by extension to the right and left in turn."""
-        codes = np.sort(pairs.words[:, 0] * len(self.counts) + pairs.words[:, 1])
+        def coded(pair: np.ndarray) -> np.ndarray:
+            return pair[:, 0].astype(np.int64) * len(self.counts) + pair[:, 1]
+
+        codes = np.sort(coded(pairs.words))
         out, known = [], pairs
         for length in range(3, longest + 1):
             left = length % 2 == 0
             longer = self.extended(known, left)
             pair = longer.words[:, :2] if left else longer.words[:, -2:]
-            code = pair[:, 0] * len(self.counts) + pair[:, 1]
+            code = coded(pair)
             at = np.minimum(np.searchsorted(codes, code), max(0, len(codes) - 1))
             known = longer[codes[at] == code if len(codes) else np.zeros(0, np.int64)]
             out.append(known)
