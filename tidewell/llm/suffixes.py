@@ -18,7 +18,7 @@ suffix would cost many times the text, so suffixes travel in groups and only whe
 5. Chunks cover the bytes of marked strings and join what is left.
 
 Chunks and shards are bounded by bytes and their number follows the input; nothing is collected. A passage that all
-documents hold brings each shard one stretch a chunk, some hundred bytes: at 100 TB that is about 0.3 GB in a task.
+documents hold brings its shard one stretch a chunk, some hundred bytes: at 100 TB that is about 0.6 GB in a task.
 
 Edge cases: a NULL or empty text has no bytes, and a text shorter than ``length`` loses none. Ids are integers; a NULL id
 counts as larger than all, and rows with equal ids never take bytes from each other. Repeated rows get equal results. Other
@@ -73,7 +73,9 @@ class Chunk:
     """Bytes of some documents in a row, and the stretches in them."""
 
     def __init__(self, table: pa.Table, shape: Shape):
-        self.shape, self.table = shape, table
+        # Where a block ends must not depend on the order in which rows arrive.
+        self.shape, self.table = shape, table.sort_by("row")
+        table = self.table
         texts = pa.concat_arrays(table.column("text").cast(pa.large_binary()).fill_null(b"").chunks)
         offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
         raw = texts.buffers()[2]
@@ -86,8 +88,8 @@ class Chunk:
         if parts:
             self.start, self.count, self.anchor, self.at = (np.concatenate(p) for p in zip(*parts))
         else:
-            self.start = self.count = self.at = np.zeros(0, np.int64)
-            self.anchor = np.zeros(0, np.uint64)
+            self.start, self.count = np.zeros(0, np.int64), np.zeros(0, np.int16)
+            self.anchor, self.at = np.zeros(0, np.uint64), np.zeros(0, np.uint8)
         self.owner = np.searchsorted(self.offsets, self.start, "right") - 1
 
     def _stretches(self, begin: int):
@@ -113,8 +115,7 @@ class Chunk:
         inside[max(0, self.size - shape.length + 1 - begin) :] = False
         place = np.flatnonzero(inside)
         if not len(place):
-            none = np.zeros(0, np.int64)
-            return none, none, none.view(np.uint64), none
+            return np.zeros(0, np.int64), np.zeros(0, np.int16), np.zeros(0, np.uint64), np.zeros(0, np.uint8)
         low, step = hashes, 1
         while 2 * step <= most:
             low = np.minimum(low[:-step], low[step:])
@@ -129,10 +130,10 @@ class Chunk:
         within = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
         start = np.repeat(place[first], pieces) + within * shape.most
         count = np.minimum(np.repeat(count, pieces) - within * shape.most, shape.most)
-        at = np.zeros(len(start), np.int64)
+        at = np.zeros(len(start), np.uint8)
         for a in range(0, len(start), 1 << 16):
             at[a : a + (1 << 16)] = sliding_window_view(hashes, most)[start[a : a + (1 << 16)]].argmin(axis=1)
-        return start + begin, count, np.repeat(lowest[first], pieces), at
+        return start + begin, count.astype(np.int16), np.repeat(lowest[first], pieces), at
 
     def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct anchors in order, whether several ids have each, and the place of each stretch's anchor among them."""
@@ -153,7 +154,7 @@ class Chunk:
         edges = np.flatnonzero(np.append(True, shard[1:] != shard[:-1])) if len(shard) else []
         for a, z in zip(edges, np.append(edges[1:], len(shard)).astype(np.int64)):
             own = order[a:z]
-            size = self.count[own] + shape.length - 1
+            size = self.count[own].astype(np.int64) + shape.length - 1
             rows = np.zeros((len(own), shape.row), np.uint8)
             rows[:, : shape.width] = view[self.start[own]]
             rows[:, : shape.width][np.arange(shape.width)[None, :] >= size[:, None]] = 0
@@ -168,17 +169,17 @@ class Chunk:
             ids = np.minimum.reduceat(self.ids[self.owner[own]], at)
             yield int(shard[a]), Run(rows[at], lcp[at], ids, self.at[own[at]]), own, entry
 
-    def cleaned(self, stretch: np.ndarray, marked: np.ndarray) -> pa.Table:
-        """Documents without the bytes of marked strings; ``marked`` has a column for each string of a stretch."""
-        row, string = np.nonzero(marked)
-        starts = np.sort(self.start[stretch[row]] + string)
-        owner = np.searchsorted(self.offsets, starts, "right") - 1
-        new = np.ones(len(starts), bool)
-        new[1:] = (np.diff(starts) > self.shape.length) | (owner[1:] != owner[:-1])
-        first = np.flatnonzero(new)
-        begin = starts[first]
-        end = starts[np.append(first[1:], len(starts)) - 1] + self.shape.length if len(starts) else begin
-        owner = owner[first]
+    def cleaned(self, stretch: np.ndarray, marks: np.ndarray) -> pa.Table:
+        """Documents without the bytes of marked strings; ``marks`` has a bit for each string of a stretch."""
+        flag = np.zeros(self.size + 2, bool)  # strings that go, by the place after their start
+        for string in range(self.shape.most):
+            flag[self.start[stretch[marks >> string & 1 > 0]] + string + 1] = True
+        first, last = np.flatnonzero(flag[1:] & ~flag[:-1]), np.flatnonzero(flag[:-1] & ~flag[1:]) - 1
+        owner = np.searchsorted(self.offsets, first, "right") - 1
+        new = np.ones(len(first), bool)
+        new[1:] = (first[1:] - last[:-1] > self.shape.length) | (owner[1:] != owner[:-1])
+        begin, owner = first[new], owner[new]
+        end = last[np.append(new[1:], True)] + self.shape.length if len(first) else begin
         edge = np.zeros(self.size + 1, np.int8)
         np.add.at(edge, begin, 1)
         np.add.at(edge, end, -1)
@@ -422,8 +423,8 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, chunk_bytes: int = CHUNK
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     chunks = int(size // chunk_bytes) + 1
     shards = max(8, 4 * chunks)
-    dealt = docs.select("doc_id", "text", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(chunks)).alias("chunk"))
-    dealt = dealt.repartition(chunks, "chunk")
+    rows = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
+    dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("row"), F.lit(chunks))).repartition(chunks, "chunk")
 
     def send(table: pa.Table) -> pa.Table:
         anchors, several, _ = Chunk(table, shape).anchors()
@@ -468,14 +469,14 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, chunk_bytes: int = CHUNK
         known = replies.filter(pa.compute.equal(replies.column("step"), 1))
         answers = replies.filter(pa.compute.equal(replies.column("step"), 2))
         marks = dict(zip(answers.column("place").to_pylist(), answers.column("marks").to_pylist()))
-        stretches, marked = [np.zeros(0, np.int64)], [np.zeros((0, shape.most), bool)]
+        stretches, marked = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for shard, run, stretch, entry in own.runs(_shared(own, known, shards), shards):
             mark = _unpacked(marks[shard], np.uint32)[entry].astype(np.int64)
             later = own.ids[own.owner[stretch]] > run.ids[entry]
-            mark[later] = (np.int64(1) << own.count[stretch[later]]) - 1
+            mark[later] = (np.int64(1) << own.count[stretch[later]].astype(np.int64)) - 1
             hit = np.flatnonzero(mark)
             stretches.append(stretch[hit])
-            marked.append((mark[hit, None] >> np.arange(shape.most)[None, :] & 1).astype(bool))
+            marked.append(mark[hit])
         return own.cleaned(np.concatenate(stretches), np.concatenate(marked))
 
     sent = dealt.groupBy("chunk").applyInArrow(send, "bucket long, chunk long, keys binary, several binary")
