@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from tidewell.llm.batches import limit_batches
 
 LENGTH = 50
-CHUNK_BYTES = 32 << 20
+CHUNK_BYTES = 16 << 20
 BLOCK = 1 << 20
 FAN_IN = 64
 LANE = 128
