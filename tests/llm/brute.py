@@ -153,3 +153,86 @@ def unigram(docs):
         i: (len(w), sum(counts[x] > 0 for x in w), n, sum(math.log10((counts[x] + 1) / (n + v + 1)) for x in w))
         for i, w in tokens.items()
     }
+
+
+def variants(docs, least_length=6, least_count=5):
+    """word -> (form, root, n, near words, the form's n), each pair of words found through what both become by a deletion."""
+    counts = Counter()
+    for i, text in docs:
+        for run in re.findall("[A-Za-z\u00c0-\u00ff]+", text or ""):
+            w = run.translate(LOWER)
+            h = zlib.crc32(f"{'' if i is None else i}:{w}".encode())
+            if h % 199 == 0:
+                w = w[: h % len(w)] + w[h % len(w) + 1 :]
+            counts[w] += len(w) >= least_length
+    n = {w: c for w, c in counts.items() if c >= least_count}
+    shorter, replaced, near = {}, {}, {w: set() for w in n}
+    for w in n:
+        for k in range(len(w)):
+            shorter.setdefault(w[:k] + w[k + 1 :], set()).add(w)
+            replaced.setdefault((w[:k], w[k + 1 :]), set()).add(w)
+    for w in n:
+        for v in shorter.get(w, ()):
+            near[w].add(v)
+            near[v].add(w)
+    for group in replaced.values():
+        for w in group:
+            near[w] |= group - {w}
+    form = {}
+    for w in n:
+        best = min(near[w], key=lambda v: (-n[v], v), default=None)
+        form[w] = best if best is not None and n[best] >= 5 * n[w] else None
+    out = {}
+    for w in n:
+        root = w
+        while form[root]:
+            root = form[root]
+        out[w] = (form[w], root, n[w], len(near[w]), n.get(form[w]))
+    return out
+
+
+def without_repeats(docs, length=50):
+    """id -> bytes, removed bytes, removed runs, kept bytes; ``docs`` has distinct ids."""
+    smallest = {}
+    data = sorted((i, (t or "").encode()) for i, t in docs)
+    for i, b in data:
+        for k in range(len(b) - length + 1):
+            smallest.setdefault(b[k : k + length], i)
+    out = {}
+    for i, b in data:
+        gone = bytearray(len(b) + 1)
+        for k in range(len(b) - length + 1):
+            if smallest[b[k : k + length]] < i:
+                gone[k : k + length] = b"\1" * length
+        spans = sum(gone[k] and not (k and gone[k - 1]) for k in range(len(b)))
+        out[i] = (len(b), sum(gone), spans, bytes(x for x, g in zip(b, gone) if not g))
+    return out
+
+
+def collocations(docs, least, first):
+    """(lang, rank, phrase, a, l, r, n, score) of (lang, text)."""
+    counts, totals = {}, Counter()
+    for lang, text in docs:
+        lang = lang or "und"
+        own = counts.setdefault(lang, Counter())
+        for piece in re.split("[.,;:!?\x0a-\x0d]", (text or "").translate(LOWER)):
+            w = re.findall("[^\x20\x09]+", piece)
+            totals[lang] += len(w)
+            own.update(tuple(w[i : i + k]) for k in range(1, 5) for i in range(len(w) - k + 1))
+    out = set()
+    for lang, own in counts.items():
+        candidates = {p: a for p, a in own.items() if len(p) > 1 and a >= least}
+        longer = Counter()
+        for p, a in candidates.items():
+            for size in range(2, len(p)):
+                for i in range(len(p) - size + 1):
+                    longer[p[i : i + size]] = max(longer[p[i : i + size]], a)
+        rows = []
+        for p, a in candidates.items():
+            if longer[p] and 100 * longer[p] >= 80 * a:
+                continue
+            score, k = min((2_000_000 * a // (own[p[:k]] + own[p[k:]]), k) for k in range(1, len(p)))
+            rows.append((-score, -a, " ".join(p).encode(), own[p[:k]], own[p[k:]]))
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(rows)[:first], 1):
+            out.add((lang, rank, phrase.decode(), -a, left, right, totals[lang], -score))
+    return out
