@@ -13,7 +13,12 @@ KEY_SEPARATOR = "|"
 
 def hash_key(parts: Sequence[Column]) -> Column:
     """MD5 of the parts joined by ``|``; NULL parts are left out."""
-    return F.md5(F.concat_ws(KEY_SEPARATOR, *[part.cast("string") for part in parts]))
+    return hash_key_texts(F.array(*[part.cast("string") for part in parts]))
+
+
+def hash_key_texts(parts: Column) -> Column:
+    """The same for an array of texts, where rows differ in the number of their parts."""
+    return F.md5(F.concat_ws(KEY_SEPARATOR, parts))
 
 
 def row_key(df: DataFrame, columns: Sequence[str]) -> Column:

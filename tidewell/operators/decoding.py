@@ -5,15 +5,24 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewell.functions.keys import hash_key
-from tidewell.functions.logical_types import DEFAULT_SOURCE_TZ, cast_logical
+from tidewell.functions.keys import hash_key, hash_key_texts
+from tidewell.functions.logical_types import (
+    DATE,
+    DEFAULT_SOURCE_TZ,
+    MICRO_TIME,
+    MICRO_TIMESTAMP,
+    TIMESTAMP,
+    ZONED_TIMESTAMP,
+    cast_logical,
+)
 from tidewell.functions.names import KEY_COLUMN, LOAD_TIME_COLUMN
-from tidewell.operators.changes import OFFSET, OP, PARTITION, union_versions
+from tidewell.operators.changes import OFFSET, OP, PARTITION
 
 AVRO = "avro"
 JSON = "json"
@@ -151,58 +160,165 @@ def decode_payload(payload: Column, schema_text: str, payload_format: str = AVRO
     return F.from_json(payload.cast("string"), reader_schema(schema_text), {"mode": "FAILFAST"})
 
 
-def decode_changes(
+def decode_all_changes(
     records: DataFrame,
-    pair: SchemaPair,
+    pairs: Sequence[SchemaPair],
     target: T.StructType,
     payload_format: str = AVRO,
     source_tz: str = DEFAULT_SOURCE_TZ,
 ) -> DataFrame:
-    """Records of one schema pair as rows of the target with their operation, offset and partition.
+    """Records of all schema versions as rows of the target with their operation, offset and partition, in one pass.
 
     The target says what is read: each of its fields is either made by the job or taken alone out of the row image,
     so columns that it lacks never come into being, and those that the job makes win over a source column of that name.
+    A field that a version lacks is NULL there. The newest change of a key wins whichever version wrote it.
+    """
+    for pair in pairs:
+        if not pair.keys:
+            raise ValueError(f"records with value schema {pair.value_id} have no key, so no row can be told from another")
+    decode = _decode_avro if payload_format == AVRO else _decode_json
+    return decode(records, pairs, target, source_tz)
+
+
+def _change_columns(
+    target: T.StructType, field: Callable[[T.StructField], Column], key: Column, ts_ms: Column, op: Column
+) -> list[Column]:
+    made = {KEY_COLUMN: key, LOAD_TIME_COLUMN: F.timestamp_millis(ts_ms)}
+    columns = [(made[f.name] if f.name in made else field(f)).cast(f.dataType).alias(f.name) for f in target]
+    return [*columns, op.alias(OP), OFFSET, PARTITION]
+
+
+# Wire types whose JSON values are read as one Spark type; a value of any other type is read as its target's.
+_WIRE_TYPES = {
+    "boolean": "boolean",
+    "int": "bigint",
+    "long": "bigint",
+    "float": "float",
+    "double": "double",
+    "string": "string",
+    DATE: "bigint",
+    MICRO_TIME: "bigint",
+    TIMESTAMP: "bigint",
+    MICRO_TIMESTAMP: "bigint",
+    ZONED_TIMESTAMP: "string",
+}
+
+
+def schema_rows(spark: SparkSession, pairs: Sequence[SchemaPair]) -> DataFrame:
+    """What decoding needs to know of each pair: its ids, the types of its columns and the names of its key."""
+    return spark.createDataFrame(
+        [(p.value_id, p.key_id, dict(p.types), list(p.keys)) for p in pairs],
+        "__of_value INT, __of_key INT, __types MAP<STRING, STRING>, __key_names ARRAY<STRING>",
+    )
+
+
+def _decode_json(records: DataFrame, pairs: Sequence[SchemaPair], target: T.StructType, source_tz: str) -> DataFrame:
+    """Payloads are parsed once, and a record finds the types of its fields in the row of its schemas.
+
+    The plan has one scan and one join with a row for each version, whatever their number; of a field's types only
+    those are told apart that occur. A payload that is no JSON, or a value that does not fit its type, fails the job.
     """
-    if not pair.keys:
-        raise ValueError(f"records with value schema {pair.value_id} have no key, so no row can be told from another")
-    events = records.filter(_written_with(pair)).select(
-        decode_payload(F.col("key"), pair.key_text, payload_format).alias("row_id"),
-        decode_payload(F.col("value"), pair.value_text, payload_format).alias("event"),
+    rows = F.broadcast(schema_rows(records.sparkSession, pairs))
+    written_with = (F.col("value_schema_id") == F.col("__of_value")) & F.col("key_schema_id").eqNullSafe(F.col("__of_key"))
+    events = records.join(rows, written_with).select(
+        F.parse_json(F.col("value").cast("string")).alias("__event"),
+        F.parse_json(F.col("key").cast("string")).alias("__row_id"),
+        "__types",
+        "__key_names",
         F.col("offset").alias(OFFSET),
         F.col("partition").alias(PARTITION),
     )
+    images = "map<string,variant>"
+    opened = events.select(
+        "*", F.variant_get("__event", "$.after", images).alias("__after"), F.variant_get("__row_id", "$", images).alias("__id")
+    )
+
+    def read(value: Column, wire: str | None, data_type: str) -> Column:
+        if wire in ("bytes", "fixed"):
+            return F.unbase64(F.variant_get(value, "$", "string"))
+        return cast_logical(F.variant_get(value, "$", _WIRE_TYPES.get(wire, data_type)), wire, source_tz)
+
+    def by_type(wire_type: Column, wires: set[str | None], result: Callable[[str | None], Column]) -> Column:
+        """The result for the type a record's schema gives; a type that is the only one needs no choice."""
+        if len(wires) < 2:
+            return result(next(iter(wires), None))
+        first, *others = sorted(w for w in wires if w is not None)
+        chosen = F.when(wire_type == first, result(first))
+        for wire in others:
+            chosen = chosen.when(wire_type == wire, result(wire))
+        return chosen.otherwise(result(None)) if None in wires else chosen
+
+    def field(f: T.StructField) -> Column:
+        value = F.element_at("__after", F.lit(f.name))
+        wires = {p.types.get(f.name) for p in pairs}
+
+        def result(wire: str | None) -> Column:
+            known = F.lit(None) if wire is None else read(value, wire, f.dataType.simpleString())
+            return known.cast(f.dataType)
+
+        return by_type(F.element_at("__types", F.lit(f.name)), wires, result)
+
+    def key_text(name: Column) -> Column:
+        value = F.element_at("__id", name)
+        wires = {p.types.get(key) for p in pairs for key in p.keys}
+
+        def text(wire: str | None) -> Column:
+            return F.trim(read(value, wire, "string")) if wire == "string" else read(value, wire, "string").cast("string")
+
+        return by_type(F.element_at("__types", name), wires, text)
+
+    key = hash_key_texts(F.transform("__key_names", key_text))
+    ts_ms, op = F.variant_get("__event", "$.ts_ms", "bigint"), F.variant_get("__event", "$.op", "string")
+    return opened.select(*_change_columns(target, field, key, ts_ms, op))
+
+
+def _decode_avro(records: DataFrame, pairs: Sequence[SchemaPair], target: T.StructType, source_tz: str) -> DataFrame:
+    """An Avro reader is bound to one schema, so each version has its own, which sees that version's payloads only."""
+    own = [_written_with(pair) for pair in pairs]
+    known = records.filter(reduce(Column.__or__, own, F.lit(False)))
+    readers = [
+        reader
+        for i, (pair, mine) in enumerate(zip(pairs, own))
+        for reader in (
+            decode_payload(F.when(mine, F.col("key")), pair.key_text).alias(f"__row_id_{i}"),
+            decode_payload(F.when(mine, F.col("value")), pair.value_text).alias(f"__event_{i}"),
+        )
+    ]
+    numbered = F.coalesce(*(F.when(mine, F.lit(i)) for i, mine in enumerate(own)), F.lit(-1))
+    events = known.select(
+        *readers, numbered.alias("__version"), F.col("offset").alias(OFFSET), F.col("partition").alias(PARTITION)
+    )
+
+    def by_version(part: Callable[[int, SchemaPair], Column | None]) -> Column:
+        chosen = F.when(F.lit(False), F.lit(None))
+        for i, pair in enumerate(pairs):
+            value = part(i, pair)
+            if value is not None:
+                chosen = chosen.when(F.col("__version") == i, value)
+        return chosen
 
-    def typed(place: str, name: str) -> Column:
+    def typed(place: str, name: str, pair: SchemaPair) -> Column:
         return cast_logical(F.col(f"{place}.`{name}`"), pair.types.get(name), source_tz)
 
-    def key_part(name: str) -> Column:
-        return F.trim(F.col(f"row_id.`{name}`")) if pair.types.get(name) == "string" else typed("row_id", name)
+    def key_part(i: int, pair: SchemaPair, name: str) -> Column:
+        column = f"__row_id_{i}"
+        return F.trim(F.col(f"{column}.`{name}`")) if pair.types.get(name) == "string" else typed(column, name, pair)
 
-    made = {
-        KEY_COLUMN: hash_key([key_part(name) for name in pair.keys]),
-        LOAD_TIME_COLUMN: F.timestamp_millis("event.ts_ms"),
-    }
-    fields = [
-        (made[f.name] if f.name in made else typed("event.after", f.name)).cast(f.dataType).alias(f.name) for f in target
-    ]
-    return events.select(*fields, F.col("event.op").alias(OP), OFFSET, PARTITION)
+    def field(f: T.StructField) -> Column:
+        return by_version(
+            lambda i, pair: typed(f"__event_{i}.after", f.name, pair).cast(f.dataType) if f.name in pair.types else None
+        )
+
+    key = by_version(lambda i, pair: hash_key([key_part(i, pair, name) for name in pair.keys]))
+    ts_ms = by_version(lambda i, _: F.col(f"__event_{i}.ts_ms"))
+    op = by_version(lambda i, _: F.col(f"__event_{i}.op"))
+    return events.select(*_change_columns(target, field, key, ts_ms, op))
 
 
 def _written_with(pair: SchemaPair) -> Column:
     return (F.col("value_schema_id") == pair.value_id) & F.col("key_schema_id").eqNullSafe(F.lit(pair.key_id))
 
 
-def decode_all_changes(
-    records: DataFrame,
-    pairs: Sequence[SchemaPair],
-    target: T.StructType,
-    payload_format: str = AVRO,
-    source_tz: str = DEFAULT_SOURCE_TZ,
-) -> DataFrame:
-    """All versions together, so that the newest change of a key wins whichever version wrote it."""
-    return union_versions([decode_changes(records, pair, target, payload_format, source_tz) for pair in pairs])
-
-
 # Primitive names of schema texts -> Spark types.
 _PRIMITIVES = {
     "null": T.NullType(),
