@@ -11,6 +11,8 @@ from tidewell.queries.ledgers import IDLE_LEDGER
 from tidewell.queries.registry import derive
 from tidewell.queries import cdc, upkeep
 from tidewell.queries.all import QUERIES
+from tidewell.session import staged
+from tidewell.sinks import tables
 
 STREAMS = [name for name in QUERIES if name.startswith("stream_")]
 
@@ -75,3 +77,33 @@ def test_expired_files_need_one_join(spark, small):
     snapshots = upkeep.derive(spark, small, upkeep.SNAPSHOTS)
     optimized = maintenance.files_of_expired(referenced, snapshots)._jdf.queryExecution().optimizedPlan().toString()
     assert len(re.findall(r"\bJoin ", optimized)) <= 2  # one for each branch of the referenced files
+
+
+def test_changes_are_applied_without_moving_the_table(spark, small, folder):
+    """Bucket meets bucket: with broadcasts off the table's rows are sorted where they are read, and never exchanged."""
+    store = tables.BronzeStore(folder, provider=tables.PARQUET, buckets=8)
+    tables.create_or_replace(spark, store, "plans_bronze", "orders", cdc.bronze_orders(spark, small))
+    name = store.name("plans_bronze", "orders")
+    newest = newest_changes(cdc.changes(spark, small).filter("__op IS NOT NULL"))
+    placed = staged(newest.withColumn(tables.BUCKET_COLUMN, tables.key_bucket(8)), "placed")
+
+    def executed():
+        merged = tables.merged_buckets(spark, name, placed, list(range(8)))
+        return merged._jdf.queryExecution().executedPlan().toString()
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = executed()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    lines = text.splitlines()
+    join = next(i for i, line in enumerate(lines) if "SortMergeJoin" in line and "LeftAnti" in line)
+    # The table is the join's left child: the lines below it as far as the right child.
+    left = []
+    for line in lines[join + 1 :]:
+        left.append(line)
+        if "FileScan" in line:
+            break
+    assert "Bucketed: true" in text and "orders" in left[-1]
+    assert not any("Exchange" in line for line in left), left

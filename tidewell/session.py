@@ -14,6 +14,7 @@ BATCH_OPTIONS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.sources.bucketing.maxBuckets": "1000000",
 }
 
 STREAM_OPTIONS = {

@@ -13,6 +13,8 @@ import logging
 import math
 import re
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,6 +29,8 @@ log = logging.getLogger(__name__)
 
 BUCKET_COLUMN = "key_bucket"
 BUCKET_BYTES = 1 << 30
+MAX_BUCKETS = "spark.sql.sources.bucketing.maxBuckets"
+AUTO_BUCKETED = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
 PARQUET = "parquet"
 ICEBERG = "iceberg"
 
@@ -89,7 +93,8 @@ def planned_bytes(df: DataFrame) -> int:
 
 
 def key_bucket(buckets: int) -> Column:
-    return F.pmod(F.xxhash64(KEY_COLUMN), F.lit(buckets)).cast("int")
+    """The number of Spark's bucket of a key."""
+    return F.pmod(F.hash(KEY_COLUMN), F.lit(buckets)).cast("int")
 
 
 def create_or_replace(
@@ -114,14 +119,15 @@ def create_or_replace(
     folder = new_folder(store.location(schema, table))
     buckets = store.buckets or buckets_for(planned_bytes(df) if size_bytes is None else size_bytes)
     if keyed:
-        _write_buckets(df.withColumn(BUCKET_COLUMN, key_bucket(buckets)), folder)
+        allow_buckets(spark, buckets)
+        write_buckets(spark, name, df.withColumn(BUCKET_COLUMN, key_bucket(buckets)).repartition(buckets, KEY_COLUMN), folder, buckets)
     else:
         df.write.parquet(folder)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
     if keyed:
         columns += f", {BUCKET_COLUMN} INT"
-    layout = f"PARTITIONED BY ({BUCKET_COLUMN})" if keyed else ""
+    layout = f"PARTITIONED BY ({BUCKET_COLUMN}) CLUSTERED BY ({KEY_COLUMN}) INTO {buckets} BUCKETS" if keyed else ""
     spark.sql(
         f"CREATE TABLE {name} ({columns}) USING parquet {layout} "
         f"TBLPROPERTIES ('buckets' = '{buckets}') LOCATION '{folder}'"
@@ -154,21 +160,31 @@ def merge_changes(
     )
 
 
+def merged_buckets(spark: SparkSession, name: str, newest: DataFrame, changed: list[int], op: str = OP) -> DataFrame:
+    """Rows of some buckets after their newest changes (with their buckets) are applied.
+
+    Changes go to the buckets of the table, whose own rows need no exchange: a join by key is one of bucket with bucket.
+    """
+    target = spark.table(name).filter(F.col(BUCKET_COLUMN).isin(changed))
+    return apply_newest(target, newest.repartition(bucket_count(spark, name), KEY_COLUMN), KEY_COLUMN, op)
+
+
 def _merge_into_buckets(spark: SparkSession, name: str, newest: DataFrame, op: str) -> None:
-    placed = newest.filter(F.col(op).isNotNull()).withColumn(BUCKET_COLUMN, key_bucket(_bucket_count(spark, name)))
+    buckets = bucket_count(spark, name)
+    placed = newest.filter(F.col(op).isNotNull()).withColumn(BUCKET_COLUMN, key_bucket(buckets))
     # Used for the bucket numbers, the keys to take out and the rows to write.
     with staged_while(placed, "newest") as placed:
         # At most one row per bucket of the table.
         changed = sorted(row[0] for row in placed.select(BUCKET_COLUMN).distinct().collect())
         if not changed:
             return
-        target = spark.table(name).filter(F.col(BUCKET_COLUMN).isin(changed))
         folder = new_folder(table_folder(spark, name))
-        _write_buckets(apply_newest(target, placed, KEY_COLUMN, op), folder)
+        with reading_buckets(spark):
+            write_buckets(spark, name, merged_buckets(spark, name, placed, changed, op), folder, buckets)
         point_partitions(spark, name, folder, changed)
 
 
-def _bucket_count(spark: SparkSession, name: str) -> int:
+def bucket_count(spark: SparkSession, name: str) -> int:
     value = spark.sql(f"SHOW TBLPROPERTIES {name} ('buckets')").first()
     return int(value["value"])
 
@@ -184,9 +200,41 @@ def table_folder(spark: SparkSession, name: str) -> str:
     return re.sub(r"/v=[0-9a-f]+/?$", "", described.data_type).rstrip("/")
 
 
-def _write_buckets(df: DataFrame, folder: str) -> None:
-    """Rebalancing gathers a bucket's rows into few files and splits a bucket that is too large."""
-    df.hint("rebalance", BUCKET_COLUMN).write.partitionBy(BUCKET_COLUMN).parquet(folder)
+def allow_buckets(spark: SparkSession, buckets: int) -> None:
+    """A hundred thousand buckets are Spark's limit unless it is told otherwise; sessions of this library are."""
+    if buckets > int(spark.conf.get(MAX_BUCKETS, "100000")):
+        spark.conf.set(MAX_BUCKETS, str(buckets))
+
+
+@contextmanager
+def reading_buckets(spark: SparkSession) -> Iterator[None]:
+    """A task for each bucket, also where Spark would cut files by size: what stays of a bucket and what is new of it
+    then meet in the task that writes it. Should another thread put the option back meanwhile, a bucket gets two files."""
+    before = spark.conf.get(AUTO_BUCKETED)
+    spark.conf.set(AUTO_BUCKETED, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(AUTO_BUCKETED, before)
+
+
+def write_buckets(spark: SparkSession, name: str, df: DataFrame, folder: str, buckets: int) -> None:
+    """Rows with their buckets as files of a clustered table.
+
+    Spark names a bucket's files only where it writes to a table, so one stands in for the folder as long as that takes.
+    """
+    *schema, table = name.split(".")
+    stand_in = ".".join([*schema, f"{table}_{uuid.uuid4().hex}"])
+    try:
+        (
+            df.write.format(PARQUET)
+            .partitionBy(BUCKET_COLUMN)
+            .bucketBy(buckets, KEY_COLUMN)
+            .option("path", folder)
+            .saveAsTable(stand_in)
+        )
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {stand_in}")
 
 
 def point_partitions(spark: SparkSession, name: str, folder: str, buckets: list[int]) -> None:
