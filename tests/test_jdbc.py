@@ -1,5 +1,7 @@
 """The database path, over a stand-in for the JDBC reader that answers from a file."""
 
+import datetime as dt
+import decimal
 import json
 
 import pytest
@@ -7,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewell.__main__ import main
 from tidewell.functions.keys import hash_key
+from tidewell.operators.ranges import equi_depth_ranges, literal, range_predicates, ranges_sql
 from tidewell.plans.snapshot import load_many, load_staged, load_table, stage_table
 from tidewell.plans.validate import validate_tables
 from tidewell.sinks.tables import PARQUET, BronzeStore, table_comment
@@ -272,3 +275,72 @@ def test_jobs_from_the_command_line(spark, folder, mysql):
     assert main(["maintain", "--config", path, "--schemas", "store_bronze", "--retention-days", "1"]) == 0
     assert main(["maintain-ledger", "--config", path, "--retention-days", "7"]) == 0
     assert main(["load", "--config", path, "--table", "store.NO_SUCH"]) == 1
+
+
+def even_answers(borders, key):
+    """What the database answers about ranges, and each range's rows."""
+    quoted = f"`{key}`"
+    names = ["id", "char36", "extra"]
+    at = names.index(key)
+    rows = [tuple(r) for r in TABLE["rows"]] + [(None, None, "no key")]
+    literals = [f"'{b}'" if isinstance(b, str) else str(b) for b in borders]
+    answers = {
+        "SELECT range_no": {
+            "schema": f"range_no int, lower_bound {'string' if isinstance(borders[0], str) else 'int'}",
+            "rows": [(0, rows[0][at]), *((i + 1, b) for i, b in reversed(list(enumerate(borders))))],
+        }
+    }
+    for i in range(len(borders) + 1):
+        low, high = borders[i - 1] if i else None, borders[i] if i < len(borders) else None
+        if i == 0:
+            condition = f"WHERE {quoted} < {literals[0]} OR {quoted} IS NULL"
+        elif high is None:
+            condition = f"WHERE {quoted} >= {literals[-1]}"
+        else:
+            condition = f"WHERE {quoted} >= {literals[i - 1]} AND {quoted} < {literals[i]}"
+        within = [
+            r for r in rows
+            if (r[at] is None and i == 0) or (r[at] is not None and (low is None or r[at] >= low) and (high is None or r[at] < high))
+        ]
+        answers[condition] = {"schema": TABLE["schema"], "rows": within}
+    return answers
+
+
+@pytest.mark.parametrize("key, borders", [("id", [4, 9]), ("char36", ["c15   ", "c3   "])])
+def test_even_ranges_read_every_row_once(spark, folder, key, borders):
+    register_reader(spark)
+    with open(f"{folder}/answers.json", "w") as file:
+        json.dump(even_answers(borders, key), file)
+    source = JdbcSource("mysql", "db", 3306, "u", "p", reader="answers", extra={"answers": f"{folder}/answers.json"})
+    df = source.table_by_even_ranges(spark, "store.TB_ITEMS", key, 3)
+    assert df.rdd.getNumPartitions() == 3
+    assert sorted(r["id"] or 0 for r in df.collect()) == list(range(21))
+
+
+def test_conditions_of_ranges():
+    mysql, sqlserver = JdbcSource("mysql", "h", 1, "u", "p"), JdbcSource("sqlserver", "h", 1, "u", "p")
+    assert range_predicates("k", []) == ["1 = 1"]
+    assert range_predicates("k", ["5"]) == ["k < 5 OR k IS NULL", "k >= 5"]
+    assert range_predicates("k", ["'a'", "'b'"])[1] == "k >= 'a' AND k < 'b'"
+    assert mysql.literal("it's \\ here") == "'it''s \\\\ here'" and sqlserver.literal("it's \\ here") == "'it''s \\ here'"
+    assert [literal(v) for v in (b"\x01\xff", dt.date(2024, 1, 2), dt.datetime(2024, 1, 2, 3), True, decimal.Decimal("1.50"))] == [
+        "0x01ff", "'2024-01-02'", "'2024-01-02 03:00:00'", "1", "1.50"
+    ]
+
+
+@pytest.mark.parametrize("kind", ["numbers", "texts"])
+def test_ranges_hold_about_as_many_rows(spark, kind):
+    """Keys that crowd at one end, a key with a tenth of the rows, and NULL keys."""
+    keys = [k**3 for k in range(900)] + [7] * 100 + [None] * 50
+    if kind == "texts":
+        keys = [None if k is None else f"id-{k:012d}" for k in keys]
+    df = spark.createDataFrame([(k,) for k in keys], f"k {'string' if kind == 'texts' else 'long'}").repartition(5)
+    rows = equi_depth_ranges(df, "k", 8).orderBy("range_no").collect()
+    assert sum(r["rows"] for r in rows) == 1000 and max(r["rows"] for r in rows) < 2 * 1000 / 8
+    assert [r["lower_bound"] for r in rows] == sorted(r["lower_bound"] for r in rows)
+    by_database = spark.sql(ranges_sql("{t}", "k", 8), t=df).orderBy("range_no").collect()
+    assert [(r["lower_bound"], r["upper_bound"], int(r["row_count"])) for r in by_database] == [
+        (r["lower_bound"], r["upper_bound"], r["rows"]) for r in rows
+    ]
+    nothing = spark.createDataFrame([], "k long")
+    assert equi_depth_ranges(nothing, "k", 8).collect() == []

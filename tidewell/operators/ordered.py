@@ -1,4 +1,4 @@
-"""Previous value of an ordered group without collecting the group in one task."""
+"""Previous values and running totals in an order, without collecting what is ordered in one task."""
 
 from __future__ import annotations
 
@@ -58,3 +58,23 @@ def with_previous(
         .select(*df.columns, F.col(f"__before.{value}").alias(output))
         .select(*df.columns, output)
     )
+
+
+def with_total_before(df: DataFrame, order: Sequence[str], size: str, output: str, chunks: int | None = None) -> DataFrame:
+    """The sum of ``size`` over all rows that come before in ``order``, which has to be a total one; 0 for the first.
+
+    Rows are range partitioned by the order. Each chunk adds up its own rows, and takes over the sum of the chunks before
+    it; there is one sum per chunk, so what is handed over is small and safe to broadcast, whatever the data.
+    """
+    chunks = chunks or CHUNKS_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = staged(df.repartitionByRange(chunks, *order).withColumn(CHUNK, F.spark_partition_id()), "ordered")
+    # A window over all of these rows is a window over at most ``chunks`` rows.
+    earlier = Window.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    handed_over = (
+        ranged.groupBy(CHUNK)
+        .agg(F.sum(size).alias("own"))
+        .select(F.col(CHUNK).alias("__to"), F.coalesce(F.sum("own").over(earlier), F.lit(0)).alias("__handed"))
+    )
+    inside = Window.partitionBy(CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    total = F.col("__handed") + F.coalesce(F.sum(size).over(inside), F.lit(0))
+    return ranged.join(F.broadcast(handed_over), F.col(CHUNK) == F.col("__to")).select(*df.columns, total.alias(output))

@@ -13,8 +13,9 @@ from tidewell.plans.snapshot import bronze_rows, bronze_rows_from_staged, load_m
 from tidewell.queries.registry import RUN_TIME, RUN_TIME_SQL, derive, query, table
 from tidewell.session import new_workspace
 from tidewell.sinks.files import overwrite_parquet
+from tidewell.operators.ranges import equi_depth_ranges, literal, range_predicates
 from tidewell.sources.files import read_parquet
-from tidewell.sources.jdbc import bounds_sql
+from tidewell.sources.jdbc import bounds_of
 
 TOPICS = """
     SELECT event_id, CASE WHEN event_id % 11 = 0 THEN event_type || '.TB_' || user_id
@@ -128,10 +129,49 @@ def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def scan_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the source is asked for before a scan by ranges, for a number and for a date."""
-    numbers = derive(spark, sf_dir, bounds_sql("{lineitem}", "`l_orderkey`"))
-    dates = derive(spark, sf_dir, bounds_sql("{lineitem}", "`l_shipdate`"))
-    return numbers.join(dates.toDF("lower_date", "upper_date"), F.lit(True))
+    """What the source is asked for before a scan by ranges, for a number and for a date: one pass for both."""
+    return derive(spark, sf_dir, f"SELECT {bounds_of('l_orderkey')}, {bounds_of('l_shipdate', 'date')} FROM {{lineitem}}")
+
+
+UNEVEN_KEYS = """
+    SELECT 'number' AS kind, l_orderkey, l_linenumber,
+           CASE WHEN l_orderkey % 50 <> 0 THEN CAST(l_orderkey AS DOUBLE) * l_orderkey * l_orderkey END AS number_key,
+           CAST(NULL AS VARCHAR(20)) AS text_key
+    FROM {lineitem}
+    UNION ALL
+    SELECT 'text', l_orderkey, l_linenumber, NULL,
+           CASE WHEN l_orderkey % 50 <> 0 THEN concat('k', CAST(l_partkey % 100 AS VARCHAR(20)), l_returnflag, CAST(l_orderkey AS VARCHAR(20))) END
+    FROM {lineitem}
+"""
+RANGES = 16
+
+
+def _ranged_sql(kind: str, key: str) -> str:
+    return f"""
+    SELECT '{kind}' AS kind, CAST(range_no AS BIGINT) AS range_no, CAST(sum(n) AS BIGINT) AS rows FROM (
+        SELECT CASE WHEN k IS NULL THEN 0 ELSE ((sum(n) FILTER (k IS NOT NULL) OVER (ORDER BY k NULLS FIRST) - n) * {RANGES})
+                    // sum(n) FILTER (k IS NOT NULL) OVER () END AS range_no, n
+        FROM (SELECT {key} AS k, count(*) AS n FROM ({UNEVEN_KEYS}) WHERE kind = '{kind}' GROUP BY 1)
+    ) GROUP BY range_no
+    """
+
+
+@query("scan_ranges", f"{_ranged_sql('number', 'number_key')} UNION ALL {_ranged_sql('text', 'text_key')}")
+def scan_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that each condition of a scan by even ranges reads, for an uneven number and for a text, NULL keys among them.
+
+    Every condition that a row meets counts it, so a row in none or in two ranges shows.
+    """
+    keys = derive(spark, sf_dir, UNEVEN_KEYS)
+    found = []
+    for kind, column in (("number", "number_key"), ("text", "text_key")):
+        own = keys.where(F.col("kind") == kind)
+        borders = equi_depth_ranges(own, column, RANGES).orderBy("range_no").collect()
+        conditions = range_predicates(column, [literal(row.lower_bound) for row in borders[1:]])
+        met = F.array_compact(F.array(*(F.when(F.expr(c), F.lit(i).cast("long")) for i, c in enumerate(conditions))))
+        counted = own.select(F.explode(met).alias("range_no")).groupBy("range_no").agg(F.count("*").alias("rows"))
+        found.append(counted.select(F.lit(kind).alias("kind"), "range_no", "rows"))
+    return found[0].unionByName(found[1])
 
 
 @query(

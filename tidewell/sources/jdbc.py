@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewell.functions.names import MYSQL, SQLSERVER
+from tidewell.operators.ranges import literal, range_predicates, ranges_sql
 
 
 # Driver classes, and the connection settings of each database.
@@ -16,9 +19,14 @@ MYSQL_SETTINGS = "zeroDateTimeBehavior=convertToNull&useUnicode=true&characterEn
 SQLSERVER_SETTINGS = "encrypt=false;"
 
 
+def bounds_of(column: str, suffix: str = "bound") -> str:
+    """Smallest and largest value of a column, whose name is quoted already, for a SELECT list."""
+    return f"min({column}) AS lower_{suffix}, max({column}) AS upper_{suffix}"
+
+
 def bounds_sql(table: str, column: str) -> str:
-    """The query for the smallest and largest value of a column, whose name is quoted already."""
-    return f"SELECT min({column}) AS lower_bound, max({column}) AS upper_bound FROM {table}"
+    """The query for the smallest and largest value of a column."""
+    return f"SELECT {bounds_of(column)} FROM {table}"
 
 
 @dataclass(frozen=True)
@@ -84,6 +92,33 @@ class JdbcSource:
         row = self.query(spark, bounds_sql(table, self.quoted(column)), database).first()
         return (None, None) if row is None else (row[0], row[1])
 
+    def borders(self, spark: SparkSession, table: str, column: str, ranges: int, database: str = "") -> list[Any]:
+        """Lower bounds of ranges with about as many rows each, but the first's; found by the database, for keys of any
+        type it can order. As many rows as there are ranges come back."""
+        rows = self.query(spark, ranges_sql(table, self.quoted(column), ranges), database).collect()
+        return [row["lower_bound"] for row in sorted(rows, key=lambda row: row["range_no"])[1:]]
+
+    def literal(self, value: Any) -> str:
+        text = literal(value)
+        return text.replace("\\", "\\\\") if self.dialect == MYSQL and isinstance(value, str) else text
+
+    def table_by_predicates(
+        self, spark: SparkSession, table: str, predicates: Sequence[str], database: str = ""
+    ) -> DataFrame:
+        """A whole table over several connections, each reading the rows that meet one condition."""
+        if self.reader == "jdbc":
+            options = self.options(database)
+            return spark.read.jdbc(options.pop("url"), table, predicates=list(predicates), properties=options)
+        parts = [self.query(spark, f"SELECT * FROM {table} WHERE {condition}", database) for condition in predicates]
+        return reduce(DataFrame.unionByName, parts)
+
+    def table_by_even_ranges(
+        self, spark: SparkSession, table: str, column: str, partitions: int, database: str = ""
+    ) -> DataFrame:
+        """A whole table in ranges of a key that hold about as many rows each."""
+        borders = [self.literal(value) for value in self.borders(spark, table, column, partitions, database)]
+        return self.table_by_predicates(spark, table, range_predicates(self.quoted(column), borders), database)
+
     def scan(
         self, spark: SparkSession, table: str, partition_column: str | None, partitions: int, database: str = ""
     ) -> DataFrame:
