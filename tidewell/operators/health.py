@@ -15,18 +15,37 @@ RECOVERED = "RECOVERED"
 RUN_KEYS = ("dag_id", "task_id", "run_id")
 
 
+def effective_events(events: DataFrame) -> DataFrame:
+    """Events that may change a run's state: a first-try success changes none, so it is dropped before states are compared."""
+    return events.filter((F.col("state") != RECOVERED) | (F.col("try_number") > 1))
+
+
+def _messages(compared: DataFrame) -> DataFrame:
+    repeated = (F.col("state") == FAILED) & F.col("previous_state").eqNullSafe(F.lit(FAILED))
+    return compared.filter(~repeated).withColumn("opens_thread", F.col("previous_state").isNull())
+
+
 def alert_transitions(events: DataFrame) -> DataFrame:
     """Events that send a message: a failure once until the state changes, each retry, and a
     recovery only after a retry.
 
-    A first-try success changes no state, so it is dropped before states are compared. The first
-    message of a run opens its thread. Columns besides the run keys: ``event_ts``, ``event_id``,
+    The first message of a run opens its thread. Columns besides the run keys: ``event_ts``, ``event_id``,
     ``state``, ``try_number``.
     """
-    effective = events.filter((F.col("state") != RECOVERED) | (F.col("try_number") > 1))
-    compared = with_previous(effective, RUN_KEYS, ("event_ts", "event_id"), "state", "previous_state")
-    repeated = (F.col("state") == FAILED) & F.col("previous_state").eqNullSafe(F.lit(FAILED))
-    return compared.filter(~repeated).withColumn("opens_thread", F.col("previous_state").isNull())
+    return _messages(with_previous(effective_events(events), RUN_KEYS, ("event_ts", "event_id"), "state", "previous_state"))
+
+
+def alerts_after(events: DataFrame, carried: DataFrame) -> DataFrame:
+    """The same for effective events that follow others, of whose runs ``carried`` (run keys, ``state``) has the last states.
+
+    A carried state comes before all events of its run, whatever their times. So messages don't depend on how
+    events in their order are cut into batches.
+    """
+    earlier, order = "__follows", ("__follows", "event_ts", "event_id")
+    before = carried.select(*RUN_KEYS, "state", F.lit(False).alias(earlier))
+    both = events.withColumn(earlier, F.lit(True)).unionByName(before, allowMissingColumns=True)
+    compared = with_previous(both, RUN_KEYS, order, "state", "previous_state")
+    return _messages(compared.filter(earlier).drop(earlier))
 
 
 def monthly_failures(alerts: DataFrame) -> DataFrame:

@@ -18,23 +18,27 @@ from tidewell.operators.decoding import JSON
 from tidewell.plans.snapshot import bronze_rows
 from tidewell.queries.cdc import applied_sql
 from tidewell.queries.decoding import DECODED_SQL, framed_events, registry
-from tidewell.queries.registry import RUN_TIME, query, table
+from tidewell.queries.health import ALERTS_SQL, RUN_EVENTS
+from tidewell.queries.registry import RUN_TIME, derive, query, table
 from tidewell.session import new_workspace
 from tidewell.sinks.ledger import ensure_ledger, ledger_name
 from tidewell.sinks.tables import PARQUET, BronzeStore, create_or_replace, data_schema
 from tidewell.sources.files import RECORD_SCHEMA, read_parquet, record_file_stream
+from tidewell.streaming.alerts import AlertJob, start_alerts
 from tidewell.streaming.archive import start_archive
 from tidewell.streaming.cdc import CdcJob, run_topic, topic_checkpoint
 from tidewell.streaming.runner import run_topics
 
-# Days on which the deliveries end; the last one takes the rest.
-DELIVERIES = ("2024-01-08", "2024-01-19", "2100-01-01")
+# Days between the deliveries.
+DELIVERIES = ("2024-01-08", "2024-01-19")
 
 
-def deliveries(records: DataFrame) -> Iterator[DataFrame]:
-    since = "1970-01-01"
-    for until in DELIVERIES:
-        yield records.filter((F.col("timestamp") >= F.lit(since)) & (F.col("timestamp") < F.lit(until)))
+def deliveries(records: DataFrame, time: str = "timestamp") -> Iterator[DataFrame]:
+    """Records by time; the first delivery has all before its end, the last one all that is left, also without a time."""
+    since = None
+    for until in (*DELIVERIES, None):
+        left = F.lit(True) if since is None else F.coalesce(F.col(time) >= F.lit(since), F.lit(True))
+        yield records.filter(left if until is None else left & (F.col(time) < F.lit(until)))
         since = until
 
 
@@ -69,7 +73,7 @@ def _run_cdc(spark: SparkSession, sf_dir: str) -> tuple[BronzeStore, str, str]:
 def _delivery(time: str) -> str:
     """Number of the delivery, and so of the batch, that a record comes with."""
     cases = [f"WHEN {time} < TIMESTAMP '{until} 00:00:00' THEN {i}" for i, until in enumerate(DELIVERIES)]
-    return f"CASE {' '.join(cases)} END"
+    return f"CASE {' '.join(cases)} ELSE {len(DELIVERIES)} END"
 
 
 # What all changes give at once, whatever batches they came in.
@@ -143,3 +147,15 @@ def stream_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("stream_alerts", ALERTS_SQL)
+def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts of run events that come in three deliveries, each worked off by a run that goes on from the last one's state."""
+    folder = new_workspace(spark, "alerts")
+    store = BronzeStore(f"{folder}/warehouse", provider=PARQUET, buckets=4)
+    job = AlertJob(store, f"{folder}/out", f"alert_state_{uuid.uuid4().hex[:12]}")
+    events = derive(spark, sf_dir, RUN_EVENTS)
+    for part in deliveries(events, "event_ts"):
+        part.write.mode("append").parquet(f"{folder}/events")
+        stream = spark.readStream.schema(events.schema).parquet(f"{folder}/events")
+        start_alerts(spark, stream, job, f"{folder}/checkpoint", f"alerts-{uuid.uuid4().hex[:12]}").awaitTermination()
+    return read_parquet(spark, f"{folder}/out").drop("batch")
