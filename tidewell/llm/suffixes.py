@@ -34,7 +34,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.batches import limit_batches
+from tidewell.llm.batches import limit_batches, mixed
 
 LENGTH = 50
 CHUNK_BYTES = 16 << 20
@@ -133,7 +133,8 @@ class Chunk:
         at = np.zeros(len(start), np.uint8)
         for a in range(0, len(start), 1 << 16):
             at[a : a + (1 << 16)] = sliding_window_view(hashes, most)[start[a : a + (1 << 16)]].argmin(axis=1)
-        return start + begin, count.astype(np.int16), np.repeat(lowest[first], pieces), at
+        # Smallest hashes are small; mixed ones spread over all buckets and shards.
+        return start + begin, count.astype(np.int16), mixed(np.repeat(lowest[first], pieces)), at
 
     def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct anchors in order, whether several ids have each, and the place of each stretch's anchor among them."""
