@@ -3,7 +3,8 @@
 A whole text is cut into windows of fixed length, padded with zero bytes; the network scores each window, and the
 mean of the log-probabilities over all windows, weighted by their bytes, decides. Only lower-cased text enters a
 prediction. The network is trained in numpy on a bounded sample, at most about ``PER_LANGUAGE`` documents of each
-language, chosen by a hash of the id, of which tasks cut a few windows at hashed places; the driver gets those. Scoring is one pass, no shuffle.
+language, chosen by a hash of the id, of which tasks cut a few windows at hashed places; the driver gets those, six for each of
+``PER_LANGUAGE`` at most, however many rows an id has. Scoring is one pass, no shuffle.
 
 Edge cases: a NULL text, or one without any letter, gives ``und`` and 0. NULL languages and ids are not learned
 from. Without a learnable row every text gives ``und``. Rows are judged one by one, repeated rows alike; what is
@@ -14,7 +15,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.llm import byteconv
@@ -70,7 +71,8 @@ def sample(
     known = docs.select("doc_id", "text", F.col("lang").alias("label")).where(
         F.col("label").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & learnable
     )
-    sizes = docs.where(F.col("lang").isNotNull()).groupBy(F.col("lang").alias("label")).count()
+    # Rows that are held back have no say, not even in how many of a language there are.
+    sizes = known.groupBy("label").count()
     share = F.col("count") / F.lit(float(per_language))
     if sizes.count() > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
@@ -80,7 +82,11 @@ def sample(
         .select(F.lower("text").alias("text"), F.col("label").cast("string").alias("label"))
     )
     found = mapped(drawn, "text", work, "label string, seen binary").distinct()
-    return sorted((r[0], bytes(r[1])) for r in found.collect())
+    # An id may have any number of rows; the draw bounds ids, this the windows that come to the driver.
+    place = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("seen"), "seen"))
+    most = int(1.5 * per_language * windows_per_text)
+    bounded = found.withColumn("place", place).where(F.col("place") <= most).select("label", "seen")
+    return sorted((r[0], bytes(r[1])) for r in bounded.collect())
 
 
 def train(rows: list[tuple[str, bytes]]) -> tuple[byteconv.ByteConv | None, list[str]]:
