@@ -20,13 +20,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.llm.batches import Texts, Words, mapped, mixed
 from tidewell.session import staged
 
 PER_CLASS = 4000
+SAMPLE_BYTES = 1 << 20
 THRESHOLD = 0.7
 PREFIXES = (4, 5, 6)
 _SIEVE_BITS = 20
@@ -142,7 +143,11 @@ def scores(model: ToxicityModel, sieve: np.ndarray, texts: Texts) -> np.ndarray:
 
 
 def sample(docs: DataFrame, labels: DataFrame, learnable: Column, per_class: int = PER_CLASS) -> DataFrame:
-    """``text`` (lower case) and ``label``: at most ``per_class`` documents of each label, by a hash of the id."""
+    """``doc_id``, ``text`` (lower case) and ``label``: at most ``per_class`` rows of each label, by a hash of the id.
+
+    An id may have any number of rows, of which those with the smallest hashes of the text count. Texts of more than
+    ``SAMPLE_BYTES`` are scored like others and not learned from.
+    """
     known = (
         labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL")
         .groupBy("doc_id")
@@ -152,7 +157,10 @@ def sample(docs: DataFrame, labels: DataFrame, learnable: Column, per_class: int
     )
     parts = [known.where(F.col("label") == c).orderBy("_order", "doc_id").limit(per_class) for c in (0, 1)]
     picked = F.broadcast(parts[0].union(parts[1]).select("doc_id", "label"))  # 2 * per_class rows at most
-    return docs.select("doc_id", F.lower("text").alias("text")).join(picked, "doc_id").where("text IS NOT NULL")
+    fitting = docs.select("doc_id", F.lower("text").alias("text")).where(F.octet_length("text") <= SAMPLE_BYTES)
+    place = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"), "text"))
+    rows = fitting.join(picked, "doc_id").withColumn("_place", place)
+    return rows.where(F.col("_place") <= per_class).drop("_place")
 
 
 def _screened(rows: DataFrame) -> np.ndarray:
