@@ -20,7 +20,7 @@ short parts, where they would otherwise be more than half; a part of one word is
 and no term has more than half of a piece's weight.
 
 The index is built from the benchmark alone, in shards of at most ``SHARD_BYTES`` of text, which bounds what is
-broadcast; a larger benchmark makes more shards, which the texts pass one after the other in the same stage.
+broadcast at a time; a larger benchmark makes more shards, all of which the texts meet in one scan.
 
 Edge cases: NULL or empty texts match nothing, and items without a word are skipped. Items with fewer than
 ``MIN_WORDS`` words are found as exact runs of their words, so a text that holds them by chance counts too. An item that
@@ -34,7 +34,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.llm.batches import Texts, Words, fold, mapped
@@ -285,9 +285,14 @@ class Searcher:
         return float(np.isin(_runs(part, n), _runs(around, n)).mean())
 
 
+def _item_key() -> Column:
+    """What an item goes by in the index; items of one text are one."""
+    return F.xxhash64("text")
+
+
 def indexes(benchmark: DataFrame) -> list[Index]:
     """Indexes over all items, in shards of bounded size."""
-    given = benchmark.where("text IS NOT NULL").groupBy("text").agg(F.min("item_id").alias("item_id"))
+    given = benchmark.where("text IS NOT NULL").select(_item_key().alias("item_id"), "text").distinct()
     total = given.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     shards = int(-(-total // (SHARD_BYTES // 2))) or 1
     out = []
@@ -302,53 +307,52 @@ def indexes(benchmark: DataFrame) -> list[Index]:
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row for each document and item it holds: ``doc_id``, ``item_id``, ``first_word`` (of the best passage),
     ``score``, ``question_overlap`` and ``answer_overlap``."""
-    spark = docs.sparkSession
     id_kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = (
-        f"doc_id {id_kind}, item_id {benchmark.schema['item_id'].dataType.simpleString()}, first_word long, "
-        "score double, question_overlap double, answer_overlap double"
+    schema = f"doc_id {id_kind}, item_key long, first_word long, score double, question_overlap double, answer_overlap double"
+    found = mapped(docs.select("doc_id", "text"), "text", _Finder(_shared(docs, benchmark)), schema)
+    named = benchmark.where("text IS NOT NULL").select(_item_key().alias("named"), "item_id").distinct()
+    return found.join(named, F.col("item_key") == F.col("named")).select(
+        "doc_id", "item_id", "first_word", "score", "question_overlap", "answer_overlap"
     )
-    given, out = docs.select("doc_id", "text"), spark.createDataFrame([], schema)
-    for index in indexes(benchmark):
-        shared = spark.sparkContext.broadcast(index)
-        out = out.union(mapped(given, "text", _Finder(shared), schema))
-    return out
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows, all columns, that hold no test item."""
-    for index in indexes(benchmark):
-        docs = mapped(docs, "text", _Filter(docs.sparkSession.sparkContext.broadcast(index)), docs.schema)
-    return docs
+    return mapped(docs, "text", _Filter(_shared(docs, benchmark)), docs.schema)
+
+
+def _shared(docs: DataFrame, benchmark: DataFrame) -> list:
+    return [docs.sparkSession.sparkContext.broadcast(index) for index in indexes(benchmark)]
 
 
 class _OnIndex:
-    """Work on a broadcast index; the searcher is made once in each task."""
+    """Work on the broadcast indexes of all shards, in one pass; searchers are made once in each task."""
 
-    def __init__(self, shared):
-        self.shared, self._searcher = shared, None
+    def __init__(self, shared: list):
+        self.shared, self._searchers = shared, None
 
     def __getstate__(self):
-        return {"shared": self.shared, "_searcher": None}
+        return {"shared": self.shared, "_searchers": None}
 
     @property
-    def searcher(self) -> Searcher:
-        if self._searcher is None:
-            self._searcher = Searcher(self.shared.value)
-        return self._searcher
+    def searchers(self) -> list[Searcher]:
+        if self._searchers is None:
+            self._searchers = [Searcher(one.value) for one in self.shared]
+        return self._searchers
 
 
 class _Finder(_OnIndex):
     def __call__(self, part: pa.RecordBatch) -> pa.RecordBatch | None:
-        found = self.searcher.matches(Texts.of(part.column("text")))
+        texts = Texts.of(part.column("text"))
+        found = [(one.index.items[m[1]].item_id, m) for one in self.searchers for m in one.matches(texts)]
         if not found:
             return None
-        text, number, word, score, asked, answered = zip(*found)
-        ids = [self.searcher.index.items[i].item_id for i in number]
+        keys, matches = zip(*found)
+        text, _, word, score, asked, answered = zip(*matches)
         return pa.record_batch(
             {
                 "doc_id": part.column("doc_id").take(pa.array(text)),
-                "item_id": pa.array(ids, pa.int64()),
+                "item_key": pa.array(keys, pa.int64()),
                 "first_word": pa.array(word, pa.int64()),
                 "score": pa.array(score),
                 "question_overlap": pa.array(asked),
@@ -360,5 +364,7 @@ class _Finder(_OnIndex):
 class _Filter(_OnIndex):
     def __call__(self, part: pa.RecordBatch) -> pa.RecordBatch:
         clean = np.ones(part.num_rows, bool)
-        clean[[m[0] for m in self.searcher.matches(Texts.of(part.column("text")))]] = False
+        texts = Texts.of(part.column("text"))
+        for one in self.searchers:
+            clean[[m[0] for m in one.matches(texts)]] = False
         return part.filter(pa.array(clean))
