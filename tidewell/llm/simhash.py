@@ -18,6 +18,8 @@ name a component unless all its ids are NULL. Repeated rows stay; other columns
 
 from __future__ import annotations
 
+import re
+import uuid
 from itertools import combinations
 
 import numpy as np
@@ -186,10 +188,19 @@ def _printed(docs: DataFrame, shingle_words: int) -> DataFrame:
         return pa.record_batch({"doc_id": part.column(0), "row_hash": part.column(1), "fingerprint": prints})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    given = docs.select("doc_id", F.xxhash64(*(docs[f"`{c}`"] for c in docs.columns)).alias("row_hash"), "text")
+    given = docs.select("doc_id", _row_hash(docs).alias("row_hash"), "text")
     return mapped(given, "text", work, f"doc_id {kind}, row_hash long, fingerprint long")
 
 
+def _telling(docs: DataFrame) -> list[str]:
+    """Columns that can tell rows apart: Spark compares none that holds a map or a variant."""
+    return [f.name for f in docs.schema.fields if not re.search(r"\b(map<|variant\b)", f.dataType.simpleString())]
+
+
+def _row_hash(docs: DataFrame) -> Column:
+    return F.xxhash64(*(docs[f"`{c}`"] for c in _telling(docs)))
+
+
 def _rooted(printed: DataFrame, radius: int) -> DataFrame:
     """The rows of ``printed`` with ``root``, one fingerprint that stands for the class."""
     distinct = staged(printed.select("fingerprint").distinct(), "distinct")
@@ -209,20 +220,21 @@ def classes(docs: DataFrame, radius: int = MAX_BITS, shingle_words: int = SHINGL
 
 def representatives(docs: DataFrame, radius: int = MAX_BITS, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
     """One row of each class, all columns: the one of the smallest id; of several with that id, the one with the
-    smallest hash of all columns. Rows that are equal throughout count as one."""
+    smallest hash of all columns. Rows that are equal throughout count as one; columns with maps or variants don't count."""
     printed = staged(_printed(docs, shingle_words), "fingerprints")
     best = _rooted(printed, radius).groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_hash")).alias("best")
     )
-    kept = staged(best.select(F.col("best.doc_id").alias("kept_id"), F.col("best.row_hash").alias("kept_row")), "kept")
+    # Names that no column of the documents has.
+    own = uuid.uuid4().hex
+    kept_id, kept_row = f"id_{own}", f"row_{own}"
+    kept = staged(best.select(F.col("best.doc_id").alias(kept_id), F.col("best.row_hash").alias(kept_row)), "kept")
     again = printed.groupBy("doc_id", "row_hash").count().where("count > 1")
-    match = F.col("row_hash").eqNullSafe(F.col("kept_row")) & F.col("doc_id").eqNullSafe(F.col("kept_id"))
-    again = staged(again.join(kept, match, "left_semi").select("doc_id", "row_hash"), "repeated")
-    hashed = F.xxhash64(*(docs[f"`{c}`"] for c in docs.columns))
-    match = (hashed == F.col("kept_row")) & docs["doc_id"].eqNullSafe(F.col("kept_id"))
+    mark = F.col("row_hash").eqNullSafe(F.col(kept_row)) & F.col("doc_id").eqNullSafe(F.col(kept_id))
+    again = staged(again.join(kept, mark, "left_semi").select("doc_id", "row_hash"), "repeated")
+    match = (_row_hash(docs) == F.col(kept_row)) & docs["doc_id"].eqNullSafe(F.col(kept_id))
     if again.isEmpty():
         return docs.join(kept, match, "left_semi")
-    mark = (F.col("row_hash") == F.col("kept_row")) & F.col("doc_id").eqNullSafe(F.col("kept_id"))
     repeated = kept.join(again, mark, "left_semi")
     single = docs.join(kept.join(again, mark, "left_anti"), match, "left_semi")
-    return single.union(docs.join(repeated, match, "left_semi").dropDuplicates(docs.columns))
+    return single.union(docs.join(repeated, match, "left_semi").dropDuplicates(_telling(docs)))
