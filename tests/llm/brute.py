@@ -236,3 +236,44 @@ def collocations(docs, least, first):
         for rank, (score, a, phrase, left, right) in enumerate(sorted(rows)[:first], 1):
             out.add((lang, rank, phrase.decode(), -a, left, right, totals[lang], -score))
     return out
+
+
+def ppm(docs, longest=4):
+    """log10 probability of each (id, text) by prediction by partial matching, symbol by symbol."""
+    counts = {}
+
+    def symbols(text):
+        return [*(text or "").translate(LOWER).encode(), 256]
+
+    def contexts(own, at):
+        padded = [256] * longest + own[:at]
+        return [tuple(padded[len(padded) - k :]) for k in range(longest, -1, -1)]
+
+    for i, text in docs:
+        if remainder(i, 7) != 2:
+            own = symbols(text)
+            for at, s in enumerate(own):
+                for context in contexts(own, at):
+                    counts.setdefault(context, Counter())[s] += 1
+
+    def probability(s, chain):
+        p, excluded = 1.0, set()
+        for context in chain:
+            seen = counts.get(context)
+            if not seen:
+                continue
+            left = {t: n for t, n in seen.items() if t not in excluded}
+            if not left:
+                continue
+            whole = sum(left.values()) + (len(left) if len(excluded | left.keys()) < 257 else 0)
+            if s in left:
+                return p * left[s] / whole
+            p *= len(left) / whole
+            excluded |= left.keys()
+        return p / (257 - len(excluded))
+
+    out = {}
+    for i, text in docs:
+        own = symbols(text)
+        out[i] = sum(math.log10(probability(s, contexts(own, at))) for at, s in enumerate(own))
+    return out, probability

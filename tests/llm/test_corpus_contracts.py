@@ -2,11 +2,12 @@
 
 import re
 
+import brute
 import pytest
 from pyspark.sql import functions as F
 from test_corpus_edges import frame, labels
 
-from tidewell.llm import decontaminate, language, secrets, simhash, toxicity
+from tidewell.llm import decontaminate, language, ppm, secrets, simhash, toxicity
 from tidewell.llm.queries import remainder
 
 
@@ -99,3 +100,20 @@ def test_representatives_of_rows_with_any_columns(spark):
     kept = simhash.representatives(docs)
     assert kept.columns == docs.columns
     assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3]
+
+
+@pytest.mark.parametrize("chunk_bytes", [40_000, 16 << 20])
+def test_scores_against_matching_symbol_by_symbol(spark, small, chunk_bytes):
+    """Contexts of true bytes, escapes and exclusion as the plain version has them, for held-out documents as well."""
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    got = ppm.score_documents(docs, remainder(7) != 2, chunk_bytes=chunk_bytes).collect()
+    want, _ = brute.ppm(brute.read(small, "documents", "doc_id, text"))
+    assert all(abs(r["score"] - want[r["doc_id"]]) < 1e-6 * abs(want[r["doc_id"]]) + 1e-5 for r in got)
+    assert len(got) == len(want)
+
+
+def test_scores_with_nothing_to_learn_from(spark):
+    docs = frame(spark, ["abc", "", None])
+    rows = {r["doc_id"]: r for r in ppm.score_documents(docs, F.lit(False)).collect()}
+    assert abs(rows[0]["score"] + 4 * 2.4099331) < 1e-5 and abs(rows[2]["score"] + 2.4099331) < 1e-5
+    assert all(r["n_known"] == 0 and r["train_tokens"] == 0 and r["base_score"] == 0 for r in rows.values())

@@ -139,16 +139,20 @@ def test_backward_search_against_scanning():
 
 
 def test_ppm_probabilities_sum_to_one():
-    texts = Texts.of(pa.array(["abracadabra", "abra cadabra", "", "123"]))
-    code, symbols, _ = ppm._coded(texts)
-    codes, n = np.unique(code, return_counts=True)
-    seen = np.bincount(symbols, minlength=257)
-    used = np.flatnonzero(seen)
-    model = ppm.Model(np.concatenate([codes, ppm.CLASSES**4 + used]), np.concatenate([n, seen[used]]))
-    assert np.allclose(np.exp(model.table.astype(float)).sum(axis=1), 1, atol=1e-4)
-    within = np.bincount(ppm.CLASS_OF, weights=np.exp(model.within[:256]), minlength=ppm.CLASSES)
-    assert np.allclose(within[ppm.CLASS_SIZE > 0], 1)
-    assert model.scores(texts)[0] > model.scores(Texts.of(pa.array(["zxqwvkjzxqw"])))[0]
+    texts = Texts.of(pa.array([b"abracadabra", b"abra cadabra", b"", b"123", bytes(range(256))]))
+    grams, n = np.unique(ppm.grams_of(texts)[0], return_counts=True)
+    low_codes = ppm.grams_of(texts, 1)[0]
+    low = np.zeros((ppm.SYMBOLS, ppm.SYMBOLS), np.int64)
+    np.add.at(low, (low_codes >> 9, low_codes & 511), 1)
+    every = np.arange(ppm.SYMBOLS)
+    for context in ("abra", "zzzz", "xxbr", "  ca"):
+        code = 0
+        for c in reversed(context.encode()):
+            code = code << 9 | c
+        nearest = code >> 9 * (ppm.LONGEST - 2)
+        same = grams >> 9 * (ppm.LONGEST - 1) == nearest
+        p = 10 ** ppm.log_probabilities(code << 9 | every, grams[same], n[same], low)
+        assert abs(p.sum() - 1) < 1e-9, context
 
 
 def test_heavy_anchors_give_the_same(spark, monkeypatch, small):
@@ -284,25 +288,6 @@ def test_ppm_learns_true_bytes_in_long_contexts(spark):
         assert score[63 + k] < 4 * score[60 + k]
 
 
-def test_ppm_blended_probabilities_sum_to_one(spark):
-    texts = ["abracadabra", "abra cadabra", "", "ёж и ёлка"]
-    grams = ppm.gram_counts(frame(spark, texts))
-    model, rows = ppm.train(grams), ppm.followers(grams).toArrow()
-    counts = {r["context"]: dict(zip(r["symbols"], r["counts"])) for r in rows.to_pylist()}
-    known = ppm.Followers(
-        np.array(list(counts)),
-        np.array([len(c) for c in counts.values()]),
-        np.array([b for c in counts.values() for b in c]),
-        np.array([n for c in counts.values() for n in c.values()]),
-    )
-    long = 9 * ppm.ORDERS[-1]
-    context = ppm._grams(Texts.of(pa.array([*texts, "zq"])))[0] & ((1 << long) - 1)
-    code = (np.arange(257)[:, None] << long) | context
-    base = np.exp(model.table.reshape(-1)[ppm._classed(code)].astype(float) + model.within[np.arange(257)][:, None])
-    whole = base / base.sum(axis=0)  # the classes keep a little for classes without bytes
-    assert np.allclose(known.blended(code, whole).sum(axis=0), 1)
-
-
 def test_short_items_and_items_without_an_id_are_found(spark):
     nameless = "which river runs past the old stone mill near the town?"
     items = [(1, "Prime minister?"), (2, "prime minister"), (3, "Zyx"), (4, "in the long run"), (None, nameless), (5, "")]

@@ -1,364 +1,330 @@
 """Language-model scores by prediction by partial matching, and a unigram base score.
 
-The model predicts each byte from the bytes before it, in contexts of ``ORDERS`` true bytes. How often each byte
-followed each context is counted by Spark over every document that may be learned from and written as a table that
-grows with the corpus. A context passes on to the next shorter one by method C: an escape is as likely as the number
-of distinct bytes seen after it, and what all orders say is blended, so a byte seen in a longer context keeps the
-share that the shorter ones give it, and probabilities sum to one. A context that was never seen is left out.
-
-The shortest order escapes to a model of classes, which gives every byte a probability: bytes fall into 64 classes
-(letters, digits and frequent marks alone, rare ones together), a trie of three classes holds how often each class
-followed, with escapes and exclusions, and within a class the byte is coded by its frequency. Its at most 64**4 leaves
-are one table of fixed size, which is broadcast; it only decides where the counts of true bytes leave room.
-
-Codes of contexts hold their bytes, so none are mixed up. A chunk (below) sends its distinct contexts and gets the
-bytes that followed them, with counts.
-
-The base score counts words exactly. Texts are grouped in chunks of bounded size; a chunk sends its distinct words
-with their counts, gets the totals of just those back, and scores its documents. What is exchanged follows the
-number of distinct words in chunks, a word in all documents comes once a chunk, and no vocabulary is broadcast.
-Words are told apart by 64-bit hashes.
+The model predicts each byte, and the end of a text, from the bytes before it. Contexts of one to ``LONGEST`` true bytes
+are the nodes of a trie whose counts cover every document that may be learned from, and so grow with the corpus. From
+the longest context that was seen the model goes down to shorter ones: a symbol that followed has its share of what
+followed, and the others together as much as different symbols followed (method C). Symbols that a longer
+context has ruled out are excluded from the counts of the shorter ones. Below the empty context the symbols never seen
+share alike. So the probabilities of all symbols sum to one in every context.
+
+Texts are shuffled once, into chunks. A chunk sends its distinct grams (context and symbol) with their counts in learnable
+documents, in order, as differences in packed arrays: one row for each bucket of contexts by their nearest two bytes. A
+bucket so has every longer context below these two bytes; it adds up the counts, derives the orders above by adding
+up sorted neighbours, and answers each gram with its log-probability, which is all that scoring needs. Counts of one byte
+and of none are at most 257 * 257 numbers, which are counted first and broadcast.
+
+The base score counts words exactly in the same way: words travel as 64-bit hashes with counts and learn their totals.
+What is exchanged follows the distinct grams and words of chunks. A context that all chunks have brings its bucket its
+grams once a chunk; chunks and buckets follow the input, and nothing else is collected.
 
 Edge cases: a NULL or empty text consists of its end. NULL ids are scored and not learned from. With nothing to
-learn from every token is unknown and all bytes are alike. Repeated rows are scored alike; other columns are ignored.
+learn from every token is unknown and all symbols are alike. Repeated rows are scored alike; other columns are ignored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark import TaskContext
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.batches import LOWER, Texts, limit_batches, mapped, slices
+from tidewell.llm.batches import LOWER, Texts, limit_batches, mapped, mixed, slices
 from tidewell.session import staged
 
-ORDERS = (1, 2, 3, 5)
-ORDER = 3  # of the classes
-CLASSES = 64
-END_CLASS = 0
-CHUNK_TOKENS = 2_000_000
+LONGEST = 4
+CHUNK_BYTES = 16 << 20
+SYMBOLS = 257
+END = 256  # also what stands before the first byte of a text
 _END_WORD = np.uint64(0x5851F42D4C957F2D)
+_GRAMS, _WORDS = 1, 2
 
 
-def _classes() -> np.ndarray:
-    """The class of each byte: 0 is the end of a text."""
-    out = np.full(256, 42)  # other ASCII marks
-    out[:32] = out[127] = 3
-    out[32], out[10] = 1, 2
-    out[97:123] = np.arange(4, 30)
-    out[48:58] = np.arange(30, 40)
-    out[46], out[44] = 40, 41
-    out[0x80:0xC0] = 48 + np.arange(64) % 16
-    out[0xC0:0xE0], out[0xC2], out[0xC3] = 45, 44, 43
-    out[0xE0:0xF0], out[0xF0:] = 46, 47
-    return out
-
-
-CLASS_OF = _classes().astype(np.uint8)
-CLASS_SIZE = np.bincount(CLASS_OF, minlength=CLASSES)
-
-
-def _coded(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Context-and-class codes of all bytes and ends, in order; their bytes (256: an end); where texts start."""
-    symbols = np.insert(LOWER[texts.data].astype(np.int16), texts.offsets[1:], 256)
-    starts = texts.offsets + np.arange(len(texts) + 1)
-    classes = np.append(CLASS_OF, np.uint8(END_CLASS))[symbols]
-    code = classes.astype(np.int32)  # 64**4 fits
-    place = np.arange(len(symbols), dtype=np.int32) - np.repeat(starts[:-1].astype(np.int32), np.diff(starts))
-    for back in range(1, ORDER + 1):
-        before = np.concatenate([np.zeros(min(back, len(classes)), np.uint8), classes[:-back]])
-        before[place < back] = END_CLASS  # before its first byte a text has ends
-        code += before.astype(np.int32) << (6 * back)
-    return code, symbols, starts
+def _packed(values: np.ndarray) -> bytes:
+    """Compressed, bytes of equal weight together."""
+    flat = np.ascontiguousarray(values)
+    return zstandard.compress(np.ascontiguousarray(flat.view(np.uint8).reshape(len(flat), flat.itemsize).T).tobytes(), 1)
 
 
-_LONG = ORDERS[-1]
-_CONTEXT = (1 << 9 * _LONG) - 1
+def _unpacked(data: bytes, kind) -> np.ndarray:
+    flat = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(flat.T).view(kind).reshape(-1)
 
 
-def _grams(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
-    """For all bytes and ends, in order, a code of the symbol and those before it, 9 bits each, the symbol highest and
-    the furthest lowest; where texts start. Before its first byte a text has ends."""
-    symbols = np.insert(LOWER[texts.data].astype(np.int64), texts.offsets[1:], 256)
+def grams_of(texts: Texts, longest: int = LONGEST) -> tuple[np.ndarray, np.ndarray]:
+    """For all bytes and ends, in order, a code of the context, its nearest byte highest, and the symbol, nine bits each;
+    where texts start."""
+    symbols = np.insert(LOWER[texts.data].astype(np.int64), texts.offsets[1:], END)
     starts = texts.offsets + np.arange(len(texts) + 1)
-    place = np.arange(len(symbols)) - np.repeat(starts[:-1], np.diff(starts))
-    code = symbols << 9 * _LONG
-    for back in range(1, _LONG + 1):
-        before = np.concatenate([np.zeros(min(back, len(symbols)), np.int64), symbols[:-back]])
-        before[place < back] = 256
-        code |= before << 9 * (_LONG - back)
+    code = symbols.copy()
+    for back in range(1, longest + 1):
+        before = np.full(len(symbols), END, np.int64)
+        before[back:] = symbols[:-back]
+        for k in range(back):  # the first bytes of a text see no other text's
+            own = starts[:-1] + k
+            before[own[own < starts[1:]]] = END
+        code |= before << 9 * (longest + 1 - back)
     return code, starts
 
 
-def _context(code: np.ndarray, order: int) -> np.ndarray:
-    """The code of the context of an order."""
-    return (code & _CONTEXT) >> 9 * (_LONG - order) | order << 48
-
-
-def _classed(code: np.ndarray) -> np.ndarray:
-    """Context-and-class codes of grams."""
-    classes = np.append(CLASS_OF, np.uint8(END_CLASS)).astype(np.int64)
-    return sum(classes[code >> 9 * (_LONG - back) & 511] << 6 * back for back in range(ORDER + 1))
-
-
-def gram_counts(docs: DataFrame) -> DataFrame:
-    """``code`` and ``n``: how often each byte or end came after the longest contexts."""
+def low_counts(docs: DataFrame) -> np.ndarray:
+    """How often each symbol followed each byte: a table of fixed size."""
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
-        grams, n = np.unique(_grams(Texts.of(part.column("text")))[0], return_counts=True)
-        return pa.record_batch({"code": grams, "n": n.astype(np.int64)})
-
-    return mapped(docs.select("text"), "text", work, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-
-
-def class_counts(grams: DataFrame) -> DataFrame:
-    """``code`` and ``n``: counts of class sequences (below 64**4) and, from 64**4 on, of bytes."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches:
-            code = part.column("code").to_numpy()
-            both = np.concatenate([_classed(code), CLASSES**4 + (code >> 9 * _LONG)])
-            found, slot = np.unique(both, return_inverse=True)
-            n = np.zeros(len(found), np.int64)
-            np.add.at(n, slot, np.tile(part.column("n").to_numpy(), 2))
-            yield pa.record_batch({"code": found, "n": n})
-
-    return grams.mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-
-
-def followers(grams: DataFrame) -> DataFrame:
-    """``context``, and in order ``symbols`` that followed it, with ``counts``; for the contexts of all orders."""
-    own = F.col("code").bitwiseAND(F.lit(_CONTEXT))
-    contexts = F.array(*(F.shiftright(own, 9 * (_LONG - k)).bitwiseOR(F.lit(k << 48)) for k in ORDERS))
-    each = grams.select(F.explode(contexts).alias("context"), F.shiftright("code", 9 * _LONG).cast("short").alias("symbol"), "n")
-    counted = each.groupBy("context", "symbol").agg(F.sum("n").alias("n"))
-    listed = counted.groupBy("context").agg(F.sort_array(F.collect_list(F.struct("symbol", "n"))).alias("seen"))
-    return listed.select("context", F.col("seen.symbol").alias("symbols"), F.col("seen.n").alias("counts"))
-
-
-class Followers:
-    """Rows of :func:`followers`, for lookups."""
-
-    def __init__(self, context: np.ndarray, sizes: np.ndarray, symbols: np.ndarray, counts: np.ndarray):
-        order = np.argsort(context)
-        self.context = context[order]
-        owner = np.empty(len(order), np.int64)
-        owner[order] = np.arange(len(order))
-        owner = np.repeat(owner, sizes)
-        place = owner * 512 + symbols
-        self.total = np.bincount(owner, weights=counts, minlength=len(order))
-        self.distinct = sizes[order]
-        order = np.argsort(place)
-        self.place, self.count = place[order], counts[order].astype(float)
-
-    def blended(self, code: np.ndarray, p: np.ndarray) -> np.ndarray:
-        """Probabilities of grams, from ``p`` of the model without contexts of bytes."""
-        if not len(self.context):
-            return p
-        for order in ORDERS:
-            context = _context(code, order)
-            at = np.minimum(np.searchsorted(self.context, context), len(self.context) - 1)
-            place = at * 512 + (code >> 9 * _LONG)
-            to = np.minimum(np.searchsorted(self.place, place), len(self.place) - 1)
-            count = np.where(self.place[to] == place, self.count[to], 0.0)
-            new = (count + self.distinct[at] * p) / (self.total[at] + self.distinct[at])
-            p = np.where(self.context[at] == context, new, p)
-        return p
-
-
-class Model:
-    """``table[context, class]``: natural logarithm of a class's probability; ``within[byte]``: of a byte in its class."""
-
-    def __init__(self, codes: np.ndarray, counts: np.ndarray):
-        grams = codes < CLASSES**4
-        trie = np.zeros(CLASSES**4, np.float32)
-        trie[codes[grams]] = counts[grams]
-        seen = np.zeros(257)
-        seen[codes[~grams] - CLASSES**4] = counts[~grams]
-        total = np.bincount(CLASS_OF, weights=seen[:256], minlength=CLASSES)
-        within = (seen[:256] + 0.5) / (total[CLASS_OF] + 0.5 * CLASS_SIZE[CLASS_OF])
-        self.within = np.append(np.log(within), 0.0)
-        self.table = self._blended(trie)
-
-    @staticmethod
-    def _blended(trie: np.ndarray) -> np.ndarray:
-        """All orders, longest first; blocks of contexts keep the memory small."""
-        levels = [trie.reshape(-1, CLASSES)]
-        for _ in range(ORDER):
-            shorter = levels[-1].reshape(CLASSES, -1, CLASSES).sum(axis=0, dtype=np.float64)
-            levels.append(shorter.astype(np.float32))
-        out = np.empty((CLASSES**ORDER, CLASSES), np.float32)
-        step = CLASSES**2
-        for at in range(0, len(out), step):
-            context = np.arange(at, at + step)
-            p = np.zeros((step, CLASSES))
-            escape = np.ones((step, 1))
-            excluded = np.zeros((step, CLASSES), bool)
-            for level in range(ORDER + 1):
-                counts = levels[level][context % CLASSES ** (ORDER - level)].astype(np.float64)
-                counts[excluded] = 0
-                new = counts > 0
-                distinct = new.sum(axis=1, keepdims=True)
-                left = CLASSES - excluded.sum(axis=1, keepdims=True) - distinct  # what an escape could mean
-                n = counts.sum(axis=1, keepdims=True)
-                whole = n + np.where(left > 0, distinct, 0)
-                share = np.divide(counts, whole, out=np.zeros_like(counts), where=whole > 0)
-                p = np.where(new, escape * share, p)
-                down = np.divide(distinct, whole, out=np.ones((step, 1)), where=whole > 0)
-                escape = escape * np.where(left > 0, down, 0.0)
-                excluded |= new
-            rest = CLASSES - excluded.sum(axis=1, keepdims=True)
-            p = np.where(excluded, p, escape / np.maximum(rest, 1))
-            out[at : at + step] = np.log(p)
-        return out
-
-    def scores(self, texts: Texts) -> np.ndarray:
-        """The log10 probability of each text and its end."""
-        code, symbols, starts = _coded(texts)
-        value = self.table.reshape(-1)[code].astype(np.float64) + self.within[symbols]
-        return np.add.reduceat(value, starts[:-1]) / np.log(10) if len(texts) else np.zeros(0)
-
-
-    def blended(self, texts: Texts, known: Followers) -> np.ndarray:
-        """The log10 probability of each text and its end, by bytes that followed contexts and by this model."""
-        if not len(texts):
-            return np.zeros(0)
-        code, starts = _grams(texts)
-        code, slot = np.unique(code, return_inverse=True)
-        p = np.exp(self.table.reshape(-1)[_classed(code)].astype(np.float64) + self.within[code >> 9 * _LONG])
-        return np.add.reduceat(np.log10(known.blended(code, p))[slot], starts[:-1])
-
-
-def train(grams: DataFrame) -> Model:
-    """A model of classes; at most 64**4 + 257 counts come to the driver, in practice a few hundred thousand."""
-    found = class_counts(grams).toArrow()
-    return Model(found.column("code").to_numpy(), found.column("n").to_numpy())
-
-
-def _chunks(docs: DataFrame) -> DataFrame:
-    """One row for each chunk of texts: ids and texts of its documents, their tokens as numbers of the chunk's words,
-    those words with how often the learnable ones of its documents use them, and the contexts of its bytes."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = (
-        f"chunk_id long, doc_ids array<{kind}>, bytes binary, lengths array<long>, sizes array<int>, tokens binary, "
-        "n_words long, words array<long>, trained array<long>, contexts array<long>"
-    )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, number = TaskContext.get().partitionId() << 32, 0
-        held: list[tuple] = []
-
-        def row() -> pa.RecordBatch:
-            ids = pa.concat_arrays([h[0] for h in held])
-            words, inverse = np.unique(np.concatenate([h[3] for h in held]), return_inverse=True)
-            edges = np.cumsum([0] + [len(h[3]) for h in held])
-            tokens = np.concatenate([inverse[edges[i] + h[4]] for i, h in enumerate(held)]).astype(np.int32)
-            trained = np.bincount(inverse, weights=np.concatenate([h[5] for h in held]), minlength=len(words))
-            one = {
-                "chunk_id": pa.array([base + number], pa.int64()),
-                "doc_ids": _listed(ids),
-                "bytes": pa.array([b"".join(h[1].data.tobytes() for h in held)], pa.binary()),
-                "lengths": _listed(pa.array(np.concatenate([np.diff(h[1].offsets) for h in held]))),
-                "sizes": _listed(pa.array(np.concatenate([h[2] for h in held]).astype(np.int32))),
-                "tokens": pa.array([tokens.tobytes()], pa.binary()),
-                "n_words": pa.array([len(words)], pa.int64()),
-                "words": _listed(pa.array(words.view(np.int64))),
-                "trained": _listed(pa.array(trained.astype(np.int64))),
-                "contexts": _listed(pa.array(np.unique(np.concatenate([h[6] for h in held])))),
-            }
-            return pa.record_batch(one)
-
-        tokens = 0
-        for part in slices(batches, "text"):
-            texts = Texts.of(part.column("text"))
+        code, _ = grams_of(Texts.of(part.column("text")), 1)
+        n = np.bincount((code >> 9) * SYMBOLS + (code & 511), minlength=SYMBOLS**2)
+        some = np.flatnonzero(n)
+        return pa.record_batch({"code": some, "n": n[some]})
+
+    rows = mapped(docs.select("text"), "text", work, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(SYMBOLS**2, np.int64)
+    out[rows.column("code").to_numpy()] = rows.column("n").to_numpy()
+    return out.reshape(SYMBOLS, SYMBOLS)
+
+
+class _Order:
+    """Counts of one order: contexts in order, totals, distinct symbols, and the counts by context and symbol."""
+
+    def __init__(self, keys: np.ndarray, n: np.ndarray):
+        self.keys, self.n = keys, n
+        context = keys >> 9
+        first = np.flatnonzero(np.append(True, context[1:] != context[:-1])) if len(keys) else np.zeros(0, np.int64)
+        self.first, self.contexts = first, context[first]
+        self.total = np.add.reduceat(n, first) if len(first) else n
+        self.distinct = np.diff(np.append(first, len(keys)))
+
+    def count(self, keys: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.zeros(len(keys), np.int64)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.n[at], 0)
+
+    def place(self, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where contexts are, and whether they were seen."""
+        if not len(self.contexts):
+            return np.zeros(len(contexts), np.int64), np.zeros(len(contexts), bool)
+        at = np.minimum(np.searchsorted(self.contexts, contexts), len(self.contexts) - 1)
+        return at, self.contexts[at] == contexts
+
+
+def log_probabilities(asked: np.ndarray, grams: np.ndarray, n: np.ndarray, low: np.ndarray, longest: int = LONGEST) -> np.ndarray:
+    """log10 of the probability of each asked gram, from counts of all grams of the same nearest two bytes (both sorted and
+    distinct) and the counts ``low`` of one byte."""
+    orders = {}
+    for k in range(longest, 1, -1):
+        keys = (grams >> 9 * (longest - k + 1)) << 9 | grams & 511
+        order = np.argsort(keys, kind="stable")
+        new = np.flatnonzero(np.append(True, keys[order][1:] != keys[order][:-1])) if len(keys) else np.zeros(0, np.int64)
+        orders[k] = _Order(keys[order][new], np.add.reduceat(n[order], new) if len(new) else n)
+    zero = low.sum(axis=0)
+    symbol, nearest = asked & 511, asked >> 9 * longest
+    p, escape, done = np.ones(len(asked)), np.ones(len(asked)), np.zeros(len(asked), bool)
+    ruled_out, excluded = np.zeros(len(asked)), np.zeros(len(asked), np.int64)  # counts here and number of excluded symbols
+
+    def step(seen, total, distinct, count):
+        nonlocal escape, done
+        rest, new = total - ruled_out, distinct - excluded
+        whole = rest + np.where(distinct < SYMBOLS, new, 0)
+        hit = seen & ~done & (count > 0)
+        p[hit] = (escape * count / np.where(whole > 0, whole, 1))[hit]
+        down = seen & ~done & ~hit & (new > 0)
+        escape = np.where(down, escape * new / np.where(whole > 0, whole, 1), escape)
+        done = done | hit
+
+    for k in range(longest, 1, -1):
+        own = orders[k]
+        at, seen = own.place(asked >> 9 * (longest - k + 1))
+        if not len(own.contexts):
+            continue
+        step(seen, own.total[at], own.distinct[at], own.count((asked >> 9 * (longest - k + 1)) << 9 | symbol))
+        # What the next order counts for the symbols that this one has seen.
+        if k > 2:
+            below = orders[k - 1].count(own.keys >> 18 << 9 | own.keys & 511)
+        else:
+            below = low[own.keys >> 18, own.keys & 511]
+        shared = np.add.reduceat(below, own.first)
+        ruled_out, excluded = np.where(seen, shared[at], 0), np.where(seen, own.distinct[at], 0)
+    total, distinct = low.sum(axis=1), (low > 0).sum(axis=1)
+    step(total[nearest] > 0, total[nearest], distinct[nearest], low[nearest, symbol])
+    ruled_out, excluded = ((low > 0) @ zero)[nearest], distinct[nearest]
+    step(np.full(len(asked), zero.sum() > 0), zero.sum(), (zero > 0).sum(), zero[symbol])
+    never = SYMBOLS - (zero > 0).sum()
+    return np.log10(np.where(done, p, escape / max(1, never)))
+
+
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]], kind) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order with the sums of their counts."""
+    keys = np.concatenate([np.zeros(0, kind), *(k for k, _ in parts)])
+    n = np.concatenate([np.zeros(0, np.int64), *(c for _, c in parts)])
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    new = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    return keys[new], np.add.reduceat(n[order], new) if len(new) else n
+
+
+class Chunk:
+    """Distinct grams and words of some documents, with their counts in learnable ones."""
+
+    def __init__(self, table: pa.Table):
+        self.table = table.sort_by("row")
+        grams, words, self.tokens = [], [], []
+        for part in slices(self.table.to_batches(), "text"):
+            texts, learn = Texts.of(part.column("text")), part.column("learn").to_numpy(False).astype(np.int64)
+            code, starts = grams_of(texts)
+            # A learnable gram is marked by a low bit, so that one sort counts both kinds.
+            marked = np.sort(code << 1 | np.repeat(learn, np.diff(starts)))
+            new = np.flatnonzero(np.append(True, marked[1:] != marked[:-1]))
+            times = np.diff(np.append(new, len(marked)))
+            grams.append((marked[new] >> 1, times * (marked[new] & 1)))
             found = texts.lowered().words()
-            h = np.insert(found.hashes(), found.first[1:], _END_WORD)
+            tokens = np.insert(found.hashes(), found.first[1:], _END_WORD)
+            own, place = np.unique(tokens, return_inverse=True)
             sizes = found.counts + 1
-            learn = np.repeat(part.column("learn").to_numpy(False).astype(float), sizes)
-            words, inverse = np.unique(h, return_inverse=True)
-            trained = np.bincount(inverse, weights=learn, minlength=len(words))
-            grams = np.unique(_grams(texts)[0] & _CONTEXT)
-            contexts = np.unique(np.concatenate([_context(grams, k) for k in ORDERS]))
-            held.append((part.column("doc_id"), texts, sizes, words, inverse.astype(np.int32), trained, contexts))
-            tokens += len(h)
-            if tokens >= CHUNK_TOKENS:
-                yield row()
-                held, tokens, number = [], 0, number + 1
-        if held:
-            yield row()
-
-    limit_batches(docs.sparkSession)
-    return docs.mapInArrow(run, schema)
-
-
-def _listed(values: pa.Array) -> pa.Array:
-    """All values as the list of one row."""
-    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
-
-
-def _flat(lists: pa.ChunkedArray) -> np.ndarray:
-    return np.concatenate([np.zeros(0, np.int64), *(c.flatten().to_numpy(False) for c in lists.chunks)])
+            words.append((own, np.bincount(place, weights=np.repeat(learn, sizes), minlength=len(own)).astype(np.int64)))
+            self.tokens.append((own, place.astype(np.int32), sizes))
+        self.grams, self.gram_counts = _summed(grams, np.int64)
+        self.words, self.word_counts = _summed(words, np.uint64)
+
+    def gram_order(self, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+        """Grams by bucket, in order in each; the edges of buckets."""
+        bucket = (mixed((self.grams >> 9 * (LONGEST - 1)).astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        return order, np.searchsorted(bucket[order], np.arange(buckets + 1))
+
+    def word_edges(self, buckets: int) -> np.ndarray:
+        bucket = ((self.words >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+        return np.searchsorted(bucket.astype(np.int64), np.arange(buckets + 1))
+
+    def sent(self, number: int, buckets: int) -> pa.Table:
+        order, edges = self.gram_order(buckets)
+        rows = []
+        grams, counts = self.grams[order], self.gram_counts[order]
+        for kind, keys, n, at in (
+            (_GRAMS, grams.astype(np.uint64), counts, edges),
+            (_WORDS, self.words, self.word_counts, self.word_edges(buckets)),
+        ):
+            for b in range(buckets):
+                a, z = at[b], at[b + 1]
+                if z > a:
+                    steps = _packed(np.diff(keys[a:z], prepend=np.uint64(0)))
+                    rows.append({"kind": kind, "bucket": b, "chunk": number, "keys": steps, "counts": _packed(n[a:z].astype(np.uint32))})
+        return pa.Table.from_pylist(rows, _SENT)
+
+    def scored(self, replies: pa.Table, buckets: int) -> pa.Table:
+        order, edges = self.gram_order(buckets)
+        p, totals, first = np.zeros(len(self.grams)), np.zeros(len(self.words), np.int64), 0
+        word_edges = self.word_edges(buckets)
+        for r in replies.to_pylist():
+            if r["kind"] == _GRAMS:
+                p[order[edges[r["bucket"]] : edges[r["bucket"] + 1]]] = _unpacked(r["answer"], np.float32)
+            else:
+                totals[word_edges[r["bucket"]] : word_edges[r["bucket"] + 1]] = _unpacked(r["answer"], np.int64)
+                first += r["first"]
+        out = []
+        for part, (own, place, sizes) in zip(slices(self.table.to_batches(), "text"), self.tokens):
+            code, starts = grams_of(Texts.of(part.column("text")))
+            codes, at = np.unique(code, return_inverse=True)
+            score = np.add.reduceat(p[np.searchsorted(self.grams, codes)][at], starts[:-1])
+            count = totals[np.searchsorted(self.words, own)][place]
+            begin = np.cumsum(sizes) - sizes
+            out.append(
+                pa.table(
+                    {
+                        "doc_id": part.column("doc_id"),
+                        "learn": part.column("learn"),
+                        "n_tokens": pa.array(sizes.astype(np.int64)),
+                        "n_known": pa.array(np.add.reduceat((count > 0).astype(np.int64), begin)),
+                        "shares": pa.array(np.add.reduceat(np.log10(count + 1.0), begin)),
+                        "score": pa.array(score),
+                        "new_words": pa.array(np.zeros(part.num_rows, np.int64)),
+                    }
+                )
+            )
+        whole = pa.concat_tables(out)
+        # Words that this chunk is the first to have; their sum over chunks is the vocabulary.
+        new = np.zeros(whole.num_rows, np.int64)
+        new[0] = first
+        return whole.set_column(6, "new_words", pa.array(new))
+
+
+_SENT = pa.schema([("kind", pa.int32()), ("bucket", pa.int64()), ("chunk", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
+
+
+def _answers(rows: pa.Table, low: np.ndarray) -> pa.Table:
+    """For each row sent to a bucket log-probabilities of its grams, or totals of its words, and how many trained words
+    no earlier chunk has."""
+    rows = rows.sort_by("chunk")
+    kind = rows.column("kind")[0].as_py()
+    keys = [np.cumsum(_unpacked(k, np.uint64), dtype=np.uint64) for k in rows.column("keys").to_pylist()]
+    sizes = np.cumsum([len(k) for k in keys])[:-1]
+    keys = np.concatenate(keys)
+    n = np.concatenate([_unpacked(c, np.uint32) for c in rows.column("counts").to_pylist()]).astype(np.int64)
+    order = np.argsort(keys, kind="stable")
+    new = np.append(True, keys[order][1:] != keys[order][:-1])
+    at = np.flatnonzero(new)
+    distinct, total = keys[order[at]], np.add.reduceat(n[order], at)
+    entry = np.empty(len(keys), np.int64)
+    entry[order] = np.cumsum(new) - 1
+    if kind == _GRAMS:
+        asked = distinct.astype(np.int64)
+        trained = total > 0
+        answer = log_probabilities(asked, asked[trained], total[trained], low).astype(np.float32)
+        first = [0] * rows.num_rows
+    else:
+        answer = total
+        begins = np.zeros(len(keys), np.int64)
+        begins[order[at]] = total > 0
+        first = [int(x.sum()) for x in np.split(begins, sizes)]
+    return pa.table(
+        {
+            "of_chunk": rows.column("chunk"),
+            "kind": rows.column("kind"),
+            "bucket": rows.column("bucket"),
+            "answer": pa.array([_packed(answer[e]) for e in np.split(entry, sizes)], pa.binary()),
+            "first": pa.array(first, pa.int64()),
+        }
+    )
 
 
-def score_documents(docs: DataFrame, learnable: Column) -> DataFrame:
+def score_documents(docs: DataFrame, learnable: Column, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """``doc_id``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score`` of every row.
 
     ``learnable`` (on the columns of ``docs``) says which rows the counts and the model come from.
     """
     spark = docs.sparkSession
+    limit_batches(spark)
     learn = F.coalesce(learnable, F.lit(False))
-    grams = staged(gram_counts(docs.where(learn)), "grams")
-    shared = spark.sparkContext.broadcast(train(grams))  # 64 MB, whatever the corpus
-    chunks = staged(_chunks(docs.select("doc_id", "text", learn.alias("learn"))), "chunks")
-    entries = chunks.select("chunk_id", F.posexplode(F.arrays_zip("words", "trained")).alias("place", "entry")).select(
-        "chunk_id", "place", F.col("entry.words").alias("word"), F.col("entry.trained").alias("trained")
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    chunks = int(size // chunk_bytes) + 1
+    buckets = max(8, 2 * chunks)
+    shared = spark.sparkContext.broadcast(low_counts(docs.where(learn)))  # half a megabyte, whatever the corpus
+    rows = docs.select("doc_id", "text", learn.alias("learn"), F.monotonically_increasing_id().alias("row"))
+    dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("row"), F.lit(chunks))).repartition(chunks, "chunk")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def send(table: pa.Table) -> pa.Table:
+        return Chunk(table).sent(table.column("chunk")[0].as_py(), buckets)
+
+    def answer(rows: pa.Table) -> pa.Table:
+        return _answers(rows, shared.value)
+
+    def score(table: pa.Table, replies: pa.Table) -> pa.Table:
+        return Chunk(table).scored(replies, buckets)
+
+    sent = dealt.groupBy("chunk").applyInArrow(send, "kind int, bucket long, chunk long, keys binary, counts binary")
+    answers = sent.groupBy("kind", "bucket").applyInArrow(
+        answer, "of_chunk long, kind int, bucket long, answer binary, first long"
     )
-    totals = staged(entries.groupBy("word").agg(F.sum("trained").alias("n")).where("n > 0"), "totals")
-    n, distinct = totals.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    schema = f"doc_id {kind}, learn boolean, n_tokens long, n_known long, shares double, score double, new_words long"
+    scored = staged(dealt.groupBy("chunk").cogroup(answers.groupBy("of_chunk")).applyInArrow(score, schema), "scored")
+    trained = F.sum(F.when(F.col("learn"), F.col("n_tokens")).otherwise(0))
+    n, distinct = scored.agg(F.coalesce(trained, F.lit(0)), F.coalesce(F.sum("new_words"), F.lit(0))).first()
     log_all = float(np.log10(n + distinct + 1))
-    words = entries.join(totals, "word").select(
-        F.col("chunk_id").alias("of_chunk"),
-        F.col("place").cast("long").alias("place"),
-        F.lit(None).cast("array<short>").alias("symbols"),
-        F.array("n").alias("counts"),
+    return scored.select(
+        "doc_id",
+        "n_tokens",
+        "n_known",
+        F.lit(n).cast("long").alias("train_tokens"),
+        (F.col("shares") - F.col("n_tokens") * F.lit(log_all)).alias("base_score"),
+        "score",
     )
-    asked = chunks.select(F.col("chunk_id").alias("of_chunk"), F.explode("contexts").alias("context"))
-    contexts = asked.join(followers(grams), "context").select("of_chunk", F.col("context").alias("place"), "symbols", "counts")
-    used = words.union(contexts)
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-
-    def scored(chunk: pa.Table, known: pa.Table) -> pa.Table:
-        ids = chunk.column("doc_ids").combine_chunks().flatten()
-        sizes = chunk.column("sizes").combine_chunks().flatten().to_numpy().astype(np.int64)
-        tokens = np.frombuffer(chunk.column("tokens")[0].as_buffer(), np.int32)
-        lengths = chunk.column("lengths").combine_chunks().flatten().to_numpy()
-        data = np.frombuffer(chunk.column("bytes")[0].as_buffer(), np.uint8)
-        texts = Texts(data, np.concatenate([[0], np.cumsum(lengths)]))
-        count = np.zeros(chunk.column("n_words")[0].as_py())
-        is_word = pc.is_null(known.column("symbols"))
-        own = known.filter(is_word)
-        count[own.column("place").to_numpy()] = _flat(own.column("counts"))
-        own = known.filter(pc.invert(is_word))
-        sizes_of = pc.list_value_length(own.column("symbols")).to_numpy()
-        seen = Followers(own.column("place").to_numpy(), sizes_of, _flat(own.column("symbols")), _flat(own.column("counts")))
-        model = shared.value
-        each = count[tokens]
-        starts = np.cumsum(sizes) - sizes
-        out = {
-            "doc_id": ids,
-            "n_tokens": pa.array(sizes),
-            "n_known": pa.array(np.add.reduceat((each > 0).astype(np.int64), starts)),
-            "train_tokens": pa.array(np.full(len(sizes), n, np.int64)),
-            "base_score": pa.array(np.add.reduceat(np.log10(each + 1), starts) - sizes * log_all),
-            "score": pa.array(np.concatenate([model.blended(part, seen) for part in texts.parts()])),
-        }
-        return pa.table(out)
-
-    chunks = chunks.drop("words", "trained", "contexts")
-    return chunks.groupBy("chunk_id").cogroup(used.groupBy("of_chunk")).applyInArrow(scored, schema)
