@@ -154,7 +154,7 @@ def test_retention_keeps_ties_nulls_and_one_row_per_key(spark):
 
 
 def test_ledger_row_of_an_empty_batch(spark):
-    row = ledger.ledger_row(spark, "d", "s", "it's", 0, batch_id=4)
+    row = ledger.ledger_row(spark, ("d", "s", "it's"), ledger.BatchFigures(), 4)
     assert row.schema.simpleString() == spark.createDataFrame([], ledger.LEDGER_DDL).schema.simpleString()
     got = row.first()
     assert (got.table_name, got.event_count, got.max_event_ts, got.batch_id) == ("it's", 0, None, 4)
@@ -285,3 +285,20 @@ def test_equal_offsets_are_settled_by_the_partition(spark):
     rows = [("k", "a", 7, 0), ("k", "b", 7, 2), ("k", "c", 7, 1), ("k", "d", 6, 9)]
     changes = spark.createDataFrame(rows, "id_iceberg STRING, v STRING, __offset LONG, __partition INT")
     assert [r.v for r in newest_changes(changes).collect()] == ["b"]
+
+
+def test_compaction_groups_leave_large_files_alone(spark):
+    mb = 1 << 20
+    sizes = {"a": [5, 90, 120, 40, 100, 30, 7], "b": [10], "c": [64, 64, 64, 64]}
+    files = [(d, f"{d}/{i:02d}", n * mb) for d, own in sizes.items() for i, n in enumerate(own)]
+    df = spark.createDataFrame(files, "directory string, path string, length long").repartition(3)
+    groups = {}
+    for r in maintenance.compaction_groups(df, 128 * mb, 96 * mb).collect():
+        groups.setdefault((r["directory"], r["group_no"]), []).append(r["path"])
+    assert {k: sorted(v) for k, v in groups.items()} == {
+        ("a", 0): ["a/00", "a/01", "a/03"],
+        ("a", 1): ["a/05", "a/06"],
+        ("c", 0): ["c/00", "c/01"],
+        ("c", 1): ["c/02", "c/03"],
+    }
+    assert maintenance.compaction_groups(df.limit(0)).collect() == []

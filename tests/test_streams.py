@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidewell.functions.frames import build_frame, split_frames, split_value_frames
 from tidewell.functions.keys import hash_key
 from tidewell.operators.decoding import JSON
-from tidewell.operators.ledger import latest
+from tidewell.operators.ledger import BatchFigures, latest
 from tidewell.sinks.ledger import ensure_ledger, ledger_name
 from tidewell.sinks.tables import PARQUET, BronzeStore, create_or_replace, data_schema
 from tidewell.sources.files import RECORD_SCHEMA, read_parquet, record_file_stream
@@ -295,3 +295,25 @@ def test_stop_file_survives_a_failed_run_and_goes_after_a_clean_one(spark, folde
 
 def test_archive_columns_match_the_bronze_projection(spark, job):
     assert data_schema(bronze(spark, job).schema).names == ["id", "name", "at", "last_applied_date", "id_iceberg"]
+
+
+def test_figures_come_with_the_pass_that_writes(spark, job, folder, monkeypatch):
+    """From the second batch on nothing is counted by itself, and a new schema version is noticed all the same."""
+    apply_batch(split_frames(records(spark, job.topic, [(1, 1, "u", "x", 2)])), 0, job)
+    known = {}
+    first = split_value_frames(records(spark, "t", [(1, 1, "u", "x", 2)]))
+    assert archive_batch(first, 0, f"{folder}/out", registry, JSON, known=known) == 1
+    more = split_value_frames(records(spark, "t", [(2, 1, "u", "y", 3), (3, 1, "u", "y", 3)]))
+    assert archive_batch(more, 1, f"{folder}/out", registry, JSON, known=known) == 2
+    assert next(iter(known)) == 3 and spark.read.option("mergeSchema", True).parquet(f"{folder}/out").count() == 3
+
+    def refuse(*_):
+        raise AssertionError("counted in a pass of its own")
+
+    monkeypatch.setattr(BatchFigures, "counted", refuse)
+    result = apply_batch(split_frames(records(spark, job.topic, [(2, 1, "u", "y", 2), (3, 2, "d", None, 2)])), 1, job)
+    assert (result.status, result.events) == (APPLIED, 2)
+    result = apply_batch(split_frames(records(spark, job.topic, [(4, 1, "u", "z", 3), (5, 5, "u", "w", 2)])), 2, job)
+    assert (result.status, result.events) == (APPLIED, 2)
+    assert content(spark, job) == [(1, "z"), (5, "w")]
+    assert ledger(spark, job) == [(0, 1, 1, 1), (1, 2, 2, 3), (2, 2, 4, 5)]

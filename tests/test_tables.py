@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewell.functions.keys import hash_key
-from tidewell.operators.ledger import ledger_row
+from tidewell.operators.ledger import BatchFigures, ledger_row
 from tidewell.operators.maintenance import list_files
 from tidewell.plans.upkeep import (
     UnlistedFileError,
@@ -180,14 +180,14 @@ def test_ledger_is_created_once_appended_and_cleaned(spark, store):
         ensure_ledger(spark, store)
     for day in (1, 2, 20):
         at = dt.datetime(2024, 1, day)
-        append_ledger(spark, store, ledger_row(spark, "d", "s", "t", 1, "2024-01-01 00:00:00.5", 1, 2, day, 0.5, at))
-    append_ledger(spark, store, ledger_row(spark, "d", "s", "idle", 1, batch_id=9, processed_at=dt.datetime(2024, 1, 1)))
+        append_ledger(spark, store, ledger_row(spark, ("d", "s", "t"), BatchFigures(1, "2024-01-01 00:00:00.5", 1, 2), day, 0.5, at))
+    append_ledger(spark, store, ledger_row(spark, ("d", "s", "idle"), BatchFigures(1), 9, at=dt.datetime(2024, 1, 1)))
     assert maintain_ledger(spark, store, 7, dt.datetime(2024, 1, 21))
     assert sorted(r.batch_id for r in spark.table(ledger_name(store)).collect()) == [9, 20]
-    append_ledger(spark, store, ledger_row(spark, "d", "s", "t", 0, batch_id=21))
+    append_ledger(spark, store, ledger_row(spark, ("d", "s", "t"), BatchFigures(0), 21))
     assert spark.table(ledger_name(store)).count() == 3
-    merge_ledger(spark, store, ledger_row(spark, "d", "s", "idle", 5, batch_id=30))
-    merge_ledger(spark, store, ledger_row(spark, "d", "s", "fresh", 6, batch_id=31))
+    merge_ledger(spark, store, ledger_row(spark, ("d", "s", "idle"), BatchFigures(5), 30))
+    merge_ledger(spark, store, ledger_row(spark, ("d", "s", "fresh"), BatchFigures(6), 31))
     assert sorted(r.batch_id for r in spark.table(ledger_name(store)).collect()) == [20, 21, 30, 31]
     spark.sql(f"DROP TABLE {ledger_name(store)}")
 
@@ -198,7 +198,7 @@ def test_ledger_takes_rows_of_many_streams(spark, store):
 
     def append(topic):
         for batch in range(3):
-            append_ledger(spark, store, ledger_row(spark, "d", "s", topic, 1, batch_id=batch))
+            append_ledger(spark, store, ledger_row(spark, ("d", "s", topic), BatchFigures(1), batch))
 
     outcomes = run_side_by_side(spark, [f"t{i}" for i in range(6)], append, concurrency=6)
     assert {o.status for o in outcomes} == {"done"}

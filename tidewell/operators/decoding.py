@@ -173,11 +173,15 @@ def decode_all_changes(
     so columns that it lacks never come into being, and those that the job makes win over a source column of that name.
     A field that a version lacks is NULL there. The newest change of a key wins whichever version wrote it.
     """
+    require_keys(pairs)
+    decode = _decode_avro if payload_format == AVRO else _decode_json
+    return decode(records, pairs, target, source_tz)
+
+
+def require_keys(pairs: Iterable[SchemaPair]) -> None:
     for pair in pairs:
         if not pair.keys:
             raise ValueError(f"records with value schema {pair.value_id} have no key, so no row can be told from another")
-    decode = _decode_avro if payload_format == AVRO else _decode_json
-    return decode(records, pairs, target, source_tz)
 
 
 def _change_columns(

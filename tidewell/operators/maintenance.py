@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidewell.operators.ordered import with_total_before
+
 # Defaults of the maintenance job.
 TARGET_FILE_BYTES = 134_217_728
 MIN_FILE_BYTES = 100_663_296
@@ -85,3 +87,25 @@ def orphan_files(
     """
     old = listed.filter(F.col(time) < cutoff)
     return old.join(referenced.select("path").distinct(), "path", "left_anti").select(listed.columns)
+
+
+def compaction_groups(files: DataFrame, target_bytes: int = TARGET_FILE_BYTES, min_bytes: int = MIN_FILE_BYTES) -> DataFrame:
+    """The small files (``directory``, ``path``, ``length``) with ``group_no``: which of them to write as one file.
+
+    Files of at least ``min_bytes`` are in no group. The others of a directory are taken in the order of their paths, and a
+    group ends where their running total passes a multiple of the target, so groups hold about as much each. A group of one
+    file has nothing to merge with and is left out. Totals run on between chunks of the listing, so a directory may have
+    any number of files.
+    """
+    small = files.filter(F.col("length") < min_bytes).select("directory", "path", "length")
+    placed = with_total_before(small, ("directory", "path"), "length", "before")
+    begins = placed.groupBy(F.col("directory").alias("of_directory")).agg(F.min("before").alias("begins"))
+    numbered = placed.join(begins, F.col("directory") == F.col("of_directory")).select(
+        "directory", "path", "length", F.expr(f"(before - begins) div {target_bytes}").alias("group_no")
+    )
+    several = numbered.groupBy(F.col("directory").alias("in_directory"), F.col("group_no").alias("in_group")).agg(
+        F.count("*").alias("files")
+    )
+    mergeable = several.filter("files > 1")
+    same = (F.col("directory") == F.col("in_directory")) & (F.col("group_no") == F.col("in_group"))
+    return numbered.join(mergeable, same, "left_semi")

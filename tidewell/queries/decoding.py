@@ -189,7 +189,10 @@ def distinct_schema_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def stats_of_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return batch_stats(split_frames(framed_events(spark, sf_dir)))
+    stats = batch_stats(split_frames(framed_events(spark, sf_dir)))
+    return stats.selectExpr(
+        "events AS event_count", "newest AS max_event_ts", "first AS min_offset", "last AS max_offset", "tombstones"
+    )
 
 
 @query(

@@ -42,6 +42,30 @@ def compaction_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maintenance.compaction_plan(derive(spark, sf_dir, FILES))
 
 
+LISTED_FILES = """
+    SELECT 'd/' || (l_suppkey % 7) AS directory, 'd/' || (l_suppkey % 7) || '/' || l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS path,
+           l_linenumber * 20000000 + l_orderkey AS length
+    FROM {lineitem}
+"""
+
+
+@query(
+    "compaction_groups",
+    f"""
+    WITH placed AS (
+        SELECT directory, path, length,
+               (sum(length) OVER (PARTITION BY directory ORDER BY path) - length) // 134217728 AS group_no
+        FROM ({LISTED_FILES}) WHERE length < 100663296
+    )
+    SELECT directory, path, length, CAST(group_no AS BIGINT) AS group_no FROM placed
+    QUALIFY count(*) OVER (PARTITION BY directory, group_no) > 1
+    """,
+)
+def compaction_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Small files of a few crowded directories, gathered to files of the target size; large files are not touched."""
+    return maintenance.compaction_groups(derive(spark, sf_dir, LISTED_FILES))
+
+
 SNAPSHOTS = "SELECT 'tb_' || user_id AS table_name, event_id AS snapshot_id, ts AS committed_at FROM {events}"
 CUTOFF = dt.datetime(2024, 1, 20)
 CUTOFF_SQL = "TIMESTAMP '2024-01-20 00:00:00'"

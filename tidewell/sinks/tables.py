@@ -14,7 +14,7 @@ import math
 import re
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -137,12 +137,21 @@ def create_or_replace(
 
 
 def merge_changes(
-    spark: SparkSession, store: BronzeStore, schema: str, table: str, newest: DataFrame, op: str = OP
+    spark: SparkSession,
+    store: BronzeStore,
+    schema: str,
+    table: str,
+    newest: DataFrame,
+    op: str = OP,
+    staged: bool = False,
 ) -> None:
-    """Apply one row per key: write it, or delete it where the operation says so."""
+    """Apply one row per key: write it, or delete it where the operation says so.
+
+    ``staged`` says that reading ``newest`` several times costs no more than reading a file.
+    """
     name = store.name(schema, table)
     if not store.row_level:
-        _merge_into_buckets(spark, name, newest, op)
+        _merge_into_buckets(spark, name, newest, op, staged)
         return
     columns = [f.name for f in spark.table(name).schema.fields]
     values = {c: F.col(f"s.`{c}`") for c in columns}
@@ -169,11 +178,11 @@ def merged_buckets(spark: SparkSession, name: str, newest: DataFrame, changed: l
     return apply_newest(target, newest.repartition(bucket_count(spark, name), KEY_COLUMN), KEY_COLUMN, op)
 
 
-def _merge_into_buckets(spark: SparkSession, name: str, newest: DataFrame, op: str) -> None:
+def _merge_into_buckets(spark: SparkSession, name: str, newest: DataFrame, op: str, staged: bool) -> None:
     buckets = bucket_count(spark, name)
     placed = newest.filter(F.col(op).isNotNull()).withColumn(BUCKET_COLUMN, key_bucket(buckets))
     # Used for the bucket numbers, the keys to take out and the rows to write.
-    with staged_while(placed, "newest") as placed:
+    with nullcontext(placed) if staged else staged_while(placed, "newest") as placed:
         # At most one row per bucket of the table.
         changed = sorted(row[0] for row in placed.select(BUCKET_COLUMN).distinct().collect())
         if not changed:

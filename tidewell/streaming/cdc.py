@@ -9,13 +9,15 @@ from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql.types import StructType
 
 from tidewell.functions.frames import split_frames
 from tidewell.functions.logical_types import DEFAULT_SOURCE_TZ
 from tidewell.functions.names import parse_topic
 from tidewell.operators.changes import newest_changes, with_operation
-from tidewell.operators.decoding import AVRO, Registry, decode_all_changes, resolve_pairs
-from tidewell.operators.ledger import batch_stats, ledger_row
+from tidewell.operators.decoding import AVRO, Registry, SchemaPair, decode_all_changes, require_keys, resolve_pairs
+from tidewell.operators.ledger import BatchFigures, Watched, ledger_row
+from tidewell.session import staged_while
 from tidewell.sinks.ledger import append_ledger
 from tidewell.sinks.tables import BronzeStore, data_schema, merge_changes
 from tidewell.sources.catalog import table_or_none
@@ -40,6 +42,7 @@ class CdcJob:
     payload_format: str = AVRO
     source_tz: str = DEFAULT_SOURCE_TZ
     known_schemas: dict[int, Row] = field(default_factory=dict, compare=False, repr=False)
+    known_pairs: dict[tuple[int, int | None], SchemaPair] = field(default_factory=dict, compare=False, repr=False)
 
 
 class MissingTargetError(RuntimeError):
@@ -57,49 +60,56 @@ class BatchResult:
 def apply_batch(batch: DataFrame, batch_id: int, job: CdcJob) -> BatchResult:
     """Decode one batch of split frames, apply it to the bronze table and note it in the ledger.
 
-    The batch is read once for its figures and once per schema version, so it is kept on the
-    executors, on disk where memory is short; a lost block is read again from the source.
+    The batch is read once: its figures come along with the pass that decodes it and stages the newest changes. Schemas
+    of earlier batches are tried first; a batch with one they did not have is read again.
     """
     spark = batch.sparkSession
     started = time.monotonic()
     name = parse_topic(job.topic)
     schema, table = name.bronze_schema, name.bronze_table
-    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    owner = (job.dag_id, schema, table)
+    target = table_or_none(spark, job.store.name(schema, table))
+    columns = None if target is None else data_schema(target.schema)
+    first = columns is None or not job.known_pairs
+    if first:  # the first batch of a run is kept, as it is read twice
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        # One row per pair of schema ids: figures of the batch and its schema versions in one pass.
-        parts = batch_stats(batch, "value_schema_id", "key_schema_id").collect()
-        if not parts:
-            append_ledger(spark, job.store, ledger_row(spark, job.dag_id, schema, table, 0, batch_id=batch_id))
-            return BatchResult(EMPTY, 0, 0)
-        target = table_or_none(spark, job.store.name(schema, table))
-        if target is None:
-            raise MissingTargetError(f"there is no table {job.store.name(schema, table)}; batch {batch_id} is kept")
-        ids = [(part.value_schema_id, part.key_schema_id) for part in parts]
-        pairs = resolve_pairs(ids, job.registry, spark, job.known_schemas)
-        if pairs:
-            columns = data_schema(target.schema)
-            changes = decode_all_changes(batch, pairs, columns, job.payload_format, job.source_tz)
-            merge_changes(spark, job.store, schema, table, newest_changes(with_operation(changes)))
-        events = sum(part.event_count for part in parts)
-        append_ledger(
-            spark,
-            job.store,
-            ledger_row(
-                spark,
-                job.dag_id,
-                schema,
-                table,
-                events,
-                max((part.max_event_ts for part in parts if part.max_event_ts), default=None),
-                min((part.min_offset for part in parts if part.min_offset is not None), default=None),
-                max((part.max_offset for part in parts if part.max_offset is not None), default=None),
-                batch_id,
-                time.monotonic() - started,
-            ),
-        )
-        return BatchResult(APPLIED, events, sum(part.tombstones for part in parts))
+        figures = _applied(batch, BatchFigures.counted(batch) if first else None, columns, job)
     finally:
-        batch.unpersist()
+        if first:
+            batch.unpersist()
+    if not figures.events:
+        append_ledger(spark, job.store, ledger_row(spark, owner, BatchFigures(), batch_id))
+        return BatchResult(EMPTY, 0, 0)
+    append_ledger(spark, job.store, ledger_row(spark, owner, figures, batch_id, time.monotonic() - started))
+    return BatchResult(APPLIED, figures.events, figures.tombstones)
+
+
+def _applied(batch: DataFrame, figures: BatchFigures | None, columns: StructType | None, job: CdcJob) -> BatchFigures:
+    """Apply a batch whose figures may be known already; gives them."""
+    spark = batch.sparkSession
+    name = parse_topic(job.topic)
+    schema, table = name.bronze_schema, name.bronze_table
+    while figures is None or figures.events:
+        if figures is not None:
+            if columns is None:
+                raise MissingTargetError(f"there is no table {job.store.name(schema, table)}; the batch is kept")
+            resolved = resolve_pairs(figures.versions, job.registry, spark, job.known_schemas)
+            require_keys(resolved)
+            job.known_pairs.update({(pair.value_id, pair.key_id): pair for pair in resolved})
+        pairs = list(job.known_pairs.values())
+        if not pairs:  # tombstones only
+            break
+        watched = Watched(batch)
+        changes = decode_all_changes(watched.records, pairs, columns, job.payload_format, job.source_tz)
+        with staged_while(newest_changes(with_operation(changes)), "newest") as newest:
+            figures = watched.figures()
+            if any(value_id is not None and (value_id, key_id) not in job.known_pairs for value_id, key_id in figures.versions):
+                continue
+            if figures.events:
+                merge_changes(spark, job.store, schema, table, newest, staged=True)
+            break
+    return figures
 
 
 def run_topic(
