@@ -43,7 +43,7 @@ def compaction_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LISTED_FILES = """
-    SELECT 'd/' || (l_suppkey % 7) AS directory, 'd/' || (l_suppkey % 7) || '/' || l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS path,
+    SELECT DISTINCT 'd/' || (l_suppkey % 7) AS directory, 'd/' || (l_suppkey % 7) || '/' || l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS path,
            l_linenumber * 20000000 + l_orderkey AS length
     FROM {lineitem}
 """
