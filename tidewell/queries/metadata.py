@@ -260,9 +260,11 @@ SOURCE = f"""
     FROM ({COLUMNS}) AS columns_of_source
 """
 
+# Keys of some schemas belong to tables that bronze does not have, so that their own tables have none.
 KEYS = f"""
-    SELECT table_schema, table_name, column_name FROM ({KEY_USAGE_MYSQL}) AS k
-    WHERE constraint_name = 'PRIMARY' AND substr(table_schema, 2, 1) <> 'A'
+    SELECT table_schema, CASE WHEN substr(table_schema, 2, 1) = 'A' THEN table_name || '_old' ELSE table_name END AS table_name,
+           column_name
+    FROM ({KEY_USAGE_MYSQL}) AS k WHERE constraint_name = 'PRIMARY'
 """
 
 SOURCE_COMMENTS = f"""
