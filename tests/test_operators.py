@@ -1,6 +1,7 @@
 """Change application, previous values, ledger, drift and maintenance on small fixtures."""
 
 import datetime as dt
+import itertools
 import json
 import random
 
@@ -302,3 +303,35 @@ def test_compaction_groups_leave_large_files_alone(spark):
         ("c", 1): ["c/02", "c/03"],
     }
     assert maintenance.compaction_groups(df.limit(0)).collect() == []
+
+
+def fewest_moves(places):
+    """Columns outside a longest increasing run, all subsets tried from the largest on."""
+    for size in range(len(places), -1, -1):
+        for chosen in itertools.combinations(range(len(places)), size):
+            if all(places[a] < places[b] for a, b in zip(chosen, chosen[1:])):
+                return len(places) - size
+
+
+def test_fewest_columns_are_moved(spark):
+    rng = random.Random(5)
+    orders = {f"t{n}": rng.sample(range(n % 9), n % 9) for n in range(60)}
+    orders["t_long"] = [*range(1, 1500), 0]
+    source = [("S", t, i, f"C{i}", "int", True, None) for t, places in orders.items() for i in range(len(places))]
+    target = [
+        ("s_bronze", t, 10 * p, f"c{i}", "int", True, "") for t, places in orders.items() for i, p in enumerate(places)
+    ]
+    matched = drift.matched_columns(
+        drift.keyed_by_bronze(spark.createDataFrame(source, SOURCE)),
+        spark.createDataFrame(target, drift.TARGET_COLUMNS_DDL),
+    )
+    moved = {}
+    for r in drift.column_moves(matched).collect():
+        assert (r.check, r.source_value) == ("column_move", str(int(r.column_name[1:]) + 1))
+        assert r.target_value == str(orders[r.bronze_table][int(r.column_name[1:])] + 1)
+        moved.setdefault(r.bronze_table, set()).add(int(r.column_name[1:]))
+    assert moved.pop("t_long") == {1499}
+    for t, places in orders.items():
+        if t != "t_long":
+            stay = [p for i, p in enumerate(places) if i not in moved.get(t, set())]
+            assert stay == sorted(stay) and len(places) - len(stay) == fewest_moves(places)

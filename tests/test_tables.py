@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidewell.functions.keys import hash_key
 from tidewell.operators.ledger import BatchFigures, ledger_row
 from tidewell.operators.maintenance import list_files
+from tidewell.plans import validate
 from tidewell.plans.upkeep import (
     UnlistedFileError,
     compact_buckets,
@@ -27,6 +28,7 @@ from tidewell.sinks.tables import (
     BronzeStore,
     append_rows,
     buckets_for,
+    comment_statements,
     create_or_replace,
     key_bucket,
     merge_changes,
@@ -216,6 +218,32 @@ def test_comments_with_quotes(spark, store, schema):
     assert spark.table(name).schema["v"].metadata["comment"] == "it's \\ 상품 번호"
 
 
+def test_comments_of_many_tables_with_one_that_fails(spark, store, schema, monkeypatch):
+    monkeypatch.setattr(validate, "TABLES_AT_ONCE", 2)
+    rows = []
+    for n in range(5):
+        create_or_replace(spark, store, schema, f"t{n}", keyed(spark, [(1, "a")]))
+        rows += [(schema, f"t{n}", "column_comment", c, f"{c} of 't{n}'") for c in ("id", "v")]
+        rows += [(schema, f"t{n}", "table_comment", None, f"table {n}"), (schema, f"t{n}", "column_count", None, "7")]
+    rows.append((schema, "gone", "column_comment", "id", "lost"))
+    ddl = "bronze_schema STRING, bronze_table STRING, check STRING, column_name STRING, source_value STRING"
+    with pytest.raises(RuntimeError, match="1 failed: .*gone"):
+        validate.sync_comments(spark, store, spark.createDataFrame(rows, ddl))
+    for n in range(5):
+        loaded = spark.table(store.name(schema, f"t{n}")).schema
+        assert [loaded[c].metadata["comment"] for c in ("id", "v")] == [f"id of 't{n}'", f"v of 't{n}'"]
+        assert table_comment(spark, store.name(schema, f"t{n}")) == f"table {n}"
+    assert validate.sync_comments(spark, store, spark.createDataFrame(rows[:-1], ddl)) == 15
+
+
+def test_comments_in_one_statement():
+    comments = {"a": "it's", "b`c": "x"}
+    one = "ALTER TABLE t ALTER COLUMN `a` COMMENT 'it\\'s', `b``c` COMMENT 'x'"
+    assert comment_statements("t", comments, at_once=True) == [one]
+    assert len(comment_statements("t", comments, at_once=False)) == 2
+    assert comment_statements("t", {}, at_once=True) == []
+
+
 def test_listing_skips_missing_schemas_and_views(spark, store, schema):
     create_or_replace(spark, store, schema, "t", keyed(spark, [(1, "a")]))
     spark.range(1).createOrReplaceTempView("a_view")

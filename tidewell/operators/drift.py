@@ -147,6 +147,60 @@ def column_order(matched: DataFrame) -> DataFrame:
     return _report(moved.filter("moved"), "column_order")
 
 
+def column_moves(matched: DataFrame) -> DataFrame:
+    """The fewest columns to move so that the target has the source's order, with their places among the common columns.
+
+    The others are a longest run of columns that come in the same order on both sides; where several runs are as long,
+    its columns are chosen from the last one on, each the latest of the source that fits. A row holds the columns of one
+    table, which the databases limit to a few thousand.
+    """
+    column = F.struct(
+        F.col("s.position").alias("position"), F.col("t.position").alias("t"), F.col("s.column_name").alias("name")
+    )
+    tables = (
+        matched.filter("s IS NOT NULL AND t IS NOT NULL")
+        .groupBy(*BRONZE)
+        .agg(F.array_sort(F.collect_list(column)).alias("columns"))
+        .withColumn("lengths", _run_lengths(F.col("columns")))
+        .withColumn("kept", _longest_run(F.col("columns"), F.col("lengths")))
+    )
+    placed = tables.select(*BRONZE, "columns", "kept", F.posexplode("columns").alias("i", "column"))
+    moved = placed.filter(~F.array_contains("kept", F.col("column.name")))
+    before = F.size(F.filter("columns", lambda c: c["t"] < F.col("column.t")))
+    named = moved.select(*BRONZE, F.col("column.name").alias("moved"), (F.col("i") + 1).alias("s"), (before + 1).alias("t"))
+    return _report(named, "column_move", "s", "t", "moved")
+
+
+def _run_lengths(columns: Column) -> Column:
+    """For each column the length of the longest run that ends with it."""
+
+    def longer(runs: Column, column: Column) -> Column:
+        before = F.filter(runs, lambda r: r["t"] < column["t"])
+        length = 1 + F.coalesce(F.array_max(F.transform(before, lambda r: r["length"])), F.lit(0))
+        return F.concat(runs, F.array(F.struct(column["t"].alias("t"), length.alias("length"))))
+
+    none = F.array().cast("array<struct<t:int,length:int>>")
+    return F.transform(F.aggregate(columns, none, longer), lambda r: r["length"])
+
+
+def _longest_run(columns: Column, lengths: Column) -> Column:
+    """Names of one longest run, from its end."""
+    start = F.struct(
+        (F.array_max(lengths) + 1).alias("length"), F.lit(2**31 - 1).alias("t"), F.array().cast("array<string>").alias("kept")
+    )
+    from_end = F.reverse(F.arrays_zip(columns.alias("column"), lengths.alias("length")))
+
+    def step(run: Column, c: Column) -> Column:
+        taken = F.struct(
+            c["length"].alias("length"),
+            c["column"]["t"].alias("t"),
+            F.concat(run["kept"], F.array(c["column"]["name"])).alias("kept"),
+        )
+        return F.when((c["length"] == run["length"] - 1) & (c["column"]["t"] < run["t"]), taken).otherwise(run)
+
+    return F.aggregate(from_end, start, step)["kept"]
+
+
 def table_comment_differences(source: DataFrame, target: DataFrame) -> DataFrame:
     """Source table comments that the target does not have; empty source comments are ignored."""
     left = source.filter("table_comment <> ''").select(*BRONZE, F.col("table_comment").alias("source_comment"))
@@ -200,8 +254,10 @@ def schema_report(
     return report
 
 
-def _report(rows: DataFrame, check: str, source: str | None = None, target: str | None = None) -> DataFrame:
-    """Report rows about whole tables."""
+def _report(
+    rows: DataFrame, check: str, source: str | None = None, target: str | None = None, column: str | None = None
+) -> DataFrame:
+    """Report rows about whole tables, or the column of them that is named."""
 
     def text(name: str | None) -> Column:
         return (F.lit(None) if name is None else F.col(name)).cast("string")
@@ -209,7 +265,7 @@ def _report(rows: DataFrame, check: str, source: str | None = None, target: str
     return rows.select(
         *BRONZE,
         F.lit(check).alias("check"),
-        text(None).alias("column_name"),
+        text(column).alias("column_name"),
         text(source).alias("source_value"),
         text(target).alias("target_value"),
     )

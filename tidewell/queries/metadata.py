@@ -319,6 +319,31 @@ ORDER_SQL = f"""
                  list(column_name ORDER BY t_position) AS b FROM ({BOTH_SQL}) AS m GROUP BY ALL)
     WHERE a <> b
 """
+# Longest increasing runs: their lengths column by column, then one of them from its end.
+MOVES_SQL = f"""
+    WITH RECURSIVE forward AS (
+        SELECT bronze_schema, bronze_table, list(column_name ORDER BY s_position) AS names,
+               list(t_position ORDER BY s_position) AS ts, 0 AS i, CAST([] AS BIGINT[]) AS lengths
+        FROM ({BOTH_SQL}) AS m GROUP BY ALL
+        UNION ALL
+        SELECT bronze_schema, bronze_table, names, ts, i + 1, list_append(lengths, 1 + coalesce(list_max(
+                   [lengths[j] FOR j IN range(1, i + 1) IF ts[j] < ts[i + 1]]), 0))
+        FROM forward WHERE i < len(ts)
+    ), backward AS (
+        SELECT bronze_schema, bronze_table, names, ts, lengths, i, list_max(lengths) + 1 AS k, CAST(2147483647 AS BIGINT) AS t,
+               CAST([] AS BIGINT[]) AS kept
+        FROM forward WHERE i = len(ts)
+        UNION ALL
+        SELECT bronze_schema, bronze_table, names, ts, lengths, i - 1, CASE WHEN hit THEN k - 1 ELSE k END,
+               CASE WHEN hit THEN ts[i] ELSE t END, CASE WHEN hit THEN list_append(kept, i) ELSE kept END
+        FROM (SELECT *, lengths[i] = k - 1 AND ts[i] < t AS hit FROM backward WHERE i > 0)
+    ), moved AS (
+        SELECT *, unnest([j FOR j IN range(1, len(ts) + 1) IF NOT list_contains(kept, j)]) AS j FROM backward WHERE i = 0
+    )
+    SELECT bronze_schema, bronze_table, 'column_move' AS "check", names[j] AS column_name, CAST(j AS VARCHAR) AS source_value,
+           CAST(1 + len([x FOR x IN ts IF x < ts[j]]) AS VARCHAR) AS target_value
+    FROM moved
+"""
 TYPE_SQL = f"""
     SELECT bronze_schema, bronze_table,
            CASE WHEN split_part(expected, '(', 1) = split_part(data_type, '(', 1) THEN 'type_parameters'
@@ -386,6 +411,11 @@ def order_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift.column_order(_matched(_base(spark, sf_dir)))
 
 
+@query("order_moves", MOVES_SQL)
+def order_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drift.column_moves(_matched(_base(spark, sf_dir)))
+
+
 @query("type_drift", TYPE_SQL)
 def type_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift.type_differences(_matched(_base(spark, sf_dir)), MYSQL)

@@ -4,17 +4,18 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.operators import maintenance
-from tidewell.plans.snapshot import bronze_rows
+from tidewell.plans.snapshot import bronze_rows, load_many
 from tidewell.plans.upkeep import compact_buckets, live_files, maintain_tables
 from tidewell.plans.validate import sync_comments
 from tidewell.queries.loads import SNAPSHOT_SQL
 from tidewell.queries.registry import RUN_TIME, derive, query, table
-from tidewell.session import new_workspace
+from tidewell.session import new_workspace, staged
 from tidewell.sinks.tables import (
     BUCKET_COLUMN,
     PARQUET,
@@ -25,6 +26,7 @@ from tidewell.sinks.tables import (
     key_bucket,
     table_comment,
 )
+from tidewell.streaming.runner import raise_failures
 
 FILES = "SELECT 'd/' || l_suppkey AS directory, l_linenumber * 20000000 AS length FROM {lineitem}"
 
@@ -145,37 +147,55 @@ def compact_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name).select(*data_schema(spark.table(name).schema).names)
 
 
-COMMENTED_SQL = """
-    SELECT 'r_' || r_regionkey AS table_name, r_name || ' it''s' AS table_comment, 'names in ' || r_name AS name_comment,
-           count(n_nationkey) AS rows
-    FROM region LEFT JOIN nation ON n_regionkey = r_regionkey GROUP BY ALL
-"""
-
-COMMENTS = """
-    SELECT 'table_comment' AS check, 'r_' || r_regionkey AS bronze_table, NULL AS column_name,
-           r_name || ' it\\'s' AS source_value FROM {region}
-    UNION ALL
-    SELECT 'column_comment', 'r_' || r_regionkey, 'n_name', 'names in ' || r_name FROM {region}
+# A table for each priority of orders; the comments say what the loaded rows are.
+COMMENTED = """
+    SELECT 'p_' || substr(o_orderpriority, 1, 1) AS bronze_table, o_orderpriority || ' it{quote}s' AS table_comment,
+           'up to ' || max(o_orderkey) AS key_comment, CAST(min(o_orderdate) AS DATE) || ' and later' AS date_comment,
+           count(*) AS rows
+    FROM {orders} GROUP BY o_orderpriority
 """
+COMMENTED_SQL = COMMENTED.replace("{quote}", "''").replace("bronze_table", "table_name")
 
 
 @query("comments_synced", COMMENTED_SQL)
 def comments_synced(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A bronze table of nations for each region; comments from a drift report, as the catalog tells them afterwards."""
+    """Bronze tables of orders by priority; comments from a drift report, as the catalog tells them afterwards."""
     store = BronzeStore(new_workspace(spark, "comments"), provider=PARQUET, buckets=1)
     schema = f"comments_{uuid.uuid4().hex[:12]}_bronze"
-    report = derive(spark, sf_dir, COMMENTS).withColumn("bronze_schema", F.lit(schema))
-    nations, found = table(spark, sf_dir, "nation"), []
-    names = [r.bronze_table for r in report.select("bronze_table").distinct().collect()]  # one for each region
-    for name in names:
-        own = nations.filter(F.concat(F.lit("r_"), F.col("n_regionkey")) == name)
-        create_or_replace(spark, store, schema, name, own)
+    wanted = staged(derive(spark, sf_dir, COMMENTED.replace("{quote}", "\\'")), "comments")
+    orders = table(spark, sf_dir, "orders").withColumn("bronze_table", F.concat(F.lit("p_"), F.substring("o_orderpriority", 1, 1)))
+    names = [r.bronze_table for r in wanted.select("bronze_table").collect()]  # one for each priority
+
+    def load(name: str) -> None:
+        create_or_replace(spark, store, schema, name, orders.filter(F.col("bronze_table") == name).drop("bronze_table"))
+
+    raise_failures(load_many(spark, names, load))
+    issues = F.inline(
+        F.array(
+            _comment("table_comment", None, "table_comment"),
+            _comment("column_comment", "o_orderkey", "key_comment"),
+            _comment("column_comment", "o_orderdate", "date_comment"),
+        )
+    )
+    report = wanted.select(F.lit(schema).alias("bronze_schema"), "bronze_table", issues)
     sync_comments(spark, store, report)
+    found = []
     for name in names:
         loaded = spark.table(store.name(schema, name))
-        comment = table_comment(spark, store.name(schema, name))
-        found.append((name, comment, loaded.schema["n_name"].metadata["comment"], loaded.count()))
-    return spark.createDataFrame(found, "table_name STRING, table_comment STRING, name_comment STRING, rows BIGINT")
+        texts = {
+            "table_name": name,
+            "table_comment": table_comment(spark, store.name(schema, name)),
+            "key_comment": loaded.schema["o_orderkey"].metadata["comment"],
+            "date_comment": loaded.schema["o_orderdate"].metadata["comment"],
+        }
+        found.append(loaded.agg(F.count("*").alias("rows")).withColumns({k: F.lit(v) for k, v in texts.items()}))
+    return reduce(DataFrame.unionByName, found)
+
+
+def _comment(check: str, column: str | None, value: str) -> Column:
+    return F.struct(
+        F.lit(check).alias("check"), F.lit(column).cast("string").alias("column_name"), F.col(value).alias("source_value")
+    )
 
 
 @query(

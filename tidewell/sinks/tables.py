@@ -276,8 +276,24 @@ def append_rows(spark: SparkSession, name: str, rows: DataFrame, provider: str)
 
 
 def set_column_comment(spark: SparkSession, name: str, column: str, comment: str) -> None:
-    quoted = column.replace("`", "``")
-    spark.sql(f"ALTER TABLE {name} ALTER COLUMN `{quoted}` COMMENT '{_escaped(comment)}'")
+    set_column_comments(spark, name, {column: comment}, at_once=True)
+
+
+def set_column_comments(spark: SparkSession, name: str, comments: dict[str, str], at_once: bool) -> None:
+    """Comments of several columns: in one statement for row-level formats, one by one where the session's own catalog
+    keeps the table, which takes no more than a column in a statement."""
+    for statement in comment_statements(name, comments, at_once):
+        spark.sql(statement)
+
+
+def comment_statements(name: str, comments: dict[str, str], at_once: bool) -> list[str]:
+    changes = []
+    for column, comment in comments.items():
+        quoted = column.replace("`", "``")
+        changes.append(f"`{quoted}` COMMENT '{_escaped(comment)}'")
+    if at_once and changes:
+        changes = [", ".join(changes)]
+    return [f"ALTER TABLE {name} ALTER COLUMN {change}" for change in changes]
 
 
 def set_table_comment(spark: SparkSession, name: str, comment: str) -> None:
