@@ -5,6 +5,7 @@ import threading
 import time
 import uuid
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -18,7 +19,8 @@ from tidewell.sinks.tables import PARQUET, BronzeStore, create_or_replace, data_
 from tidewell.sources.files import RECORD_SCHEMA, read_parquet, record_file_stream
 from tidewell.streaming.archive import archive_batch, start_archive
 from tidewell.streaming.cdc import APPLIED, EMPTY, CdcJob, MissingTargetError, apply_batch, run_topic, topic_checkpoint
-from tidewell.streaming.listener import ProgressListener
+from tidewell.streaming import listener as listener_module
+from tidewell.streaming.listener import ProgressListener, ProgressSink
 from tidewell.streaming.runner import DONE, FAILED, run_side_by_side, run_topics
 from tidewell.streaming.runner import SKIPPED as NOT_STARTED
 from tidewell.streaming.stop import clear_stop, stop_path, stop_requested
@@ -258,6 +260,32 @@ def test_stop_file_ends_a_running_archive(spark, folder):
         spark.streams.removeListener(listener)
 
 
+def test_progress_is_bounded_on_the_driver_and_whole_in_the_table(spark, folder, monkeypatch):
+    monkeypatch.setattr(listener_module, "KEPT", 3)
+    sink = ProgressSink(spark, f"{folder}/progress", batches_a_file=4)
+    listener = ProgressListener(spark, sink=sink)
+    for n in range(10):
+        figures = SimpleNamespace(name="q", batchId=n, numInputRows=n, inputRowsPerSecond=1.0, processedRowsPerSecond=2.0)
+        listener.onQueryProgress(SimpleNamespace(progress=figures))
+    assert [p["batch_id"] for p in listener.progress] == [7, 8, 9]
+    sink.wait()
+    assert sink.read().count() == 8
+    assert not listener.wait_for_end("r", 0.1)
+    for n in range(5):
+        listener.onQueryTerminated(SimpleNamespace(id=n, runId="r", exception=None))
+    assert len(listener.ended) == 3 and listener.wait_for_end("r", 0.1)
+    sink.wait()
+    assert sorted(r.batch_id for r in sink.read().collect()) == list(range(10))
+    assert len(sink.read().inputFiles()) == 3
+
+
+def test_progress_that_can_not_be_written_is_given_up(spark, folder):
+    Path(f"{folder}/taken").touch()
+    sink = ProgressSink(spark, f"{folder}/taken/progress", batches_a_file=1)
+    sink.add(("q", 0, 1, 1.0, 1.0))
+    sink.wait()
+
+
 def test_side_by_side_collects_failures_and_bounds_concurrency(spark):
     running, peak, lock, pools = [0], [0], threading.Lock(), {}
 

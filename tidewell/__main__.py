@@ -1,7 +1,8 @@
 """The jobs from the command line: ``python -m tidewell JOB --config FILE ...`` or by spark-submit.
 
 The configuration is a JSON file with the sections ``source`` (database), ``store`` (bronze tables),
-``kafka``, ``registry`` (a table or Parquet folder with schema_id and schema_str), ``stop_base``,
+``kafka``, ``registry`` (a table or Parquet folder with schema_id and schema_str), ``stop_base``, ``progress`` (a folder
+for the figures of all batches, left out if they are only to be logged),
 ``catalog`` (``catalog_impl``, ``io_impl`` and ``extra`` of the store's Iceberg catalog, which is registered
 under the store's catalog name) and ``session`` (Spark options, which win over those); each job reads those it needs.
 """
@@ -29,7 +30,7 @@ from tidewell.sources.kafka import KafkaSource
 from tidewell.sources.metadata import SourceMetadata
 from tidewell.streaming.archive import archive_checkpoint, start_archive
 from tidewell.streaming.cdc import CdcJob, run_topic, topic_checkpoint
-from tidewell.streaming.listener import ProgressListener
+from tidewell.streaming.listener import ProgressListener, ProgressSink
 from tidewell.streaming.runner import raise_failures, run_topics
 from tidewell.streaming.stop import clear_stop, stop_path, stop_requested
 
@@ -109,10 +110,15 @@ def _run_load(
     raise_failures(load_many(spark, args.table, load, args.concurrency))
 
 
+def _listener(spark: SparkSession, config: dict, stop: str) -> ProgressListener:
+    sink = ProgressSink(spark, config["progress"]) if "progress" in config else None
+    return ProgressListener(spark, stop, sink)
+
+
 def _run_cdc(spark: SparkSession, args: argparse.Namespace, config: dict, store: BronzeStore) -> None:
     kafka = KafkaSource(**config["kafka"])
     stop = stop_path(config["stop_base"], args.dag_id)
-    spark.streams.addListener(ProgressListener(spark, stop))
+    spark.streams.addListener(_listener(spark, config, stop))
     ensure_ledger(spark, store)
     schemas = _registry(config["registry"])
 
@@ -125,7 +131,7 @@ def _run_cdc(spark: SparkSession, args: argparse.Namespace, config: dict, store:
 
 def _run_archive(spark: SparkSession, args: argparse.Namespace, config: dict, store: BronzeStore) -> None:
     stop = stop_path(config["stop_base"], args.dag_id)
-    spark.streams.addListener(ProgressListener(spark, stop))
+    spark.streams.addListener(_listener(spark, config, stop))
     if stop_requested(spark, stop):
         return
     start_archive(

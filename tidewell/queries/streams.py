@@ -8,10 +8,11 @@ records of a key.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tidewell.functions.names import parse_topic
 from tidewell.operators.decoding import JSON
@@ -27,6 +28,7 @@ from tidewell.sources.files import RECORD_SCHEMA, read_parquet, record_file_stre
 from tidewell.streaming.alerts import AlertJob, start_alerts
 from tidewell.streaming.archive import start_archive
 from tidewell.streaming.cdc import CdcJob, run_topic, topic_checkpoint
+from tidewell.streaming.listener import ProgressListener, ProgressSink
 from tidewell.streaming.runner import run_topics
 
 # Days between the deliveries.
@@ -110,9 +112,7 @@ def stream_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(
-    "stream_archive",
-    """
+ARCHIVED_SQL = """
     SELECT 'srv.shop.' || event_type AS topic, CAST(year(ts) AS INTEGER) AS year,
            CAST(month(ts) AS INTEGER) AS month, CAST(day(ts) AS INTEGER) AS day,
            CASE WHEN event_id % 97 = 0 THEN NULL
@@ -123,8 +123,10 @@ def stream_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
            value AS o_totalprice, CASE WHEN event_id % 2 = 0 THEN epoch_us(ts) ELSE epoch_us(ts) // 1000 END AS o_orderdate,
            CASE WHEN event_id % 2 = 0 THEN props END AS note
     FROM events
-    """,
-)
+"""
+
+
+@query("stream_archive", ARCHIVED_SQL)
 def stream_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events of five topics in the archive, two schema versions side by side."""
     folder = new_workspace(spark, "archive")
@@ -141,12 +143,93 @@ def stream_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
             JSON,
             interval=None,
         ).awaitTermination()
-    return read_parquet(spark, f"{folder}/out", merge_schema=True).select(
+    return _archived(spark, f"{folder}/out")
+
+
+def _archived(spark: SparkSession, folder: str) -> DataFrame:
+    return read_parquet(spark, folder, merge_schema=True).select(
         "topic", "year", "month", "day", "op", "ts_ms",
         "after.o_orderkey", "after.o_totalprice", "after.o_orderdate", "after.note",
     )
 
 
+FILES_A_BATCH = 4
+
+
+Start = Callable[[DataFrame, str, str], StreamingQuery]
+RATED_INTERVAL = "100 milliseconds"
+
+
+def _rated_runs(spark: SparkSession, sf_dir: str, start: Start) -> Iterator[StreamingQuery]:
+    """Runs, each started with its records, a checkpoint and a name, that take ``FILES_A_BATCH`` files at a time.
+
+    The first run finds a file without records, the second one three deliveries of as many files each as a batch takes.
+    """
+    folder = new_workspace(spark, "rated")
+    records = framed_events(spark, sf_dir, F.concat(F.lit("srv.shop."), F.col("event_type")))
+    file_no = F.pmod("offset", F.lit(FILES_A_BATCH)).cast("int")
+    parts = [part.repartitionById(FILES_A_BATCH, file_no) for part in deliveries(records)]
+    for name, given in (("empty", [records.limit(0)]), ("rated", parts)):
+        for part in given:
+            deliver(part, f"{folder}/records")
+        query = start(record_file_stream(spark, f"{folder}/records", FILES_A_BATCH), f"{folder}/checkpoint", name)
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+        yield query
+
+
+@query("stream_rate", ARCHIVED_SQL)
+def stream_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The archive after rate-limited batches at an interval, one of them without records."""
+    out = new_workspace(spark, "archive")
+
+    def start(records: DataFrame, checkpoint: str, name: str) -> StreamingQuery:
+        return start_archive(spark, records, out, checkpoint, registry, name, JSON, RATED_INTERVAL)
+
+    for _ in _rated_runs(spark, sf_dir, start):
+        pass
+    return _archived(spark, out)
+
+
+@query(
+    "stream_progress",
+    """
+    SELECT 'empty' AS name, 1 AS batches, 0 AS rows, 0 AS first_batch, 0 AS last_batch
+    UNION ALL SELECT 'rated', 3, count(*), 1, 3 FROM events
+    """,
+)
+def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the progress table tells of runs that keep records as they came.
+
+    Rows are what a batch has read; so an archive, which reads a batch once for each schema version, would have more.
+    """
+    folder = new_workspace(spark, "progress")
+    sink = ProgressSink(spark, f"{folder}/table", batches_a_file=2)
+    listener = ProgressListener(spark, sink=sink)
+
+    def start(records: DataFrame, checkpoint: str, name: str) -> StreamingQuery:
+        kept = records.writeStream.format(PARQUET).option("path", f"{folder}/kept").queryName(name)
+        return kept.option("checkpointLocation", checkpoint).trigger(processingTime=RATED_INTERVAL).start()
+
+    spark.streams.addListener(listener)
+    try:
+        for run in _rated_runs(spark, sf_dir, start):
+            if not listener.wait_for_end(str(run.runId)):
+                raise TimeoutError(f"the end of {run.name} was not told")
+    finally:
+        spark.streams.removeListener(listener)
+    sink.wait()
+    batches = sink.read().groupBy("name", "batch_id").agg(F.max("rows").alias("rows"))
+    return batches.groupBy("name").agg(
+        F.count("*").alias("batches"),
+        F.sum("rows").alias("rows"),
+        F.min("batch_id").alias("first_batch"),
+        F.max("batch_id").alias("last_batch"),
+    )
+
+
 @query("stream_alerts", ALERTS_SQL)
 def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alerts of run events that come in three deliveries, each worked off by a run that goes on from the last one's state."""
