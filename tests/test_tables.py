@@ -1,7 +1,9 @@
 """Bronze tables in plain Parquet, the ledger table and their maintenance."""
 
 import datetime as dt
+import threading
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -78,6 +80,39 @@ def test_table_without_key_has_no_buckets(spark, store, schema):
     assert spark.table(store.name(schema, "t")).columns == ["id", "v"]
 
 
+def test_readers_never_miss_a_table_that_is_refreshed(spark, store, schema):
+    name = store.name(schema, "t")
+    create_or_replace(spark, store, schema, "t", spark.range(100).withColumn("v", F.lit(0)))
+    seen, done = [], threading.Event()
+
+    def read():
+        while not done.is_set():
+            seen.append(spark.table(name).agg(F.count("*").alias("n"), F.countDistinct("v").alias("versions")).first())
+
+    with ThreadPoolExecutor(1) as pool:
+        reading = pool.submit(read)
+        try:
+            for version in range(1, 6):
+                create_or_replace(spark, store, schema, "t", spark.range(100).withColumn("v", F.lit(version)))
+        finally:
+            done.set()
+        reading.result()
+    assert seen and all(tuple(r) == (100, 1) for r in seen)
+    assert spark.table(name).first().v == 5
+
+
+def test_refresh_that_fails_leaves_the_table(spark, store, schema):
+    create_or_replace(spark, store, schema, "t", keyed(spark, [(1, "a")]))
+    name = store.name(schema, "t")
+    for failing in (keyed(spark, [(2, "b")]).withColumn("w", F.raise_error("no")), spark.range(2).select(F.raise_error("no").alias("id"))):
+        with pytest.raises(Exception, match="no"):
+            create_or_replace(spark, store, schema, "t", failing)
+        assert content(spark, name) == [(1, "a")]
+    create_or_replace(spark, store, schema, "t", spark.range(3))
+    assert spark.table(name).columns == ["id"] and spark.table(name).count() == 3
+    assert [t.name for t in spark.catalog.listTables(schema)] == ["t"]
+
+
 def test_compaction_of_a_table_without_key(spark, store, schema):
     name = store.name(schema, "t")
     create_or_replace(spark, store, schema, "t", spark.range(0, 500, 1, 6).withColumn("v", F.lit("x")))

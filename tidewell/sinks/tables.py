@@ -105,7 +105,12 @@ def create_or_replace(
     df: DataFrame,
     size_bytes: int | None = None,
 ) -> None:
-    """Full refresh of a bronze table, keyed if ``df`` has the key hash."""
+    """Full refresh of a bronze table, keyed if ``df`` has the key hash.
+
+    Row-level formats replace a table at once. A Parquet table without a key that keeps its columns is pointed to the new
+    rows, also at once. Any other is made whole under a name of its own and then takes the place of the old one: between
+    two statements to the catalog, however long its partitions took, there is no table.
+    """
     create_schema(spark, store, schema)
     name = store.name(schema, table)
     keyed = KEY_COLUMN in df.columns
@@ -123,17 +128,37 @@ def create_or_replace(
         write_buckets(spark, name, df.withColumn(BUCKET_COLUMN, key_bucket(buckets)).repartition(buckets, KEY_COLUMN), folder, buckets)
     else:
         df.write.parquet(folder)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    columns = [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
+    if not keyed and _columns_of(spark, name) == columns:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+        spark.catalog.refreshTable(name)
+        return
     if keyed:
-        columns += f", {BUCKET_COLUMN} INT"
+        columns.append((BUCKET_COLUMN, "int"))
+    ddl = ", ".join(f"`{column}` {kind}" for column, kind in columns)
     layout = f"PARTITIONED BY ({BUCKET_COLUMN}) CLUSTERED BY ({KEY_COLUMN}) INTO {buckets} BUCKETS" if keyed else ""
+    new = _beside(name)
     spark.sql(
-        f"CREATE TABLE {name} ({columns}) USING parquet {layout} "
-        f"TBLPROPERTIES ('buckets' = '{buckets}') LOCATION '{folder}'"
+        f"CREATE TABLE {new} ({ddl}) USING parquet {layout} TBLPROPERTIES ('buckets' = '{buckets}') LOCATION '{folder}'"
     )
     if keyed:
-        spark.catalog.recoverPartitions(name)
+        spark.catalog.recoverPartitions(new)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {new} RENAME TO {name}")
+    spark.catalog.refreshTable(name)
+
+
+def _columns_of(spark: SparkSession, name: str) -> list[tuple[str, str]] | None:
+    """Columns of a table, or None if it is not there."""
+    if not spark.catalog.tableExists(name):
+        return None
+    return [(f.name, f.dataType.simpleString()) for f in spark.table(name).schema.fields]
+
+
+def _beside(name: str) -> str:
+    """A new name in the schema of a table."""
+    *schema, table = name.split(".")
+    return ".".join([*schema, f"{table}_{uuid.uuid4().hex}"])
 
 
 def merge_changes(
@@ -232,8 +257,7 @@ def write_buckets(spark: SparkSession, name: str, df: DataFrame, folder: str, bu
 
     Spark names a bucket's files only where it writes to a table, so one stands in for the folder as long as that takes.
     """
-    *schema, table = name.split(".")
-    stand_in = ".".join([*schema, f"{table}_{uuid.uuid4().hex}"])
+    stand_in = _beside(name)
     try:
         (
             df.write.format(PARQUET)
