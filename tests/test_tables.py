@@ -101,6 +101,13 @@ def test_readers_never_miss_a_table_that_is_refreshed(spark, store, schema):
     assert spark.table(name).first().v == 5
 
 
+def test_refresh_under_the_name_of_the_catalog(spark, folder, schema):
+    store = BronzeStore(folder, catalog="spark_catalog", provider=PARQUET, buckets=2)
+    for rows in ([(1, "a")], [(2, "b"), (3, "c")]):
+        create_or_replace(spark, store, schema, "t", keyed(spark, rows))
+        assert content(spark, store.name(schema, "t")) == rows
+
+
 def test_refresh_that_fails_leaves_the_table(spark, store, schema):
     create_or_replace(spark, store, schema, "t", keyed(spark, [(1, "a")]))
     name = store.name(schema, "t")

@@ -144,7 +144,8 @@ def create_or_replace(
     if keyed:
         spark.catalog.recoverPartitions(new)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {new} RENAME TO {name}")
+    within_catalog = ".".join(name.split(".")[-2:])
+    spark.sql(f"ALTER TABLE {new} RENAME TO {within_catalog}")
     spark.catalog.refreshTable(name)
 
 
