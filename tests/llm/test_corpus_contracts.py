@@ -102,6 +102,16 @@ def test_representatives_of_rows_with_any_columns(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3]
 
 
+def test_keys_of_fingerprints_are_not_broadcast(spark, folder):
+    """Each comes 28 times, which Spark's estimate of their size leaves out."""
+    prints = [0, 1, 3, 1 << 40, -1]
+    spark.createDataFrame([(x,) for x in prints], "fingerprint long").write.parquet(folder + "/prints")
+    links = simhash.links(spark.read.parquet(folder + "/prints"))
+    found = {(r["a"], r["b"]) for r in links.collect()}
+    assert found == {(a, b) for a in prints for b in prints if a < b and (a ^ b) in (1, 2, 3, 1 << 40, (1 << 40) + 1)}
+    assert "Broadcast" not in links._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("chunk_bytes", [40_000, 16 << 20])
 def test_scores_against_matching_symbol_by_symbol(spark, small, chunk_bytes):
     """Contexts of true bytes, escapes and exclusion as the plain version has them, for held-out documents as well."""

@@ -164,7 +164,8 @@ def _keys(fingerprint: Column, radius: int) -> Column:
 def links(distinct: DataFrame, radius: int = MAX_BITS) -> DataFrame:
     """Pairs ``a`` < ``b`` of distinct fingerprints (column ``fingerprint``) that differ in 1 to ``radius`` bits.
 
-    A pair that shares several keys comes several times.
+    A pair that shares several keys comes several times. Keys are always exchanged: Spark's estimate of the rows that are
+    keyed leaves out that each comes 28 times, and by it they would be sent to the driver and to every executor.
     """
     if not 1 <= radius < BLOCKS:
         raise ValueError("radius must be from 1 to 7 bits")
@@ -177,7 +178,7 @@ def links(distinct: DataFrame, radius: int = MAX_BITS) -> DataFrame:
     for far in (*_far(F.col("l.low"), F.col("r.low"), radius), *_far(F.col("l.high"), F.col("r.high"), radius)):
         close &= ~far
     exact = F.bit_count(F.col("l.fingerprint").bitwiseXOR(F.col("r.fingerprint"))) <= radius
-    return left.join(right, close & exact).select(F.col("l.fingerprint").alias("a"), F.col("r.fingerprint").alias("b"))
+    return left.hint("merge").join(right.hint("merge"), close & exact).select(F.col("l.fingerprint").alias("a"), F.col("r.fingerprint").alias("b"))
 
 
 def _printed(docs: DataFrame, shingle_words: int) -> DataFrame:
