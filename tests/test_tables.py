@@ -216,6 +216,41 @@ def test_compaction_into_several_files(spark, store, schema):
     assert 4 < live_files(spark, name).count() <= 16
 
 
+@pytest.mark.parametrize("buckets", [1, 2, 4])
+def test_each_file_of_a_compaction_has_a_task_of_its_own(spark, folder, schema, buckets):
+    store = BronzeStore(folder, provider=PARQUET, buckets=buckets)
+    create_or_replace(spark, store, schema, "t", keyed(spark, [(i, "a" * 50) for i in range(4000)]))
+    name = store.name(schema, "t")
+    more = keyed(spark, [(i, "b" * 50) for i in range(4000, 8000)]).withColumn(BUCKET_COLUMN, key_bucket(buckets))
+    append_rows(spark, name, more, PARQUET)
+    rows = content(spark, name)
+    size = live_files(spark, name).agg(F.sum("length")).first()[0]
+    compact_buckets(spark, name, target_bytes=size // (4 * buckets), min_bytes=size)
+    assert content(spark, name) == rows
+    tasks = spark.table(name).groupBy(F.regexp_extract(F.input_file_name(), r"part-(\d+)", 1).alias("task")).count()
+    counts = sorted(r["count"] for r in tasks.collect())
+    assert len(counts) >= 4 * buckets and counts[-1] < 1.3 * 8000 / len(counts)
+
+
+def test_a_large_bucket_is_loaded_by_several_tasks(spark, store, schema):
+    want = keyed(spark, [(i, "a") for i in range(2000)])
+    create_or_replace(spark, store, schema, "small", want)
+    assert live_files(spark, store.name(schema, "small")).count() == 4
+    advisory = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(advisory)
+    spark.conf.set(advisory, "8k")
+    try:
+        create_or_replace(spark, store, schema, "t", want)
+    finally:
+        spark.conf.set(advisory, before)
+    name = store.name(schema, "t")
+    assert live_files(spark, name).count() >= 8
+    assert content(spark, name) == content(spark, store.name(schema, "small"))
+    merge_changes(spark, store, schema, "t", changes(spark, [(1999, "z", "u"), (0, None, "d")]))
+    merged = {r.id: r.v for r in spark.table(name).collect()}
+    assert len(merged) == 1999 and 0 not in merged and merged[1999] == "z"
+
+
 def test_ledger_is_created_once_appended_and_cleaned(spark, store):
     # The ledger's name is fixed, so a table another test left behind goes first.
     spark.sql(f"DROP TABLE IF EXISTS {ledger_name(store)}")

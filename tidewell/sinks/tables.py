@@ -125,7 +125,9 @@ def create_or_replace(
     buckets = store.buckets or buckets_for(planned_bytes(df) if size_bytes is None else size_bytes)
     if keyed:
         allow_buckets(spark, buckets)
-        write_buckets(spark, name, df.withColumn(BUCKET_COLUMN, key_bucket(buckets)).repartition(buckets, KEY_COLUMN), folder, buckets)
+        # A partition for each bucket; adaptive execution cuts large ones into several tasks, and so into several files.
+        placed = df.withColumn(BUCKET_COLUMN, key_bucket(buckets)).hint("rebalance", buckets, KEY_COLUMN)
+        write_buckets(spark, name, placed, folder, buckets)
     else:
         df.write.parquet(folder)
     columns = [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
