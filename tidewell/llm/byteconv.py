@@ -80,44 +80,88 @@ def train(
 ) -> ByteConv:
     """Adam on the cross-entropy of batches drawn with ``seed``; classes weigh alike however many rows they have."""
     rng = np.random.default_rng(seed)
-    tables = [rng.normal(0, 0.3, (w, 256, filters)) for w in widths]
-    shift = np.zeros(filters * len(widths))
-    dense, bias = rng.normal(0, 0.3, (filters * len(widths), classes)), np.zeros(classes)
-    params = [*tables, shift, dense, bias]
+    params = begun(rng, classes, widths, filters)
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
     rows_of = [np.flatnonzero(labels == c) for c in range(classes)]
     present = [c for c in range(classes) if len(rows_of[c])]
     for t in range(1, steps + 1):
         drawn = rng.choice(present, batch)
         x = windows[[rows_of[c][rng.integers(len(rows_of[c]))] for c in drawn]].astype(np.int64)
-        tops, places = [], []
-        for table in tables:
-            w = len(table)
-            span = x.shape[1] - w + 1
-            response = sum(table[k][x[:, k : k + span]] for k in range(w))
-            place = response.argmax(axis=1)
-            places.append(place)
-            tops.append(np.take_along_axis(response, place[:, None, :], 1)[:, 0, :])
-        raw = np.concatenate(tops, axis=1) + shift
-        active = np.maximum(raw, 0)
-        delta = softmax(active @ dense + bias)
-        delta[np.arange(batch), drawn] -= 1
-        delta /= batch
-        back = (delta @ dense.T) * (raw > 0)
-        grads, at = [], 0
-        for table, place in zip(tables, places):
-            grad = np.zeros_like(table)
-            g = back[:, at : at + filters]
-            for k in range(len(table)):
-                np.add.at(grad[k], (np.take_along_axis(x, place + k, 1), np.arange(filters)[None, :]), g)
-            grads.append(grad)
-            at += filters
-        grads += [back.sum(axis=0), active.T @ delta, delta.sum(axis=0)]
-        step = rate * min(1.0, 2.0 * (1 - t / (steps + 1)))
-        for p, g, (m, v) in zip(params, grads, moments):
-            m *= 0.9
-            m += 0.1 * g
-            v *= 0.99
-            v += 0.01 * g * g
-            p -= step * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
+        _adam(params, gradients(params, x, drawn), moments, t, rate * min(1.0, 2.0 * (1 - t / (steps + 1))))
+    return of(params)
+
+
+def begun(rng: np.random.Generator, classes: int, widths: tuple[int, ...], filters: int) -> list[np.ndarray]:
+    """The parameters that training starts from: a table for each width, shift, dense layer, bias."""
+    tables = [rng.normal(0, 0.3, (w, 256, filters)) for w in widths]
+    shift = np.zeros(filters * len(widths))
+    return [*tables, shift, rng.normal(0, 0.3, (filters * len(widths), classes)), np.zeros(classes)]
+
+
+def of(params: list[np.ndarray]) -> ByteConv:
+    *tables, shift, dense, bias = params
     return ByteConv(tables, shift, dense, bias)
+
+
+def gradients(params: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
+    """Those of the mean cross-entropy of windows ``x`` with classes ``y``."""
+    *tables, shift, dense, bias = params
+    tops, places = [], []
+    for table in tables:
+        w = len(table)
+        span = x.shape[1] - w + 1
+        response = sum(table[k][x[:, k : k + span]] for k in range(w))
+        place = response.argmax(axis=1)
+        places.append(place)
+        tops.append(np.take_along_axis(response, place[:, None, :], 1)[:, 0, :])
+    raw = np.concatenate(tops, axis=1) + shift
+    active = np.maximum(raw, 0)
+    delta = softmax(active @ dense + bias)
+    delta[np.arange(len(y)), y] -= 1
+    delta /= len(y)
+    back = (delta @ dense.T) * (raw > 0)
+    grads, at = [], 0
+    for table, place in zip(tables, places):
+        filters = table.shape[2]
+        grad = np.zeros_like(table)
+        g = back[:, at : at + filters]
+        for k in range(len(table)):
+            np.add.at(grad[k], (np.take_along_axis(x, place + k, 1), np.arange(filters)[None, :]), g)
+        grads.append(grad)
+        at += filters
+    return grads + [back.sum(axis=0), active.T @ delta, delta.sum(axis=0)]
+
+
+def _adam(params: list[np.ndarray], grads: list[np.ndarray], moments: list, t: int, step: float) -> None:
+    for p, g, (m, v) in zip(params, grads, moments):
+        m *= 0.9
+        m += 0.1 * g
+        v *= 0.99
+        v += 0.01 * g * g
+        p -= step * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
+
+
+def improved(
+    params: list[np.ndarray],
+    windows: np.ndarray,
+    labels: np.ndarray,
+    least_steps: int,
+    rate: float,
+    seed: int,
+    half: int = 64,
+) -> list[np.ndarray]:
+    """Parameters after one pass of Adam over all windows of two classes, ``half`` of each in a batch.
+
+    Each class goes round in a drawn order until the larger one is through, and ``least_steps`` are done.
+    """
+    rng = np.random.default_rng(seed)
+    params = [p.copy() for p in params]
+    moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
+    rows_of = [rng.permutation(np.flatnonzero(labels == c)) for c in (0, 1)]
+    rows_of = [r for r in rows_of if len(r)]
+    steps = max(least_steps, -(-max(map(len, rows_of)) // half))
+    for t in range(1, steps + 1):
+        turn = np.arange((t - 1) * half, t * half)
+        taken = np.concatenate([r[turn % len(r)] for r in rows_of])
+        _adam(params, gradients(params, windows[taken].astype(np.int64), labels[taken]), moments, t, rate)
+    return params
