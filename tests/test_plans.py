@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from compare import assert_same
 
 from tidewell.operators import ledger, maintenance
 from tidewell.operators.changes import apply_newest, newest_changes
@@ -10,7 +11,7 @@ from tidewell.plans.upkeep import retention_delete
 from tidewell.queries.ledgers import IDLE_LEDGER
 from tidewell.queries.registry import derive
 from tidewell.queries import cdc, upkeep
-from tidewell.queries.all import QUERIES
+from tidewell.queries.all import ORACLES, QUERIES
 from tidewell.session import staged
 from tidewell.sinks import tables
 
@@ -107,3 +108,25 @@ def test_changes_are_applied_without_moving_the_table(spark, small, folder):
             break
     assert "Bucketed: true" in text and "orders" in left[-1]
     assert not any("Exchange" in line for line in left), left
+
+
+@pytest.mark.parametrize(("name", "buckets"), [("compact_roundtrip", 4), ("maintenance_outcomes", 2)])
+def test_a_task_that_appends_has_rows_of_one_bucket(spark, small, monkeypatch, name, buckets):
+    added = []
+
+    def append(spark, table, rows, provider):
+        present = set(spark.table(table).inputFiles())
+        tables.append_rows(spark, table, rows, provider)
+        added.extend(set(spark.table(table).inputFiles()) - present)
+
+    monkeypatch.setattr(upkeep, "append_rows", append)
+    # Buckets of so few rows would share a task.
+    coalescing = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(coalescing)
+    spark.conf.set(coalescing, "false")
+    try:
+        assert_same(QUERIES[name](spark, small), ORACLES[name], small)
+    finally:
+        spark.conf.set(coalescing, before)
+    # The table is read by one task, which would write a file for each bucket.
+    assert len(added) == len({re.search(r"/part-(\d+)", path)[1] for path in added}) == buckets

@@ -17,13 +17,12 @@ from tidewell.queries.loads import SNAPSHOT_SQL
 from tidewell.queries.registry import RUN_TIME, derive, query, table
 from tidewell.session import new_workspace, staged
 from tidewell.sinks.tables import (
-    BUCKET_COLUMN,
     PARQUET,
     BronzeStore,
     append_rows,
     create_or_replace,
     data_schema,
-    key_bucket,
+    placed_rows,
     table_comment,
 )
 from tidewell.streaming.runner import raise_failures
@@ -138,7 +137,7 @@ def compact_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     open_orders = F.col("o_orderstatus") == "O"
     create_or_replace(spark, store, schema, "orders", rows.filter(open_orders))
     name = store.name(schema, "orders")
-    append_rows(spark, name, rows.filter(~open_orders).withColumn(BUCKET_COLUMN, key_bucket(store.buckets)), PARQUET)
+    append_rows(spark, name, placed_rows(rows.filter(~open_orders), store.buckets), PARQUET)
     before = live_files(spark, name).count()
     rewritten = compact_buckets(spark, name)
     after = live_files(spark, name).count()
@@ -215,8 +214,7 @@ def maintenance_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = bronze_rows(table(spark, sf_dir, "orders"), ["o_orderkey"], RUN_TIME)
     is_open = F.col("o_orderstatus") == "O"
     create_or_replace(spark, store, schema, "orders", orders.filter(is_open))
-    more = orders.filter(~is_open).withColumn(BUCKET_COLUMN, key_bucket(store.buckets))
-    append_rows(spark, store.name(schema, "orders"), more, PARQUET)
+    append_rows(spark, store.name(schema, "orders"), placed_rows(orders.filter(~is_open), store.buckets), PARQUET)
     brands = table(spark, sf_dir, "part").groupBy("p_brand").agg(F.count("*").alias("parts"))
     create_or_replace(spark, store, schema, "brands", brands.coalesce(1))
     done = maintain_tables(spark, store, [schema], retention_days=1)

@@ -97,6 +97,12 @@ def key_bucket(buckets: int) -> Column:
     return F.pmod(F.hash(KEY_COLUMN), F.lit(buckets)).cast("int")
 
 
+def placed_rows(df: DataFrame, buckets: int) -> DataFrame:
+    """Keyed rows with their buckets, dealt out by bucket; adaptive execution cuts large ones into several tasks, and so
+    into several files. Tasks of the source would each sort whatever they read and write a file for every bucket."""
+    return df.withColumn(BUCKET_COLUMN, key_bucket(buckets)).hint("rebalance", buckets, KEY_COLUMN)
+
+
 def create_or_replace(
     spark: SparkSession,
     store: BronzeStore,
@@ -125,9 +131,7 @@ def create_or_replace(
     buckets = store.buckets or buckets_for(planned_bytes(df) if size_bytes is None else size_bytes)
     if keyed:
         allow_buckets(spark, buckets)
-        # A partition for each bucket; adaptive execution cuts large ones into several tasks, and so into several files.
-        placed = df.withColumn(BUCKET_COLUMN, key_bucket(buckets)).hint("rebalance", buckets, KEY_COLUMN)
-        write_buckets(spark, name, placed, folder, buckets)
+        write_buckets(spark, name, placed_rows(df, buckets), folder, buckets)
     else:
         df.write.parquet(folder)
     columns = [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
